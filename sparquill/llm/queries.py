@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparquill.llm import decontaminate, simhash
+from sparquill.llm import decontaminate, simhash, token_ids
 from sparquill.llm.common import read_table
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    manifest = token_ids.write_shards(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_ids.read_shards(manifest)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -19,7 +26,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_decontaminate, op9_simhash)}
+    return {f.__name__: f for f in (op3_token_ids, op7_decontaminate, op9_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
