@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparquill.llm import decontaminate, simhash, token_ids
+from sparquill.llm import classifier, decontaminate, quality_rules, simhash, token_ids
 from sparquill.llm.common import read_table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -25,8 +31,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    weights = classifier.fit(docs, labels.filter(~classifier.held_out(F.col("doc_id"))))
+    scored = classifier.score(docs, weights)
+    return scored.select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_token_ids, op7_decontaminate, op9_simhash)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_token_ids, op7_decontaminate, op9_simhash, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
