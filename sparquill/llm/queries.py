@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm import classifier, decontaminate, quality_rules, simhash, token_ids
+from sparquill.llm import classifier, decontaminate, quality_rules, simhash, token_ids, warc
 from sparquill.llm.common import read_table
 
 
@@ -23,6 +23,11 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.read_shards(manifest)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_archives(warc.write_archives(read_table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -39,8 +44,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_token_ids, op7_decontaminate, op9_simhash, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_token_ids, op4_warc, op7_decontaminate, op9_simhash, op10_quality_classifier)}
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS n, sha256(html) AS digest FROM p),
+f AS (SELECT digest, min(page_id) AS first_id FROM d WHERE n >= 100 GROUP BY digest)
+SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN f.first_id IS NOT NULL AND d.page_id IS DISTINCT FROM f.first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.page_id IS DISTINCT FROM f.first_id THEN f.first_id END AS refers_to
+FROM d LEFT JOIN f ON d.digest = f.digest
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc": OP4_SQL}
