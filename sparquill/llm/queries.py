@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm import classifier, decontaminate, quality_rules, simhash, token_ids, warc
+from sparquill.llm import classifier, decontaminate, mixing, quality_rules, sharding, simhash, token_ids, warc
 from sparquill.llm.common import read_table
 
 
@@ -28,6 +28,14 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read_table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -44,7 +52,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_token_ids, op4_warc, op7_decontaminate, op9_simhash, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_token_ids, op4_warc, op6_mixing, op7_decontaminate, op8_sharding, op9_simhash, op10_quality_classifier)}
 
 
 OP4_SQL = """
@@ -58,5 +66,37 @@ FROM d LEFT JOIN f ON d.digest = f.digest
 """
 
 
+HASH60 = "CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT)"
+
+OP6_SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ \\t-\\r]+')), 0)::BIGINT AS size, {HASH60} AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS ord FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][((ord - 1) % 3 + 1)::INT]::BIGINT AS weight, source_size * 3 AS most, (sum(source_size) OVER ())::BIGINT AS budget FROM s),
+f AS (SELECT *, row_number() OVER o AS place,
+             (budget - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT::DOUBLE
+             / (sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT::DOUBLE AS level
+      FROM w WINDOW o AS (ORDER BY most::DOUBLE / weight::DOUBLE, ord)),
+l AS (SELECT level FROM f WHERE NOT most::DOUBLE / weight::DOUBLE < level ORDER BY place LIMIT 1),
+t AS (SELECT source, ord, source_size, budget, least(most::DOUBLE, weight::DOUBLE * l.level) AS target FROM f, l),
+q AS (SELECT d.doc_id, d.size, d.h, t.*, (sum(d.size) OVER (PARTITION BY t.ord ORDER BY d.h, d.doc_id, d.size ROWS UNBOUNDED PRECEDING))::BIGINT AS upto,
+             row_number() OVER () AS row_no
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT row_no, size, ord, budget, (upto + e * source_size)::DOUBLE / target AS finish FROM q, range(3) AS r(e) WHERE size > 0),
+g AS (SELECT row_no, size FROM (SELECT *, sum(size) OVER (ORDER BY finish, ord) AS spent FROM c) WHERE spent <= budget),
+k AS (SELECT row_no, sum(size)::BIGINT AS taken FROM g GROUP BY row_no)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM q LEFT JOIN k USING (row_no)
+"""
+
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes, {HASH60} AS h, row_number() OVER () AS row_no FROM documents),
+n AS (SELECT doc_id, n_bytes, h, row_no, b::INT AS local_depth,
+             (sum(n_bytes) OVER (PARTITION BY b, h >> (60 - b)))::BIGINT AS shard_bytes, count(*) OVER (PARTITION BY b, h >> (60 - b)) AS shard_docs
+      FROM d, range(24) AS r(b))
+SELECT doc_id, n_bytes, CASE WHEN local_depth = 0 THEN '' ELSE substr(lpad(bin(h), 60, '0'), 1, local_depth) END AS shard, local_depth, shard_bytes, shard_docs
+FROM n WHERE shard_bytes <= 64 * 1048576 OR shard_docs = 1
+QUALIFY row_number() OVER (PARTITION BY row_no ORDER BY local_depth) = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL}
+    return {"op4_warc": OP4_SQL, "op6_mixing": OP6_SQL, "op8_sharding": OP8_SQL}
