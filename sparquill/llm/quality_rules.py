@@ -89,13 +89,12 @@ def base_failed(n_words: Column, n_repeat: Column) -> Column:
     return (n_words < MIN_WORDS) | (F.lit(100) * n_repeat > F.lit(MAX_REPEAT_PERCENT) * n_words)
 
 
-def ratios(c) -> dict[str, object]:
-    """The learner's variables as expressions of the counts; c gives a count by name, as a column or an array."""
-    per_word, per_char = c("n_words"), c("n_chars")
+def ratios(c, over) -> dict[str, object]:
+    """The learner's variables: c gives a count by name, over divides two of them, as columns or as arrays."""
     return {
-        "words": c("n_words") * 1.0, "word_length": c("word_chars") / per_word, "symbols": c("n_symbols") / per_word, "dup_lines": c("n_dup_lines") / c("n_lines"),
-        "repeats": c("n_repeat_words") / per_word, "upper": c("n_upper") / per_char, "marks": c("n_marks") / per_word, "digits": c("n_digits") / per_char,
-        "distinct": c("n_distinct") / per_word, "same": c("n_same") / per_word,
+        "words": c("n_words") * 1.0, "word_length": over(c("word_chars"), c("n_words")), "symbols": over(c("n_symbols"), c("n_words")), "dup_lines": over(c("n_dup_lines"), c("n_lines")),
+        "repeats": over(c("n_repeat_words"), c("n_words")), "upper": over(c("n_upper"), c("n_chars")), "marks": over(c("n_marks"), c("n_words")), "digits": over(c("n_digits"), c("n_chars")),
+        "distinct": over(c("n_distinct"), c("n_words")), "same": over(c("n_same"), c("n_words")),
     }
 
 
@@ -174,13 +173,13 @@ def learn_rules(stats: DataFrame, labels: DataFrame, label_col: str = "quality",
     found = rows.select(*COUNTS, "label", F.xxhash64("id").alias("turn")).orderBy("turn", *COUNTS, "label").limit(bound).toPandas()
     if not len(found):
         return []
-    x = {k: np.asarray(v, float) for k, v in ratios(lambda c: found[c].to_numpy(float)).items()}
+    x = {k: np.asarray(v, float) for k, v in ratios(lambda c: found[c].to_numpy(float), np.divide).items()}
     return learn(x, found["label"].to_numpy() == 0, found["turn"].to_numpy() // 7)
 
 
 def verdict(rules: list[Rule]) -> Column:
     """The decision list as an ordered conditional: false for the first rule that fits, else true."""
-    x, out = ratios(F.col), F.lit(True)
+    x, out = ratios(F.col, F.try_divide), F.lit(True)
     for rule in reversed(rules):
         hit = F.lit(True)
         for name, above, cut in rule:
@@ -208,7 +207,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
                 counts = dict(zip(COUNTS, table.T.astype(float), strict=True))
                 good = (counts["n_words"] >= MIN_WORDS) & (100 * counts["n_repeat_words"] <= MAX_REPEAT_PERCENT * counts["n_words"])
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    x = ratios(counts.__getitem__)
+                    x = ratios(counts.__getitem__, np.divide)
                 for rule in rules:
                     good &= ~covers(rule, x, len(good))
                 yield batch.filter(pa.array(good))

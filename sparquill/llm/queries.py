@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm import classifier, decontaminate, mixing, quality_rules, sharding, simhash, token_ids, warc
+from sparquill.llm import classifier, decontaminate, line_dedup, mixing, quality_rules, sharding, simhash, token_ids, url_filters, warc
 from sparquill.llm.common import read_table
 
 
@@ -16,6 +16,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup(read_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -28,6 +33,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = url_filters.with_labels(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+    return url_filters.judge(pages)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -52,8 +62,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_token_ids, op4_warc, op6_mixing, op7_decontaminate, op8_sharding, op9_simhash, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_token_ids, op4_warc, op5_url_filters, op6_mixing, op7_decontaminate, op8_sharding, op9_simhash, op10_quality_classifier)}
+
 
+OP2_SQL = """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d),
+w AS (SELECT doc_id, i, row_number() OVER (PARTITION BY lines[i] || chr(10) || lines[i + 1] ORDER BY doc_id, i) AS place FROM l WHERE i < len(lines)),
+g AS (SELECT DISTINCT doc_id, i + o AS i FROM w, range(2) AS r(o) WHERE place > 1),
+k AS (SELECT l.doc_id, string_agg(l.lines[l.i], chr(10) ORDER BY l.i) AS text, count(*) AS kept FROM l LEFT JOIN g USING (doc_id, i) WHERE g.i IS NULL GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(len(d.lines), 0)::BIGINT AS n_lines, (coalesce(len(d.lines), 0) - coalesce(k.kept, 0))::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS text_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
 
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -99,4 +119,4 @@ QUALIFY row_number() OVER (PARTITION BY row_no ORDER BY local_depth) = 1
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL, "op6_mixing": OP6_SQL, "op8_sharding": OP8_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op6_mixing": OP6_SQL, "op8_sharding": OP8_SQL}
