@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sparquill.llm.common import fresh_path, open_fs, stage, text_bytes
 
-LEAST_BYTES, FILE_BYTES, CHUNK = 100, 1 << 30, 1 << 16
+LEAST_BYTES, FILE_BYTES, CHUNK, MAX_READERS = 100, 1 << 30, 1 << 16, 20_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -192,7 +192,8 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
                         yield _batch(rows)
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, html string"
-    out = manifest.select("path").repartition("path").mapInArrow(run, schema)
+    readers = max(1, min(manifest.count(), MAX_READERS))
+    out = manifest.select("path").repartition(readers, "path").mapInArrow(run, schema)
     return out if with_payload else out.drop("html")
 
 
