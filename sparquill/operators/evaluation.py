@@ -219,3 +219,64 @@ def markdown(spark: SparkSession, table: DataFrame, most: int = 1000) -> str:
     rows = table.limit(most).collect()
     lines = ["| " + " | ".join(table.columns) + " |", "|" + "---|" * len(table.columns)]
     return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows])
+
+
+def top_sources(questions: DataFrame, hits: DataFrame, most: int = 3, key: str = "question_id") -> DataFrame:
+    """questions (key, expected_sources) with passed: an expected source among the first hits."""
+    got = hits.filter(F.col("rank") <= most).groupBy(key).agg(F.collect_set("src").alias("got"))
+    rows = questions.join(got, key, "left")
+    return rows.withColumn("passed", F.coalesce(F.arrays_overlap("got", "expected_sources"), F.lit(False))).drop("got")
+
+
+def verdict(case_rows: DataFrame, tiers: tuple[tuple[int, str], ...] = ((18, "excellent"), (15, "good"), (12, "fair"))) -> DataFrame:
+    """(passed, total, verdict): the first tier whose number of passed cases is reached."""
+    agg = case_rows.agg(F.sum(F.col("passed").cast("long")).alias("passed"), F.count("*").alias("total"))
+    out = F.lit("poor")
+    for least, name in reversed(tiers):
+        out = F.when(F.col("passed") >= least, name).otherwise(out)
+    return agg.withColumn("verdict", out)
+
+
+def graph_cases(questions: DataFrame, primary: DataFrame, path: DataFrame, support: DataFrame, key: str = "question_id") -> DataFrame:
+    """primary_pass, path_pass, support_pass of questions (key, want: struct(src, section, moment) with nulls for what does not
+    matter, wants_refs, wants_exceptions, wants_other_law). primary: key, src, section, moment of the first hit; path: key,
+    relation, target of every edge followed; support: key, node_id."""
+    first = primary.select(key, "src", F.col("section").cast("string").alias("section"), F.col("moment").cast("string").alias("moment"))
+    edges = path.groupBy(key).agg(F.bool_or(F.col("relation").isin("REFERS_TO", "EXCEPTS")).alias("has_ref"), F.bool_or(F.startswith("target", F.lit("external:"))).alias("has_external"))
+    nodes = support.groupBy(key).agg(F.count("*").alias("n_support"))
+    rows = questions.join(first, key, "left").join(edges, key, "left").join(nodes, key, "left")
+    same = lambda a, b: b.isNull() | F.coalesce(a == b, F.lit(False))
+    primary_pass = same(F.col("src"), F.col("want.src")) & same(F.col("section"), F.col("want.section").cast("string")) & same(F.col("moment"), F.col("want.moment").cast("string"))
+    has = lambda c: F.coalesce(F.col(c), F.lit(False))
+    support_ok = (F.coalesce("n_support", F.lit(0)) > 0) | (F.col("wants_other_law") & has("has_external"))
+    return rows.select(
+        key,
+        (F.col("src").isNotNull() & primary_pass).alias("primary_pass"),
+        (~F.col("wants_refs") | has("has_ref")).alias("path_pass"),
+        (~(F.col("wants_refs") | F.col("wants_exceptions")) | support_ok).alias("support_pass"),
+    )
+
+
+def evidence_cases(questions: DataFrame, law_hits: DataFrame, doc_hits: DataFrame, key: str = "question_id") -> DataFrame:
+    """law_pass, doc_pass, evidence_pass of questions (key, want_section, want_moment, section_pattern, node_type, metric_name,
+    page_from, page_to, terms). The document passes if any hit meets any of the conditions given, or on any hit if none is
+    given; the evidence if any hit's text or title holds a term, or there are no terms or no hits."""
+    law = law_hits.join(questions.select(key, "want_section", "want_moment"), key).groupBy(key).agg(F.bool_or(hit_matches(F.col("section"), F.col("moment"), F.col("want_section"), F.col("want_moment"))).alias("law_pass"))
+    asked = questions.select(key, "section_pattern", "node_type", "metric_name", "page_from", "page_to", "terms")
+    docs = doc_hits.withColumnRenamed("node_type", "hit_type").join(asked, key)
+    body = F.lower(F.concat_ws(" ", "text", "title"))
+    wanted = F.col("section_pattern").isNotNull() | F.col("node_type").isNotNull() | F.col("metric_name").isNotNull() | F.col("page_from").isNotNull()
+    pattern = F.concat(F.lit("(?iu)"), F.col("section_pattern"))
+    conditions = [F.coalesce(F.regexp_like(F.concat_ws("\n", "title", "node_id", "text"), pattern), F.lit(False)), F.coalesce(F.col("hit_type") == F.col("node_type"), F.lit(False)), F.coalesce(F.contains(body, F.lower("metric_name")), F.lit(False)), F.coalesce(F.col("page_num").between(F.col("page_from"), F.col("page_to")), F.lit(False))]
+    met = conditions[0] | conditions[1] | conditions[2] | conditions[3]
+    held = F.exists("terms", lambda t: F.contains(body, F.lower(t)))
+    doc = docs.groupBy(key).agg(F.bool_or(~wanted | met).alias("doc_pass"), F.bool_or(held).alias("held"))
+    rows = questions.join(law, key, "left").join(doc, key, "left")
+    no_terms = F.size(F.coalesce("terms", F.array().cast("array<string>"))) == 0
+    return rows.select(key, F.coalesce("law_pass", F.lit(False)).alias("law_pass"), F.coalesce("doc_pass", F.lit(False)).alias("doc_pass"), (no_terms | F.col("held").isNull() | F.col("held")).alias("evidence_pass"))
+
+
+def failure_summary(classified: DataFrame, pair: str = "pair") -> DataFrame:
+    """(dimension, value, n): failures by class and by pair of sources, in one pass."""
+    grouped = classified.groupingSets([[F.col("class")], [F.col(pair)]], F.col("class"), F.col(pair)).agg(F.count("*").alias("n"), F.grouping("class").alias("no_class"))
+    return grouped.select(F.when(F.col("no_class") == 0, "class").otherwise("pair").alias("dimension"), F.when(F.col("no_class") == 0, F.col("class")).otherwise(F.col(pair)).alias("value"), "n")

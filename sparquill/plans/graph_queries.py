@@ -229,3 +229,33 @@ f AS (SELECT * FROM m WHERE lower(new) <> own QUALIFY row_number() OVER (PARTITI
 SELECT item_id AS question_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY pos) AS INT) AS paraphrase_no, new AS text FROM f QUALIFY paraphrase_no <= 3""")
 def paraphrases(spark: SparkSession, d: str) -> DataFrame:
     return documents.paraphrases(table(spark, d, "benchmark").select(F.col("item_id").alias("question_id"), "text"), SYNONYMS)
+
+
+STATUTE_XML = """<?xml version="1.0"?><akomaNtoso xmlns="http://example.org/akn"><act><meta><FRBRversionNumber value="fin@2"/><dateEntryIntoForce date="2020-01-01"/></meta><body>
+<chapter><num>6 luku</num><heading>Yleiset</heading><section><num>12 a §</num><heading>Soveltaminen</heading><subsection><intro>A</intro><paragraph><num>1)</num><content>x</content></paragraph>
+<paragraph><content>y</content></paragraph></subsection><subsection/><subsection><content>Kolmas</content></subsection></section><section><num>13 §</num><heading>Otsikko</heading><p>Teksti 13 § on.</p></section></chapter></body></act></akomaNtoso>"""
+
+
+@query("""SELECT * FROM (VALUES ('1/2020:fin@2:6l:12a:1', '12a', 12, '1', 'A 1) x y', 'soveltaminen'), ('1/2020:fin@2:6l:12a:3', '12a', 12, '3', 'Kolmas', 'soveltaminen,third'), ('1/2020:fin@2:6l:13:1', '13', 13, '1', 'Teksti 13 § on.', 'otsikko')) v(node_id, section_id, section_num, moment, text, tags)""")
+def xml_ingest(spark: SparkSession, d: str) -> DataFrame:
+    from sparquill.sources import statutes
+
+    rows = spark.createDataFrame([("statute.xml", STATUTE_XML)], "path string, xml string")
+    found = statutes.unique_ids(statutes.moments(rows, "Laki", "1/2020", "laki_1_2020", {"kolmas": ("third",)}))
+    return found.select("node_id", "section_id", "section_num", "moment", "text", F.array_join("tags", ",").alias("tags"))
+
+
+@query()
+def guided_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Questions over the language corpus, expanded over links between documents of one source."""
+    from sparquill.operators import guided
+    from sparquill.plans.catalog import GUIDED, corpus
+    from sparquill.plans.rules import LANGUAGES
+
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("node_id"), F.col("source").alias("law_key"), (F.col("doc_id") % 97).cast("int").alias("section_num"), F.col("lang").alias("section_title"), "text")
+    pages = table(spark, d, "pages").select(F.col("page_id").alias("source"), (F.col("page_id") * 3 % 997).alias("target"), F.when(F.col("page_id") % 4 == 0, "EXCEPTS").otherwise("REFERS_TO").alias("edge_type"), F.col("page_id").alias("edge_ord"))
+    nodes = docs.withColumn("node_id", F.col("node_id").cast("string"))
+    edges = pages.withColumn("source", F.col("source").cast("string")).withColumn("target", F.col("target").cast("string"))
+    rows = corpus(spark, d).withColumn("id", F.col("id").cast("string"))
+    hits, support, _ = guided.guided(questions(spark, d), rows, nodes, edges, LANGUAGES, GUIDED)
+    return guided.answers(hits, support, nodes)
