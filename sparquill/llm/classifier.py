@@ -5,7 +5,7 @@ word's shape (runs of capitals, small letters, digits and the signs themselves,
 each word whether it repeats the one before. A slot's value is its share of the text's features, times SCALE; the log
 odds of the labels are added as a constant. Scoring is the sparse dot product with the weights, a gather and a mean.
 
-Training reads labelled rows up to `bound` (a documented limit: the smallest by a hash of their id), in one task and in
+Training reads labelled rows up to `bound` (a documented limit: those of the lowest hashes of their ids), in one task and in
 hash order, so reruns agree; everything else scores every row, in one narrow scan.
 
 Defined results: a null or empty text has the constant alone; repeated labels of an id count once, by their smallest;
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import slices, text_bytes
+from sparquill.llm.common import bounded_sample, slices, text_bytes
 
 BITS, BOUND, EPOCHS, SCALE, CUT = 18, 4_000, 2, 10.0, 0.7
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.05, 0.5
@@ -99,7 +99,7 @@ def scores(texts: list[bytes | None], weights: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", bound: int = BOUND) -> np.ndarray:
     """Weights learnt from at most `bound` of the labelled rows."""
     one = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("id").agg(F.min("label").alias("label"))
-    sample = one.orderBy(F.xxhash64("id"), "id").limit(bound)  # of bounded size, so it may be broadcast
+    sample = bounded_sample(one, "id", bound)  # of bounded size, so it may be broadcast
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").select("text", "label", F.xxhash64("id").alias("turn"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

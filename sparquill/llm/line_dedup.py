@@ -41,12 +41,14 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     prints = picked.select("doc_id", "text_hash", "pos", F.expr("h[pos]").alias("print"), F.greatest(F.col("pos") - (run - 1), F.lit(0)).alias("from"), around.alias("near"))
     prints = stage(prints.distinct(), "prints")
     shared = prints.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")
+    shared = stage(shared, "shared")  # as a table of its own, so that a join on a hot print can be split
     found = prints.join(shared, "print", "left_semi")
     runs = found.select("doc_id", "text_hash", "from", F.posexplode(F.expr(f"transform(sequence(1, size(near) - {run} + 1), i -> slice(near, i, {run}))")).alias("k", "lines"))
     runs = runs.select("doc_id", "text_hash", (F.col("from") + F.col("k")).alias("at"), F.xxhash64("lines").alias("a"), F.xxhash64(F.lit(1), "lines").alias("b"))
     runs = stage(runs.distinct(), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "at")
     first = runs.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    first = stage(first, "first")
     later = runs.join(first, ["a", "b"]).filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "at")
     order = Window.partitionBy("doc_id", "text_hash").orderBy("at")
     new = F.coalesce((F.col("at") - F.lag("at").over(order) > run).cast("int"), F.lit(1))

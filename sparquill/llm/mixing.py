@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from sparquill.llm.common import n_words, stage
 
 WEIGHTS, MAX_EPOCHS, BUDGET_SHARE = (5, 2, 1), 3, 1.0
-BINS, RANGE_ROWS = 1 << 16, 4096
+BINS, RANGE_ROWS = 1 << 16, 256
 
 
 def id_hash(doc_id: Column) -> Column:

@@ -5,8 +5,8 @@ conjunction of thresholds at a time on two thirds of the rows (the literal of hi
 on the other third (final literals go while that does not lower its worth), and keeps it if it is pure enough; rows that
 it covers go, and the next one is grown. The list becomes one ordered conditional expression of Spark columns.
 
-The learner reads at most `bound` labelled rows (the smallest by a hash of their id; a documented limit); the rules apply
-to all rows.
+The learner reads at most `bound` labelled rows (those of the lowest hashes of their ids; a documented limit); the rules
+apply to all rows.
 
 Defined results: a null text has no words and fails the base; lines and words are compared byte for byte; a null or
 repeated label counts once, by its smallest value; with no labels or no pure rule every row that passes the base is kept.
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import slices, stage
+from sparquill.llm.common import bounded_sample, slices, stage
 
 SYMBOLS, SPACE = "#*$%&|<>", "\t\n\x0b\x0c\r "
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 50, 50, 3
@@ -128,11 +128,12 @@ def grow(x: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
             for above, p, n in ((True, p0 - bads[below], n0 - (below - bads[below])), (False, bads[below], below - bads[below])):
                 gain = _gain(p, n, p0, n0)
                 if len(gain) and gain.max() > best[0]:
-                    equal = cuts[gain >= gain.max() - 1e-9]  # the middle of cuts that part these rows alike
-                    best = (float(gain.max()), (name, above, float(equal[0] + equal[-1]) / 2))
+                    best = (float(gain.max()), (name, above, float(cuts[int(gain.argmax())])))
         if best[1] is None:
             break
-        rule.append(best[1])
+        name, above, cut = best[1]
+        v = x[name][inside]  # the cut goes to the middle of the gap between the values that it parts
+        rule.append((name, above, float(v[v <= cut].max() + v[v > cut].min()) / 2))
         inside = covers(rule, x, len(bad))
     return rule
 
@@ -169,8 +170,9 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, turn: np.ndarray) -> list[R
 def learn_rules(stats: DataFrame, labels: DataFrame, label_col: str = "quality", bound: int = BOUND) -> list[Rule]:
     """The rules learnt from at most `bound` labelled rows of stats that pass the base."""
     one = labels.select(F.col("doc_id").alias("id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("id").agg(F.min("label").alias("label"))
-    rows = stats.join(one, stats.doc_id == one.id).filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    found = rows.select(*COUNTS, "label", F.xxhash64("id").alias("turn")).orderBy("turn", *COUNTS, "label").limit(bound).toPandas()
+    passed = stats.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    rows = bounded_sample(passed.join(one, passed.doc_id == one.id), "id", bound)
+    found = rows.select(*COUNTS, "label", F.xxhash64("id").alias("turn")).toPandas().sort_values(["turn", *COUNTS, "label"])
     if not len(found):
         return []
     x = {k: np.asarray(v, float) for k, v in ratios(lambda c: found[c].to_numpy(float), np.divide).items()}
@@ -197,7 +199,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND) -> DataFrame:
     """The rows of docs, all columns as they are, that the rules keep; statistics are computed in the same pass."""
-    labelled = docs.join(labels.select(F.col("doc_id").alias("wanted_id")).filter("wanted_id is not null").distinct(), F.col(id_col) == F.col("wanted_id"), "left_semi")
+    ids = bounded_sample(labels.select(F.col("doc_id").alias("wanted_id")).filter("wanted_id is not null").distinct(), "wanted_id", bound)
+    labelled = docs.join(F.broadcast(ids), F.col(id_col) == F.col("wanted_id"), "left_semi")  # the sample is of bounded size
     rules, at = learn_rules(stage(with_statistics(labelled, id_col, text_col), "statistics"), labels, bound=bound), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

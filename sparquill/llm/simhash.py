@@ -194,7 +194,7 @@ def near_links(codes: DataFrame, distance: int = DISTANCE, max_group: int = MAX_
     keyed = codes.select("fp", F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in masks])).alias("mask"))
     while True:
         keyed = keyed.withColumn("val", F.col("fp").bitwiseAND(F.col("mask")))
-        sizes = keyed.groupBy("mask", "val").agg(F.count("*").alias("n")).filter("n > 1")
+        sizes = stage(keyed.groupBy("mask", "val").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")  # a table, so that a join on a hot group can be split
         grouped = stage(keyed.join(sizes, ["mask", "val"]), "groups")
         small, large = grouped.filter(F.col("n") <= max_group), grouped.filter(F.col("n") > max_group)
         found = stage(_search(small, distance), "links")
@@ -239,7 +239,7 @@ def components(prints: DataFrame, distance: int = DISTANCE, max_group: int = MAX
     roots = connected_components(near_links(codes.select("fp"), distance, max_group))
     joined = codes.join(roots, codes.fp == roots.v, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     joined = stage(joined, "rooted")
-    least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = stage(joined.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     return joined.join(least, "root").select("fp", "root", "component_id")
 
 
@@ -255,7 +255,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     prints = stage(fingerprints(docs, id_col, text_col, shingle), "prints")
     ids = prints.join(components(prints, distance, max_group), "fp").select("root", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash").alias("key"))
     keep = ids.groupBy("root").agg(F.min("key").alias("key"))
-    keep = keep.select(F.col("key.doc_id").alias("kept_id"), F.col("key.text_hash").alias("kept_hash")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_hash"))
-    kept = rows.join(keep, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash")), "left_semi")
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))  # noqa: E731  a plain key, so that one shuffle serves the join and the choice among equal rows
+    keep = keep.select(name("key.doc_id").alias("own_id"), F.col("key.text_hash").alias("own_hash")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), name(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_hash"))
+    kept = rows.join(keep, ["own_id", "own_hash"], "left_semi")
     return kept.dropDuplicates(["own_id", "own_hash"]).select("row.*")

@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 from sparquill.llm.common import fresh_path, read_file, slices, stage, write_file
 
-SHARD_TOKENS, END_ID = 1 << 22, 2
+SHARD_TOKENS, END_ID, MAX_READERS = 1 << 20, 2, 20_000
 MAGIC = b"WVMX1\n"
-#: Most pieces a worker remembers the ids of.
-CACHE = 1_200_000
+#: A worker remembers the ids of this many pieces, and of as many that it met before them.
+CACHE = 500_000
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -48,56 +48,73 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = [*special, "  ", "\n\n", " \n", "\n ", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
         state = json.loads(self.tokenizer.to_str())
         self.by_piece = state.get("normalizer") is None and (state.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not state["pre_tokenizer"]["add_prefix_space"]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
+        self.line_end = self._bytes("\n")
 
     def _bytes(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _learn(self, pieces: set[str]) -> None:
         """Pieces that end in a comma or full stop after a Latin letter are that word and that sign."""
+        for w in [w for w in pieces if w in self.older]:
+            self.known[w] = self.older[w]
+            pieces.discard(w)
         marks = {w: w[:-1] for w in pieces if w[-1] in ",." and "A" <= w[-2:-1] < "ɐ" and w[-2].isalpha()}
         new = [w for w in {*marks.values(), *pieces.difference(marks)} if w not in self.known]
-        if new:
-            texts = [w if w[0] == "\n" else f" {w}" for w in new]
-            got = self.tokenizer.encode("".join(texts), add_special_tokens=False)
-            last = np.fromiter((end - 1 for _, end in got.offsets), np.int64)
-            ids, width = np.array(got.ids, self.kind).tobytes(), np.dtype(self.kind).itemsize
-            cuts = (np.searchsorted(last, np.cumsum([0, *map(len, texts)])) * width).tolist()
-            self.known.update(zip(new, (ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
+        starts = [w[1:] for w in new if w[0] == "\n"]
+        self.known.update(zip((f"\n{w}" for w in starts), (self.line_end + x for x in self._each(starts)), strict=True))
+        spaced = [w for w in new if w[0] != "\n"]
+        self.known.update(zip(spaced, self._each([f" {w}" for w in spaced]), strict=True))
         signs = {c: self._bytes(c) for c in ",."} if marks else {}
         self.known.update({w: self.known[base] + signs[w[-1]] for w, base in marks.items()})
 
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, encoded as lines of one text and cut at the line ends' ids."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0].ids, self.kind)
+        end = np.frombuffer(self.line_end, self.kind)
+        cuts = np.flatnonzero(ids == end[0]) if len(end) == 1 else end
+        if len(cuts) != len(pieces) - 1:
+            return [self._bytes(w) for w in pieces]
+        data, width = ids.tobytes(), ids.itemsize
+        return [data[a:b] for a, b in zip([0, *((cuts + 1) * width).tolist()], [*(cuts * width).tolist(), len(data)], strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of the encoder's kind."""
-        cut: list[list[str] | None] = []
-        new: set[str] = set()
-        for x in texts:
-            if self.by_piece and x and len(x.split()) == x.count(" ") + x.count("\n") + 1 and not any(s in x for s in self.special):
-                pieces = x.replace("\n", " \n").split(" ")
-                cut.append(pieces)
-                new.update(pieces[1:])
-            else:
-                cut.append(None)
         if len(self.known) > CACHE:
-            self.known.clear()
-        self._learn(new.difference(self.known))
-        out, get = [], self.known.__getitem__
-        for x, pieces in zip(texts, cut, strict=True):
-            if pieces is None:
+            self.known, self.older = {}, self.known
+        out: list[bytes | None] = []
+        gaps: list[tuple[int, list[str], list[bytes | None]]] = []
+        get = self.known.get
+        for x in texts:
+            if not (self.by_piece and x) or x[0] in " \n" or x[-1] in " \n" or any(s in x for s in self.whole):
                 out.append(self._bytes(x))
                 continue
-            head = pieces[0]
-            if head not in self.heads:
-                if len(self.heads) > CACHE // 8:
-                    self.heads.clear()
-                self.heads[head] = self._bytes(head)
-            out.append(self.heads[head] + b"".join(map(get, pieces[1:])))
+            head, *pieces = x.replace("\n", " \n").split(" ")
+            got = list(map(get, pieces))
+            got.append(self._head(head))
+            if None in got:
+                gaps.append((len(out), pieces, got))
+                out.append(None)
+            else:
+                out.append(got[-1] + b"".join(got[:-1]))
+        self._learn({w for _, pieces, got in gaps for w, ids in zip(pieces, got, strict=False) if ids is None})
+        for at, pieces, got in gaps:
+            out[at] = got[-1] + b"".join([self.known[w] if ids is None else ids for w, ids in zip(pieces, got, strict=False)])
         return out
 
+    def _head(self, piece: str) -> bytes:
+        if piece not in self.heads:
+            if len(self.heads) > CACHE // 8:
+                self.heads.clear()
+            self.heads[piece] = self._bytes(piece)
+        return self.heads[piece]
+
 
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
@@ -260,4 +277,5 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 crc = [zlib.crc32(data[e - n : e].tobytes()) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(base + ends - sizes), pa.array(sizes), pa.array(crc, pa.int64()), pa.array([path.rsplit("/", 1)[1]] * len(names))], ["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
 
-    return files.repartition("path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, shard string")
+    readers = max(1, min(manifest.count(), MAX_READERS))
+    return files.repartition(readers, "path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, shard string")

@@ -138,8 +138,9 @@ def write_archives(pages: DataFrame, least: int = LEAST_BYTES, file_bytes: int =
     """Writes one record a row of pages (page_id, url, html); returns the staged manifest (path, n_records)."""
     folder = folder or fresh_path(pages.sparkSession, "warc")
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("digest", F.sha2("html", 256))
-    shared = rows.filter(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null")
-    plan = rows.join(shared.select("digest", "first"), "digest", "left").select("page_id", "url", "html", "digest", F.when(F.col("page_id").eqNullSafe(F.col("first")), None).otherwise(F.col("first")).alias("refers_to"))
+    shared = rows.filter(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").select("digest", "first")
+    shared = stage(shared, "shared")  # as a table of its own, so that a join on a hot payload can be split
+    plan = rows.join(shared, "digest", "left").select("page_id", "url", "html", "digest", F.when(F.col("page_id").eqNullSafe(F.col("first")), None).otherwise(F.col("first")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, path, size, records = None, "", 0, 0
