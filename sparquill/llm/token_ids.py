@@ -15,12 +15,15 @@ encoded once each, rows of equal id in no fixed order; an empty table gives no f
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -28,11 +31,18 @@ from pyspark.sql import functions as F
 
 from sparquill.llm.common import fresh_path, read_file, slices, stage, write_file
 
-SHARD_TOKENS, END_ID, MAX_READERS = 1 << 20, 2, 20_000
+SHARD_TOKENS, END_ID, MAX_READERS, READER_SHARDS = 1 << 20, 2, 20_000, 4
 MAGIC = b"WVMX1\n"
 #: A worker remembers the ids of this many pieces, and of as many that it met before them.
 CACHE = 500_000
 _ENCODERS: dict[str, Encoder] = {}
+#: A text's first piece begins with HEAD, one after a line end with that; all others follow a space.
+HEAD, LEADS = "\r", "\r\n"
+#: A stem (a lead or none, then a word of Latin letters) and ASCII signs, the apostrophe not among them.
+PIECE = re.compile(r"([\r\n]?([A-Za-zÀ-ÖØ-öø-ɏ]+))([!-&(-/:-@\[-`{-~]*)")
+#: A byte-level tokenizer's alphabet: a printable Latin-1 byte is its own character, the others are those from U+0100 on.
+ALPHABET = {b: chr(256 + i) for i, b in enumerate([*range(33), *range(127, 161), 173])}
+SPACE = ALPHABET[32]
 
 
 class Encoder:
@@ -40,7 +50,8 @@ class Encoder:
 
     A byte-level tokenizer cuts before a space or line end that stands alone between other characters, so the ids of
     a text are those of its pieces one after another. Texts with any other white space, or with the string of a special
-    token, are encoded whole.
+    token, are encoded whole. A piece that is a Latin word with signs after it is cut between the two, so the word goes to
+    the tokenizer's model by itself, once for all its signs; other pieces go through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -51,70 +62,76 @@ class Encoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = [*special, "  ", "\n\n", " \n", "\n ", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
         state = json.loads(self.tokenizer.to_str())
-        self.by_piece = state.get("normalizer") is None and (state.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not state["pre_tokenizer"]["add_prefix_space"]
+        cut = state.get("pre_tokenizer") or {}
+        self.by_piece = state.get("normalizer") is None and state["model"]["type"] == "BPE" and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
         self.line_end = self._bytes("\n")
 
     def _bytes(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Pieces that end in a comma or full stop after a Latin letter are that word and that sign."""
-        for w in [w for w in pieces if w in self.older]:
-            self.known[w] = self.older[w]
-            pieces.discard(w)
-        marks = {w: w[:-1] for w in pieces if w[-1] in ",." and "A" <= w[-2:-1] < "ɐ" and w[-2].isalpha()}
-        new = [w for w in {*marks.values(), *pieces.difference(marks)} if w not in self.known]
-        starts = [w[1:] for w in new if w[0] == "\n"]
-        self.known.update(zip((f"\n{w}" for w in starts), (self.line_end + x for x in self._each(starts)), strict=True))
-        spaced = [w for w in new if w[0] != "\n"]
-        self.known.update(zip(spaced, self._each([f" {w}" for w in spaced]), strict=True))
-        signs = {c: self._bytes(c) for c in ",."} if marks else {}
-        self.known.update({w: self.known[base] + signs[w[-1]] for w, base in marks.items()})
-
-    def _each(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece, encoded as lines of one text and cut at the line ends' ids."""
-        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0].ids, self.kind)
-        end = np.frombuffer(self.line_end, self.kind)
-        cuts = np.flatnonzero(ids == end[0]) if len(end) == 1 else end
-        if len(cuts) != len(pieces) - 1:
-            return [self._bytes(w) for w in pieces]
-        data, width = ids.tobytes(), ids.itemsize
-        return [data[a:b] for a, b in zip([0, *((cuts + 1) * width).tolist()], [*(cuts * width).tolist(), len(data)], strict=True)]
+    def _sign(self, text: str) -> bytes:
+        if text not in self.signs:
+            if len(self.signs) > CACHE // 8:
+                self.signs.clear()
+            self.signs[text] = self._bytes(text)
+        return self.signs[text]
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Puts the ids of all these pieces into `known`."""
+        known, older, stems, signed = self.known, self.older, {}, []
+        for w in pieces:
+            if w in older:
+                known[w] = older[w]
+            elif m := PIECE.fullmatch(w):
+                stem, word, sign = m.groups()
+                if sign:
+                    signed.append((w, stem, sign))
+                if stem not in known:
+                    stems[stem] = word
+            elif w[0] == "\n":
+                known[w] = self.line_end + self._bytes(w[1:])
+            else:
+                known[w] = self._bytes(w[1:] if w[0] == HEAD else f" {w}")
+        code, tokenize = "H" if self.kind is np.uint16 else "I", self.model.tokenize
+        for stem, word in stems.items():
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(ALPHABET)
+            lead = stem[0]
+            own = array(code, [t.id for t in tokenize(letters if lead in LEADS else SPACE + letters)]).tobytes()
+            known[stem] = self.line_end + own if lead == "\n" else own
+        for w, stem, sign in signed:
+            known[w] = known[stem] + self._sign(sign)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian integers of the encoder's kind."""
+        """The ids of each text as little-endian integers of the encoder's kind. Pieces are numbered, so a piece that comes
+        again is looked up once."""
         if len(self.known) > CACHE:
             self.known, self.older = {}, self.known
-        out: list[bytes | None] = []
-        gaps: list[tuple[int, list[str], list[bytes | None]]] = []
-        get = self.known.get
-        for x in texts:
-            if not (self.by_piece and x) or x[0] in " \n" or x[-1] in " \n" or any(s in x for s in self.whole):
-                out.append(self._bytes(x))
-                continue
-            head, *pieces = x.replace("\n", " \n").split(" ")
-            got = list(map(get, pieces))
-            got.append(self._head(head))
-            if None in got:
-                gaps.append((len(out), pieces, got))
-                out.append(None)
+        cut = [bool(self.by_piece and x) and x[0] not in " \n" and x[-1] not in " \n" and not any(s in x for s in self.whole) for x in texts]
+        column = pa.array([HEAD + x for x, c in zip(texts, cut, strict=True) if c], pa.string())
+        lists = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
+        numbered = lists.flatten().dictionary_encode()
+        pieces, which = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        self._learn([w for w in pieces if w not in self.known])
+        got = [self.known[w] for w in pieces]
+        data, width = np.frombuffer(b"".join(got), self.kind), np.dtype(self.kind).itemsize
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // width
+        n = sizes[which]
+        upto = np.concatenate(([0], np.cumsum(n)))
+        ids = data[np.repeat((np.cumsum(sizes) - sizes)[which] - upto[:-1], n) + np.arange(upto[-1])].tobytes()
+        bounds = iter((upto[lists.offsets.to_numpy()] * width).tolist())
+        out, at = [], next(bounds)
+        for x, c in zip(texts, cut, strict=True):
+            if c:
+                start, at = at, next(bounds)
+                out.append(ids[start:at])
             else:
-                out.append(got[-1] + b"".join(got[:-1]))
-        self._learn({w for _, pieces, got in gaps for w, ids in zip(pieces, got, strict=False) if ids is None})
-        for at, pieces, got in gaps:
-            out[at] = got[-1] + b"".join([self.known[w] if ids is None else ids for w, ids in zip(pieces, got, strict=False)])
+                out.append(self._bytes(x))
         return out
 
-    def _head(self, piece: str) -> bytes:
-        if piece not in self.heads:
-            if len(self.heads) > CACHE // 8:
-                self.heads.clear()
-            self.heads[piece] = self._bytes(piece)
-        return self.heads[piece]
-
 
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
@@ -134,10 +151,10 @@ class WaveletMatrix:
         bits, planes, zeros, row = max(1, int(ids.max(initial=0)).bit_length()), [], [], ids
         for b in range(bits - 1, -1, -1):
             set_ = (row & row.dtype.type(1 << b)) != 0
-            ones, rest = np.flatnonzero(set_), np.flatnonzero(~set_)
             planes.append(np.packbits(set_))
-            zeros.append(len(rest))
-            row = np.concatenate((row[rest], row[ones]))
+            zeros.append(len(row) - int(set_.sum()))
+            values, ones = pa.array(row), pa.array(set_)
+            row = np.concatenate((pc.filter(values, pc.invert(ones)).to_numpy(), pc.filter(values, ones).to_numpy()))
         return cls(len(ids), planes, zeros)
 
     def sequence(self) -> np.ndarray:
@@ -248,7 +265,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "path": [path], "n_docs": [len(names)], "n_tokens": [total]})
 
         for whole in batches:
-            for batch in slices(whole, 1, 1 << 22):
+            for batch in slices(whole, 1):
                 coded = encode.encode([x or "" for x in batch.column(1).to_pylist()])
                 for name, x in zip(batch.column(0).to_pylist(), coded, strict=True):
                     ids += (x, end)
@@ -277,5 +294,5 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 crc = [zlib.crc32(data[e - n : e].tobytes()) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(base + ends - sizes), pa.array(sizes), pa.array(crc, pa.int64()), pa.array([path.rsplit("/", 1)[1]] * len(names))], ["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
 
-    readers = max(1, min(manifest.count(), MAX_READERS))
+    readers = max(1, min(-(-manifest.count() // READER_SHARDS), MAX_READERS))
     return files.repartition(readers, "path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, shard string")
