@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import struct
 import zlib
 from array import array
@@ -37,9 +38,12 @@ MAGIC = b"WVMX1\n"
 CACHE = 500_000
 _ENCODERS: dict[str, Encoder] = {}
 #: A text's first piece begins with HEAD, one after a line end with that; all others follow a space.
-HEAD, LEADS = "\r", "\r\n"
-#: A stem (a lead or none, then a word of Latin letters) and ASCII signs, the apostrophe not among them.
-PIECE = re.compile(r"([\r\n]?([A-Za-zÀ-ÖØ-öø-ɏ]+))([!-&(-/:-@\[-`{-~]*)")
+HEAD, LEADS = "\r", ("\r", "\n")
+#: Signs that may follow a word in a piece: those of ASCII but the apostrophe, which the tokenizer treats in its own way.
+SIGNS = string.punctuation.replace("'", "")
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
+#: Pieces that only white space at an end or next to other white space leaves.
+NOTHING = ("", "\r", "\n")
 #: A byte-level tokenizer's alphabet: a printable Latin-1 byte is its own character, the others are those from U+0100 on.
 ALPHABET = {b: chr(256 + i) for i, b in enumerate([*range(33), *range(127, 161), 173])}
 SPACE = ALPHABET[32]
@@ -60,12 +64,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = [*special, "  ", "\n\n", " \n", "\n ", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
+        self.whole = [*special, *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
         state = json.loads(self.tokenizer.to_str())
         cut = state.get("pre_tokenizer") or {}
         self.by_piece = state.get("normalizer") is None and state["model"]["type"] == "BPE" and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = dict.fromkeys(NOTHING, b"")
         self.older: dict[str, bytes] = {}
         self.signs: dict[str, bytes] = {}
         self.line_end = self._bytes("\n")
@@ -86,10 +90,12 @@ class Encoder:
         for w in pieces:
             if w in older:
                 known[w] = older[w]
-            elif m := PIECE.fullmatch(w):
-                stem, word, sign = m.groups()
-                if sign:
-                    signed.append((w, stem, sign))
+                continue
+            stem = w.rstrip(SIGNS)
+            word = stem[1:] if stem[:1] in LEADS else stem
+            if word.isascii() and word.isalpha() or LATIN.fullmatch(word):
+                if len(stem) < len(w):
+                    signed.append((w, stem))
                 if stem not in known:
                     stems[stem] = word
             elif w[0] == "\n":
@@ -102,35 +108,34 @@ class Encoder:
             lead = stem[0]
             own = array(code, [t.id for t in tokenize(letters if lead in LEADS else SPACE + letters)]).tobytes()
             known[stem] = self.line_end + own if lead == "\n" else own
-        for w, stem, sign in signed:
-            known[w] = known[stem] + self._sign(sign)
+        for w, stem in signed:
+            known[w] = known[stem] + self._sign(w[len(stem) :])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of the encoder's kind. Pieces are numbered, so a piece that comes
         again is looked up once."""
         if len(self.known) > CACHE:
-            self.known, self.older = {}, self.known
-        cut = [bool(self.by_piece and x) and x[0] not in " \n" and x[-1] not in " \n" and not any(s in x for s in self.whole) for x in texts]
+            self.known, self.older = dict.fromkeys(NOTHING, b""), self.known
+        cut = np.array([self.by_piece and not any(s in x for s in self.whole) for x in texts], bool)
         column = pa.array([HEAD + x for x, c in zip(texts, cut, strict=True) if c], pa.string())
         lists = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
-        numbered = lists.flatten().dictionary_encode()
+        starts, numbered = lists.offsets.to_numpy(), lists.flatten().dictionary_encode()
         pieces, which = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
-        self._learn([w for w in pieces if w not in self.known])
-        got = [self.known[w] for w in pieces]
+        got = list(map(self.known.get, pieces))
+        new = [i for i, ids in enumerate(got) if ids is None]
+        self._learn([pieces[i] for i in new])
+        for i in new:
+            got[i] = self.known[pieces[i]]
         data, width = np.frombuffer(b"".join(got), self.kind), np.dtype(self.kind).itemsize
         sizes = np.fromiter(map(len, got), np.int64, len(got)) // width
         n = sizes[which]
         upto = np.concatenate(([0], np.cumsum(n)))
         ids = data[np.repeat((np.cumsum(sizes) - sizes)[which] - upto[:-1], n) + np.arange(upto[-1])].tobytes()
-        bounds = iter((upto[lists.offsets.to_numpy()] * width).tolist())
-        out, at = [], next(bounds)
-        for x, c in zip(texts, cut, strict=True):
-            if c:
-                start, at = at, next(bounds)
-                out.append(ids[start:at])
-            else:
-                out.append(self._bytes(x))
-        return out
+        spaced = np.searchsorted(starts, np.flatnonzero(n == 0), side="right") - 1  # texts with white space at an end or in a row
+        bounds = upto[starts] * width
+        out = dict(zip(np.flatnonzero(cut).tolist(), (ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)), strict=True))
+        odd = {*np.flatnonzero(~cut).tolist(), *np.flatnonzero(cut)[spaced].tolist()}
+        return [self._bytes(x) if i in odd else out[i] for i, x in enumerate(texts)]
 
 
 def encoder(path: str) -> Encoder:
