@@ -42,15 +42,20 @@ def cases(questions: DataFrame, hits: DataFrame, key: str = "question_id") -> Da
     return rows.withColumn("passed", F.col("first_rank").isNotNull() & ~F.col("hn_violation")).withColumn("rr", rr).drop("expected", "expected_none")
 
 
+def four(value: Column) -> Column:
+    """Four digits, halves up: a sum's last bit, which follows the order of its rows, does not decide."""
+    return F.round(value + F.lit(1e-9), 4)
+
+
 def rate(flag: Column, of: Column | None = None) -> Column:
     """Share of rows (of those where `of` holds) with the flag, four digits; 0 where there are none."""
     value = flag.cast("double")
-    return F.round(F.coalesce(F.avg(value if of is None else F.when(of, value)), F.lit(0.0)), 4)
+    return four(F.coalesce(F.avg(value if of is None else F.when(of, value)), F.lit(0.0)))
 
 
 def metrics(case_rows: DataFrame, *by: str) -> DataFrame:
     """One row of metrics over all cases or a row for each value of `by`."""
-    mean = lambda c: F.round(F.coalesce(F.avg(c), F.lit(0.0)), 4)
+    mean = lambda c: four(F.coalesce(F.avg(c), F.lit(0.0)))
     return case_rows.groupBy(*by).agg(
         F.count("*").alias("total"),
         rate(F.col("passed")).alias("pass_rate_total"),
@@ -63,7 +68,7 @@ def metrics(case_rows: DataFrame, *by: str) -> DataFrame:
         mean("rr").alias("mrr"),
         F.sum(F.col("hn_violation").cast("long")).alias("hn_violations"),
         mean("top1_score").alias("avg_top1_score"),
-        F.round(F.coalesce(F.median("top1_score"), F.lit(0.0)), 4).alias("median_top1_score"),
+        four(F.coalesce(F.median("top1_score"), F.lit(0.0))).alias("median_top1_score"),
     )
 
 
@@ -101,7 +106,7 @@ def overall(gate_rows: DataFrame) -> DataFrame:
 def stability(runs: DataFrame, metric: str, most: float = 0.02) -> DataFrame:
     """Mean, least, most, sample deviation (0 for one run) and range of a metric over runs, and whether the range is small."""
     v = F.col(metric)
-    agg = runs.agg(F.count("*").alias("runs"), F.round(F.avg(v), 4).alias("mean"), F.round(F.min(v), 4).alias("least"), F.round(F.max(v), 4).alias("greatest"), F.round(F.coalesce(F.stddev_samp(v), F.lit(0.0)), 4).alias("deviation"))
+    agg = runs.agg(F.count("*").alias("runs"), four(F.avg(v)).alias("mean"), F.round(F.min(v), 4).alias("least"), F.round(F.max(v), 4).alias("greatest"), four(F.coalesce(F.stddev_samp(v), F.lit(0.0))).alias("deviation"))
     spread = F.round(F.col("greatest") - F.col("least"), 4)
     return agg.withColumn("spread", spread).withColumn("stable", spread <= most)
 
@@ -168,8 +173,8 @@ def adversarial_metrics(case_rows: DataFrame) -> DataFrame:
     """Confusion among cases that should answer (0 where there are none), correct abstentions (1 where none is expected)."""
     answer, abstain = ~F.col("must_abstain"), F.col("must_abstain")
     return case_rows.agg(
-        F.round(F.coalesce(F.avg(F.when(answer, F.col("confusion_fail").cast("double"))), F.lit(0.0)), 4).alias("confusion_rate"),
-        F.round(F.coalesce(F.avg(F.when(abstain, F.col("abstains").cast("double"))), F.lit(1.0)), 4).alias("abstain_rate"),
+        four(F.coalesce(F.avg(F.when(answer, F.col("confusion_fail").cast("double"))), F.lit(0.0))).alias("confusion_rate"),
+        four(F.coalesce(F.avg(F.when(abstain, F.col("abstains").cast("double"))), F.lit(1.0))).alias("abstain_rate"),
         F.count("*").alias("total"),
     )
 

@@ -28,13 +28,16 @@ def topk(questions: DataFrame, corpus: DataFrame, k: int, key: str = "question_i
     """(key, [source,] id, score, rank): the k best rows of corpus for each question, by cosine of unit vectors, in each
     source if one is named. Filters on corpus go below the search. Rows without a vector are never hits."""
     asked = questions.select(F.col(key), F.col(query_vector).alias("q")).filter(F.col("q").isNotNull())
-    numbered = asked.withColumn("block", F.floor((F.row_number().over(Window.orderBy(key)) - 1) / block)) if asked.limit(block + 1).count() > block else asked.withColumn("block", F.lit(0))
+    blocks = max(1, -(-asked.count() // block))
+    numbered = asked.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks)))  # of about `block` questions each
     rows = corpus.select(F.col(id_col).alias("id"), F.col(vector).alias("v"), (F.col(source) if source else F.lit("")).alias("src")).filter(F.col("v").isNotNull())
     key_kind, id_kind = asked.schema[key].dataType.simpleString(), rows.schema["id"].dataType.simpleString()
     out = None
-    for i in sorted(r.block for r in numbered.select("block").distinct().collect()):
+    for i in range(blocks):
         table = numbered.filter(F.col("block") == i).toArrow()
-        found = rows.mapInArrow(_nearest(table[key].to_pylist(), np.array(table["q"].to_pylist(), np.float64), k), f"key {key_kind}, id {id_kind}, src string, score double")
+        if not table.num_rows:
+            continue
+        found = rows.mapInArrow(_nearest(table[key].combine_chunks(), np.array(table["q"].to_pylist(), np.float64), k), f"key {key_kind}, id {id_kind}, src string, score double")
         out = found if out is None else out.union(found)
     if out is None:
         out = rows.sparkSession.createDataFrame([], f"key {key_kind}, id {id_kind}, src string, score double")
@@ -43,14 +46,14 @@ def topk(questions: DataFrame, corpus: DataFrame, k: int, key: str = "question_i
     return ranked.select(F.col("key").alias(key), *([F.col("src").alias(source)] if source else []), "id", "score", "rank")
 
 
-def _nearest(keys: list, queries: np.ndarray, k: int):
+def _nearest(keys: pa.Array, queries: np.ndarray, k: int):
     """Of each batch, the k best rows for each question and source."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows or not len(keys):
                 continue
-            v = np.array(batch.column(1).to_pylist(), np.float64)
+            v = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
             ids, src = batch.column(0), np.array(batch.column(2).to_pylist(), object)
             order = np.array(pc.sort_indices(ids))
             for s in sorted({x for x in src.tolist() if x is not None}):
@@ -58,9 +61,9 @@ def _nearest(keys: list, queries: np.ndarray, k: int):
                 scores = np.round(queries @ v[at].T, 6)
                 best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
                 rows = at[best].ravel()
-                asked = [key for key in keys for _ in range(best.shape[1])]
+                asked = keys.take(pa.array(np.repeat(np.arange(len(keys)), best.shape[1])))
                 found = np.take_along_axis(scores, best, 1).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(asked), ids.take(pa.array(rows)), pa.array([s] * len(rows)), pa.array(found)], ["key", "id", "src", "score"])
+                yield pa.RecordBatch.from_arrays([asked, ids.take(pa.array(rows)), pa.array([s] * len(rows)), pa.array(found)], ["key", "id", "src", "score"])
 
     return run
 

@@ -110,18 +110,25 @@ final AS (SELECT question_id, src, id, score, score_original,
           FROM swaps WHERE NOT (abs(best1 - best2) < {profile.diversity_gap} AND shown = 0 AND tail IS NOT NULL AND rank = {k}))"""
 
 
-@query("SELECT q.vec_id AS question_id, e.vec_id AS id, round(list_dot_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings e WHERE q.vec_id < 20 QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY score DESC, e.vec_id) <= 5")
+def hundredths(spark: SparkSession, d: str) -> DataFrame:
+    """The stated query set of the searches: every vector whose id is divisible by 100."""
+    return table(spark, d, "embeddings").filter("vec_id % 100 = 0").select(F.col("vec_id").alias("question_id"), "embedding")
+
+
+def _topk_sql(where: str = "true") -> str:
+    score = "round(list_dot_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6)"
+    return f"SELECT q.vec_id AS question_id, e.vec_id AS id, {score} AS score FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0 AND {where} QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY score DESC, e.vec_id) <= 5"
+
+
+@query(_topk_sql())
 def vector_topk(spark: SparkSession, d: str) -> DataFrame:
-    vectors = table(spark, d, "embeddings")
-    asked = vectors.filter("vec_id < 20").select(F.col("vec_id").alias("question_id"), "embedding")
-    return search.topk(asked, vectors, 5, id_col="vec_id").select("question_id", "id", "score")
+    return search.topk(hundredths(spark, d), table(spark, d, "embeddings"), 5, id_col="vec_id").select("question_id", "id", "score")
 
 
-@query("SELECT q.vec_id AS question_id, e.vec_id AS id, round(list_dot_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings e WHERE q.vec_id < 20 AND e.label BETWEEN 1 AND 4 QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY score DESC, e.vec_id) <= 5")
+@query(_topk_sql("e.label BETWEEN 1 AND 4"))
 def vector_topk_filtered(spark: SparkSession, d: str) -> DataFrame:
-    vectors = table(spark, d, "embeddings")
-    asked = vectors.filter("vec_id < 20").select(F.col("vec_id").alias("question_id"), "embedding")
-    return search.topk(asked, vectors.filter(F.col("label").between(1, 4)), 5, id_col="vec_id").select("question_id", "id", "score")
+    vectors = table(spark, d, "embeddings").filter(F.col("label").between(1, 4))
+    return search.topk(hundredths(spark, d), vectors, 5, id_col="vec_id").select("question_id", "id", "score")
 
 
 @query(f"WITH {ASKED}, {route_sql(LANGUAGES)} SELECT question_id, src, round(weight, 6) AS weight, route_pos FROM weights")

@@ -55,12 +55,12 @@ def eval_cases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _rate(flag: str, of: str = "true") -> str:
-    return f"round(coalesce(avg(CASE WHEN {of} THEN CAST({flag} AS DOUBLE) END), 0), 4)"
+    return f"round(coalesce(avg(CASE WHEN {of} THEN CAST({flag} AS DOUBLE) END), 0) + 1e-9, 4)"
 
 
 METRICS_SQL = f"""count(*) AS total, {_rate('passed')} AS pass_rate_total, {_rate('passed', 'must')} AS pass_rate_must, {_rate('passed', 'NOT must')} AS pass_rate_should, {_rate('top1_hit')} AS top1_hit_rate,
-{_rate('top1_hit', 'must')} AS top1_hit_rate_must, {_rate('top1_hit')} AS precision_at_1, {_rate('hit3')} AS precision_at_3, round(coalesce(avg(rr), 0), 4) AS mrr, CAST(sum(CAST(hn_violation AS BIGINT)) AS BIGINT) AS hn_violations,
-round(coalesce(avg(top1_score), 0), 4) AS avg_top1_score, round(coalesce(median(top1_score), 0), 4) AS median_top1_score"""
+{_rate('top1_hit', 'must')} AS top1_hit_rate_must, {_rate('top1_hit')} AS precision_at_1, {_rate('hit3')} AS precision_at_3, round(coalesce(avg(rr), 0) + 1e-9, 4) AS mrr, CAST(sum(CAST(hn_violation AS BIGINT)) AS BIGINT) AS hn_violations,
+round(coalesce(avg(top1_score), 0) + 1e-9, 4) AS avg_top1_score, round(coalesce(median(top1_score), 0) + 1e-9, 4) AS median_top1_score"""
 
 
 @query(f"WITH {HITS_SQL}, {cases_sql()} SELECT {METRICS_SQL} FROM cases")
@@ -75,7 +75,7 @@ def eval_breakdown(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {HITS_SQL}, g AS (SELECT k, s::DOUBLE AS min_score FROM (VALUES (3), (5), (10)) a(k), (VALUES (0.05), (0.2), (0.3)) b(s)), {cases_sql('g.k', 'min_score', 'CROSS JOIN g')}
-SELECT k, min_score, count(*) AS total, {_rate('passed')} AS pass_rate_total, round(coalesce(avg(rr), 0), 4) AS mrr FROM cases GROUP BY k, min_score""")
+SELECT k, min_score, count(*) AS total, {_rate('passed')} AS pass_rate_total, round(coalesce(avg(rr), 0) + 1e-9, 4) AS mrr FROM cases GROUP BY k, min_score""")
 def eval_matrix(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.sweep(_asked(spark, d), _hits(spark, d), (3, 5, 10), (0.05, 0.2, 0.3))
 
@@ -89,7 +89,7 @@ def quality_gates(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {HITS_SQL}, {cases_sql()}, r AS (SELECT category, {_rate('passed')} AS pass_rate_total FROM cases GROUP BY category),
-s AS (SELECT count(*) AS runs, round(avg(pass_rate_total), 4) AS mean, round(min(pass_rate_total), 4) AS least, round(max(pass_rate_total), 4) AS greatest, round(coalesce(stddev_samp(pass_rate_total), 0), 4) AS deviation FROM r)
+s AS (SELECT count(*) AS runs, round(avg(pass_rate_total) + 1e-9, 4) AS mean, round(min(pass_rate_total), 4) AS least, round(max(pass_rate_total), 4) AS greatest, round(coalesce(stddev_samp(pass_rate_total), 0) + 1e-9, 4) AS deviation FROM r)
 SELECT *, round(greatest - least, 4) AS spread, round(greatest - least, 4) <= 0.02 AS stable FROM s""")
 def stability(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.stability(evaluation.metrics(_cases(spark, d), "category"), "pass_rate_total")
@@ -153,7 +153,7 @@ def adversarial_cases(spark: SparkSession, d: str) -> DataFrame:
 ADV_GATES = (Gate("confusion", "confusion_rate", "<=", 0.02), Gate("abstain", "abstain_rate", ">=", 0.9))
 
 
-@query(f"""WITH {ADV_SQL}, m AS (SELECT round(coalesce(avg(CASE WHEN NOT must_abstain THEN CAST(confusion_fail AS DOUBLE) END), 0), 4) AS c, round(coalesce(avg(CASE WHEN must_abstain THEN CAST(abstains AS DOUBLE) END), 1), 4) AS a FROM v)
+@query(f"""WITH {ADV_SQL}, m AS (SELECT round(coalesce(avg(CASE WHEN NOT must_abstain THEN CAST(confusion_fail AS DOUBLE) END), 0) + 1e-9, 4) AS c, round(coalesce(avg(CASE WHEN must_abstain THEN CAST(abstains AS DOUBLE) END), 1) + 1e-9, 4) AS a FROM v)
 SELECT coalesce(c <= 0.02 AND a >= 0.9, true) AS overall_pass FROM m""")
 def adversarial_gates(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.overall(evaluation.gates(evaluation.adversarial_metrics(_adversarial(spark, d)), ADV_GATES))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparquill.functions.text import section_parts
-from sparquill.operators import enrich, rerank, search
+from sparquill.operators import enrich, evaluation, rerank, search
 from sparquill.plans.catalog import ASKED, CORPUS, _any, corpus, query, questions, table
 from sparquill.plans.rules import LANGUAGE_BOOSTS
 
@@ -76,12 +76,12 @@ def keyword_tags(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.array_join(tags, ",").alias("tags"))
 
 
-@query(f"""SELECT l.quality, count(*) AS n, round(avg(CASE WHEN d.source IN ('src1', 'src2', 'src3') OR list_has_any({_tags_sql('lower(d.text)')}, ['french', 'loud']) THEN 1.0::DOUBLE ELSE 0 END), 4) AS hit_rate
+@query(f"""SELECT l.quality, count(*) AS n, round(avg(CASE WHEN d.source IN ('src1', 'src2', 'src3') OR list_has_any({_tags_sql('lower(d.text)')}, ['french', 'loud']) THEN 1.0::DOUBLE ELSE 0 END) + 1e-9, 4) AS hit_rate
 FROM documents d JOIN labels l USING (doc_id) GROUP BY l.quality""")
 def domain_filter_hitrate(spark: SparkSession, d: str) -> DataFrame:
     inside = enrich.domain_filter(F.col("source"), enrich.keyword_tags(F.col("text"), TAGS, F.array(F.lit("default"))), ("src1", "src2", "src3"), ("french", "loud"))
     rows = table(spark, d, "documents").select("doc_id", inside.alias("inside")).join(table(spark, d, "labels"), "doc_id")
-    return rows.groupBy("quality").agg(F.count("*").alias("n"), F.round(F.avg(F.col("inside").cast("double")), 4).alias("hit_rate"))
+    return rows.groupBy("quality").agg(F.count("*").alias("n"), evaluation.four(F.avg(F.col("inside").cast("double"))).alias("hit_rate"))
 
 
 @query("""SELECT doc_id, CASE WHEN lang = 'en' THEN '§ ' || doc_id || ' ' || source || ': ' || text ELSE source || '. ' || text END AS body, left(text, 40) || CASE WHEN length(text) > 40 THEN '...' ELSE '' END AS preview

@@ -15,8 +15,9 @@ def json_lines(spark: SparkSession, paths: str | list[str], schema: str, strict:
 
 def bad_lines(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
     """(file, line) of every row that is not JSON of the schema."""
-    rows = spark.read.schema(f"{schema}, bad_line STRING").option("columnNameOfCorruptRecord", "bad_line").json(paths)
-    return rows.withColumn("file", F.input_file_name()).select("file", F.col("bad_line").alias("line"), *[c for c in rows.columns if c != "bad_line"]).filter("line is not null").select("file", "line")
+    lines = spark.read.text(paths).filter(F.trim("value") != "").select(F.input_file_name().alias("file"), F.col("value").alias("line"))
+    parsed = F.from_json("line", f"{schema}, bad_line STRING", {"columnNameOfCorruptRecord": "bad_line"})
+    return lines.filter(parsed["bad_line"].isNotNull())
 
 
 def moments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
