@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import random
 import zlib
 
 import numpy as np
@@ -43,6 +44,16 @@ def test_encoder_gives_the_librarys_ids(tokenizer_path):
         assert [np.frombuffer(x, e.kind).tolist() for x in got] == [e.tokenizer.encode(t or "", add_special_tokens=False).ids for t in TEXTS]
 
 
+@pytest.mark.parametrize("alphabet", ["ab Zé'’.,!-_ \n\t1２ßñʼ中ǅɏɐ ̀%#", "abéZ'.,!%1ɏɐǅñ中    \n"])
+def test_encoder_on_random_texts(tokenizer_path, alphabet):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(4000)]
+    e = token_ids.Encoder(tokenizer_path)
+    want = [x.ids for x in e.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    got = [x for i in range(0, 4000, 500) for x in e.encode(texts[i : i + 500])]
+    assert [np.frombuffer(x, e.kind).tolist() for x in got] == want
+
+
 def test_token_shards_round_trip(spark, tokenizer_path):
     ids = [5, 3, None, 3, 9, 1, 0, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21]
     docs = spark.createDataFrame(list(zip(ids, TEXTS, ["clash"] * 17, strict=True)), "doc_id long, text string, start string").repartition(3)
