@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sparquill.llm import classifier, components, decontaminate, line_dedup, quality_rules, simhash
+from sparquill.llm import classifier, components, decontaminate, line_dedup, near_copies, quality_rules, simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ODD = [None, "", " \n\t", "one", "one two", "É x É x É x", "a b c a b c", "x\n\nx\nx\n", "\n".join(["same line here"] * 40), "w " * 30_000, "#*$%&|<> ##", "Ab aB AB ab"]
@@ -245,6 +245,48 @@ def test_whole_nodes_are_linked_without_pairs():
     assert len(np.unique(simhash.forest(8, simhash.GrayIndex(codes, np.zeros(8, int)).links(3)))) == 1
 
 
+# Near copies
+
+
+def brute_copies(texts):
+    """Root of each text among those that links of five-word shingle similarity 0.8 or more reach."""
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) for w in (WORD.findall((t or "").lower()) for t in texts)]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return [find(i) for i in range(len(texts))]
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for at in rng.sample(range(len(words)), n):
+        words[at] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_near_copies_by_five_word_shingles(spark):
+    rng = random.Random(6)
+    base = [" ".join(f"v{rng.randrange(4000)}" for _ in range(rng.choice([60, 200, 400]))) for _ in range(30)]
+    near = [edited(rng, t, k) for t in base for k in (1, len(t.split()) // 50, len(t.split()) // 40, len(t.split()) // 20)]
+    star = [edited(rng, base[0], len(base[0].split()) // 50) for _ in range(60)]
+    texts = base + near + star + [t.upper() for t in base[:5]] + [None, "", " ", "two words", "Two words"]
+    docs = corpus(spark, texts, [(None, base[1], None, None, None), (2, base[2], "en", "s", 0)]).withColumn("key", F.lit("clash")).repartition(4)
+    root = brute_copies(texts)
+    kept = near_copies.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+    assert len(set(root)) < len({brute_fingerprint(t) for t in texts}) and near_copies.drop_near_copies(docs.limit(0)).count() == 0
+
+
 # Classifier
 
 
