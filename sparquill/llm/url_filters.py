@@ -1,10 +1,10 @@
 """URL filters: host and path rules first, then a path-template tree per host, in DataFrame operations alone.
 
 Paths are reduced to shapes (digit runs become {n}) and counted per host and shape, so the tree is worked out from
-aggregates. From the root down, a node's children are its next segments. Children of a node with more than `fan_out`
-become a wildcard; a child of a smaller node stays a branch of its own only if its labelled share of bad pages differs
-from that of its siblings (a two-proportion z test), and the others merge into the wildcard. A template whose smoothed
-share of bad pages, (bad + strength * corpus share) / (labelled + strength), reaches `purity` is rejected.
+aggregates. From the root down, a node's children are its next segments. A child stays a branch of its own only if its
+labelled share of bad pages differs from that of its siblings (a two-proportion z test), and the others merge into the
+wildcard; among more than `fan_out` children, one of fewer than `ENOUGH` labelled pages is a page rather than a section
+and merges too. A template whose smoothed share of bad pages, (bad + strength * corpus share) / (labelled + strength), reaches `purity` is rejected.
 
 Totals are pre-aggregated before every shuffle; decisions join the counts, never the pages' rows, but for the last look-up
 by host and shape.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sparquill.llm.common import stage
 
-FAN_OUT, MAX_DEPTH, Z, STRENGTH, PURITY = 32, 8, 1.96, 4.0, 0.6
+FAN_OUT, ENOUGH, MAX_DEPTH, Z, STRENGTH, PURITY = 32, 2, 8, 1.96, 4.0, 0.6
 #: (host, path, verdict); a rule fits its host and all subdomains.
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,7 +63,7 @@ def templates(counts: DataFrame, fan_out: int = FAN_OUT, max_depth: int = MAX_DE
         others = F.col("all_n") - F.col("n")
         error = F.sqrt(share * (1 - share) * (F.try_divide(F.lit(1), "n") + F.try_divide(F.lit(1), others)))
         apart = F.abs(F.try_divide("b", "n") - F.try_divide(F.col("all_b") - F.col("b"), others)) > F.lit(z) * error
-        own = (F.col("fan") <= fan_out) & F.coalesce(apart, F.lit(False))
+        own = ((F.col("fan") <= fan_out) | (F.col("n") >= ENOUGH)) & F.coalesce(apart, F.lit(False))
         kept = F.when((F.col("fan") == 1) | own, F.col("next")).otherwise("*")
         chosen = kids.join(nodes, ["host", "template"]).select("host", "template", "next", kept.alias("as"))
         rows = rows.join(chosen, ["host", "template", "next"], "left").withColumn("template", F.concat_ws("/", "template", "as")).drop("next", "as")

@@ -100,6 +100,15 @@ def test_url_filters(spark):
     assert url_filters.judge(pages.withColumn("bad", F.lit(None).cast("int"))).filter("rule is null and verdict = 'block'").count() == 0
 
 
+@pytest.mark.parametrize("clean", [31, 32, 200])
+def test_a_bad_section_is_blocked_among_any_number_of_siblings(spark, clean):
+    name = lambda i: "s" + "".join("abcdefghij"[int(c)] for c in str(i))  # noqa: E731  digits would make one shape
+    rows = [(f"http://host.org/{name(i)}/p{k}", 0) for i in range(clean) for k in range(3)] + [(f"http://host.org/spam/p{k}", 1) for k in range(40)]
+    pages = spark.createDataFrame([(i, u, bad) for i, (u, bad) in enumerate(rows)], "page_id long, url string, bad int")
+    got = url_filters.judge(pages).collect()
+    assert {r.verdict for r in got if "/spam/" in r.path} == {"block"} and {r.verdict for r in got if "/spam/" not in r.path} == {"allow"}
+
+
 def test_page_labels(spark):
     pages = spark.createDataFrame([(1, "http://a/en/12"), (2, "http://a/en/12.html?x=3"), (3, "http://a/en/7/"), (4, None), (5, "http://a/x9/y"), (6, "http://a/" + "9" * 30)], "page_id long, url string")
     labels = spark.createDataFrame([(12, 0, 0), (12, 1, 0), (7, 1, 1), (None, 0, 0), (9, None, 0)], "doc_id long, quality int, toxic int")
