@@ -68,8 +68,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 OP2_SQL = """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d),
-w AS (SELECT doc_id, i, row_number() OVER (PARTITION BY lines[i] || chr(10) || lines[i + 1] ORDER BY doc_id, i) AS place FROM l WHERE i < len(lines)),
-g AS (SELECT DISTINCT doc_id, i + o AS i FROM w, range(2) AS r(o) WHERE place > 1),
+w AS (SELECT doc_id, i, 2 AS n, row_number() OVER (PARTITION BY lines[i] || chr(10) || lines[i + 1] ORDER BY doc_id, i) AS place FROM l WHERE i < len(lines)
+      UNION ALL SELECT doc_id, i, 1, row_number() OVER (PARTITION BY lines[i] ORDER BY doc_id, i) FROM l WHERE len(regexp_extract_all(lines[i], '[^ \\t-\\r]+')) >= 50),
+g AS (SELECT DISTINCT doc_id, i + o AS i FROM w, range(2) AS r(o) WHERE place > 1 AND o < n),
 k AS (SELECT l.doc_id, string_agg(l.lines[l.i], chr(10) ORDER BY l.i) AS text, count(*) AS kept FROM l LEFT JOIN g USING (doc_id, i) WHERE g.i IS NULL GROUP BY l.doc_id)
 SELECT d.doc_id, coalesce(len(d.lines), 0)::BIGINT AS n_lines, (coalesce(len(d.lines), 0) - coalesce(k.kept, 0))::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS text_sha256
 FROM d LEFT JOIN k USING (doc_id)
