@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +18,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one of our own only where that is unset (tests)."""
+    """The folder named in spark.checkpoint.dir; where that is unset a temporary one of our own, on a local master (tests)
+    alone: on a cluster executors do not share it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _OWN_DIR:
         _OWN_DIR.append("file://" + tempfile.mkdtemp(prefix="sparquill-"))
     return _OWN_DIR[0]
@@ -73,8 +78,6 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
 def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 23) -> list[pa.RecordBatch]:
     """Cuts a record batch so that each piece holds about `most` bytes of the given text column."""
     out, start, total = [], 0, 0
-    import pyarrow.compute as pc
-
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     for i, n in enumerate(sizes):
         total += n
@@ -86,6 +89,32 @@ def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 23) -> list[pa.R
     return out
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[pa.Table]:
+    """Tables of whole groups, of rows sorted by their first `by` columns; at most a batch and a group at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = pa.array([False] * batch.num_rows)
+        for c in range(by):
+            new = pc.or_(new, pc.fill_null(pc.not_equal(batch.column(c), batch.column(c)[batch.num_rows - 1]), False))
+        last = pc.sum(pc.cast(new, pa.int64())).as_py() or 0  # rows of the groups before the last, which may go on
+        if held and any(held[-1].column(c)[held[-1].num_rows - 1] != batch.column(c)[0] for c in range(by)):
+            yield pa.Table.from_batches(held)
+            held = []
+        if last:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def row_key(column: str) -> list[Column]:
+    """Two plain columns that tell a null from any value, for joins and groups by an id that may be null."""
+    return [F.col(column).isNull(), F.coalesce(F.col(column).cast("string"), F.lit(""))]
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

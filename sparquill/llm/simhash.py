@@ -116,6 +116,31 @@ class GrayIndex:
             if len(a):
                 work.append((level - 1, *self._children(level, a, b)))
 
+    def pairs(self, distance: int, label: np.ndarray) -> Iterator[np.ndarray]:
+        """Arrays (2, n) of positions of codes within the distance that have different labels. Nodes of one label in common
+        are never followed into each other, so a group that is linked already costs a walk over its nodes."""
+        low, high = [label[self.order]], [label[self.order]]
+        for first, _, _ in self.levels[1:]:
+            low.append(np.minimum.reduceat(low[-1], first[:-1]))
+            high.append(np.maximum.reduceat(high[-1], first[:-1]))
+        top = len(self.levels) - 1
+        roots = np.arange(len(self.levels[top][1]))
+        work = [(top, roots, roots)]
+        while work:
+            level, a, b = work.pop()
+            if len(a) > FRONTIER:
+                half = len(a) // 2
+                work += [(level, a[:half], b[:half]), (level, a[half:], b[half:])]
+                continue
+            _, mask, pattern = self.levels[level]
+            near = np.bitwise_count((pattern[a] ^ pattern[b]) & mask[a] & mask[b]) <= distance
+            near &= (np.minimum(low[level][a], low[level][b]) != np.maximum(high[level][a], high[level][b]))
+            a, b = a[near], b[near]
+            if level == 0:
+                yield np.stack([a, b])
+            elif len(a):
+                work.append((level - 1, *self._children(level, a, b)))
+
     def _children(self, level: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first = self.levels[level][0]
         na, nb = first[a + 1] - first[a], first[b + 1] - first[b]
@@ -255,7 +280,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     prints = stage(fingerprints(docs, id_col, text_col, shingle), "prints")
     ids = prints.join(components(prints, distance, max_group), "fp").select("root", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash").alias("key"))
     keep = ids.groupBy("root").agg(F.min("key").alias("key"))
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))  # noqa: E731  a plain key, so that one shuffle serves the join and the choice among equal rows
+    return kept_rows(docs, keep, id_col, text_col)
+
+
+def kept_rows(docs: DataFrame, keep: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs, all columns as they are, where (id, text hash) is among keep.key; any one of rows equal in both. The key is
+    plain, so that one shuffle serves the join and the choice among equal rows."""
+    name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
     keep = keep.select(name("key.doc_id").alias("own_id"), F.col("key.text_hash").alias("own_hash")).distinct()
     rows = docs.select(F.struct("*").alias("row"), name(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_hash"))
     kept = rows.join(keep, ["own_id", "own_hash"], "left_semi")

@@ -80,24 +80,29 @@ def test_a_rule_needs_purity():
 # Line dedup
 
 
-def brute_lines(rows, run):
+def brute_lines(rows, run, long=50):
     docs = sorted({(i is None, i or 0, t) for i, t in rows if t is not None}, key=lambda r: (r[0], r[1]))
     seen, out = set(), {}
     for none, i, t in docs:
         lines = t.split("\n")
         gone = set()
-        for s in range(len(lines) - run + 1):
-            w = tuple(lines[s : s + run])
-            if w in seen:
-                gone.update(range(s, s + run))
-            seen.add(w)
+        for n in {run, 1}:
+            for s in range(len(lines) - n + 1):
+                w = tuple(lines[s : s + n])
+                if n < run and len(WORD.findall(w[0])) < long:
+                    continue
+                if w in seen:
+                    gone.update(range(s, s + n))
+                seen.add(w)
         out[None if none else i] = (len(lines), len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
     return out
 
 
 @pytest.mark.parametrize("run", [1, 2, 3])
 def test_line_dedup(spark, run):
-    texts = random_texts(run, 25, 4, True) + ["a\nb\nc\nd", "x\na\nb\nc\ny", "a\na\na\na", "\n\n\n", "", None] + ["many\ncopies\nhere"] * 40
+    passage, almost = " ".join(f"p{i}" for i in range(50)), "\t".join(f"p{i}" for i in range(49))
+    long = [f"x1\n{passage}\ny1", passage, f"{passage}\n{almost}\nz{passage}", f"x2\n{passage}\n{passage}\ny2", almost, f"q\n{almost}\nr", f"{passage}\na\nb"]
+    texts = long + random_texts(run, 25, 4, True) + ["a\nb\nc\nd", "x\na\nb\nc\ny", "a\na\na\na", "\n\n\n", "", None] + ["many\ncopies\nhere"] * 40
     extra = [(None, "a\nb\nc\nq", None, None, None), (1000, "p\nq\nr", "en", "s", 0), (1000, "p\nq\nr", "en", "s", 0)]
     docs = corpus(spark, texts, extra).withColumn("spans", F.lit(1)).withColumn("h", F.lit(2)).repartition(5)
     got = line_dedup.dedup(docs, run=run).collect()
@@ -287,6 +292,44 @@ def test_near_copies_by_five_word_shingles(spark):
     assert len(set(root)) < len({brute_fingerprint(t) for t in texts}) and near_copies.drop_near_copies(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limits", [(2, 1, 8), (4, 2, 2048)])
+def test_near_copies_lose_no_link_in_dense_groups(spark, monkeypatch, limits):
+    """One group of copies of copies, in which most of a set's best partners are of its own component already."""
+    for name, value in zip(("SMALL", "BEST", "GROUP"), limits, strict=True):
+        monkeypatch.setattr(near_copies, name, value)
+    rng = random.Random(8)
+    base = " ".join(f"v{rng.randrange(4000)}" for _ in range(150))
+    texts = [base]
+    for _ in range(120):  # each an edit of an earlier one, so that links make long chains as well as a core
+        texts.append(edited(rng, texts[rng.randrange(len(texts))], rng.choice([2, 3, 3, 4])))
+    root = brute_copies(texts)
+    assert 1 < len(set(root)) < len(texts)
+    assert sorted(r.doc_id for r in near_copies.drop_near_copies(corpus(spark, texts)).collect()) == sorted(set(root))
+
+
+def test_an_index_finds_all_pairs_of_different_labels():
+    rng = np.random.default_rng(5)
+    codes, group, label = rng.integers(0, 2**20, 400, dtype=np.uint64), rng.integers(0, 3, 400), rng.integers(0, 40, 400)
+    index = simhash.GrayIndex(codes, group)
+    got = {tuple(sorted((int(index.order[a]), int(index.order[b])))) for pairs in index.pairs(6, label) for a, b in pairs.T}
+    want = {(i, j) for i in range(400) for j in range(i + 1, 400) if group[i] == group[j] and label[i] != label[j] and int(codes[i] ^ codes[j]).bit_count() <= 6}
+    assert got == want
+
+
+@pytest.mark.parametrize("batch", [1, 3, 100])
+def test_whole_groups(batch):
+    import pyarrow as pa
+
+    from sparquill.llm.common import whole_groups
+
+    rows = pa.RecordBatch.from_pydict({"g": [1, 1, 1, 2, 3, 3, 3, 3, 3, 4], "h": [0, 0, 1, 1, 1, 1, 1, 1, 1, 1], "i": list(range(10))})
+    tables = list(whole_groups((rows.slice(i, batch) for i in range(0, 10, batch)), 2))
+    assert [x for t in tables for x in t["i"].to_pylist()] == list(range(10))
+    for key in ((1, 0), (1, 1), (2, 1), (3, 1), (4, 1)):
+        assert sum(any(k == key for k in zip(t["g"].to_pylist(), t["h"].to_pylist(), strict=True)) for t in tables) == 1
+    assert list(whole_groups(iter([]), 1)) == []
+
+
 # Classifier
 
 
