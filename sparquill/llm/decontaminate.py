@@ -1,258 +1,186 @@
 """Benchmark decontamination by winnowing.
 
-Each benchmark item is cut into windows of `window` consecutive words (a shorter item is one window). Both sides
-are fingerprinted by winnowing: of every `window - k + 1` consecutive k-gram hashes the smallest (the rightmost of
-equals) is kept, so any shared span of `window` words has a fingerprint chosen on both sides. Fingerprint hits are
-extended both ways to the windows around them, and each window is compared word by word before it counts.
+Each benchmark item is cut into windows of `window` consecutive words (a shorter item is one window). Both sides are
+fingerprinted by winnowing: of the k-gram hashes of a window the smallest (the rightmost of equals) is kept, so a span that
+both sides share has a fingerprint chosen on both; for windows of fewer words than `k`, grams are the windows. Documents'
+fingerprints are joined with the benchmark's; only documents with a hit go on, where each hit is extended both ways to all
+windows around it, and these are joined with the benchmark's windows by 128-bit hashes of their words.
 
-The benchmark's index is built by Spark in blocks of bounded size, each written as a file in the shared folder and
-read by the tasks one block at a time, so memory stays bounded however large the benchmark is. Documents pass in
-one narrow scan: no shuffle, no pairs.
+The benchmark's fingerprints and windows are tables, and Spark broadcasts them only if their measured size is small; else
+the joins are shuffled by fingerprint, whose rows are one each on the benchmark's side. Texts of documents without a hit
+are read once and never shuffled.
 
 Defined results: a null or empty text has no words and is clean; null item ids hit words but are not listed; repeated
-item ids count once; words are maximal runs of ASCII letters, digits and non-ASCII characters after lower-casing A-Z.
+item ids count once; words are maximal runs of ASCII letters, digits and non-ASCII characters after lower-casing A-Z;
+rows equal in id and text get the same result; an empty benchmark leaves every document clean.
 """
 
 from __future__ import annotations
 
-import hashlib
-import io
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import fresh_path, read_file, slices, text_bytes, write_file
+from sparquill.llm.common import drop_staged, slices, stage, text_bytes
 
 WINDOW, K = 10, 5
-BLOCK_BYTES = 4 << 20
 #: Bytes that are part of a word stay (A-Z as a-z); all others become a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_MIX = np.uint64(0xFF51AFD7ED558CCD)
+#: A word of a text whose letters keep their case.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(FOLD).split() if text else []
 
 
-def _mixed(ids: np.ndarray) -> np.ndarray:
-    x = (ids.astype(np.uint64) + np.uint64(1)) * _ODD
-    x ^= x >> np.uint64(29)
-    x *= _MIX
-    return x ^ (x >> np.uint64(32))
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = x = xxhash.xxh64_intdigest(word)
+        return x
 
 
-def gram_hashes(ids: np.ndarray, n: int) -> np.ndarray:
-    """Hash of every n consecutive ids; spans that hold id 0 (an unknown word or a boundary) hash like any other."""
-    m, size = _mixed(ids), len(ids) - n + 1
-    if size <= 0:
-        return np.empty(0, np.uint64)
-    h = np.zeros(size, np.uint64)
-    for j in range(n):
-        h = h * _MIX + m[j : j + size]
-    h ^= h >> np.uint64(31)
-    return h
-
-
-def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Positions chosen by winnowing: in each `width` consecutive hashes the rightmost of the smallest."""
-    if len(hashes) < width:
-        return np.empty(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(hashes[::-1], width)
-    return np.unique(len(hashes) - 1 - (np.arange(len(view)) + view.argmin(axis=1)))
-
-
-def _known(ids: np.ndarray, n: int) -> np.ndarray:
-    """Where n consecutive ids are all known words."""
-    total = np.concatenate(([0], np.cumsum(ids == 0)))
-    return total[n:] == total[: len(total) - n]
-
-
-def build_block(rows: list[tuple[object, bytes]], window: int = WINDOW, k: int = K) -> bytes:
-    """The index of one block of (item id, text) as a file: words, and for each window length its distinct windows with
-    their items, sorted by hash; for full windows also the fingerprints that winnowing keeps."""
-    vocabulary: dict[bytes, int] = {}
-    items, spans = [], {}
-    names: dict[str, int] = {}
-    for item, text in rows:
-        ids = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text)], np.int64)
-        if len(ids):
-            spans.setdefault(min(len(ids), window), []).append((ids, -1 if item is None else names.setdefault(str(item), len(names))))
-    items = list(names)
-    out: dict[str, np.ndarray] = {"words": np.array(b" ".join(vocabulary)), "items": np.array("\n".join(items).encode()), "lengths": np.array(sorted(spans), np.int64)}
-    for n, found in spans.items():
-        grams = np.concatenate([np.lib.stride_tricks.sliding_window_view(ids, n) for ids, _ in found])
-        owner = np.concatenate([np.full(len(ids) - n + 1, who) for ids, who in found])
-        distinct, which = np.unique(grams, axis=0, return_inverse=True)
-        which = which.reshape(-1)
-        hashes = _row_hashes(distinct)
-        order = np.argsort(hashes, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        pairs = np.unique(np.stack([rank[which], owner], axis=1), axis=0)
-        pairs = pairs[pairs[:, 1] >= 0]
-        out |= {f"hash{n}": hashes[order], f"rows{n}": distinct[order].astype(np.int32), f"from{n}": np.searchsorted(pairs[:, 0], np.arange(len(order) + 1)), f"who{n}": pairs[:, 1].astype(np.int32)}
-        if n == window:
-            prints = [h[winnow(h, window - k + 1)] for h in (gram_hashes(ids, k) for ids, _ in found)]
-            out["prints"] = np.unique(np.concatenate(prints))
-    buffer = io.BytesIO()
-    np.savez(buffer, **out)
-    return buffer.getvalue()
-
-
-def _row_hashes(rows: np.ndarray) -> np.ndarray:
-    m, h = _mixed(rows), np.zeros(len(rows), np.uint64)
-    for j in range(rows.shape[1]):
-        h = h * _MIX + m[:, j]
+_HASHES = _Hashes()
+
+
+def winnow(hashes: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """Positions of the smallest (rightmost of equals) of the `width` hashes from each start on, each once; starts ascend."""
+    best = starts + width - 1
+    least = hashes[best]
+    for j in range(width - 2, -1, -1):
+        h = hashes[starts + j]
+        less = h < least
+        best, least = np.where(less, starts + j, best), np.where(less, h, least)
+    return best[np.concatenate(([True], best[1:] != best[:-1]))] if len(best) else best
+
+
+def prints(words: np.ndarray, bounds: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of windows of n words of several texts, and their positions: words holds a hash a word, the text i from
+    bounds[i] to bounds[i + 1]. No window crosses a bound."""
+    gram = min(k, n)
+    sizes = np.maximum(np.diff(bounds) - n + 1, 0)
+    starts = np.repeat(bounds[:-1] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    if not len(starts):
+        return np.empty(0, np.uint64), starts
+    h = np.zeros(len(words) - gram + 1, np.uint64)
+    for j in range(gram):
+        h = h * _MIX + words[j : j + len(h)]
     h ^= h >> np.uint64(31)
-    return h
-
-
-def _runs(ids: np.ndarray, n: int) -> np.ndarray:
-    """Positions of runs of at least n known words, each with the unknown word or boundary after it; no window lies elsewhere."""
-    known = np.concatenate(([False], ids != 0, [False]))
-    edge = np.flatnonzero(known[1:] != known[:-1]).reshape(-1, 2)
-    long = edge[edge[:, 1] - edge[:, 0] >= n]
-    size = np.minimum(long[:, 1] + 1, len(ids)) - long[:, 0]
-    return np.repeat(long[:, 0] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-
-
-class Block:
-    def __init__(self, data: bytes) -> None:
-        held = np.load(io.BytesIO(data))
-        self.data = {k: held[k] for k in held.files}
-        words = self.data["words"].item()
-        self.vocabulary = {w: i + 1 for i, w in enumerate(words.split(b" "))} if words else {}
-        named = self.data["items"].item().decode()
-        self.items = named.split("\n") if named else []
-        self.lengths = self.data["lengths"].tolist()
-
-    def starts(self, ids: np.ndarray, n: int, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of the spans of ids that are windows of length n of this block, and which window each is."""
-        hashes = self.data[f"hash{n}"]
-        if n < window or "prints" not in self.data:
-            starts = np.flatnonzero(_known(ids, n)) if len(ids) >= n else np.empty(0, np.int64)
-        else:
-            grams = gram_hashes(ids, k)
-            chosen = winnow(grams, n - k + 1)
-            chosen = chosen[_known(ids, k)[chosen]] if len(chosen) else chosen
-            hit = chosen[_found(self.data["prints"], grams[chosen])[1]]
-            starts = np.unique((hit[:, None] - np.arange(n - k + 1)[None, :]).ravel())
-            starts = starts[(starts >= 0) & (starts + n <= len(ids))]
-            starts = starts[_known(ids, n)[starts]] if len(starts) else starts
-        if not len(starts):
-            return starts, starts
-        spans = ids[starts[:, None] + np.arange(n)[None, :]]
-        at, same = _found(hashes, _row_hashes(spans))
-        starts, spans, at = starts[same], spans[same], at[same]
-        equal = (self.data[f"rows{n}"][at] == spans).all(axis=1)
-        for j in np.flatnonzero(~equal):  # distinct windows that share a hash lie next to each other
-            i = at[j] + 1
-            while i < len(hashes) and hashes[i] == hashes[at[j]]:
-                if (self.data[f"rows{n}"][i] == spans[j]).all():
-                    at[j], equal[j] = i, True
-                i += 1
-        return starts[equal], at[equal]
-
-    def hits(self, docs: list[list[bytes]], covered: np.ndarray, bounds: np.ndarray, items: list[set[str]], window: int, k: int) -> None:
-        """Marks in `covered` (one flag a word and one boundary a document) the words that any window covers."""
-        if not self.lengths:
-            return
-        get = self.vocabulary.get
-        ids = np.zeros(len(covered), np.int64)
-        for doc, start in zip(docs, bounds, strict=False):
-            if doc:
-                ids[start : start + len(doc)] = [get(w, 0) for w in doc]
-        for n in self.lengths:
-            at = _runs(ids, n)
-            starts, which = self.starts(ids[at], n, window, k)
-            if not len(starts):
-                continue
-            starts = at[starts]
-            edge = np.zeros(len(ids) + 1, np.int64)
-            edge[starts] += 1
-            np.add.at(edge, starts + n, -1)
-            covered |= np.cumsum(edge)[:-1] > 0
-            pairs = np.unique(np.stack([np.searchsorted(bounds, starts, side="right") - 1, which], axis=1), axis=0)
-            first, who = self.data[f"from{n}"], self.data[f"who{n}"]
-            for doc, row in pairs.tolist():
-                items[doc].update(self.items[x] for x in who[first[row] : first[row + 1]].tolist())
-
-
-def _found(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(ordered, wanted), max(len(ordered) - 1, 0))
-    return at, ordered[at] == wanted if len(ordered) else np.zeros(len(wanted), bool)
-
-
-def build_index(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW, k: int = K, block_bytes: int = BLOCK_BYTES) -> list[str]:
-    """Writes the benchmark's index in blocks of about block_bytes of text; returns their paths."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).filter("text is not null").distinct()
-    total = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks, folder = -(-total // block_bytes), fresh_path(benchmark.sparkSession, "benchmark")
-    if not blocks:
-        return []
-
-    def build(key: tuple, table: pa.Table) -> pa.Table:
-        rows = sorted(zip(table.column("item").to_pylist(), table.column("text").cast(pa.binary()).to_pylist(), strict=True), key=lambda r: (r[0] or "", r[1]))
-        path = f"{folder}/block-{key[0].as_py()}.npz"
-        write_file(path, build_block(rows, window, k))
-        return pa.table({"path": [path]})
-
-    keyed = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-    return sorted(r.path for r in keyed.groupBy("block").applyInArrow(build, "path string").collect())
-
-
-def scan(paths: list[str], text_at: int, window: int = WINDOW, k: int = K) -> Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, list[set[str]]]]:
-    """A function of a record batch: words, hit words and items of each row."""
-    kept: dict[str, Block] = {}
-
-    def block(path: str) -> Block:
-        if path not in kept:
-            kept.clear()  # one block in memory at a time
-            kept[path] = Block(read_file(path))
-        return kept[path]
-
-    def run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
-        docs = [words_of(t) for t in text_bytes(batch.column(text_at))]
-        sizes = np.array([len(d) for d in docs], np.int64)
-        bounds = np.concatenate(([0], np.cumsum(sizes + 1)))
-        covered, items = np.zeros(bounds[-1], bool), [set() for _ in docs]
-        for path in paths:
-            block(path).hits(docs, covered, bounds[:-1], items, window, k)
-        total = np.concatenate(([0], np.cumsum(covered)))
-        return sizes, total[bounds[1:]] - total[bounds[:-1]], items
-
-    return run
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    paths = build_index(benchmark, window=window, k=k, block_bytes=block_bytes)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    at = winnow(h, starts, n - gram + 1)
+    return h[at] + np.uint64(n) * _ODD, at
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = scan(paths, 1, window, k)
-        for whole in batches:
-            for batch in slices(whole, 1):
-                sizes, hit, items = look(batch)
-                digests = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(hit.astype(np.int64)), pa.array([len(x) for x in items], pa.int64()), pa.array(digests), pa.array(hit > 0)], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+def windows(words: list[bytes], starts: list[int], n: int) -> np.ndarray:
+    """A row of two 64-bit integers for the n words from each start on."""
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(b" ".join(words[s : s + n])) for s in starts), np.int64).reshape(-1, 2)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, k: int = K, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of docs, all columns as they are, in which no benchmark window occurs."""
-    paths, at = build_index(benchmark, window=window, k=k, block_bytes=block_bytes), docs.columns.index(text_col)
+def hashed(texts: list[bytes | None]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
+    """Words, their hashes one after another, and the bounds of each text in these."""
+    words = [words_of(t) for t in texts]
+    bounds = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
+    return words, np.fromiter((_HASHES[w] for ws in words for w in ws), np.uint64, bounds[-1]), bounds
+
+
+def benchmark_tables(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> tuple[DataFrame, DataFrame]:
+    """Staged (n, print), a row a fingerprint, and (n, a, b, item), a row a window and item."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = scan(paths, at, window, k)
         for whole in batches:
-            for batch in slices(whole, at):
-                yield batch.filter(pa.array(look(batch)[1] == 0))
-
-    return docs.mapInArrow(run, docs.schema)
+            for batch in slices(whole, 1, 1 << 20):
+                for item, (words, hashes, bounds) in zip(batch.column(0).to_pylist(), map(lambda t: hashed([t]), text_bytes(batch.column(1))), strict=True):
+                    n = min(window, len(words[0]))
+                    if n:
+                        found, size = prints(hashes, bounds, n, k)[0].view(np.int64), len(words[0]) - n + 1
+                        both = windows(words[0], range(size), n)
+                        lists = pa.ListArray.from_arrays(pa.array([0, *[len(found)] * size], pa.int32()), pa.array(found))
+                        yield pa.RecordBatch.from_arrays([pa.array([n] * size, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array([item] * size, pa.string()), lists], ["n", "a", "b", "item", "prints"])
+
+    rows = stage(items.mapInArrow(run, "n int, a long, b long, item string, prints array<long>"), "benchmark")
+    made = stage(rows.select("n", F.explode("prints").alias("print")).distinct(), "prints"), stage(rows.select("n", "a", "b", "item").distinct(), "windows")
+    drop_staged(benchmark.sparkSession, rows)
+    return made
+
+
+def hit_windows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> tuple[DataFrame, DataFrame]:
+    """Staged (doc_id, text_hash, n, start, a, b), a row a place of a document where a window of the benchmark stands, and
+    the benchmark's windows."""
+    known, spans = benchmark_tables(benchmark, window=window, k=k)
+    lengths = sorted(r.n for r in known.select("n").distinct().collect())  # at most `window` of them
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    key = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long"
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 2):
+                _, hashes, bounds = hashed(text_bytes(batch.column(2)))
+                values, at = (np.concatenate(x) for x in zip(*(prints(hashes, bounds, n, k) for n in lengths), strict=True))
+                order = np.argsort(at, kind="stable")
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(at[order], bounds).astype(np.int32)), pa.array(values[order].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["doc_id", "text_hash", "prints"])
+
+    def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 2):
+                for ident, text_hash, text, hit in zip(*(batch.column(i).to_pylist() for i in range(2)), text_bytes(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+                    words, hashes, bounds = hashed([text])
+                    for n in lengths:
+                        values, at = prints(hashes, bounds, n, k)
+                        at = at[np.isin(values.view(np.int64), np.array(hit, np.int64))]
+                        starts = np.unique((at[:, None] - np.arange(n - min(k, n) + 1)).ravel())
+                        starts = starts[(starts >= 0) & (starts + n <= len(hashes))]
+                        if len(starts):
+                            both, m = windows(words[0], starts.tolist(), n), len(starts)
+                            yield pa.RecordBatch.from_arrays([pa.array([ident] * m, batch.schema.field(0).type), pa.array([text_hash] * m, pa.int64()), pa.array([n] * m, pa.int32()), pa.array(starts), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["doc_id", "text_hash", "n", "start", "a", "b"])
+
+    empty = f"{key}, n int, start long, a long, b long"
+    if not lengths:
+        return stage(docs.sparkSession.createDataFrame([], empty), "found"), spans
+    marked = rows.mapInArrow(marks, f"{key}, prints array<long>").filter(F.size("prints") > 0).select("doc_id", "text_hash", F.explode("prints").alias("print"))
+    hits = marked.join(known.select("print"), "print", "left_semi")
+    hits = stage(hits.groupBy("doc_id", "text_hash").agg(F.collect_set("print").alias("hit")), "hits")
+    of = hits.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash"), "hit")
+    texts = rows.join(of, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))).select("doc_id", "text_hash", "text", "hit")
+    found = texts.mapInArrow(extended, empty).join(spans.select("n", "a", "b").distinct(), ["n", "a", "b"], "left_semi")
+    found = stage(found.select("doc_id", "text_hash", "n", "start", "a", "b"), "found")
+    drop_staged(docs.sparkSession, known, hits)
+    return found, spans
+
+
+def n_covered(spans: Column) -> Column:
+    """How many words sorted (start, n) pairs cover."""
+    step = lambda acc, s: F.struct((acc["total"] + F.greatest(s["start"] + s["n"] - F.greatest(acc["end"], s["start"]), F.lit(0))).alias("total"), F.greatest(acc["end"], s["start"] + s["n"]).alias("end"))
+    return F.aggregate(spans, F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("end")), step)["total"]
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
+    """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    found, spans = hit_windows(docs, benchmark, id_col, text_col, window, k)
+    hit = found.groupBy("doc_id", "text_hash").agg(n_covered(F.array_sort(F.collect_set(F.struct("start", "n")))).alias("n_hit"))
+    named = found.select("doc_id", "text_hash", "n", "a", "b").distinct().join(spans, ["n", "a", "b"]).select("doc_id", "text_hash", "item").distinct()
+    named = named.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    hit = hit.join(named.withColumnRenamed("doc_id", "d").withColumnRenamed("text_hash", "t"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left")
+    hit = stage(hit.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash"), "n_hit", "items"), "hit")
+    drop_staged(docs.sparkSession, found, spans)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    joined = rows.join(hit, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
+    return joined.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
+    """The rows of docs, all columns as they are, in which no benchmark window occurs."""
+    found, spans = hit_windows(docs, benchmark, id_col, text_col, window, k)
+    bad = stage(found.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash")).distinct(), "contaminated")
+    drop_staged(docs.sparkSession, found, spans)
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"))
+    return rows.join(bad, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), "left_anti").select("row.*")

@@ -142,8 +142,17 @@ def brute_contamination(docs, items):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 300])
-def test_contamination(spark, block_bytes):
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_contamination(spark, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        check_contamination(spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def check_contamination(spark):
     rng = random.Random(5)
     items = [(i, " ".join(rng.choices("alpha beta gamma delta É7 eps".split(), k=rng.choice([1, 2, 4, 7, 9, 10, 11, 25])))) for i in range(12)]
     items += [(3, items[3][1]), (None, "null item of eleven words one two three four five six"), (99, ""), (98, None), (97, "a a a a a a a a a a a a")]
@@ -156,18 +165,21 @@ def test_contamination(spark, block_bytes):
     docs += [(None, items[0][1]), (5, "one"), (5, "one")]
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit(1)).withColumn("n_hit", F.lit("clash"))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.contamination(frame.repartition(3), bench, block_bytes=block_bytes)
+    got = decontaminate.contamination(frame.repartition(3), bench)
     want = brute_contamination(docs, items)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
-    kept = decontaminate.drop_contaminated(frame, bench, block_bytes=block_bytes)
+    kept = decontaminate.drop_contaminated(frame, bench)
     assert kept.columns == frame.columns and Counter(r.doc_id for r in kept.collect()) == Counter(w[0] for w in want if not w[5])
     assert decontaminate.contamination(frame, bench.limit(0)).filter("contaminated").count() == 0
     assert decontaminate.contamination(frame.limit(0), bench).count() == 0
+    odd = spark.createDataFrame([("x\ny", items[8][1]), ("a,b", items[8][1]), ("null", items[9][1])], "item_id string, text string")
+    got = decontaminate.contamination(frame, odd).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(brute_contamination(docs, [tuple(r) for r in odd.collect()]), key=repr)
 
 
 def test_winnowing_keeps_a_print_of_every_window():
     h = np.random.default_rng(2).integers(0, 9, 400).astype(np.uint64)
-    chosen = set(decontaminate.winnow(h, 6).tolist())
+    chosen = set(decontaminate.winnow(h, np.arange(395), 6).tolist())
     assert all(max(j for j in range(i, i + 6) if h[j] == h[i : i + 6].min()) in chosen for i in range(395))
 
 
