@@ -8,14 +8,14 @@ bits, by their own rows alone. Rows that share all bits (repeated ids) and excee
 each of rows of one size, as many as fit.
 
 Defined results: a document's bytes are its text's UTF-8 length (null: 0); a bucket of one row fits whatever its size; a
-null id hashes like the id 'null'; an empty table has no shard.
+null id hashes like the id 'null'; repeated rows are placed one by one; an empty table has no shard and gives no file.
 """
 
 from __future__ import annotations
 
 from math import ceil, log2
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparquill.llm.common import stage
@@ -39,42 +39,65 @@ def directory(rows: DataFrame, done: int, depth: int, limit: int) -> DataFrame:
 
 
 def _paged(rows: DataFrame, limit: int) -> DataFrame:
-    """Pages for rows that share their whole hash: rows of one size, numbered part by part, as many to a page as fit."""
+    """shard, local_depth, shard_bytes and shard_docs of rows that share their whole hash: rows of one size, numbered part by
+    part, as many to a page as fit."""
     rows = stage(rows.withColumn("part", F.spark_partition_id()), "overflow")
-    totals = rows.groupBy("h", "n_bytes", "part").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("h", "n_bytes").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("h", "n_bytes", "part", F.coalesce(before, F.lit(0)).alias("before"))
-    number = F.row_number().over(Window.partitionBy("h", "n_bytes", "part").orderBy("n_bytes")) - 1 + F.col("before")
+    key = ["h", "n_bytes"]
+    totals = rows.groupBy(*key, "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select(*key, "part", F.coalesce(before, F.lit(0)).alias("before"))
+    number = F.row_number().over(Window.partitionBy(*key, "part").orderBy("n_bytes")) - 1 + F.col("before")
     each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest("n_bytes", F.lit(1))))
-    paged = stage(rows.join(offsets, ["h", "n_bytes", "part"]).withColumn("page", F.floor(number / each).cast("long")), "paged")
-    full = paged.groupBy("h", "n_bytes", "page").agg(F.count("*").alias("shard_docs"), F.sum("n_bytes").alias("shard_bytes"))
+    paged = stage(rows.join(offsets, [*key, "part"]).withColumn("page", F.floor(number / each).cast("long")), "paged")
+    full = paged.groupBy(*key, "page").agg(F.count("*").alias("page_docs"), F.sum("n_bytes").alias("page_bytes"))
     name = F.concat(F.expr(f"lpad(bin(h), {HASH_BITS}, '0')"), F.lit("-"), F.col("n_bytes").cast("string"), F.lit("-"), F.col("page").cast("string"))
-    return paged.join(full, ["h", "n_bytes", "page"]).select("doc_id", "n_bytes", "h", name.alias("shard"), F.lit(HASH_BITS).alias("local_depth"), "shard_bytes", "shard_docs")
+    return paged.join(full, [*key, "page"]).withColumn("shard", name).withColumn("local_depth", F.lit(HASH_BITS)).withColumn("shard_bytes", F.col("page_bytes")).withColumn("shard_docs", F.col("page_docs")).drop("part", "before", "page", "page_docs", "page_bytes")
 
 
-def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> DataFrame:
-    """One row per document: doc_id, n_bytes, shard (its bucket's bits), local_depth, shard_bytes, shard_docs."""
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), id_hash(F.col(id_col)).alias("h"))
-    rows, out, done = stage(sized, "sizes"), None, 0
-    total = rows.agg(F.sum("n_bytes")).first()[0] or 0
+def directories(rows: DataFrame, limit: int) -> tuple[list[tuple[int, DataFrame]], bool]:
+    """The (depth, staged directory) of each level for staged rows (n_bytes, h), and whether rows that share all bits are
+    still too many."""
+    total, done, out = rows.agg(F.sum("n_bytes")).first()[0] or 0, 0, []
     depth = min(HASH_BITS, max(1, ceil(log2(max(total / limit, 1))) + SPARE_BITS))
     while True:
         entries = stage(directory(rows, done, depth, limit), "directory")
-        found = rows.withColumn("cell", F.shiftright("h", HASH_BITS - depth)).join(entries, "cell").drop("cell")
-        part = found.filter("local_depth is not null").select("doc_id", "n_bytes", "h", "shard", "local_depth", "shard_bytes", "shard_docs")
-        out = part if out is None else out.union(part)
-        if entries.filter("local_depth is null").isEmpty():
-            break
-        rows = stage(found.filter("local_depth is null").select("doc_id", "n_bytes", "h"), "left")
-        if depth == HASH_BITS:
-            out = out.union(_paged(rows, limit))
-            break
+        out.append((depth, entries))
+        over = entries.filter("local_depth is null").select("cell")
+        if over.isEmpty() or depth == HASH_BITS:
+            return out, not over.isEmpty()
+        rows = stage(rows.withColumn("cell", F.shiftright("h", HASH_BITS - depth)).join(over, "cell", "left_semi").select("n_bytes", "h"), "left")
         done, depth = depth + 1, min(HASH_BITS, depth + MORE_BITS)
-    return out.drop("h")
 
 
-def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> None:
-    """Writes docs as Parquet with a folder a shard. Ids must be unique."""
-    shards = assign(docs, id_col, text_col, limit).select(F.col("doc_id").alias("own_id"), "shard")
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id")).join(shards, F.col("id").eqNullSafe(F.col("own_id")))
-    rows.select("row.*", F.concat(F.lit("s"), "shard").alias("shard_bits")).repartition("shard_bits").write.partitionBy("shard_bits").parquet(folder)
+def sized(docs: DataFrame, id_col: str, text_col: str, *keep: Column) -> DataFrame:
+    return docs.select(*keep, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), id_hash(F.col(id_col)).alias("h"))
+
+
+def placed(docs: DataFrame, id_col: str, text_col: str, limit: int, *keep: Column) -> DataFrame:
+    """What is kept of every row, n_bytes and its shard, in one pass over docs; rows are carried, never looked up by id."""
+    levels, over = directories(stage(sized(docs, id_col, text_col), "sizes"), limit)
+    rows, found = sized(docs, id_col, text_col, *keep), ("shard", "local_depth", "shard_bytes", "shard_docs")
+    for i, (depth, entries) in enumerate(levels):
+        entries = entries.select(F.col("cell").alias("at"), F.struct(*found).alias(f"level{i}"))
+        rows = rows.join(entries, F.shiftright("h", HASH_BITS - depth) == F.col("at"), "left").drop("at")
+    of = lambda name: F.coalesce(*[F.when(F.col(f"level{i}.local_depth").isNotNull(), F.col(f"level{i}.{name}")) for i in range(len(levels))])
+    rows = rows.select("*", *[of(name).alias(name) for name in found]).drop(*[f"level{i}" for i in range(len(levels))])
+    if not over:
+        return rows.drop("h")
+    return rows.filter("local_depth is not null").unionByName(_paged(rows.filter("local_depth is null"), limit)).drop("h")
+
+
+def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> DataFrame:
+    """One row per document: doc_id, n_bytes, shard (its bucket's bits), local_depth, shard_bytes, shard_docs."""
+    return placed(docs, id_col, text_col, limit, F.col(id_col).alias("doc_id")).select("doc_id", "n_bytes", "shard", "local_depth", "shard_bytes", "shard_docs")
+
+
+def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT_BYTES) -> str:
+    """Writes docs, all columns as they are, as Parquet with a folder a shard, and returns the name of the column that the
+    folders stand for: shard_bits, with underscores after it where docs has that one."""
+    name = "shard_bits"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    rows = placed(docs, id_col, text_col, limit, F.struct("*").alias("row"))
+    rows.select("row.*", F.concat(F.lit("s"), "shard").alias(name)).repartition(name).write.partitionBy(name).parquet(folder)
+    return name

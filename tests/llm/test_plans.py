@@ -206,6 +206,18 @@ def test_shard_files(spark, tmp_path):
     assert back.count() == 60 and back.groupBy("shard_bits").count().filter("count > 10").count() == 0
 
 
+@pytest.mark.parametrize("limit", [100, 500, 1 << 20])
+def test_shard_files_hold_each_row_once(spark, tmp_path, limit):
+    rows = [(1, "a" * 60, "x"), (1, "b" * 60, "y"), (1, "b" * 60, "y"), (None, None, "n"), (2, "", None), (3, "c" * 300, "z")] + [(7, "d" * 50, str(i)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard_bits string").repartition(4)
+    name = sharding.write_shards(docs, f"file://{tmp_path}/out", limit=limit)
+    back = spark.read.parquet(f"file://{tmp_path}/out").withColumn("of", F.input_file_name())
+    assert Counter(tuple(r) for r in back.select(*docs.columns).collect()) == Counter(rows)
+    assert name == "shard_bits_" and all(r.b <= limit or r.n == 1 for r in back.groupBy(name).agg(F.sum(F.length("text")).alias("b"), F.count("*").alias("n")).collect() if r.b)
+    sharding.write_shards(docs.limit(0), f"file://{tmp_path}/none")
+    assert not list((tmp_path / "none").glob("**/*.parquet"))
+
+
 # Pipeline and queries
 
 
