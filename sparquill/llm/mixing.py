@@ -7,8 +7,10 @@ epochs; a copy's virtual finish time is its source's words up to and with it div
 are taken in order of finish time, ties by source, until the budget is spent.
 
 Running sums are two-level so that no source, however large, meets in one task: each source is cut by its hash into
-ranges, a range's sum is carried over from the totals before it. The cut in the global order is found the same way, from
-totals of bins of finish time, and only the bin in which the budget ends is put in exact order.
+ranges, a range's sum is carried over from the totals before it; rows of one id and size are one counted row there, so a
+hot id meets in no one task either. The budget's place in the global order is found from totals of bins of finish time;
+only the bin in which it ends is looked into, again by bins while it is large, and put in exact order. What is taken is
+range-sorted by finish time. A source misses its target by less than one document of the largest size at the cut.
 
 Defined results: a null text has no words; null is a source like any other; documents without words are never taken and
 a mix without words takes nothing; a null id is shuffled like the id 'null'; repeated rows are taken one by one.
@@ -16,15 +18,18 @@ a mix without words takes nothing; a null id is shuffled like the id 'null'; rep
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparquill.llm.common import n_words, stage
+from sparquill.llm.common import drop_staged, n_words, stage
 
 WEIGHTS, MAX_EPOCHS, BUDGET_SHARE = (5, 2, 1), 3, 1.0
-BINS, RANGE_ROWS = 1 << 16, 256
+BINS, LEVELS, EDGE_ROWS, RANGE_ROWS, CHUNK = 1 << 16, 3, 1 << 20, 256, 1000
+#: What rows are queued by; rows equal in all of it follow each other in any order.
+KEY = ("source", "h", "doc_id", "size")
 
 
 def id_hash(doc_id: Column) -> Column:
@@ -48,42 +53,88 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     return rows.withColumn("target", F.coalesce(F.least(F.col("most").cast("double"), F.col("weight") * level), F.col("most").cast("double"))).select("source", "ord", "source_size", "budget", "target")
 
 
-def _queued(rows: DataFrame, ranges: DataFrame, bits: int, keep: list[str]) -> DataFrame:
-    """rows (source, h, doc_id, size and what is kept) with their source's ord, size, target and words up to each row."""
-    cell = F.shiftright(F.col("h"), 60 - bits)
-    inside = Window.partitionBy("ord", "cell").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    a, b = rows.withColumn("cell", cell), ranges.withColumnRenamed("source", "of").withColumnRenamed("cell", "at")
-    joined = a.join(b, F.col("source").eqNullSafe(F.col("of")) & (F.col("cell") == F.col("at")))
-    return joined.withColumn("upto", F.col("before") + F.sum("size").over(inside)).select(*keep, "size", "ord", "source_size", "target", "upto")
+def _same(rows: DataFrame, other: DataFrame) -> Column:
+    return reduce(lambda a, b: a & b, (rows[c].eqNullSafe(other[c]) for c in KEY))
 
 
-def plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], max_epochs: int, budget_share: float):
-    """The staged narrow rows, the totals by range, the bits of a range and the place where the budget ends: the finish
-    time and source order of the last copy taken (None where nothing is)."""
-    narrow = stage(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("h")), "sizes")
-    rows = narrow.count()
+def _queue(narrow: DataFrame, weights: tuple[int, ...], max_epochs: int, budget_share: float) -> DataFrame:
+    """A row a different (source, h, doc_id, size), staged: n rows, their source's ord, size, budget and target, and the
+    words of the source that come before the first of them."""
+    keys = stage(narrow.groupBy(*KEY).agg(F.count("*").alias("n")), "keys")
+    rows = keys.count()
     bits = min(16, max(2, ceil(log2(max(rows, 1) / RANGE_ROWS)) if rows else 2))
-    cells = stage(narrow.groupBy("source", F.shiftright("h", 60 - bits).alias("cell")).agg(F.sum("size").alias("words")), "cells")
+    cell = F.shiftright("h", 60 - bits)
+    cells = stage(keys.groupBy("source", cell.alias("cell")).agg(F.sum(F.col("size") * F.col("n")).alias("words")), "cells")
     goal = targets(cells.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_epochs, budget_share).withColumnRenamed("source", "of")
     before = F.coalesce(F.sum("words").over(Window.partitionBy("ord").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranges = stage(cells.join(goal, F.col("source").eqNullSafe(F.col("of"))).withColumn("before", before).select("source", "cell", "ord", "source_size", "budget", "target", "before"), "ranges")
-    top = ranges.select("budget").first()
+    ranges = cells.join(goal, F.col("source").eqNullSafe(F.col("of"))).withColumn("before", before)
+    ranges = stage(ranges.select(F.col("source").alias("of"), F.col("cell").alias("at"), "ord", "source_size", "budget", "target", "before"), "ranges")
+    inside = Window.partitionBy("ord", "at").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(inside), F.lit(0))
+    queue = keys.join(ranges, F.col("source").eqNullSafe(F.col("of")) & (cell == F.col("at"))).select(*KEY, "n", "ord", "source_size", "budget", "target", start.alias("start"))
+    queue = stage(queue, "queue")
+    drop_staged(narrow.sparkSession, keys, cells, ranges)
+    return queue
+
+
+def _queued(rows: DataFrame, queue: DataFrame, *keep: str) -> DataFrame:
+    """What is kept of rows (the KEY and more), size, ord, source_size, target, and `upto`: the words of the source up to and
+    with each row. Equal rows are numbered part by part of a table of their own, so a hot id meets in no one task."""
+    joined = rows.join(queue, _same(rows, queue)).select(*[rows[c] for c in dict.fromkeys((*KEY, *keep))], "n", "ord", "source_size", "target", "start")
+    repeats = stage(joined.filter("n > 1").withColumn("part", F.spark_partition_id()), "repeats")
+    by = [F.col(c) for c in (*KEY, "part")]
+    counts = repeats.groupBy(*by).agg(F.count("*").alias("rows"))
+    ahead = F.sum("rows").over(Window.partitionBy(*KEY).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.withColumn("ahead", F.coalesce(ahead, F.lit(0)))
+    same = _same(repeats, counts) & (repeats["part"] == counts["part"])
+    nth = F.row_number().over(Window.partitionBy(*[repeats[c] for c in (*KEY, "part")]).orderBy(repeats["ord"])) + F.col("ahead")
+    numbered = repeats.join(counts, same).select(*[repeats[c] for c in joined.columns], nth.alias("nth"))
+    every = joined.filter("n = 1").withColumn("nth", F.lit(1).cast("long")).unionByName(numbered)
+    return every.withColumn("upto", F.col("start") + F.col("nth") * F.col("size")).select(*dict.fromkeys((*keep, "size", "ord", "source_size", "target", "upto")))
+
+
+def _finish(epoch: Column | int) -> Column:
+    return (F.col("upto") + (F.lit(epoch) if isinstance(epoch, int) else epoch) * F.col("source_size")) / F.col("target")
+
+
+def _cut(queue: DataFrame, max_epochs: int) -> tuple[float, int] | None:
+    """The finish time and source order of the last copy taken: the budget ends there. None where nothing is taken."""
+    top = queue.select("budget").first()
     if top is None or not top.budget:
-        return narrow, ranges, bits, None
-    queued = stage(_queued(narrow, ranges, bits, ["doc_id", "source"]).filter("size > 0"), "queued")
-    copies = queued.select("size", "ord", F.explode(F.array(*[(F.col("upto") + F.lit(e) * F.col("source_size")) / F.col("target") for e in range(max_epochs)])).alias("finish"))
-    copies = copies.withColumn("bin", F.least(F.floor(F.col("finish") * BINS), F.lit(2 * BINS)))
-    bins = copies.groupBy("bin").agg(F.sum("size").alias("words"))
-    upto = bins.withColumn("upto", F.sum("words").over(Window.orderBy("bin"))).filter(F.col("upto") <= top.budget)  # at most 2 * BINS rows
-    last = upto.orderBy(F.desc("bin")).select("bin", "upto").first()
-    spent, whole = (last.upto, last.bin) if last else (0, -1)
-    nearest = copies.filter(F.col("bin") > whole).agg(F.min("bin")).first()[0]
+        return None
+    full = queue.filter("size > 0")
+    few = full.filter(F.col("n") <= CHUNK).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    many = full.filter(F.col("n") > CHUNK).withColumn("lo", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"), F.lit(CHUNK).cast("long")))).repartition("h", "lo")
+    many = many.withColumn("i", F.explode(F.sequence("lo", F.least(F.col("lo") + CHUNK - 1, F.col("n"))))).drop("lo")
+    rows = few.unionByName(many).withColumn("upto", F.col("start") + F.col("i") * F.col("size"))
+    copies = rows.select("size", "ord", F.explode(F.array(*[_finish(e) for e in range(max_epochs)])).alias("finish"))
+    live, low, scale, spent, cut = copies, 0.0, float(BINS), 0, None
+    for _ in range(LEVELS):  # each level looks into the one bin in which the budget ends
+        cell = F.least(F.floor((F.col("finish") - low) * scale), F.lit(2 * BINS))
+        bins = live.groupBy(cell.alias("bin")).agg(F.sum("size").alias("words"), F.count("*").alias("copies"), F.max(F.struct("finish", "ord")).alias("last"))
+        bins = stage(bins.withColumn("upto", F.sum("words").over(Window.orderBy("bin")) + spent), "bins")  # at most 2 * BINS + 1 rows
+        whole = bins.filter(F.col("upto") <= top.budget).orderBy(F.desc("bin")).select("upto", "last").first()
+        edge = bins.filter(F.col("upto") > top.budget).orderBy("bin").select("bin", "copies").first()
+        spent, cut = (whole.upto, (whole.last.finish, whole.last.ord)) if whole else (spent, cut)
+        if edge is None:
+            return cut
+        live, low, scale = live.filter(cell == edge.bin), low + edge.bin / scale, scale * BINS
+        if edge.copies <= EDGE_ROWS:
+            break
     end = F.sum("size").over(Window.orderBy("finish", "ord")) + F.lit(spent)
-    edge = copies.filter(F.col("bin") == F.lit(nearest)).withColumn("end", end).filter(F.col("end") <= top.budget) if nearest is not None else None
-    cut = edge.orderBy(F.desc("finish"), F.desc("ord")).select("finish", "ord").first() if edge is not None else None
-    if cut is None:  # the budget ends with a whole bin
-        cut = copies.filter(F.col("bin") <= whole).agg(F.max(F.struct("finish", "ord")).alias("x")).select("x.finish", "x.ord").first()
-    return narrow, (queued, ranges), bits, None if cut.finish is None else (cut.finish, cut.ord)
+    last = live.withColumn("end", end).filter(F.col("end") <= top.budget).orderBy(F.desc("finish"), F.desc("ord")).select("finish", "ord").first()
+    return cut if last is None else (last.finish, last.ord)
+
+
+def plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], max_epochs: int, budget_share: float) -> tuple[DataFrame, DataFrame, tuple[float, int] | None]:
+    """The staged narrow rows, the queue and the cut."""
+    narrow = stage(_narrow(docs, id_col, text_col, source_col), "sizes")
+    queue = _queue(narrow, weights, max_epochs, budget_share)
+    return narrow, queue, _cut(queue, max_epochs)
+
+
+def _narrow(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
+    return docs.select(*more, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("h"))
 
 
 def _copies(cut: tuple[float, int] | None, max_epochs: int) -> Column:
@@ -92,24 +143,23 @@ def _copies(cut: tuple[float, int] | None, max_epochs: int) -> Column:
         return F.lit(0)
     total = F.lit(0)
     for e in range(max_epochs):
-        finish = (F.col("upto") + F.lit(e) * F.col("source_size")) / F.col("target")
-        total += ((finish < F.lit(cut[0])) | ((finish == F.lit(cut[0])) & (F.col("ord") <= F.lit(cut[1])))).cast("int")
+        total += ((_finish(e) < F.lit(cut[0])) | ((_finish(e) == F.lit(cut[0])) & (F.col("ord") <= F.lit(cut[1])))).cast("int")
     return F.when(F.col("size") > 0, total).otherwise(0)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, budget_share: float = BUDGET_SHARE) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words that the mix takes, repeats counted)."""
-    narrow, made, bits, cut = plan(docs, id_col, text_col, source_col, weights, max_epochs, budget_share)
-    ranges = made if cut is None else made[1]
-    rows = _queued(narrow, ranges, bits, ["doc_id"])
+    narrow, queue, cut = plan(docs, id_col, text_col, source_col, weights, max_epochs, budget_share)
+    rows = _queued(narrow, queue, "doc_id")
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * _copies(cut, max_epochs)).cast("long").alias("taken"))
 
 
 def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, budget_share: float = BUDGET_SHARE) -> DataFrame:
-    """The mix itself: docs, all columns as they are, each row as often as it is taken."""
-    _, made, bits, cut = plan(docs, id_col, text_col, source_col, weights, max_epochs, budget_share)
+    """The mix itself: docs, all columns as they are, each row as often as it is taken, range-sorted by finish time."""
+    narrow, queue, cut = plan(docs, id_col, text_col, source_col, weights, max_epochs, budget_share)
     if cut is None:
         return docs.limit(0)
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("h"))
-    queued = _queued(rows, made[1], bits, ["row"]).withColumn("n", _copies(cut, max_epochs)).filter("n > 0")
-    return queued.select("row", F.explode(F.sequence(F.lit(1), "n"))).select("row.*")
+    drop_staged(docs.sparkSession, narrow)
+    queued = _queued(_narrow(docs, id_col, text_col, source_col, F.struct("*").alias("row")), queue, "row").withColumn("times", _copies(cut, max_epochs)).filter("times > 0")
+    copies = queued.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
+    return copies.withColumn("finish", _finish(F.col("epoch"))).orderBy("finish", "ord").select("row.*")

@@ -168,6 +168,23 @@ def test_mix(spark, seed):
     assert Counter(r.doc_id for r in mixed.collect()) == Counter(i for (i, _, n), t in zip(rows, taken, strict=True) for _ in range(t // n if n else 0))
 
 
+def test_mix_of_a_hot_id_in_order(spark, monkeypatch):
+    """A third of all rows under one id, in chunks and levels of bins: the same rows as one by one, in order of finish time."""
+    for name, value in (("CHUNK", 7), ("BINS", 4), ("EDGE_ROWS", 20)):
+        monkeypatch.setattr(mixing, name, value)
+    rows = [(i, "ab"[i % 2], 1 + i % 5) for i in range(60)] + [(5, "b", 3)] * 40 + [(None, "b", 2)] * 11
+    docs = spark.createDataFrame([(i, " ".join(["w"] * n), str(k), s, 0) for k, (i, s, n) in enumerate(rows)], SCHEMA).repartition(5)
+    taken, sizes, target = brute_mix(rows)
+    got = mixing.mix(docs).collect()
+    assert Counter((r.doc_id, r.size, r.taken) for r in got) == Counter((i, n, t) for (i, _, n), t in zip(rows, taken, strict=True))
+    mixed = mixing.take(docs).collect()
+    assert Counter((r.doc_id, r.source) for r in mixed) == Counter((i, s) for (i, s, n), t in zip(rows, taken, strict=True) for _ in range(t // n))
+    words = defaultdict(int)
+    for r in mixed:  # the finish times of a source's copies in the order taken never fall behind another's by a whole document
+        words[r.source] += len(r.text.split())
+        assert abs(words["a"] / target["a"] - words["b"] / target["b"]) <= 5 / min(target.values()) + 1e-9
+
+
 def test_mix_of_nothing(spark):
     docs = spark.createDataFrame([(1, None, "en", "s", 0), (2, "", "en", None, 0)], SCHEMA)
     assert [(r.size, r.source_size, r.target, r.taken) for r in mixing.mix(docs).collect()] == [(0, 0, 0.0, 0)] * 2
