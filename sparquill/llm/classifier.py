@@ -8,8 +8,8 @@ odds of the labels are added as a constant. Scoring is the sparse dot product wi
 Training reads labelled rows up to `bound` (a documented limit: those of the lowest hashes of their ids), in one task and in
 hash order, so reruns agree; everything else scores every row, in one narrow scan.
 
-Defined results: a null or empty text has the constant alone; repeated labels of an id count once, by their smallest;
-rows without an id are scored and never held out; with no labels the score is 0.5.
+Defined results: a null or empty text has the constant alone; repeated labels of an id count once, by their smallest,
+and a repeated id is learnt from once, by the text of the smallest hash; rows without an id are scored and never held out; with no labels the score is 0.5.
 """
 
 from __future__ import annotations
@@ -100,7 +100,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Weights learnt from at most `bound` of the labelled rows."""
     one = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("id").agg(F.min("label").alias("label"))
     sample = bounded_sample(one, "id", bound)  # of bounded size, so it may be broadcast
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").select("text", "label", F.xxhash64("id").alias("turn"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))  # a row a sampled id, however often it is repeated
+    texts = texts.groupBy("id", "label").agg(first.alias("t")).select("t.text", "label", F.xxhash64("id").alias("turn"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(features(t), y) for b in batches for t, y in zip(text_bytes(b.column(0)), b.column(1).to_pylist(), strict=True)]

@@ -5,11 +5,13 @@ conjunction of thresholds at a time on two thirds of the rows (the literal of hi
 on the other third (final literals go while that does not lower its worth), and keeps it if it is pure enough; rows that
 it covers go, and the next one is grown. The list becomes one ordered conditional expression of Spark columns.
 
-The learner reads at most `bound` labelled rows (those of the lowest hashes of their ids; a documented limit); the rules
-apply to all rows.
+The learner reads the documents of at most `bound` labelled ids (those of the lowest hashes of all labelled ids; a
+documented limit), whether it judges or filters; the rules apply to all rows. Covering ends by purity, cover and gain
+alone: each rule takes away at least `MIN_COVER` rows, each literal some.
 
 Defined results: a null text has no words and fails the base; lines and words are compared byte for byte; a null or
-repeated label counts once, by its smallest value; with no labels or no pure rule every row that passes the base is kept.
+repeated label counts once, by its smallest value, and a repeated id is learnt from once, by its smallest counts; with no
+labels or no pure rule every row that passes the base is kept.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from sparquill.llm.common import bounded_sample, slices, stage
 
 SYMBOLS, SPACE = "#*$%&|<>", "\t\n\x0b\x0c\r "
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 50, 50, 3
-BOUND, CUTS, MAX_RULES, MAX_LITERALS = 20_000, 24, 12, 4
+BOUND, CUTS = 20_000, 24
 #: Least purity of a rule among the rows held for pruning, smoothed, and least rows that it covers.
 MIN_PURITY, MIN_COVER = 0.95, 8
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_digits", "n_distinct", "n_lines", "n_chars", "n_same")
@@ -116,7 +118,7 @@ def _gain(p: np.ndarray, n: np.ndarray, p0: int, n0: int) -> np.ndarray:
 def grow(x: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
     rule: Rule = []
     inside = np.ones(len(bad), bool)
-    while len(rule) < MAX_LITERALS and inside.any() and not bad[inside].all():
+    while inside.any() and not bad[inside].all():
         p0, n0, best = int(bad[inside].sum()), int((~bad[inside]).sum()), (1e-9, None)
         for name, values in x.items():
             v, y = values[inside], bad[inside]
@@ -134,7 +136,10 @@ def grow(x: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
         name, above, cut = best[1]
         v = x[name][inside]  # the cut goes to the middle of the gap between the values that it parts
         rule.append((name, above, float(v[v <= cut].max() + v[v > cut].min()) / 2))
-        inside = covers(rule, x, len(bad))
+        before, inside = inside.sum(), covers(rule, x, len(bad))
+        if inside.sum() in (0, before):  # nothing more is told apart
+            rule.pop()
+            break
     return rule
 
 
@@ -153,26 +158,32 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, turn: np.ndarray) -> list[R
     """The decision list that rejects; turn % 3 == 0 marks the rows held for pruning."""
     rules: list[Rule] = []
     left = np.ones(len(bad), bool)
-    while len(rules) < MAX_RULES:
+    while True:
         g, h = left & (turn % 3 != 0), left & (turn % 3 == 0)
         if not bad[g].any():
             break
         rule = prune(grow({k: v[g] for k, v in x.items()}, bad[g]), {k: v[h] for k, v in x.items()}, bad[h])
         hit = covers(rule, x, len(bad)) & left
         p, n = int(bad[hit & h].sum()), int((~bad[hit & h]).sum())
-        if not rule or hit.sum() < MIN_COVER or (p + 1) / (p + n + 1) < MIN_PURITY or int((~bad[hit & g]).sum()) > 0.05 * hit.sum():
+        if not rule or hit.sum() < MIN_COVER or not p or (p + 1) / (p + n + 1) < MIN_PURITY or int((~bad[hit & g]).sum()) > 0.05 * hit.sum():
             break
         rules.append(rule)
         left &= ~hit
     return rules
 
 
-def learn_rules(stats: DataFrame, labels: DataFrame, label_col: str = "quality", bound: int = BOUND) -> list[Rule]:
-    """The rules learnt from at most `bound` labelled rows of stats that pass the base."""
-    one = labels.select(F.col("doc_id").alias("id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("id").agg(F.min("label").alias("label"))
-    passed = stats.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    rows = bounded_sample(passed.join(one, passed.doc_id == one.id), "id", bound)
-    found = rows.select(*COUNTS, "label", F.xxhash64("id").alias("turn")).toPandas().sort_values(["turn", *COUNTS, "label"])
+def sampled(labels: DataFrame, label_col: str, bound: int) -> DataFrame:
+    """(labelled_id, label) of at most `bound` ids."""
+    one = labels.select(F.col("doc_id").alias("labelled_id"), F.col(label_col).cast("int").alias("label")).dropna().groupBy("labelled_id").agg(F.min("label").alias("label"))
+    return stage(bounded_sample(one, "labelled_id", bound), "labelled")
+
+
+def learn_rules(stats: DataFrame, chosen: DataFrame) -> list[Rule]:
+    """The rules learnt from the rows of stats that pass the base and whose ids were chosen."""
+    passed = stats.select("doc_id", *COUNTS).filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    rows = passed.join(chosen, passed.doc_id == chosen.labelled_id)
+    rows = rows.groupBy("labelled_id", "label").agg(F.min(F.struct(*COUNTS)).alias("c")).select("c.*", "label", F.xxhash64("labelled_id").alias("turn"))  # at most a row a chosen id
+    found = rows.toPandas().sort_values(["turn", *COUNTS, "label"])
     if not len(found):
         return []
     x = {k: np.asarray(v, float) for k, v in ratios(lambda c: found[c].to_numpy(float), np.divide).items()}
@@ -193,15 +204,16 @@ def verdict(rules: list[Rule]) -> Column:
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND) -> DataFrame:
     """doc_id, the COUNTS, base_failed and kept of every row."""
     stats = stage(with_statistics(docs, id_col, text_col), "statistics")
-    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
-    return stats.withColumn("base_failed", failed).withColumn("kept", F.when(failed, F.lit(False)).otherwise(verdict(learn_rules(stats, labels, bound=bound))))
+    failed, rules = base_failed(F.col("n_words"), F.col("n_repeat_words")), learn_rules(stats, sampled(labels, "quality", bound))
+    return stats.withColumn("base_failed", failed).withColumn("kept", F.when(failed, F.lit(False)).otherwise(verdict(rules)))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND) -> DataFrame:
     """The rows of docs, all columns as they are, that the rules keep; statistics are computed in the same pass."""
-    ids = bounded_sample(labels.select(F.col("doc_id").alias("wanted_id")).filter("wanted_id is not null").distinct(), "wanted_id", bound)
-    labelled = docs.join(F.broadcast(ids), F.col(id_col) == F.col("wanted_id"), "left_semi")  # the sample is of bounded size
-    rules, at = learn_rules(stage(with_statistics(labelled, id_col, text_col), "statistics"), labels, bound=bound), docs.columns.index(text_col)
+    chosen = sampled(labels, "quality", bound)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    labelled = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"), "left_semi")  # the sample is of bounded size
+    rules, at = learn_rules(with_statistics(labelled), chosen), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

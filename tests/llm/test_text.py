@@ -77,6 +77,81 @@ def test_a_rule_needs_purity():
     assert (hit & ~bad).sum() <= 3 and (hit & bad).sum() >= 0.95 * bad.sum()
 
 
+def brute_list(x, bad, turn):
+    """Sequential covering row by row: grown by information gain, pruned from the end, until a rule is not pure enough."""
+    names, rows, out = list(x), list(zip(*x.values(), strict=True)), []
+    hit = lambda rule, r: all((r[names.index(k)] > c) if above else (r[names.index(k)] <= c) for k, above, c in rule)
+    left = list(range(len(rows)))
+    while True:
+        grown, held = [i for i in left if turn[i] % 3], [i for i in left if turn[i] % 3 == 0]
+        if not any(bad[i] for i in grown):
+            return out
+        rule, inside = [], grown
+        while not all(bad[i] for i in inside):
+            p0, best = sum(map(bool, (bad[i] for i in inside))), (1e-9, None)
+            n0 = len(inside) - p0
+            for j, k in enumerate(names):
+                v, y = np.array([rows[i][j] for i in inside]), np.array([bad[i] for i in inside])
+                cuts = np.unique(np.quantile(v, np.linspace(0, 1, quality_rules.CUTS + 1)[1:-1]))
+                cuts = np.unique(np.concatenate((cuts, np.quantile(v[y], np.linspace(0, 1, 9)) - 1e-9)))
+                for above in (True, False):
+                    for c in cuts:
+                        on = [bad[i] for i in inside if (rows[i][j] > c) == above]
+                        p, n = sum(on), len(on) - sum(on)
+                        gain = p * (np.log2((p + 1) / (p + n + 2)) - np.log2((p0 + 1) / (p0 + n0 + 2)))
+                        if gain > best[0] + 1e-12:
+                            best = (gain, (k, above, c))
+            if best[1] is None:
+                break
+            k, above, c = best[1]
+            v = [rows[i][names.index(k)] for i in inside]
+            rule.append((k, above, (max(a for a in v if a <= c) + min(a for a in v if a > c)) / 2))
+            inside = [i for i in grown if hit(rule, rows[i])]
+        worth = lambda r: (lambda on: (2 * sum(on) - len(on)) / (len(on) + 1))([bad[i] for i in held if hit(r, rows[i])])
+        rule = max((rule[:k] for k in range(1, len(rule) + 1)), key=lambda r: (worth(r), -len(r)), default=[])
+        covered = [i for i in left if hit(rule, rows[i])]
+        on = [bad[i] for i in covered if turn[i] % 3 == 0]
+        wrong = sum(not bad[i] for i in covered if turn[i] % 3)
+        if not rule or len(covered) < quality_rules.MIN_COVER or not sum(on) or (sum(on) + 1) / (len(on) + 1) < quality_rules.MIN_PURITY or wrong > 0.05 * len(covered):
+            return out
+        out.append(rule)
+        left = [i for i in left if i not in set(covered)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_learning_against_covering_row_by_row(seed):
+    rng = np.random.default_rng(seed)
+    n = 240
+    x = {k: np.round(rng.random(n), 2) for k in "abc"}
+    bad = (x["a"] > 0.8) | ((x["b"] < 0.3) & (x["c"] > 0.5)) | (rng.random(n) < 0.02 * seed)
+    turn = rng.integers(0, 999, n)
+    got, want = quality_rules.learn(x, bad, turn), brute_list(x, bad.tolist(), turn.tolist())
+    assert [[(k, above, round(float(c), 9)) for k, above, c in r] for r in got] == [[(k, above, round(float(c), 9)) for k, above, c in r] for r in want] and (seed > 1 or got)
+
+
+def test_many_kinds_of_bad_rows_give_as_many_rules():
+    rng = np.random.default_rng(3)
+    kinds, each = 20, 60
+    x = {f"v{k}": rng.random(kinds * each * 2) for k in range(kinds)}
+    bad = np.zeros(kinds * each * 2, bool)
+    for k in range(kinds):
+        at = slice(k * each, (k + 1) * each)
+        x[f"v{k}"][at], bad[at] = 5 + rng.random(each), True
+    rules = quality_rules.learn(x, bad, rng.integers(0, 999, len(bad)))
+    assert len(rules) > 12 and np.any([quality_rules.covers(r, x, len(bad)) for r in rules], axis=0)[bad].mean() > 0.95
+
+
+@pytest.mark.parametrize("bound", [60, 20_000])
+def test_both_ways_learn_one_list(spark, bound):
+    rng = random.Random(2)
+    clean = [" ".join(f"word{rng.randrange(5000)}" for _ in range(80)) for _ in range(90)]
+    bad = [" ".join(f"word{rng.randrange(5000)}***" for _ in range(80)) for _ in range(60)]
+    docs = corpus(spark, clean + bad + ["short"] * 60, [(3, clean[3], "en", "s", 0)] * 30).withColumn("wanted_id", F.lit(1)).withColumn("labelled_id", F.lit(2))
+    labels = spark.createDataFrame([(i, int(i < 90), 0) for i in range(400)], "doc_id long, quality int, toxic int")  # some of documents that are not there
+    judged = sorted((r.doc_id for r in quality_rules.judge(docs, labels, bound=bound).filter("kept").collect()))
+    assert judged == sorted(r.doc_id for r in quality_rules.keep_good(docs, labels, bound=bound).collect()) and 3 in judged
+
+
 # Line dedup
 
 
@@ -359,5 +434,28 @@ def test_classifier_on_held_out_rows(spark):
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
     again = classifier.score(docs.repartition(7), classifier.fit(docs.repartition(5), labels.filter(~classifier.held_out(F.col("doc_id"))))).collect()
     assert {(r.doc_id, r.score) for r in again} == {(r.doc_id, r.score) for r in rows}
+    hot = docs.unionByName(spark.createDataFrame([(7, clean[7], "en", "s", 0)] * 500, SCHEMA).withColumn("score", F.lit("x")).withColumn("label", F.lit(0)))
+    assert np.array_equal(classifier.fit(hot.repartition(3), labels), classifier.fit(docs, labels))
     blank = classifier.score(docs, classifier.fit(docs, labels.limit(0)))
     assert {r.score for r in blank.collect()} == {0.5} and classifier.score(docs.limit(0), weights).count() == 0
+
+
+def test_training_against_one_weight_at_a_time():
+    """The same updates in plain numbers, slot by slot."""
+    rng = np.random.default_rng(1)
+    rows = [(rng.integers(0, 30, rng.integers(0, 12)), int(rng.random() < 0.5)) for _ in range(60)]
+    z, n, c = {}, {}, classifier
+    weight = lambda i: 0.0 if abs(z.get(i, 0.0)) <= c.L1 else -(z[i] - np.sign(z[i]) * c.L1) / ((c.BETA + n[i] ** 0.5) / c.ALPHA + c.L2)
+    good = sum(y for _, y in rows)
+    constant = np.log((good + 1) / (len(rows) - good + 1))
+    for _ in range(c.EPOCHS):
+        for slots, y in rows:
+            x = {i: k * c.SCALE / max(1, len(slots)) for i, k in Counter(slots.tolist()).items()}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-(constant + sum(w[i] * v for i, v in x.items()))))
+            for i, v in x.items():
+                g = (p - y) * v
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / c.ALPHA
+                z[i], n[i] = z.get(i, 0.0) + g - sigma * w[i], n.get(i, 0.0) + g * g
+    got = c.train(rows)
+    assert np.allclose(got[:30], [weight(i) if i in z else 0.0 for i in range(30)], atol=1e-4) and not got[30:-1].any() and abs(got[-1] - constant) < 1e-6
