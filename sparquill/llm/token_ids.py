@@ -1,6 +1,6 @@
 """Token ids of a corpus in shard files, each one wavelet matrix.
 
-Documents are range-partitioned and sorted by id, encoded, and written in shards of about `shard_tokens` tokens, each
+Documents are range-partitioned and sorted by id and text hash (rows equal in both may part anywhere), encoded, and written in shards of about `shard_tokens` tokens, each
 document followed by the end id. A shard file holds the sequence as a wavelet matrix: one bit plane for each bit of an
 id, from the highest, in which the sequence is stably parted by the bits above; planes are compressed one by one. With
 the planes' rank directory (rebuilt on opening) the file answers access, rank, count and select without the ids ever
@@ -8,8 +8,12 @@ being stored otherwise, and gives the whole sequence back in one pass a plane.
 
 Files carry a random name and only those in the manifest of finished tasks count, so retried tasks do no harm.
 
-Defined results: a null text is an empty one (its only token is the end id); null ids come first; repeated rows are
-encoded once each, rows of equal id in no fixed order; an empty table gives no file.
+Tokens are looked up over the manifest: `token_counts` and `occurrences` ask each file's matrix, `tokens_at` joins wanted
+positions with the shards that hold them and asks those alone.
+
+Defined results: a null text is an empty one (its only token is the end id); null ids come first; ids may be of any type
+that sorts; repeated rows are encoded once each, rows of equal id in order of their text's hash; an empty table gives no
+file; a position that no shard holds gives no row, one wanted twice gives two.
 """
 
 from __future__ import annotations
@@ -32,8 +36,10 @@ from pyspark.sql import functions as F
 
 from sparquill.llm.common import fresh_path, read_file, slices, stage, write_file
 
-SHARD_TOKENS, END_ID, MAX_READERS, READER_SHARDS = 1 << 20, 2, 20_000, 4
-MAGIC = b"WVMX1\n"
+SHARD_TOKENS, END_ID, MAX_READERS, READER_SHARDS = 1 << 22, 2, 20_000, 4
+MAGIC = b"WVMX2\n"
+#: Positions are looked up by stretches of so many tokens.
+STRETCH = 1 << 20
 #: A worker remembers the ids of this many pieces, and of as many that it met before them.
 CACHE = 500_000
 _ENCODERS: dict[str, Encoder] = {}
@@ -231,15 +237,18 @@ class WaveletMatrix:
         return at
 
 
-def pack(ids: np.ndarray, doc_ids: list, sizes: list[int]) -> bytes:
-    """A shard file: magic, length and JSON of the header, then compressed document ids, sizes and planes."""
-    matrix, press = WaveletMatrix.build(ids), zstandard.ZstdCompressor(level=1).compress
-    parts = [press(json.dumps(doc_ids).encode()), press(np.array(sizes, "<u8").tobytes()), *(press(p.tobytes()) for p in matrix.planes)]
+def pack(ids: np.ndarray, doc_ids: list, sizes: list[int], kind: pa.DataType | None = None) -> bytes:
+    """A shard file: magic, length and JSON of the header, then compressed document ids (as an Arrow stream), sizes, planes."""
+    matrix, press, names = WaveletMatrix.build(ids), zstandard.ZstdCompressor(level=1).compress, pa.BufferOutputStream()
+    batch = pa.record_batch([pa.array(doc_ids, kind)], ["doc_id"])
+    with pa.ipc.new_stream(names, batch.schema) as out:
+        out.write_batch(batch)
+    parts = [press(names.getvalue().to_pybytes()), press(np.array(sizes, "<u8").tobytes()), *(press(p.tobytes()) for p in matrix.planes)]
     head = json.dumps({"tokens": len(ids), "zeros": matrix.zeros, "parts": [len(p) for p in parts]}).encode()
     return MAGIC + struct.pack("<I", len(head)) + head + b"".join(parts)
 
 
-def unpack(data: bytes) -> tuple[WaveletMatrix, list, np.ndarray]:
+def unpack(data: bytes) -> tuple[WaveletMatrix, pa.Array, np.ndarray]:
     """The matrix of a shard file, its document ids and their sizes in tokens."""
     if not data.startswith(MAGIC):
         raise ValueError("not a shard file")
@@ -250,26 +259,31 @@ def unpack(data: bytes) -> tuple[WaveletMatrix, list, np.ndarray]:
         parts.append(open_(data[at : at + size]))
         at += size
     planes = [np.frombuffer(p, np.uint8) for p in parts[2:]]
-    return WaveletMatrix(head["tokens"], planes, head["zeros"]), json.loads(parts[0]), np.frombuffer(parts[1], "<u8").astype(np.int64)
+    names = pa.ipc.open_stream(parts[0]).read_all().column(0).combine_chunks()
+    return WaveletMatrix(head["tokens"], planes, head["zeros"]), names, np.frombuffer(parts[1], "<u8").astype(np.int64)
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS, folder: str | None = None) -> DataFrame:
-    """Encodes and writes all documents; returns the staged manifest (part, seq, path, n_docs, n_tokens) in corpus order."""
+    """Encodes and writes all documents; returns the staged manifest (part, seq, path, n_docs, n_tokens, first_id) in corpus
+    order."""
     folder = folder or fresh_path(docs.sparkSession, "tokens")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = (F.col("doc_id"), F.xxhash64("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = rows.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        part, seq, ids, names, sizes, total = context.partitionId(), 0, [], [], [], 0
+        part, seq, ids, names, sizes, total, kind = context.partitionId(), 0, [], [], [], 0, None
         encode = encoder(tokenizer_path)
         end, width = np.array([end_id], encode.kind).tobytes(), np.dtype(encode.kind).itemsize
 
         def flush() -> pa.RecordBatch:
             path = f"{folder}/{part:06d}-{seq:06d}-{context.taskAttemptId()}.wvm"
-            write_file(path, pack(np.frombuffer(b"".join(ids), encode.kind), names, sizes))
-            return pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "path": [path], "n_docs": [len(names)], "n_tokens": [total]})
+            write_file(path, pack(np.frombuffer(b"".join(ids), encode.kind), names, sizes, kind))
+            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([seq]), pa.array([path]), pa.array([len(names)]), pa.array([total]), pa.array(names[:1], kind)], ["part", "seq", "path", "n_docs", "n_tokens", "first_id"])
 
         for whole in batches:
+            kind = whole.schema.field(0).type
             for batch in slices(whole, 1):
                 coded = encode.encode([x or "" for x in batch.column(1).to_pylist()])
                 for name, x in zip(batch.column(0).to_pylist(), coded, strict=True):
@@ -283,13 +297,25 @@ def write_shards(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         if names:
             yield flush()
 
-    return stage(rows.mapInArrow(run, "part long, seq long, path string, n_docs long, n_tokens long"), "manifest")
+    return stage(rows.mapInArrow(run, f"part long, seq long, path string, n_docs long, n_tokens long, first_id {rows.schema['doc_id'].dataType.simpleString()}"), "manifest")
+
+
+def _files(manifest: DataFrame) -> DataFrame:
+    """(path, base, n_tokens), a row a shard; base is the number of tokens before it. A part's tokens are summed first, so
+    that only one row a part is in the running sum."""
+    parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
+    before = F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("part", F.coalesce(before, F.lit(0)).alias("ahead"))
+    inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
+    return manifest.withColumn("inside", F.coalesce(inside, F.lit(0))).join(parts, "part").select("path", (F.col("ahead") + F.col("inside")).alias("base"), "n_tokens")
+
+
+def _readers(manifest: DataFrame) -> int:
+    return max(1, min(-(-manifest.count() // READER_SHARDS), MAX_READERS))
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, shard) of every document, read back from the shard files."""
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # a row a shard
-    files = manifest.select("path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,7 +323,57 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 matrix, names, sizes = unpack(read_file(path))
                 data, ends = matrix.sequence().astype("<u4"), np.cumsum(sizes)
                 crc = [zlib.crc32(data[e - n : e].tobytes()) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(base + ends - sizes), pa.array(sizes), pa.array(crc, pa.int64()), pa.array([path.rsplit("/", 1)[1]] * len(names))], ["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
+                yield pa.RecordBatch.from_arrays([names, pa.array(base + ends - sizes), pa.array(sizes), pa.array(crc, pa.int64()), pa.array([path.rsplit("/", 1)[1]] * len(names))], ["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
+
+    kind = manifest.schema["first_id"].dataType.simpleString()
+    return _files(manifest).repartition(_readers(manifest), "path").mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long, shard string")
+
+
+def token_counts(manifest: DataFrame, tokens: Iterable[int]) -> DataFrame:
+    """(token, n): how often the corpus holds each of some tokens, by two ranks a plane and shard."""
+    wanted = sorted(set(tokens))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                matrix = unpack(read_file(path))[0]
+                yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array([matrix.count(t) for t in wanted], pa.int64())], ["token", "n"])
+
+    counted = manifest.select("path").repartition(_readers(manifest), "path").mapInArrow(run, "token long, n long")
+    every = manifest.sparkSession.createDataFrame([(t, 0) for t in wanted], "token long, n long")
+    return counted.union(every).groupBy("token").agg(F.sum("n").alias("n"))
 
-    readers = max(1, min(-(-manifest.count() // READER_SHARDS), MAX_READERS))
-    return files.repartition(readers, "path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, shard string")
+
+def occurrences(manifest: DataFrame, token: int) -> DataFrame:
+    """(doc_id, position): every place of a token in the corpus, by select in each shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, base in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                matrix, names, sizes = unpack(read_file(path))
+                n = matrix.count(token)
+                for lo in range(0, n, 1 << 16):
+                    at = np.array([matrix.select(token, j) for j in range(lo, min(n, lo + (1 << 16)))], np.int64)
+                    yield pa.RecordBatch.from_arrays([names.take(pa.array(np.searchsorted(np.cumsum(sizes), at, side="right"))), pa.array(base + at)], ["doc_id", "position"])
+
+    return _files(manifest).repartition(_readers(manifest), "path").mapInArrow(run, f"doc_id {manifest.schema['first_id'].dataType.simpleString()}, position long")
+
+
+def tokens_at(manifest: DataFrame, positions: DataFrame) -> DataFrame:
+    """(position, token) for positions (position long) of the corpus: each shard that holds some is opened in as many tasks
+    as its stretches are dealt to, and each position is one access."""
+    files = _files(manifest).withColumn("stretch", F.explode(F.sequence(F.expr(f"base div {STRETCH}"), F.expr(f"(base + n_tokens - 1) div {STRETCH}"))))
+    asked = positions.select("position", F.expr(f"position div {STRETCH}").alias("stretch"))
+    held = asked.join(files, "stretch").filter("position >= base and position < base + n_tokens").select("path", "base", "position")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, matrix = None, None
+        for batch in batches:
+            found = []
+            for of, base, position in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if of != path:
+                    path, matrix = of, unpack(read_file(of))[0]
+                found.append(matrix.access(position - base))
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(found, pa.int64())], ["position", "token"])
+
+    return held.repartition("path", F.expr(f"position div {STRETCH // 16}")).sortWithinPartitions("path").mapInArrow(run, "position long, token long")

@@ -25,7 +25,7 @@ def test_wavelet_matrix_answers_like_the_plain_sequence():
     for ids in (rng.integers(0, 50257, 3000), np.zeros(5), np.array([7]), np.empty(0)):
         ids = ids.astype(np.uint16)
         m, names, sizes = token_ids.unpack(token_ids.pack(ids, [1, None], [len(ids), 0]))
-        assert (m.sequence() == ids).all() and names == [1, None] and sizes.tolist() == [len(ids), 0]
+        assert (m.sequence() == ids).all() and names.to_pylist() == [1, None] and sizes.tolist() == [len(ids), 0]
         assert [m.access(i) for i in range(0, len(ids), 97)] == ids[::97].tolist()
         for token in {*ids[:3].tolist(), 60000}:
             at = np.flatnonzero(ids == token)
@@ -74,6 +74,30 @@ def test_token_shards_round_trip(spark, tokenizer_path):
     assert token_ids.read_shards(token_ids.write_shards(docs.limit(0), tokenizer_path)).count() == 0
 
 
+def test_look_ups_over_the_manifest(spark, tokenizer_path):
+    docs = spark.createDataFrame([(f"d{i % 5}", t) for i, t in enumerate(TEXTS)] + [("hot", "same text")] * 60 + [(None, "of no id")], "doc_id string, text string").repartition(4)
+    manifest = token_ids.write_shards(docs, tokenizer_path, shard_tokens=40)
+    rows = token_ids.read_shards(manifest).orderBy("start").collect()
+    tok = token_ids.Encoder(tokenizer_path).tokenizer
+    plain, owner = [], []
+    by_crc = {}
+    for t in {t or "" for t in TEXTS} | {"same text", "of no id"}:
+        x = [*tok.encode(t, add_special_tokens=False).ids, 2]
+        by_crc[zlib.crc32(np.array(x, "<u4").tobytes())] = x
+    for r in rows:
+        assert r.start == len(plain)
+        plain += by_crc[r.ids_crc32]
+        owner += [r.doc_id] * r.n_tokens
+    again = token_ids.read_shards(token_ids.write_shards(docs.repartition(7), tokenizer_path)).orderBy("start").collect()
+    assert [(r.doc_id, r.start, r.ids_crc32) for r in again] == [(r.doc_id, r.start, r.ids_crc32) for r in rows]
+    wanted = [2, plain[0], plain[40], 49_999]
+    assert {r.token: r.n for r in token_ids.token_counts(manifest, wanted).collect()} == {t: plain.count(t) for t in wanted}
+    for t in wanted:
+        assert sorted((r.position, r.doc_id) for r in token_ids.occurrences(manifest, t).collect()) == [(i, owner[i]) for i, x in enumerate(plain) if x == t]
+    asked = spark.createDataFrame([(i,) for i in [*range(0, len(plain), 7), 7, -1, len(plain)]], "position long")
+    assert sorted(map(tuple, token_ids.tokens_at(manifest, asked).collect())) == sorted((i, plain[i]) for i in [*range(0, len(plain), 7), 7])
+
+
 LONG = "x" * 150
 PAGES = [(1, "http://a/", LONG), (2, None, LONG), (3, "http://b/\r\n", "short"), (4, "http://c/", "short"), (None, "http://d/", LONG), (5, "http://e/", None), (6, "http://f/", "é" * 60), (7, "http://g/", "é" * 60), (7, "http://g/", "é" * 60), (8, "u", ""), (None, "u", "z" * 100), (None, "u", "z" * 100), (9, "u", "long " * 100_000)]
 
