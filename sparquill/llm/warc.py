@@ -7,7 +7,7 @@ it comes; a wrong length, a wrong digest or bytes after a record raise ValueErro
 
 Files carry a random name and only those in the manifest of finished tasks count, so retried tasks do no harm.
 
-Defined results: a null html is an empty payload; a null url gives no target; of rows that share the smallest page_id and
+Defined results: a null html is an empty payload; a null url gives no target, any other is given back as it was; of rows that share the smallest page_id and
 payload all are responses; a null page_id never is the response that others refer to while another has an id, and where
 all are null each is a response; an empty table gives no file.
 """
@@ -19,6 +19,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +29,8 @@ from sparquill.llm.common import fresh_path, open_fs, stage, text_bytes
 
 LEAST_BYTES, FILE_BYTES, CHUNK, MAX_READERS = 100, 1 << 30, 1 << 16, 20_000
 DATE = "1970-01-01T00:00:00Z"
+#: A field of records whose target is percent-encoded, since it holds line ends, outer blanks or other unprintable signs.
+QUOTED = "Target-URI-Quoted"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -47,7 +50,8 @@ def member(page_id: int | None, url: str | None, payload: bytes, digest: str, re
         "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}",
     ]
     if url is not None:
-        head.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A") if "\r" in url or "\n" in url else f"WARC-Target-URI: {url}")
+        plain = url.isprintable() and url == url.strip()
+        head += [f"WARC-Target-URI: {url}"] if plain else [f"WARC-Target-URI: {quote(url, safe='/:?&=#')}", f"{QUOTED}: yes"]
     if page_id is not None:
         head.append(f"Page-ID: {page_id}")
     if revisit:
@@ -110,7 +114,7 @@ def read_records(stream: BinaryIO, keep_payload: bool = False) -> Iterator[tuple
         if lines[0] != "WARC/1.1":
             raise ValueError(f"not a WARC record: {lines[0]!r}")
         fields = _fields(lines)
-        block, payload, kept, size, http = hashlib.sha256(), hashlib.sha256(), [], 0, b""
+        block, payload, kept, size, seen, http = hashlib.sha256(), hashlib.sha256(), [], 0, 0, b""
         length, in_head = int(fields["content-length"]), True
         for piece in got.body(length):
             block.update(piece)
@@ -122,12 +126,15 @@ def read_records(stream: BinaryIO, keep_payload: bool = False) -> Iterator[tuple
                     continue
                 size = int(_fields(head.decode().split("\r\n"))["content-length"])
             payload.update(piece)
+            seen += len(piece)
             if keep_payload:
                 kept.append(piece)
         while got.more():
             pass
         if got.data != b"\r\n\r\n":
             raise ValueError("a record that does not end with its block")
+        if fields["warc-type"] == "response" and seen != size:
+            raise ValueError(f"an HTTP Content-Length of {size} before {seen} bytes in {fields['warc-record-id']}")
         claimed = fields["warc-payload-digest"].removeprefix("sha256:")
         if block.hexdigest() != fields["warc-block-digest"].removeprefix("sha256:") or fields["warc-type"] == "response" and payload.hexdigest() != claimed:
             raise ValueError(f"wrong digest in {fields['warc-record-id']}")
@@ -184,7 +191,8 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
                     for fields, size, digest, payload in read_records(stream, with_payload):
                         number = lambda k: int(fields[k]) if k in fields else None  # noqa: E731, B023
                         kind = fields["warc-type"]
-                        rows.append((number("page-id"), fields.get("warc-target-uri"), size, digest, kind, number("refers-to-page-id"), payload.decode() if with_payload and kind == "response" else None))
+                        url = fields.get("warc-target-uri")
+                        rows.append((number("page-id"), unquote(url) if QUOTED.lower() in fields else url, size, digest, kind, number("refers-to-page-id"), payload.decode() if with_payload and kind == "response" else None))
                         held += len(payload)
                         if len(rows) >= 10_000 or held > 1 << 23:
                             yield _batch(rows)
