@@ -4,93 +4,129 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
-from sparquill.functions.text import TOKEN, first_held, number
+from sparquill.functions.text import TOKEN, first_held, number, strip
 
-SECTION_DEPTH = 2
+TABLES = "array<struct<title:string,rows:array<struct<cells:array<string>>>>>"
 
 
-def section_type(depth: int = SECTION_DEPTH) -> str:
+def section_type(depth: int) -> str:
     """DDL of a section with subsections unrolled to a depth."""
-    kids = f", subsections ARRAY<{section_type(depth - 1)}>" if depth else ""
-    return f"STRUCT<title: STRING, level: INT, paragraphs: ARRAY<STRING>, tables: ARRAY<STRUCT<title: STRING, rows: ARRAY<STRUCT<cells: ARRAY<STRING>>>>>{kids.replace('subsections ARRAY', 'subsections: ARRAY')}>"
+    kids = f", subsections: ARRAY<{section_type(depth - 1)}>" if depth else ""
+    return f"STRUCT<title: STRING, level: INT, paragraphs: ARRAY<STRING>, tables: ARRAY<STRUCT<title: STRING, rows: ARRAY<STRUCT<cells: ARRAY<STRING>>>>>{kids}>"
 
 
-def document_schema(depth: int = SECTION_DEPTH) -> str:
+def document_schema(depth: int) -> str:
+    """DDL of documents with sections of a known depth; without it the reader infers the depth that the files have."""
     return f"city STRING, year INT, title STRING, pages ARRAY<STRUCT<page_num: INT, sections: ARRAY<{section_type(depth)}>>>, metrics ARRAY<STRUCT<name: STRING, value: DOUBLE, unit: STRING, page: INT>>"
 
 
 def slug(text: Column, length: int) -> Column:
-    return F.substring(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", "_"), 1, length)
+    return F.substring(F.replace(F.lower(text), F.lit(" "), F.lit("_")), 1, length)
 
 
 def _node(root: Column, kind: str, path: Column) -> Column:
     return F.concat_ws(":", root, F.lit(kind), path)
 
 
-def sections(docs: DataFrame, depth: int = SECTION_DEPTH) -> DataFrame:
-    """Every section of (root, pages) at every depth: root, page, path, parent, level, pos, section."""
-    pages = docs.select("root", F.explode("pages").alias("p")).select("root", F.col("p.page_num").alias("page"), F.col("p.sections").alias("kids"))
-    level = pages.select("root", "page", F.posexplode("kids").alias("pos", "section")).withColumn("path", F.concat_ws("_", F.concat(F.lit("p"), F.col("page").cast("string")), slug(F.col("section.title"), 30)))
-    level = level.select("root", "page", "pos", "path", _node(F.col("root"), "PAGE", F.col("page").cast("string")).alias("parent"), F.col("section"))
-    out = []
-    for d in range(depth + 1):
-        out.append(level.select("root", "page", "pos", "path", "parent", F.lit(d).alias("depth"), F.col("section.title").alias("title"), F.col("section.level").alias("level"), F.col("section.paragraphs").alias("paragraphs"), F.col("section.tables").alias("tables")))
-        if d == depth or "subsections" not in level.schema["section"].dataType.fieldNames():
-            break
-        kids = level.select("root", "page", F.col("path").alias("above"), F.posexplode("section.subsections").alias("pos", "section"))
-        level = kids.select("root", "page", "pos", F.concat_ws("_", "above", slug(F.col("section.title"), 30)).alias("path"), _node(F.col("root"), "SECTION", F.col("above")).alias("parent"), "section")
-    rows = out[0]
-    for more in out[1:]:
-        rows = rows.unionByName(more)
-    return rows
-
-
-def document_graph(docs: DataFrame, depth: int = SECTION_DEPTH, paragraph_least: int = 50) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges of documents (city, year, title, pages, metrics): DOC, PAGE, SECTION, PARA, TABLE, ROW, METRIC;
-    HAS_PAGE, HAS_SECTION, HAS_PARA, HAS_TABLE, HAS_ROW, and NEXT between neighbouring pages and sibling sections. Metrics
-    have no edge. Paragraphs of paragraph_least characters or fewer are left out; repeated ids are not merged."""
+def _kids(kind: DataType, name: str) -> StructType | None:
+    """The struct type of the members of an array field; None where the schema has no such field or only empty ones."""
+    found = kind[name].dataType if isinstance(kind, StructType) and name in kind.fieldNames() else None
+    return found.elementType if isinstance(found, ArrayType) and isinstance(found.elementType, StructType) else None
+
+
+def _field(of: Column, kind: StructType, name: str, like: str) -> Column:
+    return of[name].cast(like) if name in kind.fieldNames() else F.lit(None).cast(like)
+
+
+def _tables(section: Column, kind: StructType) -> Column:
+    """A section's tables in one form, whatever fields and order the schema has."""
+    table = _kids(kind, "tables")
+    if table is None:
+        return F.lit(None).cast(TABLES)
+    row = _kids(table, "rows")
+    rows = lambda t: F.transform(t["rows"], lambda r: F.struct(_field(r, row, "cells", "array<string>").alias("cells"))) if row is not None else F.lit(None).cast("array<struct<cells:array<string>>>")
+    return F.transform(section["tables"], lambda t: F.struct(_field(t, table, "title", "string").alias("title"), rows(t).alias("rows")))
+
+
+def sections(docs: DataFrame) -> DataFrame:
+    """Every section of (root, pages), as deep as the schema goes: root, page, path, parent, place (of its
+    list: the page's and the sections' positions above), depth, pos, title, level, paragraphs, tables. A section's path is those of the ones above and its own slug, joined by colons."""
+    page, kind = docs.schema["pages"].dataType.elementType, _kids(docs.schema["pages"].dataType.elementType, "sections")
+    none = "root string, page int, path string, parent string, place array<int>, depth int, pos int, title string, level int, paragraphs array<string>, tables " + TABLES
+    if kind is None:
+        return docs.sparkSession.createDataFrame([], none)
+    pages = docs.select("root", F.posexplode("pages").alias("at", "p")).select("root", F.array("at").alias("place"), _field(F.col("p"), page, "page_num", "int").alias("page"), F.col("p.sections").alias("kids"))
+    level = pages.select("root", "page", "place", F.lit("").alias("above"), _node(F.col("root"), "PAGE", F.col("page").cast("string")).alias("parent"), F.posexplode("kids").alias("pos", "s"))
+    rows, depth = None, 0
+    while True:
+        title = _field(F.col("s"), kind, "title", "string")
+        path = F.concat_ws(":", F.nullif(F.col("above"), F.lit("")), slug(F.coalesce(title, F.concat(F.lit("section_"), F.col("pos").cast("string"))), 30))
+        level = level.withColumn("path", path)
+        found = level.select(
+            "root", "page", "path", "parent", "place", F.lit(depth).alias("depth"), "pos", F.coalesce(title, F.lit("")).alias("title"), F.coalesce(_field(F.col("s"), kind, "level", "int"), F.lit(1)).alias("level"),
+            _field(F.col("s"), kind, "paragraphs", "array<string>").alias("paragraphs"), _tables(F.col("s"), kind).alias("tables"),
+        )
+        rows = found if rows is None else rows.unionByName(found)
+        below = _kids(kind, "subsections")
+        if below is None:
+            return rows
+        level = level.select("root", "page", F.concat("place", F.array("pos")).alias("place"), F.col("path").alias("above"), _node(F.col("root"), "SECTION", F.col("path")).alias("parent"), F.posexplode("s.subsections").alias("pos", "s"))
+        kind, depth = below, depth + 1
+
+
+def document_graph(docs: DataFrame, paragraph_least: int = 50) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges (source, target, edge_type, context) of documents (city, year, title, pages, metrics): DOC, PAGE,
+    SECTION, PARA, TABLE, ROW, METRIC; HAS_PAGE, HAS_SECTION, HAS_PARA, HAS_TABLE, HAS_ROW, and NEXT between neighbouring
+    pages and sibling sections, at any depth. Metrics have a parent but no edge. Paragraphs of paragraph_least characters
+    or fewer are no nodes of their own; repeated ids are not merged."""
     base = docs.withColumn("root", F.concat_ws(":", "city", F.col("year").cast("string")))
     none = F.lit(None)
-    found = sections(base, depth).withColumn("node_id", _node(F.col("root"), "SECTION", F.col("path")))
+    found = sections(base).withColumn("node_id", _node(F.col("root"), "SECTION", F.col("path")))
 
-    def node(df: DataFrame, ident: Column, kind: str, title: Column, text: Column, page: Column, parent: Column, level=none, row_count=none, cells=none, value=none, unit=none) -> DataFrame:
-        meta = F.struct(level.cast("int").alias("level"), row_count.cast("int").alias("row_count"), cells.cast("array<string>").alias("cells"), value.cast("double").alias("value"), unit.cast("string").alias("unit"))
-        return df.select(ident.alias("node_id"), F.lit(kind).alias("node_type"), title.alias("title"), text.alias("text"), page.cast("int").alias("page_num"), parent.cast("string").alias("parent_id"), meta.alias("metadata"))
+    def node(df: DataFrame, ident: Column, kind: str, title: Column, text: Column, page: Column, parent: Column, context: Column = none, pages=none, level=none, row_count=none, cells=none, value=none, unit=none) -> DataFrame:
+        meta = F.struct(pages.cast("int").alias("total_pages"), level.cast("int").alias("level"), row_count.cast("int").alias("row_count"), cells.cast("array<string>").alias("cells"), value.cast("double").alias("value"), unit.cast("string").alias("unit"))
+        return df.select(ident.alias("node_id"), F.lit(kind).alias("node_type"), "city", F.col("year").cast("int").alias("year"), title.alias("title"), text.alias("text"), page.cast("int").alias("page_num"), parent.cast("string").alias("parent_id"), meta.alias("metadata"), context.cast("string").alias("context"))
 
+    place = base.select("root", "city", "year").distinct()
+    of = lambda df: df.join(place, "root")
     doc_id = _node(F.col("root"), "DOC", F.lit("root"))
-    doc = node(base, doc_id, "DOC", F.col("title"), F.lit(""), none, none)
-    page_rows = base.select("root", F.posexplode("pages").alias("pos", "p"))
-    page_id = _node(F.col("root"), "PAGE", F.col("p.page_num").cast("string"))
-    pages = node(page_rows, page_id, "PAGE", F.concat(F.lit("Page "), F.col("p.page_num").cast("string")), F.lit(""), F.col("p.page_num"), doc_id)
-    secs = node(found, F.col("node_id"), "SECTION", F.col("title"), F.lit(""), F.col("page"), F.col("parent"), level=F.col("level"))
-    paras_in = found.select("root", "page", "node_id", "path", "title", F.posexplode("paragraphs").alias("i", "body")).filter(F.length(F.trim("body")) > paragraph_least)
-    paras = node(paras_in, _node(F.col("root"), "PARA", F.concat_ws("_", "path", F.col("i").cast("string"))), "PARA", F.col("title"), F.col("body"), F.col("page"), F.col("node_id"))
-    tables_in = found.select("root", "page", "node_id", "path", F.posexplode("tables").alias("t", "tab")).withColumn("tpath", F.concat_ws("_", "path", F.col("t").cast("string"), slug(F.col("tab.title"), 20)))
-    table_id = _node(F.col("root"), "TABLE", F.col("tpath"))
-    tables = node(tables_in, table_id, "TABLE", F.col("tab.title"), F.lit(""), F.col("page"), F.col("node_id"), row_count=F.size("tab.rows"))
-    rows_in = tables_in.select("root", "page", "tpath", table_id.alias("table_id"), F.posexplode("tab.rows").alias("r", "row"))
-    row_id = _node(F.col("root"), "ROW", F.concat_ws("_", "tpath", F.col("r").cast("string")))
-    rows = node(rows_in, row_id, "ROW", F.get("row.cells", F.lit(0)), F.array_join("row.cells", " | "), F.col("page"), F.col("table_id"), cells=F.col("row.cells"))
-    metrics_in = base.select("root", F.explode("metrics").alias("m"))
-    metrics = node(metrics_in, _node(F.col("root"), "METRIC", slug(F.col("m.name"), 30)), "METRIC", F.col("m.name"), F.lit(""), F.col("m.page"), none, value=F.col("m.value"), unit=F.col("m.unit"))
-    nodes = doc.unionByName(pages).unionByName(secs).unionByName(paras).unionByName(tables).unionByName(rows).unionByName(metrics)
+    doc = node(base, doc_id, "DOC", F.col("title"), F.lit(""), none, none, pages=F.size(F.coalesce("pages", F.array().cast(base.schema["pages"].dataType))))
+    page_rows = base.select("root", "city", "year", F.posexplode("pages").alias("pos", "p"))
+    page_name = F.col("p.page_num").cast("string")
+    page_id = _node(F.col("root"), "PAGE", page_name)
+    pages = node(page_rows, page_id, "PAGE", F.concat(F.lit("Sivu "), page_name), F.lit(""), F.col("p.page_num"), doc_id, F.concat(F.lit("Page "), page_name))
+    secs = node(of(found), F.col("node_id"), "SECTION", F.col("title"), F.coalesce(F.array_join("paragraphs", "\n"), F.lit("")), F.col("page"), F.col("parent"), F.col("title"), level=F.col("level"))
+    paras_in = of(found.select("root", "page", "node_id", "path", F.posexplode("paragraphs").alias("i", "body")).filter(F.length(strip(F.col("body"))) > paragraph_least))
+    at = F.col("i").cast("string")
+    paras = node(paras_in, _node(F.col("root"), "PARA", F.concat("path", F.lit(":p"), at)), "PARA", F.lit(""), F.col("body"), F.col("page"), F.col("node_id"), F.concat(F.lit("Paragraph "), at))
+    tables_in = found.select("root", "page", "node_id", "path", F.posexplode("tables").alias("t", "tab")).withColumn("name", F.coalesce("tab.title", F.concat(F.lit("table_"), F.col("t").cast("string"))))
+    tables_in = tables_in.withColumn("tpath", F.concat_ws(":", "path", slug(F.col("name"), 20))).withColumn("table_id", _node(F.col("root"), "TABLE", F.col("tpath")))
+    tables = node(of(tables_in), F.col("table_id"), "TABLE", F.col("name"), F.lit(""), F.col("page"), F.col("node_id"), F.col("name"), row_count=F.coalesce(F.size("tab.rows"), F.lit(0)))
+    rows_in = of(tables_in.select("root", "page", "tpath", "table_id", F.posexplode("tab.rows").alias("r", "row")))
+    at = F.col("r").cast("string")
+    rows = node(rows_in, _node(F.col("root"), "ROW", F.concat("tpath", F.lit(":r"), at)), "ROW", F.coalesce(F.get("row.cells", F.lit(0)), F.lit("")), F.coalesce(F.array_join("row.cells", " | "), F.lit("")), F.col("page"), F.col("table_id"), F.concat(F.lit("Row "), at), cells=F.col("row.cells"))
+    nodes = doc.unionByName(pages).unionByName(secs).unionByName(paras).unionByName(tables).unionByName(rows)
+    metric = _kids(base.schema, "metrics")
+    if metric is not None:
+        m, unit = F.col("m"), F.coalesce(_field(F.col("m"), metric, "unit", "string"), F.lit(""))
+        metrics_in = base.select("root", "city", "year", F.explode("metrics").alias("m"))
+        nodes = nodes.unionByName(node(metrics_in, _node(F.col("root"), "METRIC", m["name"]), "METRIC", m["name"], F.concat_ws(" ", m["value"].cast("string"), unit), _field(m, metric, "page", "int"), doc_id, value=m["value"], unit=unit))
     kinds = {"PAGE": "HAS_PAGE", "SECTION": "HAS_SECTION", "PARA": "HAS_PARA", "TABLE": "HAS_TABLE", "ROW": "HAS_ROW"}
     name = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
-    owned = nodes.filter("parent_id is not null").select(F.col("parent_id").alias("source"), F.col("node_id").alias("target"), F.element_at(name, F.col("node_type")).alias("edge_type"))
-    next_page = page_rows.select(F.lag(page_id).over(Window.partitionBy("root").orderBy("pos")).alias("source"), page_id.alias("target"))
-    next_section = found.select(F.lag("node_id").over(Window.partitionBy("parent").orderBy("pos")).alias("source"), F.col("node_id").alias("target"))
+    owned = nodes.filter(F.col("node_type").isin(*kinds)).select(F.col("parent_id").alias("source"), F.col("node_id").alias("target"), F.element_at(name, F.col("node_type")).alias("edge_type"), "context")
+    next_page = page_rows.select(F.lag(page_id).over(Window.partitionBy("root").orderBy("pos")).alias("source"), page_id.alias("target"), F.lit("Sequential pages").alias("context"))
+    next_section = found.select(F.lag("node_id").over(Window.partitionBy("root", "place").orderBy("pos")).alias("source"), F.col("node_id").alias("target"), F.lit("Sequential sections").alias("context"))
     following = next_page.union(next_section).filter("source is not null").withColumn("edge_type", F.lit("NEXT"))
-    return nodes, owned.unionByName(following)
+    return nodes.drop("context"), owned.unionByName(following)
 
 
 def table_rows(docs: DataFrame) -> DataFrame:
     """(page, section, table_title, row_name, value_2023, value_2022, row_idx) of rows of two or more cells in sections and
     their direct subsections."""
-    pages = docs.select(F.explode("pages").alias("p")).select(F.col("p.page_num").alias("page"), F.explode("p.sections").alias("s"))
-    below = pages.select("page", F.explode(F.coalesce("s.subsections", F.array())).alias("s")) if "subsections" in pages.schema["s"].dataType.fieldNames() else None
-    part = lambda df: df.select("page", F.col("s.title").alias("section"), F.explode("s.tables").alias("t"))
-    tables = part(pages) if below is None else part(pages).union(part(below))
+    found = sections(docs.withColumn("root", F.lit(""))).filter("depth <= 1")
+    tables = found.select("page", F.col("title").alias("section"), F.explode("tables").alias("t"))
     rows = tables.select("page", "section", F.col("t.title").alias("table_title"), F.posexplode("t.rows").alias("row_idx", "r")).filter(F.size("r.cells") >= 2)
     cell = lambda i: F.coalesce(F.get("r.cells", F.lit(i)), F.lit(""))
     return rows.select("page", "section", "table_title", cell(0).alias("row_name"), cell(1).alias("value_2023"), cell(2).alias("value_2022"), "row_idx")
@@ -100,16 +136,23 @@ def search_tables(questions: DataFrame, rows: DataFrame, key: str = "question_id
     """rows with key, points and rank: each word of a question (repeats counted) gives 2 points if the row's name holds it
     and 1 if the table's title does; rows without points are no hits; the best first, ties in the given order.
 
-    Names and titles are compared once each, not row by row, and a question's words as one array: the questions are the
-    stated small side and are broadcast when Spark finds them small.
+    Names and titles are compared once each, not row by row, and different words once each: texts are found by the first
+    one to three characters of a word, an equi-join, and then compared.
     """
-    asked = questions.select(key, F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0)).alias("words"))
-    held = lambda where: F.size(F.filter("words", lambda w: F.contains(F.lower(F.coalesce(F.col(where), F.lit(""))), w)))
+    words = questions.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0))).alias("word")).groupBy(key, "word").agg(F.count("*").alias("times"))
+    lead = words.select("word").distinct().withColumn("gram", F.substring("word", 1, 3))
     texts = rows.select("row_name", "table_title").distinct()
-    scored = asked.join(texts, F.exists("words", lambda w: F.contains(F.lower("row_name"), w) | F.contains(F.lower("table_title"), w)))
-    scored = scored.select(key, "row_name", "table_title", (2 * held("row_name") + held("table_title")).alias("points"))
+    body = F.lower(F.concat_ws("\n", F.coalesce("row_name", F.lit("")), F.coalesce("table_title", F.lit(""))))
+    at = F.sequence(F.lit(1), F.length("body"))
+    grams = F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(*[F.substring(F.col("body"), i, F.lit(n)) for n in (1, 2, 3)]))))
+    grams = texts.withColumn("body", body).filter(F.length("body") > 0).select("row_name", "table_title", F.explode(grams).alias("gram"))
+    held = lambda c: F.contains(F.lower(F.coalesce(F.col(c), F.lit(""))), F.col("word")).cast("int")
+    pairs = grams.join(lead, "gram").select("row_name", "table_title", "word", (2 * held("row_name") + held("table_title")).alias("worth")).filter("worth > 0")
+    scored = words.join(pairs, "word").groupBy(key, "row_name", "table_title").agg(F.sum(F.col("times") * F.col("worth")).cast("int").alias("points"))
     best = Window.partitionBy(key).orderBy(F.desc("points"), *order)
-    return rows.join(scored, ["row_name", "table_title"]).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most)
+    of = scored.select(key, F.col("row_name").alias("of_name"), F.col("table_title").alias("of_title"), "points")
+    same = F.col("row_name").eqNullSafe(F.col("of_name")) & F.col("table_title").eqNullSafe(F.col("of_title"))
+    return rows.join(of, same).drop("of_name", "of_title").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most)
 
 
 def abstain_signal(question: Column, signals: tuple[str, ...], verb: str = "vertaa", others: tuple[str, ...] = ("seinäj", "tamper")) -> Column:
@@ -163,3 +206,16 @@ def paraphrases(questions: DataFrame, synonyms: tuple[tuple[str, tuple[str, ...]
     first = F.row_number().over(Window.partitionBy(key, F.lower("new")).orderBy("at"))
     rows = rows.withColumn("nth", first).filter("nth = 1").withColumn("paraphrase_no", F.row_number().over(Window.partitionBy(key).orderBy("at")))
     return rows.filter(F.col("paraphrase_no") <= most).select(key, "paraphrase_no", F.col("new").alias("text"))
+
+
+def question_set(base: DataFrame, made: DataFrame, more: list[DataFrame], categories: tuple[str, ...], of_must: int = 3, of_should: int = 2, key: str = "question_id", text: str = "text") -> DataFrame:
+    """The questions with test_type 'base', then the first of_must paraphrases of each MUST question and the first of_should of
+    each other one of the categories, as (key, text, test_type) with the columns of their question, then the rows of more."""
+    spread = made.select(key, "paraphrase_no", F.col(text).alias("said")).join(base.drop(text), key)
+    wanted = F.when(F.col("must"), F.col("paraphrase_no") <= of_must).otherwise(F.col("category").isin(*categories) & (F.col("paraphrase_no") <= of_should))
+    ident = F.concat(F.col(key).cast("string"), F.lit("-p"), F.col("paraphrase_no").cast("string"))
+    rows = spread.filter(wanted).withColumn(text, F.col("said")).withColumn(key, ident).drop("said", "paraphrase_no").withColumn("test_type", F.lit("synonym"))
+    out = base.withColumn(key, F.col(key).cast("string")).withColumn("test_type", F.lit("base")).unionByName(rows)
+    for part in more:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparquill.functions.text import strip
@@ -21,6 +21,11 @@ def merged_rules(default: dict[str, tuple[str, ...]], own: dict[str, tuple[str,
     return default | own
 
 
+def tag_rules(*rules: dict[str, tuple[str, ...]]) -> dict[str, tuple[str, ...]]:
+    """One rule a keyword with the tags of all the given sets of rules."""
+    return {k: tuple(dict.fromkeys(t for r in rules for t in r.get(k, ()))) for k in dict.fromkeys(k for r in rules for k in r)}
+
+
 def anchors(rows: DataFrame, of: DataFrame, section: str = "section_id", moment: str = "moment") -> DataFrame:
     """rows with `anchors`: those of the section's moment, then those of its 'default'; order and repeats are kept.
     of has a row a (section, moment) with its array of anchors."""
@@ -47,14 +52,14 @@ def document_text(node_type: Column, title: Column, text: Column, cells: Column,
 
 
 def clean_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, text): lines of digits alone go, then exact repeats of the line before, and blank lines at the start or after
-    another blank one. Lines are numbered within their document, so nothing depends on the order of rows."""
-    lines = docs.select(key, F.posexplode(F.split(text, "\n", -1)).alias("at", "line")).filter(~F.col("line").rlike(r"^\s*\d+\s*$"))
-    last = F.lag("line").over(Window.partitionBy(key).orderBy("at"))
-    blank = strip(F.col("line")) == ""
-    lines = lines.withColumn("last", last).filter(F.when(blank, F.coalesce(strip(F.col("last")) != "", F.lit(False))).otherwise(~F.col("line").eqNullSafe(F.col("last"))))
-    kept = lines.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n").alias("cleaned"))
-    return docs.select(key).distinct().join(kept, key, "left").select(key, F.coalesce("cleaned", F.lit("")).alias("text"))
+    """(key, text), a row a row: lines of digits alone go, then exact repeats of the line before, and blank lines at the start
+    or after another blank one. A fold over each text's own lines; rows of one key do not meet."""
+    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: ~x.rlike(r"^\s*\d+\s*$"))
+    blank = lambda x: strip(x) == ""
+    line, before = lambda i: F.get("lines", i), lambda i: F.get("lines", i - 1)
+    stays = lambda i: F.when(blank(line(i)), F.coalesce(~blank(before(i)), F.lit(False))).otherwise(~line(i).eqNullSafe(before(i)))
+    places = F.filter(F.transform("lines", lambda x, i: i), stays)
+    return docs.select(key, lines.alias("lines")).select(key, F.array_join(F.transform(places, line), "\n").alias("text"))
 
 
 def keywords(text: Column, stop: tuple[str, ...], longer_than: int = 3) -> Column:
@@ -76,3 +81,19 @@ def most_common(rows: DataFrame, array: str, n: int) -> DataFrame:
 def domain_filter(section: Column, tags: Column, sections: tuple[str, ...], required: tuple[str, ...]) -> Column:
     """Section in the list, or a required tag held."""
     return section.isin(*sections) | F.arrays_overlap(tags, F.array(*[F.lit(t) for t in required]))
+
+
+def display_name(source: Column, names: dict[str, str]) -> Column:
+    """The readable name of a source; one without a name keeps its key."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), source), source)
+
+
+def vector_rows(rows: DataFrame) -> DataFrame:
+    """What is indexed of moments: id, document ('title. text') and the metadata, with empty values in place of nulls."""
+    text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
+    lists = lambda c: F.coalesce(F.col(c), F.array().cast("array<string>")).alias(c)
+    names = ("law", "law_id", "law_key", "node_id", "finlex_version", "chapter", "chapter_title", "section_id")
+    return rows.select(
+        F.col("node_id").alias("id"), F.concat(F.col("section_title"), F.lit(". "), F.col("text")).alias("document"), *[text(c) for c in names],
+        F.coalesce("section_num", F.lit(0)).alias("section_num"), *[text(c) for c in ("section_suffix", "section_title", "moment")], lists("tags"), lists("anchors"), F.coalesce("in_force", F.lit(False)).alias("in_force"),
+    )

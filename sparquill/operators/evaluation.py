@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparquill.plans.rules import Gate
@@ -189,6 +190,30 @@ def finance_cases(questions: DataFrame) -> DataFrame:
     return questions.withColumn("fail_reason", F.coalesce(number, evidence, abstain, F.lit(""))).withColumn("passed", F.col("fail_reason") == "")
 
 
+def finance_metrics(case_rows: DataFrame) -> DataFrame:
+    """The five rates of finance cases (those of finance_cases and calc_required, has_calc, has_citation, latency_ms); a rate
+    of no cases is 1, but for the pass rate and latency, which are 0."""
+    c, answer = F.col, ~F.col("abstain_expected")
+    share = lambda ok, of: F.coalesce(F.avg(F.when(of, F.coalesce(ok, F.lit(False)).cast("double"))), F.lit(1.0))
+    right = F.abs(c("numeric_value") - c("expected_numeric")) <= c("tolerance")
+    return case_rows.agg(
+        four(share(c("has_evidence"), c("evidence_required") & answer)).alias("table_evidence_rate"),
+        four(share(c("has_calc"), c("calc_required") & answer)).alias("calc_trace_rate"),
+        four(share(right, (c("expected_type") == "NUMERIC") & answer)).alias("numeric_accuracy"),
+        four(share(c("has_citation"), answer)).alias("citation_coverage"),
+        four(share(c("abstains"), c("abstain_expected"))).alias("abstain_correct"),
+        rate(c("passed")).alias("pass_rate"),
+        four(F.coalesce(F.avg("latency_ms"), F.lit(0.0))).alias("avg_latency_ms"),
+        F.count("*").alias("total"),
+    )
+
+
+def category_rates(case_rows: DataFrame, categories: Iterable[str]) -> DataFrame:
+    """metrics() and pass_rate_<category> for each of the categories (dashes as underscores; null where it has no cases)."""
+    each = [four(F.avg(F.when(F.col("category") == k, F.col("passed").cast("double")))).alias(f"pass_rate_{k.replace('-', '_')}") for k in categories]
+    return metrics(case_rows).crossJoin(case_rows.agg(*each))  # a row each
+
+
 def audit(rows: DataFrame, id_col: str, version_col: str | None = None, versions: DataFrame | None = None) -> DataFrame:
     """rows, missing ids, repeated ids and versions that the lineage (column `version`) does not know, in one row."""
     counted = rows.groupBy(id_col).agg(F.count("*").alias("n"))
@@ -199,9 +224,35 @@ def audit(rows: DataFrame, id_col: str, version_col: str | None = None, versions
     return base.crossJoin(lost)  # one row each
 
 
+def full_audit(rows: DataFrame, versions: DataFrame, inside: Column, id_col: str = "node_id", version_col: str = "finlex_version") -> DataFrame:
+    """audit() with bad_sections (id that is not number and suffix), lineage_missing_source, and the hit_rate of a domain
+    filter (`inside`, a condition on rows). versions: version, source_xml."""
+    whole = F.concat(F.col("section_num").cast("string"), F.coalesce("section_suffix", F.lit("")))
+    counts = rows.agg(F.count(F.when(~F.coalesce(F.col("section_id") == whole, F.lit(False)), 1)).alias("bad_sections"), four(F.coalesce(F.avg(F.coalesce(inside, F.lit(False)).cast("double")), F.lit(0.0))).alias("hit_rate"))
+    lineage_rows = versions.agg(F.count(F.when(F.coalesce("source_xml", F.lit("")) == "", 1)).alias("lineage_missing_source"))
+    return audit(rows, id_col, version_col, versions).crossJoin(counts).crossJoin(lineage_rows)  # one row each
+
+
+def validate(rows: DataFrame, versions: DataFrame, required: Iterable[str], source_keys: Iterable[str] = ("xml_path", "finlex_url", "xpath"), id_col: str = "node_id", version_col: str = "finlex_version") -> DataFrame:
+    """(check, failed) over all rows of a layer: columns that the schema lacks, rows without a field of source, rows of empty
+    text, ids that repeat, and versions for which the tree has no file."""
+    columns = {f.name: f.dataType for f in rows.schema.fields}
+    lacking = [k for k in required if k not in columns]
+    held = getattr(columns.get("source"), "fieldNames", list)()
+    keys = list(source_keys)
+    no_source = F.lit(True) if not set(keys) <= set(held) else reduce(lambda a, b: a | b, (F.col(f"source.{k}").isNull() for k in keys))
+    empty = F.coalesce(F.trim(F.col("text").cast("string")), F.lit("")) == "" if "text" in columns else F.lit(True)
+    per_row = rows.agg(F.count(F.when(no_source, 1)).alias("source"), F.count(F.when(empty, 1)).alias("text"))
+    twice = rows.groupBy(id_col).agg((F.count("*") - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("ids"))
+    lost = rows.select(F.col(version_col).alias("version")).filter("version is not null").distinct().join(versions.select("version").distinct(), "version", "left_anti").agg(F.count("*").alias("versions"))
+    one = per_row.crossJoin(twice).crossJoin(lost).withColumn("rows", F.lit(len(lacking)).cast("long"))  # one row each
+    checks = [("missing_columns", "rows"), ("missing_source", "source"), ("empty_text", "text"), ("repeated_ids", "ids"), ("unknown_versions", "versions")]
+    return one.select(F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(c).alias("failed")) for name, c in checks])).alias("c")).select("c.*")
+
+
 def check(audited: DataFrame) -> None:
     """Raises ValueError if an audit found anything missing, repeated or unknown."""
-    found = {k: v for k, v in audited.first().asDict().items() if k != "rows" and v}
+    found = {k: v for k, v in audited.first().asDict().items() if k not in ("rows", "hit_rate") and v}
     if found:
         raise ValueError(f"audit failed: {found}")
 
@@ -219,9 +270,11 @@ def latest_version(paths: DataFrame, path: str = "path", prefix: str = "fin@") -
     return paths.filter(F.contains(F.col(path), F.lit(prefix))).agg(F.max_by(F.col(path), number).alias(path))
 
 
-def markdown(spark: SparkSession, table: DataFrame, most: int = 1000) -> str:
-    """A small result as a Markdown table."""
-    rows = table.limit(most).collect()
+def markdown(table: DataFrame, most: int = 1000) -> str:
+    """A small result as a Markdown table; one of more than `most` rows raises ValueError rather than being cut."""
+    rows = table.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a report of more than {most} rows: write it as a table")
     lines = ["| " + " | ".join(table.columns) + " |", "|" + "---|" * len(table.columns)]
     return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows])
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparquill.functions.text import before, holds_any
 from sparquill.plans.rules import DEFINITION_PHRASES, EXCEPTION_PHRASES, STATUTE_NUMBERS
+from sparquill.staging import stage
 
 # Patterns of section and statute references; the order of alternatives decides how much text they match.
 DECLINED = r"(?:n|ssä|ssa|ään|stä|sta|lta|lle|lla)"
@@ -34,12 +32,9 @@ def section_references(rows: DataFrame, key: str, text: str = "text") -> DataFra
     t = F.col(text)
     # a plain section inside a match of an earlier pass is that same reference and is met before
     passes = F.concat(_matches(t, SECTION_MOMENT, 1, 2, 1), _matches(t, SECTION_DECLINED, 1, None, 2), _matches(t, CHAPTER_SECTION, 2, None, 3), _matches(t, SECTION_PLAIN, 1, None, 4))
-    found = rows.select(key, F.posexplode(passes).alias("no", "r")).select(key, "no", "r.*")
-    same = Window.partitionBy(key, "section", F.coalesce("moment", F.lit(""))).orderBy("no")
-    by_section = Window.partitionBy(key, "section").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
-    found = found.withColumn("nth", F.row_number().over(same)).withColumn("met", F.count("*").over(by_section))
-    kept = found.filter(F.when(F.col("moment").isNull(), F.col("met") == 0).otherwise(F.col("nth") == 1))
-    return kept.select(key, F.row_number().over(Window.partitionBy(key).orderBy("no")).alias("ref_no"), "section", "moment", "context")
+    met = lambda r, i: F.exists(F.slice("all", F.lit(1), i), lambda q: q["section"].eqNullSafe(r["section"]) & (r["moment"].isNull() | q["moment"].eqNullSafe(r["moment"])))
+    kept = F.filter("all", lambda r, i: ~met(r, i))  # within each text's own array: nothing is shuffled
+    return rows.select(key, passes.alias("all")).select(key, F.posexplode(kept).alias("no", "r")).select(key, (F.col("no") + 1).alias("ref_no"), "r.section", "r.moment", "r.context")
 
 
 def external_references(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -52,9 +47,10 @@ def named_references(rows: DataFrame, key: str, text: str = "text", names: dict[
     """(key, number, context): statutes named without number, once each; those found with their number are left out."""
     plan = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
-    found = rows.select(key, F.posexplode(words).alias("at", "word")).select(key, "at", "word", F.try_element_at(plan, F.col("word")).alias("number")).filter("number is not null")
-    first = found.withColumn("nth", F.row_number().over(Window.partitionBy(key, "number").orderBy("at"))).filter("nth = 1")
-    return first.join(external_references(rows, key, text).select(key, "number").distinct(), [key, "number"], "left_anti").select(key, "number", F.col("word").alias("context"))
+    named = F.filter(F.transform(words, lambda w: F.struct(F.try_element_at(plan, w).alias("number"), w.alias("context"))), lambda x: x["number"].isNotNull())
+    given = F.regexp_extract_all(F.col(text), F.lit(EXTERNAL), F.lit(2))
+    first = F.filter("named", lambda x, i: ~F.exists(F.slice("named", F.lit(1), i), lambda y: y["number"] == x["number"]) & ~F.array_contains("given", x["number"]))
+    return rows.select(key, named.alias("named"), given.alias("given")).select(key, F.explode(first).alias("r")).select(key, "r.number", "r.context")
 
 
 def is_exception(text: Column, context: Column, phrases: tuple[str, ...] = EXCEPTION_PHRASES, length: int = 100) -> Column:
@@ -111,35 +107,30 @@ def siblings(primary: DataFrame, nodes: DataFrame, law: str = "law_key", section
     return mine.join(nodes.select(F.col(node).alias("node_id"), F.col(law).alias("l"), F.col(section).alias("s")), ["l", "s"]).select("primary", "node_id")
 
 
-def _cut(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage by a table in the folder that spark.checkpoint.dir names (a temporary one where it is unset)."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
-    path = f"{folder.rstrip('/')}/sparquill/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def expand(primaries: DataFrame, nodes: DataFrame, edges: DataFrame, hops: int = 2) -> DataFrame:
-    """(primary, score, node_id, hop, relation, path): what is reached from each primary (primary, score) and its siblings
-    over outgoing edges but those of the hierarchy, and over incoming EXCEPTS, on the first visit: the lowest hop, then the
-    place of the node that it is reached from, then outgoing before incoming, then the edge's order. A path begins at the
-    primary. Placeholders (external:, definition:) are reached but lead nowhere. edges: source, target, edge_type, edge_ord.
+    """(primary, score, node_id, hop, relation, path, queue): what is reached from each primary (primary, score) and its
+    siblings over outgoing edges but those of the hierarchy, and over incoming EXCEPTS, on the first visit: the lowest hop,
+    then the place of the node that it is reached from, then outgoing before incoming, then the edge's order. A path begins
+    at the primary. Placeholders (external:, definition:) are reached but lead nowhere. edges: source, target, edge_type,
+    edge_ord.
+
+    Of all edges between two nodes the best is found once. A step then needs the least place of a neighbour alone, one
+    number aggregated before the shuffle; edge and path are looked up afterwards for what is left.
     """
     sib = siblings(primaries.select(F.col("primary").alias("node_id")), nodes).withColumn("queue", F.row_number().over(Window.partitionBy("primary").orderBy(F.col("node_id") != F.col("primary"), "node_id")))
-    frontier = sib.select("primary", "node_id", F.lit(0).alias("hop"), F.col("queue").cast("long").alias("queue"), F.lit(None).cast("string").alias("relation"), F.array("primary").alias("path"))
-    walk = edges.filter(~F.col("edge_type").isin(*HIERARCHY)).select(F.col("source").alias("node_id"), F.col("target").alias("next"), F.col("edge_type").alias("via"), F.lit(0).alias("back"), "edge_ord")
-    walk = walk.union(edges.filter("edge_type = 'EXCEPTS'").select(F.col("target").alias("node_id"), F.col("source").alias("next"), F.lit("EXCEPTS").alias("via"), F.lit(1).alias("back"), "edge_ord"))
+    frontier = stage(sib.select("primary", "node_id", F.lit(0).alias("hop"), F.col("queue").cast("long").alias("queue"), F.lit(None).cast("string").alias("relation"), F.array("primary").alias("path")), "hop0")
+    walk = edges.filter(~F.col("edge_type").isin(*HIERARCHY)).select(F.col("source").alias("from_id"), F.col("target").alias("next"), F.struct(F.lit(0).alias("back"), "edge_ord", F.col("edge_type").alias("via")).alias("edge"))
+    walk = walk.union(edges.filter("edge_type = 'EXCEPTS'").select(F.col("target").alias("from_id"), F.col("source").alias("next"), F.struct(F.lit(1).alias("back"), "edge_ord", F.col("edge_type").alias("via"))))
+    walk = stage(walk.groupBy("from_id", "next").agg(F.min("edge").alias("edge")), "walk")
     seen = frontier
     for hop in range(1, hops + 1):
-        steps = frontier.join(walk, "node_id")
-        fresh = steps.join(seen.select("primary", F.col("node_id").alias("next")), ["primary", "next"], "left_anti")
-        first = Window.partitionBy("primary", "next").orderBy("queue", "back", "edge_ord", "node_id")
-        fresh = fresh.withColumn("nth", F.row_number().over(first)).filter("nth = 1")
-        place = F.row_number().over(Window.partitionBy("primary").orderBy("queue", "back", "edge_ord", "next")).cast("long")
-        frontier = fresh.select("primary", F.col("next").alias("node_id"), F.lit(hop).alias("hop"), place.alias("queue"), F.col("via").alias("relation"), F.concat("path", F.array("next")).alias("path"))
-        if hop < hops or hops > 2:
-            frontier = _cut(frontier, f"hop{hop}")
+        reached = frontier.select("primary", F.col("node_id").alias("from_id"), "queue").join(walk.select("from_id", "next"), "from_id")
+        reached = reached.groupBy("primary", "next").agg(F.min("queue").alias("queue")).join(seen.select("primary", F.col("node_id").alias("next")), ["primary", "next"], "left_anti")
+        parents = frontier.select("primary", F.col("node_id").alias("from_id"), "queue", "path")
+        fresh = reached.join(parents, ["primary", "queue"]).join(walk, ["from_id", "next"])
+        place = F.row_number().over(Window.partitionBy("primary").orderBy("queue", "edge.back", "edge.edge_ord", "next")).cast("long")
+        frontier = fresh.select("primary", F.col("next").alias("node_id"), F.lit(hop).alias("hop"), place.alias("queue"), F.col("edge.via").alias("relation"), F.concat("path", F.array("next")).alias("path"))
+        frontier = stage(frontier, f"hop{hop}")
         seen = seen.union(frontier)
     return seen.filter("hop > 0").join(primaries, "primary").select("primary", "score", "node_id", "hop", "relation", "path", "queue")
 
@@ -171,7 +162,7 @@ def neighbors(start: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
         step = frontier.join(both, "node_id").select("start", F.col("next").alias("node_id")).distinct()
         frontier = step.join(seen.select("start", "node_id"), ["start", "node_id"], "left_anti").withColumn("hop", F.lit(hop))
         if hop < hops:
-            frontier = _cut(frontier, f"hop{hop}")
+            frontier = stage(frontier, f"hop{hop}")
         seen = seen.union(frontier)
     return seen
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparquill.operators import documents, evaluation, search
 from sparquill.plans.catalog import CORPUS, questions, query, table
 from sparquill.plans.graph_queries import SIGNALS
-from sparquill.plans.rules import Gate
+from sparquill.plans.rules import GATES_FINANCE, Gate
 
 # Each benchmark question expects a neighbour of its own vector's label; it is not its own neighbour.
 HITS_SQL = """q AS (SELECT b.item_id AS question_id, e.embedding::DOUBLE[] AS v, e.label FROM benchmark b JOIN embeddings e ON e.vec_id = b.item_id),
@@ -88,11 +88,13 @@ def quality_gates(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.gates(evaluation.metrics(_cases(spark, d)), GATES)
 
 
-@query(f"""WITH {HITS_SQL}, {cases_sql()}, r AS (SELECT category, {_rate('passed')} AS pass_rate_total FROM cases GROUP BY category),
+@query(f"""WITH {HITS_SQL}, g AS (SELECT k, s::DOUBLE AS min_score FROM (VALUES (3), (5), (10)) a(k), (VALUES (0.05), (0.2), (0.3)) b(s)), {cases_sql('g.k', 'min_score', 'CROSS JOIN g')},
+r AS (SELECT k, min_score, {_rate('passed')} AS pass_rate_total FROM cases GROUP BY k, min_score),
 s AS (SELECT count(*) AS runs, round(avg(pass_rate_total) + 1e-9, 4) AS mean, round(min(pass_rate_total), 4) AS least, round(max(pass_rate_total), 4) AS greatest, round(coalesce(stddev_samp(pass_rate_total), 0) + 1e-9, 4) AS deviation FROM r)
 SELECT *, round(greatest - least, 4) AS spread, round(greatest - least, 4) <= 0.02 AS stable FROM s""")
 def stability(spark: SparkSession, d: str) -> DataFrame:
-    return evaluation.stability(evaluation.metrics(_cases(spark, d), "category"), "pass_rate_total")
+    """Over nine runs of the same questions, each with its own k and threshold."""
+    return evaluation.stability(evaluation.sweep(_asked(spark, d), _hits(spark, d), (3, 5, 10), (0.05, 0.2, 0.3)), "pass_rate_total")
 
 
 STRICT_SQL = f"""{HITS_SQL}, {CORPUS},
@@ -188,3 +190,55 @@ def label_audit(spark: SparkSession, d: str) -> DataFrame:
 def lineage(spark: SparkSession, d: str) -> DataFrame:
     found = evaluation.lineage(table(spark, d, "orders"), "o_custkey", "o_orderkey", "o_orderdate")
     return found.withColumn("versions", F.array_join(F.col("versions").cast("array<string>"), ","))
+
+
+FINANCE_SQL = """s AS (SELECT l_suppkey, round(sum(l_quantity), 2) AS got FROM lineitem GROUP BY l_suppkey),
+c AS (SELECT s_suppkey % 5 = 0 AS abstain, s_suppkey % 10 = 0 AS abstains, s_suppkey % 3 = 0 AS need, s_suppkey % 9 <> 0 AS evidence, s_suppkey % 4 = 0 AS calc, s_suppkey % 8 = 0 AS calced, s_suppkey % 6 <> 0 AS cited, s_suppkey % 2 = 0 AS num,
+             CASE WHEN s_suppkey % 11 <> 0 THEN abs(got - 15000) <= 1500 END AS near, s_suppkey % 7 <> 0 AS passed FROM supplier LEFT JOIN s ON l_suppkey = s_suppkey),
+m AS (SELECT round(coalesce(avg(CASE WHEN need AND NOT abstain THEN evidence::INT::DOUBLE END), 1) + 1e-9, 4) AS table_evidence_rate, round(coalesce(avg(CASE WHEN calc AND NOT abstain THEN calced::INT::DOUBLE END), 1) + 1e-9, 4) AS calc_trace_rate,
+             round(coalesce(avg(CASE WHEN num AND NOT abstain THEN coalesce(near, false)::INT::DOUBLE END), 1) + 1e-9, 4) AS numeric_accuracy, round(coalesce(avg(CASE WHEN NOT abstain THEN cited::INT::DOUBLE END), 1) + 1e-9, 4) AS citation_coverage,
+             round(coalesce(avg(CASE WHEN abstain THEN abstains::INT::DOUBLE END), 1) + 1e-9, 4) AS abstain_correct FROM c)"""
+
+
+@query(f"WITH {FINANCE_SQL} " + " UNION ALL ".join(f"SELECT '{g.name}' AS gate, {g.metric} AS value, {g.threshold}::DOUBLE AS threshold, {g.metric} {g.op} {g.threshold}::DOUBLE AS passed, {str(g.required).lower()} AS required FROM m" for g in GATES_FINANCE))
+def finance_gates(spark: SparkSession, d: str) -> DataFrame:
+    sums = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.round(F.sum("l_quantity"), 2).alias("numeric_value"))
+    k = F.col("s_suppkey")
+    rows = table(spark, d, "supplier").select("s_suppkey").join(sums, "s_suppkey", "left").select(
+        (k % 5 == 0).alias("abstain_expected"), (k % 10 == 0).alias("abstains"), (k % 3 == 0).alias("evidence_required"), (k % 9 != 0).alias("has_evidence"), (k % 4 == 0).alias("calc_required"), (k % 8 == 0).alias("has_calc"),
+        (k % 6 != 0).alias("has_citation"), F.when(k % 2 == 0, "NUMERIC").otherwise("TEXT").alias("expected_type"), F.when(k % 11 != 0, 15000.0).alias("expected_numeric"), "numeric_value", F.lit(1500.0).alias("tolerance"),
+        (k % 7 != 0).alias("passed"), F.lit(0.0).alias("latency_ms"),
+    )
+    return evaluation.gates(evaluation.finance_metrics(rows), GATES_FINANCE)
+
+
+PARTS_SQL = "p AS (SELECT p_partkey, p_size, p_type, p_partkey % 40 AS version, CASE WHEN p_partkey % 6 = 0 THEN 'a' END AS suffix, CASE WHEN p_partkey % 50 = 0 THEN CAST(p_size AS VARCHAR) ELSE p_size || CASE WHEN p_partkey % 6 = 0 THEN 'a' ELSE '' END END AS section_id, CASE WHEN p_partkey % 9 = 0 THEN '  ' ELSE p_type END AS body FROM part)"
+
+
+def _layer(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Parts as rows of a layer, and the versions (regions' nations) that its lineage knows."""
+    k, suffix = F.col("p_partkey"), F.when(F.col("p_partkey") % 6 == 0, "a")
+    size = F.col("p_size").cast("string")
+    section = F.when(k % 50 == 0, size).otherwise(F.concat(size, F.coalesce(suffix, F.lit(""))))
+    rows = table(spark, d, "part").select(
+        (k % 1900).cast("string").alias("node_id"), (k % 40).cast("string").alias("finlex_version"), section.alias("section_id"), F.col("p_size").alias("section_num"), suffix.alias("section_suffix"), F.when(k % 9 == 0, "  ").otherwise(F.col("p_type")).alias("text"),
+        F.struct(F.lit("x").alias("xml_path"), F.when(k % 17 != 0, "u").alias("finlex_url"), F.lit("p").alias("xpath")).alias("source"), "p_type",
+    )
+    versions = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("version"), F.when(F.col("n_nationkey") % 5 != 0, F.col("n_name")).alias("source_xml"))
+    return rows, versions
+
+
+@query(f"""WITH {PARTS_SQL}, c AS (SELECT p_partkey % 1900 AS id, count(*) AS n FROM p GROUP BY id)
+SELECT (SELECT count(*) FROM p) AS "rows", 0::BIGINT AS missing, (SELECT count(*) FROM c WHERE n > 1) AS repeated, (SELECT count(DISTINCT version) FROM p WHERE version NOT IN (SELECT n_nationkey FROM nation)) AS unknown_versions,
+(SELECT count(*) FROM p WHERE section_id <> p_size || coalesce(suffix, '')) AS bad_sections, (SELECT round(avg(CASE WHEN contains(p_type, 'STEEL') OR section_id IN ('1', '2a') THEN 1.0::DOUBLE ELSE 0 END) + 1e-9, 4) FROM p) AS hit_rate,
+(SELECT count(*) FROM nation WHERE n_nationkey % 5 = 0) AS lineage_missing_source""")
+def layer_audit(spark: SparkSession, d: str) -> DataFrame:
+    rows, versions = _layer(spark, d)
+    return evaluation.full_audit(rows, versions, F.contains("p_type", F.lit("STEEL")) | F.col("section_id").isin("1", "2a"))
+
+
+@query(f"""WITH {PARTS_SQL} SELECT 'missing_columns' AS "check", 2::BIGINT AS failed UNION ALL SELECT 'missing_source', count(*) FILTER (p_partkey % 17 = 0) FROM p UNION ALL SELECT 'empty_text', count(*) FILTER (p_partkey % 9 = 0) FROM p
+UNION ALL SELECT 'repeated_ids', count(*) - count(DISTINCT p_partkey % 1900) FROM p UNION ALL SELECT 'unknown_versions', count(DISTINCT version) FROM p WHERE version NOT IN (SELECT n_nationkey FROM nation)""")
+def layer_validation(spark: SparkSession, d: str) -> DataFrame:
+    rows, versions = _layer(spark, d)
+    return evaluation.validate(rows, versions, ("node_id", "text", "source", "law", "in_force"))

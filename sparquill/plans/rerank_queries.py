@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparquill.functions.text import section_parts
@@ -24,20 +22,30 @@ def top10(spark: SparkSession, d: str) -> DataFrame:
     return found.join(corpus(spark, d).drop("embedding"), "id")
 
 
-def _rule_sql(with_overlap: bool = False) -> str:
+def _rule_sql() -> str:
     parts = [f"CASE WHEN {_any('low', terms)} AND CAST(label AS VARCHAR) = '{of}'" + ("" if at is None else f" AND CAST(id % 2 AS VARCHAR) = '{at}'") + f" THEN {add}::DOUBLE ELSE 0 END" for terms, of, at, add in LANGUAGE_BOOSTS.boosts]
     parts += [f"CASE WHEN {_any('low', terms)} AND CAST(label AS VARCHAR) = '{of}' THEN {add}::DOUBLE ELSE 0 END" for terms, of, add in LANGUAGE_BOOSTS.penalties]
     return " + ".join(parts)
 
 
+def _anchors() -> Column:
+    """The first two words of w as one anchor, its first and its third."""
+    word = lambda i: F.get("w", F.lit(i))
+    return F.filter(F.array(F.concat(word(0), F.lit(" "), word(1)), word(0), word(2)), lambda a: a.isNotNull())
+
+
 @query(f"""WITH {TOP10_SQL},
-changed AS (SELECT *, {_rule_sql()} AS change FROM top),
+parts AS (SELECT *, {WORDS_SQL.format('low')} AS w, {WORDS_SQL.format('lower(body)')} AS b FROM top),
+terms AS (SELECT *, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS t, [b[1] || ' ' || b[2], b[1], b[3]] AS anchors FROM parts),
+counted AS (SELECT *, len(list_filter(anchors, lambda a: a IS NOT NULL AND (list_contains(t, a) OR len(list_filter(string_split(a, ' '), lambda x: NOT list_contains(t, x))) = 0))) AS overlap FROM terms),
+changed AS (SELECT *, {_rule_sql()} + CASE WHEN {_any('low', LANGUAGE_BOOSTS.overlap_terms)} AND CAST(label AS VARCHAR) IN {LANGUAGE_BOOSTS.overlap_sections} THEN least(0.01::DOUBLE * overlap, 0.05::DOUBLE) ELSE 0 END AS change FROM counted),
 held AS (SELECT *, greatest(least(change, score * 0.05::DOUBLE), -(score * 0.05::DOUBLE)) AS applied FROM changed),
 done AS (SELECT question_id, id, rank AS old, round(greatest(score + applied, 0) + 1e-9, 4) AS score, round(applied + sign(applied) * 1e-9, 4) AS boost_applied FROM held)
 SELECT question_id, id, score, boost_applied, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, old) AS INT) AS rank FROM done""")
 def rule_boost_capped(spark: SparkSession, d: str) -> DataFrame:
-    hits = top10(spark, d).select("question_id", "id", "score", "rank", F.col("label").cast("string").alias("section_id"), (F.col("id") % 2).cast("string").alias("moment"))
-    boosted = rerank.boost(hits, questions(spark, d), replace(LANGUAGE_BOOSTS, overlap_terms=()))
+    hits = top10(spark, d).withColumn("w", F.regexp_extract_all(F.lower("body"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
+    hits = hits.select("question_id", "id", "score", "rank", F.col("label").cast("string").alias("section_id"), (F.col("id") % 2).cast("string").alias("moment"), _anchors().alias("anchors"))
+    boosted = rerank.boost(hits, questions(spark, d), LANGUAGE_BOOSTS)
     return boosted.select("question_id", "id", "score", "boost_applied", "rank")
 
 
@@ -47,9 +55,8 @@ terms AS (SELECT question_id, id, list_distinct(list_concat(w, list_transform(ra
 SELECT question_id, id, CAST(len(list_filter(anchors, lambda a: a IS NOT NULL AND (list_contains(t, a) OR len(list_filter(string_split(a, ' '), lambda x: NOT list_contains(t, x))) = 0))) AS INT) AS overlap FROM terms""")
 def anchor_overlap(spark: SparkSession, d: str) -> DataFrame:
     words = F.regexp_extract_all(F.lower("body"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    anchors = F.filter(F.array(F.concat(F.get("w", F.lit(0)), F.lit(" "), F.get("w", F.lit(1))), F.get("w", F.lit(0)), F.get("w", F.lit(2))), lambda a: a.isNotNull())
     hits = top10(spark, d).join(questions(spark, d).select("question_id", "text"), "question_id").withColumn("w", words)
-    return hits.select("question_id", "id", rerank.anchor_overlap(anchors, rerank.query_terms(F.col("text"))).alias("overlap"))
+    return hits.select("question_id", "id", rerank.anchor_overlap(_anchors(), rerank.query_terms(F.col("text"))).alias("overlap"))
 
 
 @query(f"""WITH {TOP10_SQL},

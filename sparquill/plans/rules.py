@@ -108,6 +108,120 @@ STATUTE_GUARDS = (
     ("tilintarkastaja", "tilintarkastuslaki_1141_2015", 0.02),
     ("hankinta", "hankintalaki_1397_2016", 0.02),
 )
+STATUTE_GUARDS_12 = (
+    *STATUTE_GUARDS,
+    ("kynnysarvo", "hankintalaki_1397_2016", 0.03),
+    ("tarjous", "hankintalaki_1397_2016", 0.02),
+    ("kilpailutus", "hankintalaki_1397_2016", 0.02),
+    ("tasekaava", "kirjanpitoasetus_1339_1997", 0.03),
+    ("tuloslaskelmakaava", "kirjanpitoasetus_1339_1997", 0.03),
+)
+STATUTE_GUARDS_14 = (
+    *STATUTE_GUARDS_12,
+    ("liitetietokaava", "kirjanpitoasetus_1339_1997", 0.02),
+    ("erittelyt", "kirjanpitoasetus_1339_1997", 0.02),
+)
+STATUTE_NAMES = {
+    "kuntalaki_410_2015": "Kuntalaki",
+    "kirjanpitolaki_1336_1997": "Kirjanpitolaki",
+    "kirjanpitoasetus_1339_1997": "Kirjanpitoasetus",
+    "tilintarkastuslaki_1141_2015": "Tilintarkastuslaki",
+    "hankintalaki_1397_2016": "Hankintalaki",
+    "osakeyhtiolaki_624_2006": "Osakeyhtiölaki",
+}
+MUNICIPAL_ANCHORS = ("kunnan", "kunta", "kuntakonserni", "kuntalaki", "valtuusto", "kunnanhallitus", "tarkastuslautakunta", "kunnan tilinpäätös")
+CHAPTER_TAGS = {
+    "talous": ("talous", "budjetti", "rahoitus"),
+    "kirjanpito": ("kirjanpito", "tilinpäätös", "laskentatoimi"),
+    "tarkastus": ("tarkastus", "tilintarkastus", "valvonta"),
+    "hallinto": ("hallinto", "organisaatio", "johtaminen"),
+    "tase": ("tase", "vastaavaa", "vastattavaa", "tilinpäätös"),
+    "tuloslaskelma": ("tuloslaskelma", "tuotot", "kulut", "tilinpäätös"),
+    "liitetiedot": ("liitetiedot", "liitteet", "tilinpäätös"),
+    "toimintakertomus": ("toimintakertomus", "raportointi", "tilinpäätös"),
+    "arvostus": ("arvostus", "hankintameno", "käypä arvo"),
+    "poisto": ("poisto", "hankintameno", "vaikutusaika"),
+}
+KEYWORD_TAGS = {
+    "tilinpäätös": ("tilinpäätös", "kirjanpito", "raportointi"),
+    "tilikausi": ("tilikausi", "tilivuosi", "vuosijakso"),
+    "kirjanpitovelvollinen": ("kirjanpitovelvollinen", "velvollisuus"),
+    "tase": ("tase", "vastaavaa", "vastattavaa"),
+    "tuloslaskelma": ("tuloslaskelma", "tulos", "tilinpäätös"),
+    "toimintakertomus": ("toimintakertomus", "raportointi"),
+    "tilintarkast": ("tilintarkastus", "tarkastus", "valvonta"),
+}
+STATUTE_BOOSTS = Boosts(
+    boosts=(
+        (("tavoitteiden toteutuminen", "olennaiset tapahtumat", "olennaiset asiat", "tilikauden jälkeiset", "merkittävät tapahtumat", "tärkeät tapahtumat", "sisäinen valvonta", "sisäisen valvonnan", "riskienhallinta", "riskienhallinnan", "valvonta ja riskit", "kontrollit"), "115", "1", 0.04),
+        (("alijäämäselvitys", "alijäämän kattamissuunnitelma", "talouden tasapainotus", "tasapainotuksen toteutuminen", "kattamaton alijäämä", "taseen alijäämä"), "115", "2", 0.04),
+        (("tuloksen käsittely", "tilikauden tulos", "tuloskäsittely", "tuloskäsittelyesitys", "ylijäämän käyttö"), "115", "3", 0.04),
+        (("toimintakertomuksessa", "toimintakertomuksen"), "115", None, 0.03),
+        (("korona", "koronaepidemia", "covid", "covid-19", "pandemia", "epidemia", "poikkeus"), "110a", None, 0.05),
+        (("yksittäisen kunnan", "ei konserni", "kunnan tilinpäätöksen asiakirjat"), "113", None, 0.05),
+        (("kuntayhtymän eroaminen", "eroaminen kuntayhtymästä", "ei yhdistyminen", "ei jakautuminen"), "62", None, 0.08),
+        (("alijäämän kattamatta", "määräajan ylitys", "kattamatta jättäminen"), "118", "2", 0.03),
+        (("tunnusluku", "tunnusluvut", "raja-arvo", "raja-arvot", "kriteerit", "kriisikuntakriteerit"), "118", "3", 0.03),
+        (("arviointiryhmä", "ryhmän asettaminen"), "118", "5", 0.03),
+        (("arviointiryhmän ehdotukset", "ehdotusten käsittely"), "118", "6", 0.03),
+    ),
+    penalties=(
+        (("korona", "koronaepidemia", "covid", "covid-19", "pandemia", "epidemia"), "110", -0.04),
+        (("konserni", "konsernitilinpäätös", "kuntakonserni", "konsolidointi"), "113", -0.04),
+        (("yksittäisen kunnan", "ei konserni", "kunnan tilinpäätös", "yksittäinen kunta"), "114", -0.05),
+        (("talousarvion rakenne", "talousarvion osat", "taloussuunnitelman rakenne"), "113", -0.04),
+        (("perussopimus", "perussopimuksen sisältö", "perussopimuksen muuttaminen"), "62", -0.05),
+        (("perussopimus", "perussopimuksen sisältö", "perussopimuksen muuttaminen"), "62a", -0.05),
+        (("perussopimus", "perussopimuksen sisältö", "perussopimuksen muuttaminen"), "62b", -0.05),
+        (("eroaminen", "kuntayhtymästä eroaminen", "ei yhdistyminen"), "62a", -0.05),
+        (("eroaminen", "kuntayhtymästä eroaminen", "ei jakautuminen"), "62b", -0.05),
+        (("yhdistyminen", "kuntayhtymien yhdistyminen", "ei eroaminen"), "62", -0.05),
+        (("yhdistyminen", "kuntayhtymien yhdistyminen"), "62b", -0.03),
+        (("ei konserni", "yksittäisen kunnan", "yksittäinen kunta"), "114", -0.10),
+        (("kuntayhtymän eroaminen", "eroaminen kuntayhtymästä", "ei yhdistyminen", "ei jakautuminen"), "62a", -0.10),
+        (("kuntayhtymän eroaminen", "eroaminen kuntayhtymästä", "ei yhdistyminen", "ei jakautuminen"), "62b", -0.10),
+    ),
+    overlap_terms=("valvonta", "riski", "riskienhallinta", "alijäämä", "kattam", "tuloskäsittely", "konserni", "tavoitteiden", "olennaiset"),
+    overlap_sections=("115", "110", "110a", "113", "114", "62", "62a", "62b", "118"),
+)
+PROBLEM_CATEGORIES = ("toimintakertomus", "covid-poikkeus", "arviointimenettely")
+GATES_GOLDEN = (
+    Gate("MUST >= 95%", "pass_rate_must", ">=", 0.95),
+    Gate("TOTAL >= 90%", "pass_rate_total", ">=", 0.90),
+    Gate("Latency < 150 ms", "avg_latency_ms", "<", 150),
+)
+GATES_V3 = (
+    Gate("MUST >= 99%", "pass_rate_must", ">=", 0.99),
+    Gate("MUST Top-1 >= 80%", "top1_hit_rate_must", ">=", 0.80),
+    Gate("SHOULD >= 95%", "pass_rate_should", ">=", 0.95),
+    *(Gate(f"{c} >= 90%", f"pass_rate_{c.replace('-', '_')}", ">=", 0.90) for c in PROBLEM_CATEGORIES),
+    Gate("No hard negative violations", "hn_violations", "=", 0),
+    Gate("Latency < 150 ms", "avg_latency_ms", "<", 150),
+)
+GATES_CROSS = (
+    Gate("pass_rate_strict_95", "pass_rate_strict", ">=", 0.95),
+    Gate("hard_negative_violations_0", "hn_violations", "=", 0),
+    Gate("latency_150ms", "avg_latency_ms", "<", 150),
+)
+GATES_DOCUMENT = (
+    Gate("LAW >= 95%", "law_rate", ">=", 0.95),
+    Gate("DOC >= 85%", "doc_rate", ">=", 0.85),
+    Gate("EVIDENCE >= 85%", "evidence_rate", ">=", 0.85),
+    Gate("Latency < 250 ms", "avg_latency_ms", "<", 250),
+)
+GATES_GRAPH = (
+    Gate("PRIMARY_PASS >= 80%", "primary_rate", ">=", 0.80),
+    Gate("GRAPH_PATH_PASS >= 70%", "path_rate", ">=", 0.70),
+    Gate("SUPPORT_PASS >= 60%", "support_rate", ">=", 0.60),
+    Gate("Latency < 500 ms", "avg_latency_ms", "<", 500),
+)
+GATES_FINANCE = (
+    Gate("TABLE_EVIDENCE_RATE", "table_evidence_rate", ">=", 0.90),
+    Gate("CALC_TRACE_OK", "calc_trace_rate", ">=", 0.85, False),
+    Gate("NUMERIC_ACCURACY", "numeric_accuracy", ">=", 0.95),
+    Gate("CITATION_COVERAGE", "citation_coverage", ">=", 0.85),
+    Gate("ABSTAIN_CORRECT", "abstain_correct", ">=", 0.90),
+)
 STATUTE_MISMATCH = ("kunnan", "kunta", "kuntakonserni", "kuntalaki", "kuntalain")
 EXCEPTION_PHRASES = ("poiketen", "poikkeuksena", "jollei", "ellei", "jos ei", "sen estämättä", "siitä huolimatta", "ilman rajoitusta", "lukuun ottamatta")
 DEFINITION_PHRASES = ("tarkoitetaan", "tässä laissa", "tässä luvussa", "käsitteellä", "määritelmä")
@@ -129,8 +243,9 @@ ABSTAIN_FINANCE = (
 PROFILES = {
     "plain": Profile(),
     "crosslaw": Profile(router_bonus=0.02, guards=STATUTE_GUARDS, diversity_gap=0.02),
-    "routed": Profile(router_bonus=0.02, guards=STATUTE_GUARDS),
-    "answers": Profile(router_bonus=0.02, guards=STATUTE_GUARDS, limit=5),
+    "routed": Profile(router_bonus=0.02, guards=STATUTE_GUARDS_12),
+    "answers": Profile(router_bonus=0.02, guards=STATUTE_GUARDS_12, limit=5),
+    "autofill": Profile(router_bonus=0.02, guards=STATUTE_GUARDS_14),
     "graph": Profile(router_bonus=0.02, threshold_after=True, mismatch_penalty=0.03, mismatch_terms=STATUTE_MISMATCH),
 }
 

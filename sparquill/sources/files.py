@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparquill import schemas
@@ -13,9 +13,20 @@ def json_lines(spark: SparkSession, paths: str | list[str], schema: str, strict:
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(paths)
 
 
+def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file, line_no, line) of every line of text files. Lines are counted split by split, and each split begins where the
+    counts of those before it end, so no file is read by one task."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("at"))
+    counts = lines.groupBy("file", "split").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("file", "split", F.coalesce(before, F.lit(0)).alias("before"))
+    number = F.row_number().over(Window.partitionBy("file", "split").orderBy("at")) + F.col("before")
+    return lines.join(counts, ["file", "split"]).select("file", number.alias("line_no"), "line")
+
+
 def bad_lines(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
-    """(file, line) of every row that is not JSON of the schema."""
-    lines = spark.read.text(paths).filter(F.trim("value") != "").select(F.input_file_name().alias("file"), F.col("value").alias("line"))
+    """(file, line_no, line) of every row that is not JSON of the schema; blank lines count but are not bad."""
+    lines = numbered_lines(spark, paths).filter(F.trim("line") != "")
     parsed = F.from_json("line", f"{schema}, bad_line STRING", {"columnNameOfCorruptRecord": "bad_line"})
     return lines.filter(parsed["bad_line"].isNotNull())
 
@@ -24,10 +35,14 @@ def moments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return json_lines(spark, paths, schemas.MOMENT)
 
 
-def documents(spark: SparkSession, paths: str | list[str], schema: str, required: tuple[str, ...] = ("city", "year", "title", "pages")) -> DataFrame:
-    """Whole-file JSON documents; a document without a required field fails the job when it is read."""
-    rows = spark.read.schema(schema).option("multiLine", True).json(paths)
+def documents(spark: SparkSession, paths: str | list[str], schema: str | None = None, required: tuple[str, ...] = ("city", "year", "title", "pages")) -> DataFrame:
+    """Whole-file JSON documents; a document without a required field fails the job when it is read. Without a schema it is
+    inferred in a pass of its own, so sections of any depth are kept."""
+    reader = spark.read.option("multiLine", True)
+    rows = (reader if schema is None else reader.schema(schema)).json(paths)
     for name in required:
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("string"))
         rows = rows.withColumn(name, F.when(F.col(name).isNull(), F.raise_error(F.lit(f"missing field {name}")).cast(rows.schema[name].dataType)).otherwise(F.col(name)))
     return rows
 
@@ -62,14 +77,26 @@ def results(rows: DataFrame) -> DataFrame:
     )
 
 
-def write_vectors(rows: DataFrame, path: str, key: str = "law_key") -> None:
-    """A vector table, one folder a source; what was there is replaced."""
-    rows.repartition(key).write.mode("overwrite").partitionBy(key).parquet(path)
+def write_vectors(rows: DataFrame, path: str, key: str = "law_key", id_col: str = "id", files: int = 1) -> None:
+    """A vector table, one folder a source of `files` files; what was there is replaced."""
+    _dealt(rows, key, id_col, files).write.mode("overwrite").partitionBy(key).parquet(path)
 
 
-def replace_source(rows: DataFrame, path: str, key: str = "law_key") -> None:
+def replace_source(rows: DataFrame, path: str, key: str = "law_key", id_col: str = "id", files: int = 1) -> None:
     """Replaces the sources that rows hold and leaves the others."""
-    rows.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    _dealt(rows, key, id_col, files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+
+
+def _dealt(rows: DataFrame, key: str, id_col: str, files: int) -> DataFrame:
+    """One part a source and file, so that a source that holds much of a table is written by several tasks."""
+    return rows.repartition(key, F.pmod(F.xxhash64(id_col), F.lit(files)))
+
+
+def latest_rows(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """Of rows equal in the keys, null included, the one of the greatest version; the version is dropped."""
+    rest = [c for c in rows.columns if c not in (*keys, version)]
+    found = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), version).alias("r")) if rest else rows.select(*keys).distinct()
+    return found.select(*[F.col(c) if c in keys else F.col(f"r.{c}").alias(c) for c in rows.columns if c != version])
 
 
 def read_vectors(spark: SparkSession, path: str, sources: list[str] | None = None, key: str = "law_key") -> DataFrame:
@@ -100,3 +127,21 @@ def write_report(table: DataFrame, path: str, kind: str = "csv") -> None:
     """A small aggregate as one CSV or JSON file."""
     writer = table.coalesce(1).write.mode("overwrite")
     writer.option("header", True).csv(path) if kind == "csv" else writer.json(path)
+
+
+def synonyms(spark: SparkSession, path: str) -> DataFrame:
+    """(section, term, synonyms) of a synonym file: terms of any section (null) and those of one section, each of whose terms
+    has all the section's synonyms."""
+    raw = spark.read.schema("term_synonyms MAP<STRING, ARRAY<STRING>>, section_specific_synonyms MAP<STRING, STRUCT<terms: ARRAY<STRING>, synonyms: ARRAY<STRING>>>").option("multiLine", True).json(path)
+    plain = raw.select(F.explode("term_synonyms").alias("term", "synonyms")).select(F.lit(None).cast("string").alias("section"), "term", "synonyms")
+    own = raw.select(F.explode("section_specific_synonyms").alias("section", "s")).select("section", F.explode("s.terms").alias("term"), F.col("s.synonyms").alias("synonyms"))
+    return plain.union(own)
+
+
+def version_files(spark: SparkSession, root: str, name: str = "main.xml", number: str | None = None) -> DataFrame:
+    """(path, year, number, version) of the files <year>/<number>/fin@<version>/<name> under a folder, by version as text;
+    those of one statute number if it is given. File contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name).load(root).select("path")
+    part = lambda i: F.regexp_extract("path", rf"/(\d{{4}})/(\d+)/fin(?:@|%40)([^/]+)/[^/]+$", i)
+    rows = found.select("path", part(1).alias("year"), part(2).alias("number"), part(3).alias("version")).filter("version <> ''")
+    return (rows if number is None else rows.filter(F.col("number") == number)).orderBy("version", "path")

@@ -1,20 +1,35 @@
-"""Incremental ingest: new rows of a source replace that source's part of a vector table, micro-batch by micro-batch."""
+"""Incremental ingest: new rows of a vector table replace those of the same id, micro-batch by micro-batch."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sparquill.sources.files import replace_source
+from sparquill.sources.files import latest_rows
 
 
-def follow(spark: SparkSession, folder: str, schema: str, table: str, checkpoint: str, key: str = "law_key", once: bool = True) -> StreamingQuery:
-    """Reads JSON-lines files as they come; each batch overwrites the partitions of the sources that it holds. A batch that
-    is run again writes the same partitions, so a restart does no harm."""
+def follow(spark: SparkSession, folder: str, schema: str, table: str, checkpoint: str, key: str = "law_key", id_col: str = "id", once: bool = True) -> StreamingQuery:
+    """Reads JSON-lines files as they come. Each batch is appended as one folder of its own, named by its number, under the
+    sources that it holds; read_latest() gives of each (source, id) the row of the last batch. So the result does not depend
+    on how files fall into batches, and a batch that is run again writes the same folder, so a restart does no harm.
 
-    def put(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            replace_source(batch, table, key)
+    A file that is read after another replaces its rows; of rows of one id within a batch any one counts."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        rows = batch.dropDuplicates([key, id_col]).withColumn("batch", F.lit(number))
+        rows.write.mode("overwrite").partitionBy(key).parquet(f"{table}/batch_no={number}")
 
     stream = spark.readStream.schema(schema).json(folder).writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     return (stream.trigger(availableNow=True) if once else stream).start()
+
+
+def read_latest(spark: SparkSession, table: str, sources: list[str] | None = None, key: str = "law_key", id_col: str = "id") -> DataFrame:
+    """The rows of the table as they stand; only the named sources' folders are read, if any are named."""
+    rows = spark.read.option("basePath", table).parquet(f"{table}/batch_no=*").drop("batch_no")
+    return latest_rows(rows if sources is None else rows.filter(F.col(key).isin(*sources)), [key, id_col], "batch")
+
+
+def compact(spark: SparkSession, table: str, path: str, key: str = "law_key", id_col: str = "id") -> None:
+    """Writes the rows as they stand as a vector table of one folder a source."""
+    read_latest(spark, table, None, key, id_col).write.mode("overwrite").partitionBy(key).parquet(path)

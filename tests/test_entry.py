@@ -7,6 +7,7 @@ import sys
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from sparquill.operators import evaluation
@@ -93,3 +94,26 @@ def test_evidence_and_graph_cases(spark):
     path = spark.createDataFrame([(1, "REFERS_TO", "external:1/2")], "question_id int, relation string, target string")
     rows = {r.question_id: tuple(r)[1:] for r in evaluation.graph_cases(asked, first, path, spark.createDataFrame([], "question_id int, node_id string")).collect()}
     assert rows == {1: (True, True, True), 2: (False, False, False)}
+
+
+def test_a_report_is_never_cut(spark):
+    rows = spark.range(3).selectExpr("id", "cast(null as string) x")
+    assert evaluation.markdown(rows, 3).count("\n") == 4
+    with pytest.raises(ValueError, match="more than 2 rows"):
+        evaluation.markdown(rows, 2)
+
+
+def test_rule_sets_have_all_their_rules():
+    from sparquill.plans import rules
+
+    assert [len(rules.PROFILES[k].guards) for k in ("crosslaw", "routed", "answers", "autofill")] == [7, 12, 12, 14]
+    assert len(rules.STATUTE_BOOSTS.boosts) == 11 and len(rules.STATUTE_BOOSTS.penalties) == 14
+
+
+def test_category_gates(spark):
+    from sparquill.plans.rules import GATES_V3, PROBLEM_CATEGORIES
+
+    rows = spark.createDataFrame([(True, True, True, True, 1.0, False, 0.9, "covid-poikkeus"), (False, False, False, False, 0.0, False, 0.1, "covid-poikkeus")], "passed boolean, must boolean, top1_hit boolean, hit3 boolean, rr double, hn_violation boolean, top1_score double, category string")
+    metrics = evaluation.category_rates(rows, PROBLEM_CATEGORIES).withColumn("avg_latency_ms", F.lit(10.0))
+    got = {r.gate: r.passed for r in evaluation.gates(metrics, GATES_V3).collect()}
+    assert got == {"MUST >= 99%": True, "MUST Top-1 >= 80%": True, "SHOULD >= 95%": False, "covid-poikkeus >= 90%": False, "No hard negative violations": True, "Latency < 150 ms": True}  # no gate for categories without cases

@@ -79,7 +79,7 @@ def test_hierarchy_lookup_and_answers(spark):
 DOCUMENT = {
     "city": "x", "year": 2023, "title": "Report", "metrics": [{"name": "Cash", "value": 1.5, "unit": "e", "page": 2}],
     "pages": [
-        {"page_num": 1, "sections": [{"title": "Top", "level": 1, "paragraphs": ["short", "p" * 60], "tables": [{"title": "Income", "rows": [{"cells": ["Revenue", "1 234,5", "9"]}, {"cells": ["alone"]}]}], "subsections": [{"title": "Sub", "level": 2, "paragraphs": [], "tables": [{"title": "Debt", "rows": [{"cells": ["Loans", "-45 222 212"]}]}], "subsections": []}]}]},
+        {"page_num": 1, "sections": [{"title": "Top", "level": 1, "paragraphs": ["short", "p" * 60], "tables": [{"title": "Income", "rows": [{"cells": ["Revenue", "1 234,5", "9"]}, {"cells": ["alone"]}]}], "subsections": [{"title": "Sub", "level": 2, "paragraphs": [], "tables": [{"title": "Debt", "rows": [{"cells": ["Loans", "-45 222 212"]}]}], "subsections": [{"title": "Low", "subsections": [{"subsections": [{"title": "Lowest", "paragraphs": ["q" * 51, "r" * 80]}, {"title": "Last"}]}]}]}]}]},
         {"page_num": 2, "sections": [{"title": "Next", "level": 1, "paragraphs": [], "tables": [], "subsections": []}]},
     ],
 }
@@ -87,12 +87,16 @@ DOCUMENT = {
 
 def test_document_graph_and_tables(spark, tmp_path):
     (tmp_path / "d.json").write_text(json.dumps(DOCUMENT))
-    docs = files.documents(spark, str(tmp_path / "d.json"), documents.document_schema())
+    docs = files.documents(spark, str(tmp_path / "d.json"))
     nodes, edges = documents.document_graph(docs)
     count = {r.node_type: r.n for r in nodes.groupBy("node_type").agg(F.count("*").alias("n")).collect()}
-    assert count == {"DOC": 1, "PAGE": 2, "SECTION": 3, "PARA": 1, "TABLE": 2, "ROW": 3, "METRIC": 1}
+    assert count == {"DOC": 1, "PAGE": 2, "SECTION": 7, "PARA": 3, "TABLE": 2, "ROW": 3, "METRIC": 1}
     kinds = {r.edge_type: r.n for r in edges.groupBy("edge_type").agg(F.count("*").alias("n")).collect()}
-    assert kinds == {"HAS_PAGE": 2, "HAS_SECTION": 3, "HAS_PARA": 1, "HAS_TABLE": 2, "HAS_ROW": 3, "NEXT": 1}
+    assert kinds == {"HAS_PAGE": 2, "HAS_SECTION": 7, "HAS_PARA": 3, "HAS_TABLE": 2, "HAS_ROW": 3, "NEXT": 2}
+    deepest = {r.node_id: r.parent_id for r in nodes.filter("title in ('Lowest', 'Last')").collect()}
+    assert deepest == {f"x:2023:SECTION:top:sub:low:section_0:{x}": "x:2023:SECTION:top:sub:low:section_0" for x in ("lowest", "last")}
+    fixed = files.documents(spark, str(tmp_path / "d.json"), documents.document_schema(5))
+    assert sorted(map(tuple, documents.document_graph(fixed)[1].collect())) == sorted(map(tuple, edges.collect()))
     rows = documents.table_rows(docs)
     got = [(r.page, r.section, r.table_title, r.row_name, r.v) for r in rows.withColumn("v", documents.numeric(F.col("value_2023"))).collect()]
     assert sorted(got) == [(1, "Sub", "Debt", "Loans", -45222212.0), (1, "Top", "Income", "Revenue", 1234.5)]
@@ -100,7 +104,9 @@ def test_document_graph_and_tables(spark, tmp_path):
     assert [(r.row_name, r.points) for r in documents.search_tables(asked, rows).collect()] == [("Revenue", 5)]
     (tmp_path / "bad.json").write_text(json.dumps({"city": "x", "year": 1}))
     with pytest.raises(Exception, match="missing field"):
-        files.documents(spark, str(tmp_path / "bad.json"), documents.document_schema()).collect()
+        files.documents(spark, str(tmp_path / "bad.json"), documents.document_schema(2)).collect()
+    with pytest.raises(Exception, match="missing field"):
+        files.documents(spark, str(tmp_path / "bad.json")).collect()
     assert {(r.kind, r.type): r.n for r in files.write_graph(nodes, edges, str(tmp_path / "g")).collect()}["node", "ROW"] == 3
 
 
@@ -158,6 +164,8 @@ def test_statute_repeats_fail_and_render(spark):
 def test_line_cleaner_and_domain(spark):
     docs = spark.createDataFrame([(1, "\n\na\na\n 12 \na\n\n \nb\nb\n"), (2, ""), (3, None)], "k int, text string")
     assert {r.k: r.text for r in enrich.clean_lines(docs, "k", "text").collect()} == {1: "a\n\nb\n", 2: "", 3: ""}
+    same = spark.createDataFrame([(1, "a\nb"), (1, "c\nd"), (None, "a\n7\na")], "k int, text string")
+    assert sorted((str(r.k), r.text) for r in enrich.clean_lines(same, "k", "text").collect()) == [("1", "a\nb"), ("1", "c\nd"), ("None", "a")]
     of = spark.createDataFrame([("1", "1", ["x"]), ("1", "default", ["y", "x"])], "section string, moment string, anchors array<string>")
     rows = spark.createDataFrame([("1", "1"), ("1", "2"), ("2", "1")], "section_id string, moment string")
     assert {(r.section_id, r.moment): r.anchors for r in enrich.anchors(rows, of).collect()} == {("1", "1"): ["x", "y", "x"], ("1", "2"): ["y", "x"], ("2", "1"): []}
@@ -169,15 +177,26 @@ def test_sources_and_streaming(spark, tmp_path):
     schema = "id string, law_key string"
     assert files.json_lines(spark, str(tmp_path / "in"), schema).count() == 2
     (tmp_path / "bad.jsonl").write_text('{"id": "1"}\n{oops\n')
-    assert [r.line for r in files.bad_lines(spark, str(tmp_path / "bad.jsonl"), schema).collect()] == ["{oops"]
+    assert [(r.line_no, r.line) for r in files.bad_lines(spark, str(tmp_path / "bad.jsonl"), schema).collect()] == [(2, "{oops")]
+    (tmp_path / "long.jsonl").write_text("".join(f"line {i}\n" for i in range(1, 5001)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    assert files.numbered_lines(spark, str(tmp_path / "long.jsonl")).filter("line = concat('line ', line_no)").count() == 5000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     with pytest.raises(Exception, match="(?i)malformed"):
         files.json_lines(spark, str(tmp_path / "bad.jsonl"), schema, strict=True).collect()
     table = str(tmp_path / "vectors")
-    ingest.follow(spark, str(tmp_path / "in"), schema, table, str(tmp_path / "cp")).awaitTermination()
-    (tmp_path / "in/b.jsonl").write_text('{"id": "9", "law_key": "b"}\n')
-    ingest.follow(spark, str(tmp_path / "in"), schema, table, str(tmp_path / "cp")).awaitTermination()
-    assert sorted((r.law_key, r.id) for r in files.read_vectors(spark, table).collect()) == [("a", "1"), ("b", "9")]
-    assert files.read_vectors(spark, table, ["a", "missing"]).count() == 1 and files.available_sources(spark, table).count() == 2
+    ingest.follow(spark, str(tmp_path / "in"), schema + ", text string", table, str(tmp_path / "cp")).awaitTermination()
+    (tmp_path / "in/b.jsonl").write_text('{"id": "9", "law_key": "b"}\n{"id": "1", "law_key": "a", "text": "new"}\n')
+    ingest.follow(spark, str(tmp_path / "in"), schema + ", text string", table, str(tmp_path / "cp")).awaitTermination()
+    want = [("a", "1", "new"), ("b", "2", None), ("b", "9", None)]
+    assert sorted((r.law_key, r.id, r.text) for r in ingest.read_latest(spark, table).collect()) == want
+    ingest.follow(spark, str(tmp_path / "in"), schema + ", text string", f"{table}1", str(tmp_path / "cp1")).awaitTermination()  # both files in one batch
+    assert {(r.law_key, r.id) for r in ingest.read_latest(spark, f"{table}1").collect()} == {w[:2] for w in want}
+    ingest.compact(spark, table, f"{table}2")
+    assert files.read_vectors(spark, f"{table}2", ["a", "missing"]).count() == 1 and files.available_sources(spark, f"{table}2").count() == 2
+    files.replace_source(spark.createDataFrame([(str(i), None, "b") for i in range(50)], "id string, text string, law_key string"), f"{table}2", files=4)
+    assert files.read_vectors(spark, f"{table}2").groupBy("law_key").count().count() == 2 and files.read_vectors(spark, f"{table}2", ["b"]).count() == 50
     (tmp_path / "rules.json").write_text(json.dumps({"router_keywords": {"s": ["x", "y"]}}))
     assert files.rules(spark, str(tmp_path / "rules.json")) == {"s": ("x", "y")} and files.rules(spark, None) == {}
     for name, status in (("q1.json", "OK"), ("q2.json", "FAIL")):
@@ -187,3 +206,80 @@ def test_sources_and_streaming(spark, tmp_path):
     old = spark.createDataFrame([("c1", "law", True)], "id string, top1_law string, confusion_fail boolean")
     row = files.results(old).first()
     assert (row.case_id, row.top1_law_key, row.confusion_fail, row.system_abstains, row.latency_ms) == ("c1", "law", True, False, 0.0)
+
+
+def test_supports_are_scored_by_each_questions_own_hit(spark, monkeypatch):
+    from sparquill.operators import search
+
+    nodes, edges = walk_fixture(spark)
+    hits = spark.createDataFrame([(1, 1, "A1", 0.7), (2, 1, "A1", 0.5)], "question_id int, rank int, id string, score double")
+    monkeypatch.setattr(search, "multi_source", lambda *a, **k: hits)
+    _, support, path = guided.guided(None, None, nodes, edges, None, None)
+    got = {(r.question_id, r.node_id): r.support_score for r in support.collect()}
+    assert got == {(1, "D"): 0.68, (1, "B"): 0.67, (1, "C"): 0.62, (2, "D"): 0.48, (2, "B"): 0.47, (2, "C"): 0.42}
+    lines = {r.question_id: r.lines for r in guided.path_lines(path, nodes.withColumn("section_title", F.lit("t"))).collect()}
+    assert lines[1] == lines[2] and lines[1].split("\n")[0] == "1 § t -[REFERS_TO]-> 2 § t" and "external:9/9" in lines[1]
+
+
+def test_expansion_keeps_first_visits_on_random_graphs(spark):
+    """Hop by hop against a queue."""
+    rng = __import__("random").Random(3)
+    names = [f"n{i}" for i in range(40)]
+    nodes = [(n, "L", i // 2) for i, n in enumerate(names)]
+    edges = [(rng.choice(names), rng.choice([*names, "external:1/1"]), rng.choice(["REFERS_TO", "EXCEPTS", "DEFINES", "HAS_MOMENT"]), k) for k in range(150)]
+    got = graph.expand(spark.createDataFrame([(n, 0.5) for n in names[:6]], "primary string, score double"), spark.createDataFrame(nodes, "node_id string, law_key string, section_num int"), spark.createDataFrame(edges, "source string, target string, edge_type string, edge_ord long"), 3)
+    want = set()
+    for p in names[:6]:
+        i = names.index(p)
+        seen = {p: [p]} | {n: [p] for n in (names[i // 2 * 2], names[i // 2 * 2 + 1]) if n != p}
+        queue = list(seen)
+        for hop in range(1, 4):
+            following = []
+            for n in queue:
+                steps = sorted([(0, k, t, e) for s, t, e, k in edges if s == n and e != "HAS_MOMENT"] + [(1, k, s, e) for s, t, e, k in edges if t == n and e == "EXCEPTS"])
+                for _, _, to, kind in steps:
+                    if to not in seen:
+                        seen[to] = [*seen[n], to]
+                        following.append(to)
+                        want.add((p, to, hop, kind, tuple(seen[to])))
+            queue = following
+    assert {(r.primary, r.node_id, r.hop, r.relation, tuple(r.path)) for r in got.collect()} == want
+
+
+def test_latest_version_is_built_and_written_as_markdown(spark, tmp_path):
+    for version, text in (("9", "old"), ("20230780", "Tase on tehtävä")):
+        folder = tmp_path / f"2015/410/fin@{version}"
+        folder.mkdir(parents=True)
+        (folder / "main.xml").write_text(XML.format(meta="", body="<chapter><num>1 luku</num><heading>Yleiset</heading>" + SECTION.format(n="1 §", t=text) + "</chapter>"))
+    found = files.version_files(spark, str(tmp_path), number="410").collect()
+    assert [(r.year, r.number, r.version) for r in found] == [("2015", "410", "20230780"), ("2015", "410", "9")]
+    row = statutes.build(spark, str(tmp_path), "Kuntalaki", "410/2015", "k", word_tags={"tehtävä": ("own",)}).first()
+    assert row.text == "Tase on tehtävä" and row.tags == ["h", "own", "tase", "tilinpäätös", "vastaavaa", "vastattavaa"]
+    listed = "<list><item><label>1)</label><p>one</p><list><item><p>in it</p></item></list></item><item>bare</item></list>"
+    body = f"<docTitle><p>Act</p></docTitle><body><part><num>I</num><heading>Osa</heading><section><num>2 §</num><heading>H</heading><p>Text</p>{listed}<p> </p></section></part></body>"
+    rows = spark.createDataFrame([("a", f"<r>{body}</r>")], "path string, xml string")
+    assert statutes.act_markdown(rows).first().text == "# Act\n\n## I Osa\n\n### 2 § H\n\nText\n\n- **1)** one\n  - in it\n\n- bare\n"
+    for bad in ("<r/>", "<!DOCTYPE r [<!ENTITY x 'y'>]><r><body/></r>"):
+        with pytest.raises(Exception, match="body|document type"):
+            statutes.act_markdown(spark.createDataFrame([("a", bad)], "path string, xml string")).collect()
+
+
+def test_question_set_and_synonyms(spark, tmp_path):
+    (tmp_path / "s.json").write_text(json.dumps({"term_synonyms": {"tase": ["balance"]}, "section_specific_synonyms": {"115": {"terms": ["a", "b"], "synonyms": ["c"]}}}))
+    got = files.synonyms(spark, str(tmp_path / "s.json")).collect()
+    assert sorted((r.section or "", r.term, tuple(r.synonyms)) for r in got) == [("", "tase", ("balance",)), ("115", "a", ("c",)), ("115", "b", ("c",))]
+    base = spark.createDataFrame([("q1", "x", True, "must"), ("q2", "y", False, "covid-poikkeus"), ("q3", "z", False, "muu")], "question_id string, text string, must boolean, category string")
+    made = spark.createDataFrame([(q, n, f"{q} {n}") for q in ("q1", "q2", "q3") for n in (1, 2, 3, 4)], "question_id string, paraphrase_no int, text string")
+    hard = spark.createDataFrame([("h1", "no", "hard_negative")], "question_id string, text string, test_type string")
+    rows = documents.question_set(base, made, [hard], ("covid-poikkeus",)).collect()
+    assert sorted((r.question_id, r.test_type) for r in rows) == sorted([("q1", "base"), ("q2", "base"), ("q3", "base"), ("h1", "hard_negative"), *((f"q1-p{n}", "synonym") for n in (1, 2, 3)), *((f"q2-p{n}", "synonym") for n in (1, 2))])
+
+
+def test_names_and_vector_rows(spark):
+    from sparquill.plans.rules import STATUTE_NAMES
+
+    rows = spark.createDataFrame([("kuntalaki_410_2015",), ("other",)], "src string").select(enrich.display_name(F.col("src"), STATUTE_NAMES).alias("n"))
+    assert [r.n for r in rows.collect()] == ["Kuntalaki", "other"]
+    moment = spark.createDataFrame([("n", "T", "x", None, None, None, None, None, None, None, None, None, None, None, None, None)], "node_id string, section_title string, text string, law string, law_id string, law_key string, finlex_version string, chapter string, chapter_title string, section_id string, section_num int, section_suffix string, moment string, tags array<string>, anchors array<string>, in_force boolean")
+    row = enrich.vector_rows(moment).first()
+    assert (row.id, row.document, row.law, row.section_num, row.tags, row.in_force) == ("n", "T. x", "", 0, [], False)
