@@ -1,8 +1,7 @@
-"""Shared helpers: staged tables in the cluster's shared folder, files written by tasks, text columns as bytes."""
+"""Shared helpers: files written by tasks, text columns as bytes, groups of rows in tasks, bounded samples."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,43 +11,12 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN_DIR: list[str] = []
+from sparquill.staging import drop_staged, fresh_path, shared_dir, stage  # noqa: F401  the operators take them from here
+
 #: A maximal run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset a temporary one of our own, on a local master (tests)
-    alone: on a cluster executors do not share it."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not _OWN_DIR:
-        _OWN_DIR.append("file://" + tempfile.mkdtemp(prefix="sparquill-"))
-    return _OWN_DIR[0]
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/sparquill/{uuid.uuid4().hex}/{name}"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: it cuts lineage and survives lost executors."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_staged(spark: SparkSession, *frames: DataFrame) -> None:
-    """Deletes staged tables that nothing will read again."""
-    for df in frames:
-        for file in df.inputFiles()[:1]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
