@@ -80,8 +80,10 @@ def _queue(narrow: DataFrame, weights: tuple[int, ...], max_epochs: int, budget_
 def _queued(rows: DataFrame, queue: DataFrame, *keep: str) -> DataFrame:
     """What is kept of rows (the KEY and more), size, ord, source_size, target, and `upto`: the words of the source up to and
     with each row. Equal rows are numbered part by part of a table of their own, so a hot id meets in no one task."""
-    joined = rows.join(queue, _same(rows, queue)).select(*[rows[c] for c in dict.fromkeys((*KEY, *keep))], "n", "ord", "source_size", "target", "start")
-    repeats = stage(joined.filter("n > 1").withColumn("part", F.spark_partition_id()), "repeats")
+    of = lambda some: rows.join(some, _same(rows, some)).select(*[rows[c] for c in dict.fromkeys((*KEY, *keep))], "n", "ord", "source_size", "target", "start")
+    joined = of(queue.filter("n = 1"))
+    many = stage(queue.filter("n > 1"), "many")  # a table of its own, so that rows are moved for it only where it is large
+    repeats = stage(of(many).withColumn("part", F.spark_partition_id()), "repeats")
     by = [F.col(c) for c in (*KEY, "part")]
     counts = repeats.groupBy(*by).agg(F.count("*").alias("rows"))
     ahead = F.sum("rows").over(Window.partitionBy(*KEY).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
@@ -89,7 +91,7 @@ def _queued(rows: DataFrame, queue: DataFrame, *keep: str) -> DataFrame:
     same = _same(repeats, counts) & (repeats["part"] == counts["part"])
     nth = F.row_number().over(Window.partitionBy(*[repeats[c] for c in (*KEY, "part")]).orderBy(repeats["ord"])) + F.col("ahead")
     numbered = repeats.join(counts, same).select(*[repeats[c] for c in joined.columns], nth.alias("nth"))
-    every = joined.filter("n = 1").withColumn("nth", F.lit(1).cast("long")).unionByName(numbered)
+    every = joined.withColumn("nth", F.lit(1).cast("long")).unionByName(numbered)
     return every.withColumn("upto", F.col("start") + F.col("nth") * F.col("size")).select(*dict.fromkeys((*keep, "size", "ord", "source_size", "target", "upto")))
 
 
