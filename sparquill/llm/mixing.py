@@ -10,7 +10,8 @@ Running sums are two-level so that no source, however large, meets in one task:
 ranges, a range's sum is carried over from the totals before it; rows of one id and size are one counted row there, so a
 hot id meets in no one task either. The budget's place in the global order is found from totals of bins of finish time;
 only the bin in which it ends is looked into, again by bins while it is large, and put in exact order. What is taken is
-range-sorted by finish time. A source misses its target by less than one document of the largest size at the cut.
+range-sorted by finish time. A source's words differ from its target by less than one of its own documents and its share
+of the one at which the budget ends.
 
 Defined results: a null text has no words; null is a source like any other; documents without words are never taken and
 a mix without words takes nothing; a null id is shuffled like the id 'null'; repeated rows are taken one by one.
