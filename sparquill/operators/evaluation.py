@@ -43,6 +43,17 @@ def cases(questions: DataFrame, hits: DataFrame, key: str = "question_id") -> Da
     return rows.withColumn("passed", F.col("first_rank").isNotNull() & ~F.col("hn_violation")).withColumn("rr", rr).drop("expected", "expected_none")
 
 
+def rates(case_rows: DataFrame, **flags: str) -> DataFrame:
+    """One row: for each name=flag the share of cases with the flag, and avg_latency_ms where cases have a latency_ms."""
+    latency = [four(F.coalesce(F.avg("latency_ms"), F.lit(0.0))).alias("avg_latency_ms")] if "latency_ms" in case_rows.columns else []
+    return case_rows.agg(*[rate(F.col(flag)).alias(name) for name, flag in flags.items()], *latency)
+
+
+def pair_key(source_file: Column, prefix: str = "questions_cross_", suffix: str = r"(\.autofill)?\.json") -> Column:
+    """The pair of sources that a question file's name stands for."""
+    return F.regexp_replace(source_file, f"^{prefix}|{suffix}$", "")
+
+
 def four(value: Column) -> Column:
     """Four digits, halves up: a sum's last bit, which follows the order of its rows, does not decide."""
     return F.round(value + F.lit(1e-9), 4)

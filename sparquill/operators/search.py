@@ -172,6 +172,13 @@ def fan_out(questions: DataFrame, corpus: DataFrame, per_source: int = 3, min_sc
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit).select(key, F.col("place").alias("rank"), source, "id", "score")
 
 
+def in_source(questions: DataFrame, corpus: DataFrame, k: int = 5, min_score: float = 0.4, key: str = "question_id", wanted: str = "wanted", id_col: str = "id", source: str = "src", query_vector: str = "embedding") -> DataFrame:
+    """Search in the one source that each question names: (key, source, id, score, rank) of its k best that reach min_score."""
+    found = topk(questions, corpus, k, key, query_vector, id_col, source=source)
+    asked = questions.select(key, F.col(wanted).alias(source))
+    return found.join(asked, [key, source], "left_semi").filter(F.col("score") >= min_score).select(key, source, "id", "score", "rank")
+
+
 def context_boost(hits: DataFrame, questions: DataFrame, company: tuple[str, ...], core_terms: tuple[str, ...], company_source: str, core: str, accounting: tuple[str, ...], key: str = "question_id", text: str = "text", source: str = "src") -> DataFrame:
     """Two or more company terms: +.08 for the company source, -.03 for the core. Else one or more core terms and no company
     term: +.08 for the core, -.05 for the accounting sources. Ordered anew; ties keep their rank."""
