@@ -3,6 +3,8 @@
 Each round every vertex takes its smallest neighbour as parent, parents are followed to the roots by pointer jumping,
 and the edges between roots make the next, at most half as large, graph. Minima are pre-aggregated before the shuffle,
 so a vertex with very many edges costs one row a task; every step is a table in the shared folder.
+
+Defined results: edges with a null end and loops are no edges; repeated edges count once; without edges there is no vertex.
 """
 
 from __future__ import annotations

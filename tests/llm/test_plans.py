@@ -261,6 +261,30 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == sum(kept[4][2].values())
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    text = lambda: " ".join(f"word{rng.randrange(3000)}" for _ in range(70))
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(1, a), (1, a), (1, b), (None, c), (None, c), (None, None), (5, None), (6, ""), (2, a + " end"), (7, d), (3, d), (8, " ".join(["long"] + [f"w{i}" for i in range(30_000)]))]
+    docs = spark.createDataFrame([(i, t, None, None if k % 2 else "s", None) for k, (i, t) in enumerate(rows)], SCHEMA).withColumn("shard", F.lit("clash"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    step, kept = docs, {}
+    for name, f in corpus_pipeline.STAGES:
+        step = corpus_pipeline.stage(f(spark, step, str(tmp_path)), name)
+        kept[name] = Counter(r.doc_id for r in step.collect())
+    assert kept["quality_rules"] == Counter({1: 3, None: 2, 2: 1, 7: 1, 3: 1, 8: 1})
+    assert kept["near_duplicates"] == kept["decontamination"] == Counter({1: 2, None: 1, 3: 1, 8: 1})
+    assert set(kept["mixing"]) <= {1, None, 3, 8} and kept["sharding"] == kept["mixing"]
+    none = docs.limit(0)
+    for name, f in corpus_pipeline.STAGES:
+        none = corpus_pipeline.stage(f(spark, none, str(tmp_path)), name)
+        assert none.count() == 0 and (name == "sharding" or none.columns == docs.columns)
+
+
 def test_queries_are_registered():
     import __spark_entry__
 
