@@ -30,8 +30,6 @@ from sparquill.llm.common import drop_staged, slices, stage, text_bytes
 WINDOW, K = 10, 5
 #: Bytes that are part of a word stay (A-Z as a-z); all others become a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-#: A word of a text whose letters keep their case.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -110,22 +108,32 @@ def benchmark_tables(benchmark: DataFrame, item_col: str = "item_id", text_col:
     return made
 
 
-def hit_windows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> tuple[DataFrame, DataFrame]:
-    """Staged (doc_id, text_hash, n, start, a, b), a row a place of a document where a window of the benchmark stands, and
-    the benchmark's windows."""
-    known, spans = benchmark_tables(benchmark, window=window, k=k)
-    lengths = sorted(r.n for r in known.select("n").distinct().collect())  # at most `window` of them
+def fingerprinted(docs: DataFrame, lengths: list[int], id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
+    """(doc_id, text_hash, n_words, prints) of every row: the fingerprints of windows of these lengths."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    key = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long"
 
-    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 2):
                 _, hashes, bounds = hashed(text_bytes(batch.column(2)))
-                values, at = (np.concatenate(x) for x in zip(*(prints(hashes, bounds, n, k) for n in lengths), strict=True))
+                found = [prints(hashes, bounds, n, k) for n in lengths] or [(np.empty(0, np.uint64), np.empty(0, np.int64))]
+                values, at = (np.concatenate(x) for x in zip(*found, strict=True))
                 order = np.argsort(at, kind="stable")
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(at[order], bounds).astype(np.int32)), pa.array(values[order].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["doc_id", "text_hash", "prints"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(bounds)), lists], ["doc_id", "text_hash", "n_words", "prints"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, n_words long, prints array<long>")
+
+
+def window_lengths(known: DataFrame) -> list[int]:
+    """The lengths of the benchmark's windows; at most `window` of them."""
+    return sorted(r.n for r in known.select("n").distinct().collect())
+
+
+def hit_windows(docs: DataFrame, marked: DataFrame, known: DataFrame, spans: DataFrame, lengths: list[int], id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
+    """Staged (doc_id, text_hash, n, start, a, b), a row a place of a document where a window of the benchmark stands."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    key = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long"
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -141,18 +149,15 @@ def hit_windows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
                             both, m = windows(words[0], starts.tolist(), n), len(starts)
                             yield pa.RecordBatch.from_arrays([pa.array([ident] * m, batch.schema.field(0).type), pa.array([text_hash] * m, pa.int64()), pa.array([n] * m, pa.int32()), pa.array(starts), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["doc_id", "text_hash", "n", "start", "a", "b"])
 
-    empty = f"{key}, n int, start long, a long, b long"
-    if not lengths:
-        return stage(docs.sparkSession.createDataFrame([], empty), "found"), spans
-    marked = rows.mapInArrow(marks, f"{key}, prints array<long>").filter(F.size("prints") > 0).select("doc_id", "text_hash", F.explode("prints").alias("print"))
-    hits = marked.join(known.select("print"), "print", "left_semi")
+    found_as = f"{key}, n int, start long, a long, b long"
+    hits = marked.filter(F.size("prints") > 0).select("doc_id", "text_hash", F.explode("prints").alias("print")).join(known.select("print"), "print", "left_semi")
     hits = stage(hits.groupBy("doc_id", "text_hash").agg(F.collect_set("print").alias("hit")), "hits")
     of = hits.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash"), "hit")
     texts = rows.join(of, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))).select("doc_id", "text_hash", "text", "hit")
-    found = texts.mapInArrow(extended, empty).join(spans.select("n", "a", "b").distinct(), ["n", "a", "b"], "left_semi")
+    found = texts.mapInArrow(extended, found_as).join(spans.select("n", "a", "b").distinct(), ["n", "a", "b"], "left_semi")
     found = stage(found.select("doc_id", "text_hash", "n", "start", "a", "b"), "found")
-    drop_staged(docs.sparkSession, known, hits)
-    return found, spans
+    drop_staged(docs.sparkSession, hits)
+    return found
 
 
 def n_covered(spans: Column) -> Column:
@@ -163,15 +168,17 @@ def n_covered(spans: Column) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
     """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    found, spans = hit_windows(docs, benchmark, id_col, text_col, window, k)
+    known, spans = benchmark_tables(benchmark, window=window, k=k)
+    lengths = window_lengths(known)
+    marked = stage(fingerprinted(docs, lengths, id_col, text_col, k), "marked")
+    found = hit_windows(docs, marked, known, spans, lengths, id_col, text_col, k)
     hit = found.groupBy("doc_id", "text_hash").agg(n_covered(F.array_sort(F.collect_set(F.struct("start", "n")))).alias("n_hit"))
     named = found.select("doc_id", "text_hash", "n", "a", "b").distinct().join(spans, ["n", "a", "b"]).select("doc_id", "text_hash", "item").distinct()
     named = named.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list("item")).alias("items"))
     hit = hit.join(named.withColumnRenamed("doc_id", "d").withColumnRenamed("text_hash", "t"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")), "left")
     hit = stage(hit.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash"), "n_hit", "items"), "hit")
-    drop_staged(docs.sparkSession, found, spans)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
-    joined = rows.join(hit, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), "left")
+    drop_staged(docs.sparkSession, found, spans, known)
+    joined = marked.drop("prints").join(hit, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return joined.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
@@ -179,8 +186,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
     """The rows of docs, all columns as they are, in which no benchmark window occurs."""
-    found, spans = hit_windows(docs, benchmark, id_col, text_col, window, k)
+    known, spans = benchmark_tables(benchmark, window=window, k=k)
+    lengths = window_lengths(known)
+    found = hit_windows(docs, fingerprinted(docs, lengths, id_col, text_col, k), known, spans, lengths, id_col, text_col, k)
     bad = stage(found.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash")).distinct(), "contaminated")
-    drop_staged(docs.sparkSession, found, spans)
+    drop_staged(docs.sparkSession, found, spans, known)
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"))
     return rows.join(bad, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), "left_anti").select("row.*")
