@@ -394,6 +394,15 @@ def test_near_copies_lose_no_link_in_dense_groups(spark, monkeypatch, limits):
     assert sorted(r.doc_id for r in near_copies.drop_near_copies(corpus(spark, texts)).collect()) == sorted(set(root))
 
 
+def test_near_copies_of_very_long_texts_meet_across_blocks(spark, monkeypatch):
+    """A bucket of few but large sets is cut by bytes; its blocks are held against each other all the same."""
+    monkeypatch.setattr(near_copies, "GROUP_BYTES", 3000)
+    rng = random.Random(9)
+    long = " ".join(f"v{rng.randrange(10**6)}" for _ in range(1200))
+    texts = [long, edited(rng, long, 10), "other words of no copy at all", edited(rng, long, 12)]
+    assert sorted(r.doc_id for r in near_copies.drop_near_copies(corpus(spark, texts)).collect()) == [0, 2]
+
+
 def test_an_index_finds_all_pairs_of_different_labels():
     rng = np.random.default_rng(5)
     codes, group, label = rng.integers(0, 2**20, 400, dtype=np.uint64), rng.integers(0, 3, 400), rng.integers(0, 40, 400)
