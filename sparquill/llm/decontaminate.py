@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from sparquill.llm.common import drop_staged, slices, stage, text_bytes
 
 WINDOW, K = 10, 5
+#: A worker remembers the hashes of so many words, and takes texts in slices of so many bytes.
+CACHE, SLICE = 100_000, 1 << 21
 #: Bytes that are part of a word stay (A-Z as a-z); all others become a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
@@ -39,7 +41,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > CACHE:
             self.clear()
         self[word] = x = xxhash.xxh64_intdigest(word)
         return x
@@ -114,7 +116,7 @@ def fingerprinted(docs: DataFrame, lengths: list[int], id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 2):
+            for batch in slices(whole, 2, SLICE):
                 _, hashes, bounds = hashed(text_bytes(batch.column(2)))
                 found = [prints(hashes, bounds, n, k) for n in lengths] or [(np.empty(0, np.uint64), np.empty(0, np.int64))]
                 values, at = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -137,7 +139,7 @@ def hit_windows(docs: DataFrame, marked: DataFrame, known: DataFrame, spans: Dat
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 2):
+            for batch in slices(whole, 2, SLICE):
                 for ident, text_hash, text, hit in zip(*(batch.column(i).to_pylist() for i in range(2)), text_bytes(batch.column(2)), batch.column(3).to_pylist(), strict=True):
                     words, hashes, bounds = hashed([text])
                     for n in lengths:
