@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.llm import classifier, decontaminate, line_dedup, mixing, quality_rules, sharding, simhash, token_ids, url_filters, warc
+from sparquill.llm import centroids, classifier, decontaminate, hard_negatives, line_dedup, mixing, quality_rules, rotated_codes, sharding, simhash, token_ids, url_filters, warc
 from sparquill.llm.common import read_table
 
 
@@ -61,8 +61,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(*centroids.cluster(read_table(spark, sf_dir, "embeddings")))
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return rotated_codes.search(rotated_codes.build(vectors), vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepared(read_table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_token_ids, op4_warc, op5_url_filters, op6_mixing, op7_decontaminate, op8_sharding, op9_simhash, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_token_ids, op4_warc, op5_url_filters, op6_mixing, op7_decontaminate, op8_sharding, op9_simhash, op10_quality_classifier, op11_centroids, op12_nearest, op13_hard_negatives)}
 
 
 OP2_SQL = """
@@ -119,5 +134,44 @@ QUALIFY row_number() OVER (PARTITION BY row_no ORDER BY local_depth) = 1
 """
 
 
+def op11_sql(k: int = centroids.K, rounds: int = centroids.ROUNDS) -> str:
+    """The rounds one after another, every distance measured."""
+    near = """SELECT v.vec_id, v.x, c.cluster, list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT AS distance
+              FROM v, c{0} AS c QUALIFY row_number() OVER (PARTITION BY v.vec_id ORDER BY distance, c.cluster) = 1"""
+    parts = [
+        """v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+           WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster, x FROM v ORDER BY sha256('2:' || vec_id) LIMIT {k})",
+    ]
+    for r in range(rounds):
+        parts.append(f"a{r} AS MATERIALIZED ({near.format(r)})")
+        parts.append(f"""m{r} AS (SELECT cluster, list(m ORDER BY i) AS x FROM (SELECT cluster, i, floor(sum(x[i])::DOUBLE / count(*))::BIGINT AS m FROM a{r}, range(1, 65) AS p(i) GROUP BY cluster, i) GROUP BY cluster)""")
+        parts.append(f"c{r + 1} AS MATERIALIZED (SELECT cluster, coalesce(m{r}.x, c{r}.x) AS x FROM c{r} LEFT JOIN m{r} USING (cluster))")
+    return f"""WITH {", ".join(parts)}, a AS MATERIALIZED ({near.format(rounds)})
+SELECT a.vec_id, a.cluster::INT AS cluster, a.distance, (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia, (sum(a.distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a JOIN c{rounds} AS c USING (cluster)"""
+
+
+OP12_SQL = """
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda e: e::DOUBLE) AS x FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = len(embedding) AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+n AS MATERIALIZED (SELECT vec_id, x, sqrt(list_reduce(list_transform(x, lambda e: e * e), lambda a, b: a + b)) AS n FROM v),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i]), lambda a, b: a + b) / (q.n * c.n) AS score
+      FROM n AS q JOIN n AS c ON len(q.x) = len(c.x) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s QUALIFY rank <= 5
+"""
+
+OP13_SQL = """
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = len(embedding)),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, coalesce(list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i])), 0)::BIGINT AS score
+      FROM v AS a JOIN v AS b ON len(a.x) = len(b.x) AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id))::INT AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score QUALIFY rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op6_mixing": OP6_SQL, "op8_sharding": OP8_SQL}
+    return {"op2_line_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op6_mixing": OP6_SQL, "op8_sharding": OP8_SQL, "op11_centroids": op11_sql(), "op12_nearest": OP12_SQL, "op13_hard_negatives": OP13_SQL}
