@@ -57,7 +57,7 @@ def brute_templates(counts):
                 n, b = group[s[level]]
                 all_n, all_b = (sum(v[j] for v in group.values()) for j in (0, 1))
                 own = False
-                if len(group) <= url_filters.FAN_OUT and 0 < n < all_n:
+                if url_filters.ENOUGH <= n < all_n:
                     p = all_b / all_n
                     own = abs(b / n - (all_b - b) / (all_n - n)) > url_filters.Z * (p * (1 - p) * (1 / n + 1 / (all_n - n))) ** 0.5
                 new[k] = template[k] + "/" + (s[level] if len(group) == 1 or own else "*")
@@ -109,6 +109,20 @@ def test_a_bad_section_is_blocked_among_any_number_of_siblings(spark, clean):
     assert {r.verdict for r in got if "/spam/" in r.path} == {"block"} and {r.verdict for r in got if "/spam/" not in r.path} == {"allow"}
 
 
+@pytest.mark.parametrize("siblings", [5, 31, 32, 33, 60])
+def test_one_labelled_page_is_no_section_at_any_fan_out(spark, siblings):
+    name = lambda i: "s" + "".join("abcdefghij"[int(c)] for c in str(i))
+    rows = [(f"http://host.org/{name(i)}/p{k}", 0) for i in range(siblings) for k in range(30)] + [("http://host.org/odd/p", 1)]
+    pages = spark.createDataFrame([(i, u, bad) for i, (u, bad) in enumerate(rows)], "page_id long, url string, bad int")
+    assert {r.template for r in url_filters.judge(pages).filter("path like '/odd/%'").collect()} == {"/*/*"}
+
+
+def test_very_long_urls(spark):
+    rows = [(1, "http://a.org/" + "x/" * 200_000, 1), (2, "http://" + "h" * 300_000, 0), (3, "http://a.org/" + "9" * 500_000, None)]
+    got = {r.page_id: r for r in url_filters.judge(spark.createDataFrame(rows, "page_id long, url string, bad int")).collect()}
+    assert len(got[1].path) == 400_001 and len(got[2].host) == 300_000 and got[3].template.endswith("{n}") and got[2].verdict == "allow"
+
+
 def test_page_labels(spark):
     pages = spark.createDataFrame([(1, "http://a/en/12"), (2, "http://a/en/12.html?x=3"), (3, "http://a/en/7/"), (4, None), (5, "http://a/x9/y"), (6, "http://a/" + "9" * 30)], "page_id long, url string")
     labels = spark.createDataFrame([(12, 0, 0), (12, 1, 0), (7, 1, 1), (None, 0, 0), (9, None, 0)], "doc_id long, quality int, toxic int")
@@ -290,4 +304,4 @@ def test_queries_are_registered():
 
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
-    assert {n for n in __spark_entry__.oracle_sql() if n.startswith("op")} == {"op2_line_dedup", "op4_warc", "op6_mixing", "op8_sharding"}
+    assert {n for n in __spark_entry__.oracle_sql() if n.startswith("op")} == {"op2_line_dedup", "op4_warc", "op6_mixing", "op8_sharding", "op11_centroids", "op12_nearest", "op13_hard_negatives"}

@@ -120,6 +120,14 @@ def test_warc_round_trip(spark):
     assert warc.read_archives(warc.write_archives(pages.limit(0))).count() == 0
 
 
+def test_warc_ids_of_other_types(spark):
+    rows = [("a b", "http://a/", LONG), ("b\r\n", "http://b/", LONG), ("é:1", None, LONG), (None, "http://d/", LONG), ("", "http://e/", "x" * 200_000)]
+    got = warc.read_archives(warc.write_archives(spark.createDataFrame(rows, "page_id string, url string, html string"))).collect()
+    assert sorted(((r.page_id, r.url, r.payload_bytes, r.refers_to) for r in got), key=repr) == sorted([("a b", "http://a/", 150, None), ("b\r\n", "http://b/", 150, "a b"), ("é:1", None, 150, "a b"), (None, "http://d/", 150, "a b"), ("", "http://e/", 200_000, None)], key=repr)
+    dated = spark.sql("SELECT DATE'2024-02-29' AS page_id, 'u' AS url, 'h' AS html")
+    assert [(str(r.page_id), r.record_type) for r in warc.read_archives(warc.write_archives(dated)).collect()] == [("2024-02-29", "response")]
+
+
 def test_warc_reader_is_sequential_and_strict():
     good = warc.member(1, "http://a/", b"payload" * 100, hashlib.sha256(b"payload" * 100).hexdigest(), None)
     two = list(warc.read_records(io.BytesIO(good + good), keep_payload=True))

@@ -173,6 +173,21 @@ def brute_lines(rows, run, long=50):
     return out
 
 
+def test_lines_are_told_apart_by_two_hashes(spark, monkeypatch):
+    """Even if all first hashes collide, unequal passages stay and equal ones go."""
+    long = lambda w: " ".join([w] * 55)
+    texts = [long("a"), long("b"), "x\ny\nz", "p\n\nq", "r\n\ns", long("a"), "u\nx\ny"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(line_dedup, "line_hashes", lambda line: (F.lit(0).cast("long"), F.xxhash64(F.lit(1), line)))
+    assert {r.doc_id: r.text for r in line_dedup.dedup(docs).collect()} == {0: texts[0], 1: texts[1], 2: texts[2], 3: texts[3], 4: texts[4], 5: "", 6: "u"}
+
+
+def test_sets_are_told_apart_by_two_hashes(spark):
+    rows = spark.createDataFrame([(1, 5, 7, 100, 3), (2, 6, 7, 100, 3), (3, 7, 7, 200, 4), (4, 8, 9, 100, 5)], "doc_id long, text_hash long, key long, check long, n long").withColumns({"fp": F.lit(0).cast("long"), "bands": F.array().cast("array<long>"), "sketch": F.lit(None).cast("binary")})
+    got = near_copies.named_sets(rows).collect()
+    assert sorted((r.key, r.n, r.place.doc_id) for r in got) == [(9, 5, 4), (100, 3, 1), (200, 4, 3)]
+
+
 @pytest.mark.parametrize("run", [1, 2, 3])
 def test_line_dedup(spark, run):
     passage, almost = " ".join(f"p{i}" for i in range(50)), "\t".join(f"p{i}" for i in range(49))
