@@ -2,14 +2,13 @@
 
 Paths are reduced to shapes (digit runs become {n}) and counted per host and shape, so the tree is worked out from
 aggregates. From the root down, a node's children are its next segments. A child stays a branch of its own only if its
-labelled share of bad pages differs from that of its siblings (a two-proportion z test), and the others merge into the
-wildcard; among more than `fan_out` children, one of fewer than `ENOUGH` labelled pages is a page rather than a section
-and merges too. A template whose smoothed share of bad pages, (bad + strength * corpus share) / (labelled + strength), reaches `purity` is rejected.
+labelled share of bad pages differs from that of its siblings (a two-proportion z test over at least `enough` labelled pages
+of its own), and the others merge into the wildcard; the rule is the same for any number of children. A template whose smoothed share of bad pages, (bad + strength * corpus share) / (labelled + strength), reaches `purity` is rejected.
 
 Totals are pre-aggregated before every shuffle; decisions join the counts, never the pages' rows, but for the last look-up
 by host and shape.
 
-Defined results: a null url or one without :// has an empty host and path; segments beyond `max_depth` are one; pages
+Defined results: a null url or one without :// has an empty host and path, and all of these are judged as one host's; segments beyond `max_depth` are one; pages
 without a label count for shapes, not for purity; with no labels at all nothing is rejected.
 """
 
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sparquill.llm.common import stage
 
-FAN_OUT, ENOUGH, MAX_DEPTH, Z, STRENGTH, PURITY = 32, 2, 8, 1.96, 4.0, 0.6
+ENOUGH, MAX_DEPTH, Z, STRENGTH, PURITY = 2, 8, 1.96, 4.0, 0.6
 #: (host, path, verdict); a rule fits its host and all subdomains.
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,7 +50,7 @@ def shape(path_: Column) -> Column:
     return F.regexp_replace(path_, "[0-9]+", "{n}")
 
 
-def templates(counts: DataFrame, fan_out: int = FAN_OUT, max_depth: int = MAX_DEPTH, z: float = Z) -> DataFrame:
+def templates(counts: DataFrame, enough: int = ENOUGH, max_depth: int = MAX_DEPTH, z: float = Z) -> DataFrame:
     """(host, shape, labelled, bad, template) from (host, shape, labelled, bad)."""
     rows = counts.withColumn("segments", F.split("shape", "/", max_depth)).withColumn("template", F.element_at("segments", 1))
     depth = rows.agg(F.max(F.size("segments"))).first()[0] or 0
@@ -63,21 +62,21 @@ def templates(counts: DataFrame, fan_out: int = FAN_OUT, max_depth: int = MAX_DE
         others = F.col("all_n") - F.col("n")
         error = F.sqrt(share * (1 - share) * (F.try_divide(F.lit(1), "n") + F.try_divide(F.lit(1), others)))
         apart = F.abs(F.try_divide("b", "n") - F.try_divide(F.col("all_b") - F.col("b"), others)) > F.lit(z) * error
-        own = ((F.col("fan") <= fan_out) | (F.col("n") >= ENOUGH)) & F.coalesce(apart, F.lit(False))
+        own = (F.col("n") >= enough) & F.coalesce(apart, F.lit(False))
         kept = F.when((F.col("fan") == 1) | own, F.col("next")).otherwise("*")
         chosen = kids.join(nodes, ["host", "template"]).select("host", "template", "next", kept.alias("as"))
         rows = rows.join(chosen, ["host", "template", "next"], "left").withColumn("template", F.concat_ws("/", "template", "as")).drop("next", "as")
     return rows.drop("segments")
 
 
-def judge(pages: DataFrame, url_col: str = "url", id_col: str = "page_id", bad_col: str = "bad", rules=RULES, fan_out: int = FAN_OUT, max_depth: int = MAX_DEPTH, z: float = Z, strength: float = STRENGTH, purity: float = PURITY) -> DataFrame:
+def judge(pages: DataFrame, url_col: str = "url", id_col: str = "page_id", bad_col: str = "bad", rules=RULES, enough: int = ENOUGH, max_depth: int = MAX_DEPTH, z: float = Z, strength: float = STRENGTH, purity: float = PURITY) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, template, purity. bad_col is 1, 0 or null (no label)."""
     rows = pages.select(F.col(id_col).alias("page_id"), host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"), F.col(bad_col).cast("long").alias("bad"))
     rows = stage(rows.withColumn("shape", shape(F.col("path"))), "urls")
     counts = stage(rows.groupBy("host", "shape").agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")), "shapes")
     totals = counts.agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("n")).first()
     corpus = totals.bad / totals.n if totals.n else 0.0
-    mapped = stage(templates(counts, fan_out, max_depth, z), "templates")
+    mapped = stage(templates(counts, enough, max_depth, z), "templates")
     share = (F.sum("bad") + F.lit(strength * corpus)) / (F.sum("labelled") + F.lit(strength))
     pure = mapped.groupBy("host", "template").agg(share.alias("purity"))
     looked = mapped.select("host", "shape", "template").join(pure, ["host", "template"])
