@@ -7,6 +7,8 @@ it comes; a wrong length, a wrong digest or bytes after a record raise ValueErro
 
 Files carry a random name and only those in the manifest of finished tasks count, so retried tasks do no harm.
 
+Ids may be of any type that Spark casts to text and back; they stand percent-encoded in the records.
+
 Defined results: a null html is an empty payload; a null url gives no target, any other is given back as it was; of rows that share the smallest page_id and
 payload all are responses; a null page_id never is the response that others refer to while another has an id, and where
 all are null each is a response; an empty table gives no file.
@@ -34,11 +36,11 @@ QUOTED = "Target-URI-Quoted"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def record_id(page_id: int | None, digest: str) -> str:
+def record_id(page_id: object, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}')}>"
 
 
-def member(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str = DATE) -> bytes:
+def member(page_id: object, url: str | None, payload: bytes, digest: str, refers_to: object, date: str = DATE) -> bytes:
     """One record as a gzip member."""
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     revisit = refers_to is not None
@@ -53,9 +55,9 @@ def member(page_id: int | None, url: str | None, payload: bytes, digest: str, re
         plain = url.isprintable() and url == url.strip()
         head += [f"WARC-Target-URI: {url}"] if plain else [f"WARC-Target-URI: {quote(url, safe='/:?&=#')}", f"{QUOTED}: yes"]
     if page_id is not None:
-        head.append(f"Page-ID: {page_id}")
+        head.append(f"Page-ID: {quote(str(page_id))}")
     if revisit:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to, digest)}", f"Refers-To-Page-ID: {refers_to}"]
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to, digest)}", f"Refers-To-Page-ID: {quote(str(refers_to))}"]
     press = zlib.compressobj(6, zlib.DEFLATED, 31)
     return press.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + press.flush()
 
@@ -142,28 +144,31 @@ def read_records(stream: BinaryIO, keep_payload: bool = False) -> Iterator[tuple
 
 
 def write_archives(pages: DataFrame, least: int = LEAST_BYTES, file_bytes: int = FILE_BYTES, folder: str | None = None) -> DataFrame:
-    """Writes one record a row of pages (page_id, url, html); returns the staged manifest (path, n_records)."""
+    """Writes one record a row of pages (page_id, url, html); returns the staged manifest (path, n_records, first_id)."""
     folder = folder or fresh_path(pages.sparkSession, "warc")
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("digest", F.sha2("html", 256))
     shared = rows.filter(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").select("digest", "first")
     shared = stage(shared, "shared")  # as a table of its own, so that a join on a hot payload can be split
     plan = rows.join(shared, "digest", "left").select("page_id", "url", "html", "digest", F.when(F.col("page_id").eqNullSafe(F.col("first")), None).otherwise(F.col("first")).alias("refers_to"))
 
+    kind = rows.schema["page_id"].dataType.simpleString()
+    plan = plan.select(F.col("page_id").cast("string").alias("page_id"), "url", "html", "digest", F.col("refers_to").cast("string").alias("refers_to"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, path, size, records = None, "", 0, 0
+        out, path, size, records, first = None, "", 0, 0, None
         fs, root = open_fs(folder)
         fs.create_dir(root, recursive=True)
 
         def close() -> pa.RecordBatch:
             out.close()
             fs.move(f"{root}/.{path}", f"{root}/{path}")
-            return pa.RecordBatch.from_pydict({"path": [f"{folder}/{path}"], "n_records": [records]})
+            return pa.RecordBatch.from_pydict({"path": [f"{folder}/{path}"], "n_records": [records], "first_id": pa.array([first], pa.string())})
 
         for batch in batches:
             cells = [batch.column(i).to_pylist() for i in (0, 1, 3, 4)]
             for payload, page_id, url, digest, refers_to in zip(text_bytes(batch.column(2)), *cells, strict=True):
                 if out is None:
-                    path, size, records = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                    path, size, records, first = f"{uuid.uuid4().hex}.warc.gz", 0, 0, page_id
                     out = fs.open_output_stream(f"{root}/.{path}", compression=None)
                 data = member(page_id, url, payload, digest, refers_to)
                 out.write(data)
@@ -174,11 +179,12 @@ def write_archives(pages: DataFrame, least: int = LEAST_BYTES, file_bytes: int =
         if out is not None:
             yield close()
 
-    return stage(plan.mapInArrow(run, "path string, n_records long"), "archives")
+    written = plan.mapInArrow(run, "path string, n_records long, first_id string")
+    return stage(written.withColumn("first_id", F.col("first_id").cast(kind)), "archives")
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
-    """A row a record: page_id, url, payload_bytes, payload_digest, record_type, refers_to, and the html if asked for
+    """A row a record: page_id (of the type it was written with), url, payload_bytes, payload_digest, record_type, refers_to, and the html if asked for
     (null for revisits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,10 +195,10 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
                     rows: list[tuple] = []
                     held = 0
                     for fields, size, digest, payload in read_records(stream, with_payload):
-                        number = lambda k: int(fields[k]) if k in fields else None  # noqa: E731, B023
+                        named = lambda k: unquote(fields[k]) if k in fields else None  # noqa: E731, B023
                         kind = fields["warc-type"]
                         url = fields.get("warc-target-uri")
-                        rows.append((number("page-id"), unquote(url) if QUOTED.lower() in fields else url, size, digest, kind, number("refers-to-page-id"), payload.decode() if with_payload and kind == "response" else None))
+                        rows.append((named("page-id"), unquote(url) if QUOTED.lower() in fields else url, size, digest, kind, named("refers-to-page-id"), payload.decode() if with_payload and kind == "response" else None))
                         held += len(payload)
                         if len(rows) >= 10_000 or held > 1 << 23:
                             yield _batch(rows)
@@ -200,12 +206,14 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
                     if rows:
                         yield _batch(rows)
 
-    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, html string"
+    schema = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, html string"
     readers = max(1, min(manifest.count(), MAX_READERS))
     out = manifest.select("path").repartition(readers, "path").mapInArrow(run, schema)
+    kind = manifest.schema["first_id"].dataType
+    out = out.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
     return out if with_payload else out.drop("html")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "html": pa.string()}
+    kinds = {"page_id": pa.string(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.string(), "html": pa.string()}
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds.values())], list(kinds))
