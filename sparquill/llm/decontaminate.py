@@ -74,7 +74,7 @@ def prints(words: np.ndarray, bounds: np.ndarray, n: int, k: int) -> tuple[np.nd
         h = h * _MIX + words[j : j + len(h)]
     h ^= h >> np.uint64(31)
     at = winnow(h, starts, n - gram + 1)
-    return h[at] + np.uint64(n) * _ODD, at
+    return h[at] + np.uint64(n * int(_ODD) % (1 << 64)), at
 
 
 def windows(words: list[bytes], starts: list[int], n: int) -> np.ndarray:
