@@ -82,7 +82,8 @@ def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def descend(tree: Tree, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(nodes that go to one centroid as wholes, their centroids, places of the other points, their centroids)."""
     whole, to, open_at, open_to = [], [], [], []
-    front, fit = np.array([0]), np.ones((1, len(centroids)), bool)
+    front, fit = np.array([0]), np.zeros((1, len(centroids)), bool)
+    fit[0, np.unique(centroids, axis=0, return_index=True)[1]] = True  # of equal centroids only the first is ever taken
     while len(front):
         exact = np.where(fit, apart(tree.center[front], centroids), FAR)
         nearest, away = exact.argmin(1), np.sqrt(exact.astype(np.float64))

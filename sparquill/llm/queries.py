@@ -136,12 +136,12 @@ QUALIFY row_number() OVER (PARTITION BY row_no ORDER BY local_depth) = 1
 
 def op11_sql(k: int = centroids.K, rounds: int = centroids.ROUNDS) -> str:
     """The rounds one after another, every distance measured."""
-    near = """SELECT v.vec_id, v.x, c.cluster, list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT AS distance
-              FROM v, c{0} AS c QUALIFY row_number() OVER (PARTITION BY v.vec_id ORDER BY distance, c.cluster) = 1"""
+    near = """SELECT v.vec_id, v.row_no, v.x, c.cluster, list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT AS distance
+              FROM v, c{0} AS c QUALIFY row_number() OVER (PARTITION BY v.row_no ORDER BY distance, c.cluster) = 1"""
     parts = [
-        """v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+        """v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS row_no, embedding, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)""",
-        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster, x FROM v ORDER BY sha256('2:' || vec_id) LIMIT {k})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), embedding) - 1 AS cluster, x FROM v ORDER BY cluster LIMIT {k})",
     ]
     for r in range(rounds):
         parts.append(f"a{r} AS MATERIALIZED ({near.format(r)})")
