@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sparquill import schemas
 
@@ -77,36 +78,54 @@ def results(rows: DataFrame) -> DataFrame:
     )
 
 
+#: The folder of a row's source; the source itself stands in the rows too, so that its type and its exact value are kept.
+FOLDER = "source_folder"
+
+
 def write_vectors(rows: DataFrame, path: str, key: str = "law_key", id_col: str = "id", files: int = 1) -> None:
     """A vector table, one folder a source of `files` files; what was there is replaced."""
-    _dealt(rows, key, id_col, files).write.mode("overwrite").partitionBy(key).parquet(path)
+    _dealt(rows, key, id_col, files).write.mode("overwrite").partitionBy(FOLDER).parquet(path)
 
 
 def replace_source(rows: DataFrame, path: str, key: str = "law_key", id_col: str = "id", files: int = 1) -> None:
     """Replaces the sources that rows hold and leaves the others."""
-    _dealt(rows, key, id_col, files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    _dealt(rows, key, id_col, files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(FOLDER).parquet(path)
+
+
+def in_folders(rows: DataFrame, key: str) -> DataFrame:
+    return rows.withColumn(FOLDER, F.col(key).cast("string"))
 
 
 def _dealt(rows: DataFrame, key: str, id_col: str, files: int) -> DataFrame:
     """One part a source and file, so that a source that holds much of a table is written by several tasks."""
-    return rows.repartition(key, F.pmod(F.xxhash64(id_col), F.lit(files)))
+    return in_folders(rows, key).repartition(FOLDER, F.pmod(F.xxhash64(id_col), F.lit(files)))
+
+
+def from_folders(reader: DataFrameReader, path: str | list[str], sources: list[str] | None, key: str) -> DataFrame:
+    """Rows under folders of sources. Folder names are text, whatever they look like, and prune what is read; the rows' own key decides."""
+    kinds = reader.parquet(*([path] if isinstance(path, str) else path)).schema
+    schema = StructType([StructField(f.name, StringType() if f.name == FOLDER else f.dataType) for f in kinds])
+    rows = reader.schema(schema).parquet(*([path] if isinstance(path, str) else path))
+    if sources is not None:
+        rows = rows.filter((F.col(FOLDER).isin(*sources) | F.col(FOLDER).isNull()) & F.col(key).cast("string").isin(*sources))
+    return rows.drop(FOLDER)
 
 
-def latest_rows(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """Of rows equal in the keys, null included, the one of the greatest version; the version is dropped."""
+def latest_rows(rows: DataFrame, keys: list[str], version: str, keep: bool = False) -> DataFrame:
+    """Of rows equal in the keys, null included, the one of the greatest version; the version is dropped unless kept."""
     rest = [c for c in rows.columns if c not in (*keys, version)]
-    found = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), version).alias("r")) if rest else rows.select(*keys).distinct()
-    return found.select(*[F.col(c) if c in keys else F.col(f"r.{c}").alias(c) for c in rows.columns if c != version])
+    held = F.struct(*rest, *([version] if keep or not rest else []))
+    found = rows.groupBy(*keys).agg(F.max_by(held, version).alias("r"))
+    return found.select(*[F.col(c) if c in keys else F.col(f"r.{c}").alias(c) for c in rows.columns if keep or c != version])
 
 
 def read_vectors(spark: SparkSession, path: str, sources: list[str] | None = None, key: str = "law_key") -> DataFrame:
     """The table, or the named sources only: a partition filter, so the others are not read. Sources not there are skipped."""
-    rows = spark.read.parquet(path)
-    return rows if sources is None else rows.filter(F.col(key).isin(*sources))
+    return from_folders(spark.read, path, sources, key)
 
 
 def available_sources(spark: SparkSession, path: str, key: str = "law_key") -> DataFrame:
-    return spark.read.parquet(path).select(key).distinct()
+    return read_vectors(spark, path, None, key).select(key).distinct()
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:

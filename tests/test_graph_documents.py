@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,7 +193,7 @@ def test_sources_and_streaming(spark, tmp_path):
     want = [("a", "1", "new"), ("b", "2", None), ("b", "9", None)]
     assert sorted((r.law_key, r.id, r.text) for r in ingest.read_latest(spark, table).collect()) == want
     ingest.follow(spark, str(tmp_path / "in"), schema + ", text string", f"{table}1", str(tmp_path / "cp1")).awaitTermination()  # both files in one batch
-    assert {(r.law_key, r.id) for r in ingest.read_latest(spark, f"{table}1").collect()} == {w[:2] for w in want}
+    assert sorted((r.law_key, r.id, r.text) for r in ingest.read_latest(spark, f"{table}1").collect()) == want
     ingest.compact(spark, table, f"{table}2")
     assert files.read_vectors(spark, f"{table}2", ["a", "missing"]).count() == 1 and files.available_sources(spark, f"{table}2").count() == 2
     files.replace_source(spark.createDataFrame([(str(i), None, "b") for i in range(50)], "id string, text string, law_key string"), f"{table}2", files=4)
@@ -259,6 +260,9 @@ def test_latest_version_is_built_and_written_as_markdown(spark, tmp_path):
     body = f"<docTitle><p>Act</p></docTitle><body><part><num>I</num><heading>Osa</heading><section><num>2 §</num><heading>H</heading><p>Text</p>{listed}<p> </p></section></part></body>"
     rows = spark.createDataFrame([("a", f"<r>{body}</r>")], "path string, xml string")
     assert statutes.act_markdown(rows).first().text == "# Act\n\n## I Osa\n\n### 2 § H\n\nText\n\n- **1)** one\n  - in it\n\n- bare\n"
+    deep = "<section><num>1</num><subsection><p>not shown</p></subsection><section><p>nor this</p></section></section><hcontainer><chapter/><article><p>a <b>b</b>  c</p></article></hcontainer>"
+    rows = spark.createDataFrame([("b", f"<x:r xmlns:x='u'><x:body>{deep}</x:body></x:r>"), ("c", "<r><body/></r>")], "path string, xml string")
+    assert {r.path: r.text for r in statutes.act_markdown(rows).collect()} == {"b": "### 1\n\na b c\n", "c": "\n"}
     for bad in ("<r/>", "<!DOCTYPE r [<!ENTITY x 'y'>]><r><body/></r>"):
         with pytest.raises(Exception, match="body|document type"):
             statutes.act_markdown(spark.createDataFrame([("a", bad)], "path string, xml string")).collect()
@@ -275,6 +279,36 @@ def test_question_set_and_synonyms(spark, tmp_path):
     assert sorted((r.question_id, r.test_type) for r in rows) == sorted([("q1", "base"), ("q2", "base"), ("q3", "base"), ("h1", "hard_negative"), *((f"q1-p{n}", "synonym") for n in (1, 2, 3)), *((f"q2-p{n}", "synonym") for n in (1, 2))])
 
 
+@pytest.mark.parametrize("files_a_batch", [None, 1, 2])
+def test_rows_replace_each_other_however_files_fall_into_batches(spark, tmp_path, files_a_batch):
+    (tmp_path / "in").mkdir()
+    for i, (name, lines) in enumerate({"z": [("1", "007", "old"), ("2", "7", "two")], "b": [("1", "007", "mid"), ("1", "007", "later line"), ("3", None, "no source")], "a": [("2", "7", "newest"), ("1", "7", "own")]}.items()):
+        path = tmp_path / f"in/{name}.jsonl"
+        path.write_text("".join(json.dumps({"id": a, "law_key": b, "text": c}) + "\n" for a, b, c in lines))
+        os.utime(path, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
+    table = str(tmp_path / "table")
+    ingest.follow(spark, str(tmp_path / "in"), "id string, law_key string, text string", table, str(tmp_path / "cp"), files_a_batch=files_a_batch).awaitTermination()
+    want = {("007", "1", "later line"), ("7", "2", "newest"), ("7", "1", "own"), (None, "3", "no source")}
+    assert {(r.law_key, r.id, r.text) for r in ingest.read_latest(spark, table).collect()} == want
+    assert {(r.law_key, r.id) for r in ingest.read_latest(spark, table, ["007"]).collect()} == {("007", "1")}
+    ingest.compact(spark, table, str(tmp_path / "whole"))
+    assert {(r.law_key, r.id, r.text) for r in files.read_vectors(spark, str(tmp_path / "whole"), ["7"]).collect()} == {w for w in want if w[0] == "7"}
+
+
+def test_source_names_stay_as_they_are(spark, tmp_path):
+    names = ["007", "7", "7.0", "", "2024-01-01", "true", "a b/c=d%", None]
+    path = str(tmp_path / "v")
+    files.write_vectors(spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "id string, law_key string"), path)
+    assert {(r.id, r.law_key) for r in files.read_vectors(spark, path).collect()} == {(str(i), n) for i, n in enumerate(names)}
+    for i, n in enumerate(names[:-1]):
+        assert [r.id for r in files.read_vectors(spark, path, [n]).collect()] == [str(i)]
+    assert "PartitionFilters: [((source_folder" in files.read_vectors(spark, path, ["007"])._jdf.queryExecution().toString()
+    files.write_vectors(spark.createDataFrame([("a", 7), ("b", 8)], "id string, law_key int"), path)
+    assert [(r.id, r.law_key) for r in files.read_vectors(spark, path, ["7"]).collect()] == [("a", 7)]
+    files.replace_source(spark.createDataFrame([("c", 7)], "id string, law_key int"), path)
+    assert sorted(r.id for r in files.read_vectors(spark, path).collect()) == ["b", "c"]
+
+
 def test_names_and_vector_rows(spark):
     from sparquill.plans.rules import STATUTE_NAMES
 
