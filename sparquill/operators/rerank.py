@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparquill.functions.text import TOKEN, holds_any
+from sparquill.operators import matching
 from sparquill.plans.rules import Boosts
 
 
@@ -32,6 +33,19 @@ def rule_change(asked: Column, section: Column, moment: Column, rules: Boosts) -
     return change
 
 
+def table_change(hits: DataFrame, questions: DataFrame, rules: DataFrame, key: str = "question_id", text: str = "text", section: str = "section_id", moment: str = "moment") -> DataFrame:
+    """hits with `change`, the sum of the rules that fit, for rules of a table (rule_id, term, section, moment, change): a row
+    a term; a rule fits a hit if the question holds any of its terms, and its section and, unless null, its moment are the
+    hit's. All terms are matched in one pass, and rules meet hits in a join, so neither plan nor work grows with rules that do not fire."""
+    fired = questions.select(F.col(key), F.explode(matching.labels(F.lower(F.col(text)), rules, "term", "rule_id")).alias("rule_id"))
+    effects = rules.select(F.col("rule_id").cast("string").alias("rule_id"), F.col("section").alias("of"), F.col("moment").alias("at"), F.col("change").cast("double").alias("each")).distinct()
+    due = fired.join(effects, "rule_id").groupBy(key, "of", "at").agg(F.sum("each").alias("each"))
+    own = F.lower(F.regexp_replace(F.col(section), " ", ""))
+    found = hits.select(key, "rank", own.alias("of"), F.trim(F.col(moment)).alias("has")).join(due, [key, "of"]).filter(F.col("at").isNull() | (F.col("at") == F.col("has")))
+    total = found.groupBy(key, "rank").agg(F.round(F.sum("each"), 9).alias("change"))
+    return hits.join(total, [key, "rank"], "left").withColumn("change", F.coalesce("change", F.lit(0.0)))
+
+
 def boost(hits: DataFrame, questions: DataFrame, rules: Boosts, key: str = "question_id", text: str = "text", section: str = "section_id", moment: str = "moment", anchors: str | None = "anchors") -> DataFrame:
     """hits (key, rank, score, section, moment, anchors) with score, boost_applied and rank anew. The whole change is held
     within cap_share of the score, the score does not fall below 0 and is rounded to four digits; ties keep their rank."""
@@ -49,6 +63,15 @@ def boost(hits: DataFrame, questions: DataFrame, rules: Boosts, key: str = "ques
     return rows.withColumn("rank", F.row_number().over(order)).drop("asked")
 
 
+def boost_by_table(hits: DataFrame, questions: DataFrame, rules: DataFrame, cap_share: float = 0.2, key: str = "question_id", text: str = "text", section: str = "section_id", moment: str = "moment") -> DataFrame:
+    """As boost(), by rules of a table."""
+    rows = table_change(hits, questions, rules, key, text, section, moment)
+    most = F.col("score") * cap_share
+    rows = rows.withColumn("boost_applied", F.greatest(F.least(F.col("change"), most), -most)).drop("change")
+    rows = rows.withColumn("score", F.round(F.greatest(F.col("score") + F.col("boost_applied"), F.lit(0.0)), 4)).withColumn("boost_applied", F.round("boost_applied", 4))
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "rank")))
+
+
 def autofill(candidates: DataFrame, terms: str, text: str, anchors: str | None = None, key: str = "question_id", min_score: float = 0.45) -> DataFrame:
     """The best candidate of each question by (terms held by its text or anchors, score), both descending, then rank; status
     OK if it holds a term or its score reaches min_score, else FAIL."""

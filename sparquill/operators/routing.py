@@ -1,6 +1,6 @@
 """Routing: which sources a question goes to, by keyword rules, and how many hits each may give.
 
-The rules are configuration and are compiled into column expressions, so routing is one narrow pass over the questions
+The rules are configuration and are compiled into column expressions (keywords may come as a table instead), so routing is one narrow pass over the questions
 and one small regrouping by question. Ties go to the source that comes first.
 """
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparquill.functions.text import hits, holds_any
+from sparquill.operators import matching
 from sparquill.plans.rules import Router
 
 
@@ -21,20 +22,24 @@ def explicit_source(question: Column, router: Router) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
-def scores(questions: DataFrame, router: Router, available: tuple[str, ...] | None = None, text: str = "text") -> DataFrame:
-    """A row a question and available source: the question's columns, src, src_ord, score, prior, anchored, named."""
+def scores(questions: DataFrame, router: Router, available: tuple[str, ...] | None = None, text: str = "text", keywords: DataFrame | None = None) -> DataFrame:
+    """A row a question and available source: the question's columns, src, src_ord, score, prior, anchored, named. Keywords
+    (src, keyword) of a table take the place of the router's and are matched in one pass, however many they are."""
+    if keywords is not None:
+        questions = questions.withColumn("_held", matching.counts(F.lower(F.col(text)), keywords))
     wanted = [s for s in router.sources if available is None or s in available]
     low, anchored = F.lower(F.col(text)), holds_any(F.lower(F.col(text)), router.anchors)
     each = []
     for i, src in enumerate(wanted):
-        score = hits(low, router.keywords[src]) + (F.when(anchored, router.anchor_bonus).otherwise(0) if src == router.core else F.lit(0))
+        matched = hits(low, router.keywords[src]) if keywords is None else F.coalesce(F.try_element_at("_held", F.lit(src)), F.lit(0))
+        score = matched + (F.when(anchored, router.anchor_bonus).otherwise(0) if src == router.core else F.lit(0))
         each.append(F.struct(F.lit(src).alias("src"), F.lit(i).alias("src_ord"), score.alias("score"), F.lit(router.priors.get(src, router.other_prior)).alias("prior")))
     named = explicit_source(F.col(text), router)
     named = F.when(named.isin(wanted), named) if wanted else F.lit(None).cast("string")
-    return questions.select("*", anchored.alias("anchored"), named.alias("named"), F.explode(F.array(*each)).alias("s")).select("*", "s.*").drop("s")
+    return questions.select("*", anchored.alias("anchored"), named.alias("named"), F.explode(F.array(*each)).alias("s")).select("*", "s.*").drop("s", "_held")
 
 
-def route(questions: DataFrame, router: Router, available: tuple[str, ...] | None = None, key: str = "question_id", text: str = "text", min_sources: int = 2) -> DataFrame:
+def route(questions: DataFrame, router: Router, available: tuple[str, ...] | None = None, key: str = "question_id", text: str = "text", min_sources: int = 2, keywords: DataFrame | None = None) -> DataFrame:
     """(key, src, weight, route_pos): the weights of the sources of each question. route_pos is a source's place among its
     question's, which decides ties later on.
 
@@ -43,7 +48,7 @@ def route(questions: DataFrame, router: Router, available: tuple[str, ...] | Non
     to core_share of the best weight if it is not among the best two.
     """
     q, by_order = Window.partitionBy(key), Window.partitionBy(key).orderBy("src_ord")
-    rows = scores(questions, router, available, text).select(key, "src", "src_ord", "score", "prior", "anchored", "named")
+    rows = scores(questions, router, available, text, keywords).select(key, "src", "src_ord", "score", "prior", "anchored", "named")
     rows = rows.withColumn("matched", F.sum((F.col("score") > 0).cast("int")).over(q))
     is_named = F.col("src") == F.col("named")
     best_other = F.row_number().over(Window.partitionBy(key, F.coalesce(is_named, F.lit(False))).orderBy(F.desc("score"), "src_ord")) == 1

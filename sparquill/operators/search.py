@@ -1,30 +1,29 @@
 """Exact vector search and the merging of several sources' hits.
 
 Questions are a stated set: tasks write them as files of at most `block` rows, and one scan of the corpus takes its vectors
-chunk by chunk and each block of questions over a chunk, as a matrix product. A chunk keeps the best of each question
-and source only, so what is shuffled follows the questions, not the corpus; no question passes through the driver. Scores are rounded to six digits before ranking;
-equal scores go to the smaller id.
+chunk by chunk and each block of questions over a chunk, as a matrix product. A task keeps as many blocks as fit in `KEPT_BYTES`
+and reads the others again for each chunk. A chunk passes on the best of each question and source only, which Spark trims to the
+best of a task before the shuffle; no question passes through the driver. Scores are rounded to six digits before
+ranking; equal scores go to the smaller id. Rows without a source are searched as a source of their own, null.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparquill.blocks import chunks, read_block, write_blocks
 from sparquill.functions.text import hits as count_terms
 from sparquill.functions.text import holds_any
 from sparquill.operators.routing import budget, route
 from sparquill.plans.rules import Profile, Router
-from sparquill.staging import fresh_path, stage
 
-BLOCK_QUESTIONS, CHUNK_BYTES = 4096, 32 << 20
+BLOCK_QUESTIONS, CHUNK_BYTES, KEPT_BYTES = 4096, 32 << 20, 128 << 20
 
 
 def topk(questions: DataFrame, corpus: DataFrame, k: int, key: str = "question_id", query_vector: str = "embedding", id_col: str = "id", vector: str = "embedding", source: str | None = None, block: int = BLOCK_QUESTIONS) -> DataFrame:
@@ -33,73 +32,41 @@ def topk(questions: DataFrame, corpus: DataFrame, k: int, key: str = "question_i
     asked = questions.select(F.col(key).alias("key"), F.col(query_vector).alias("q")).filter(F.col("q").isNotNull())
     rows = corpus.select(F.col(id_col).alias("id"), F.col(vector).alias("v"), (F.col(source) if source else F.lit("")).alias("src")).filter(F.col("v").isNotNull())
     kinds = f"key {asked.schema['key'].dataType.simpleString()}, id {rows.schema['id'].dataType.simpleString()}, src string, score double"
-    found = rows.mapInArrow(_nearest(question_blocks(asked, block), k), kinds)
+    found = rows.mapInArrow(_nearest(write_blocks(asked, block, "key", "questions"), k), kinds)
     best = Window.partitionBy("key", "src").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select(F.col("key").alias(key), *([F.col("src").alias(source)] if source else []), "id", "score", "rank")
 
 
-def question_blocks(asked: DataFrame, block: int) -> list[str]:
-    """Writes (key, q) as Arrow files of at most `block` rows in the shared folder; returns their names."""
-    folder, asked = fresh_path(asked.sparkSession, "questions"), stage(asked, "asked")
-    parts = max(1, -(-asked.count() // block))
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, names = [], []
-        fs, root = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(root, recursive=True)
-
-        def flush(rows: pa.Table) -> None:
-            name = uuid.uuid4().hex  # only files of finished tasks are named in the result
-            with fs.open_output_stream(f"{root}/{name}.arrow") as out, pa.ipc.new_stream(out, rows.schema) as stream:
-                stream.write_table(rows)
-            names.append(f"{folder}/{name}.arrow")
-
-        for batch in batches:
-            held.append(batch)
-            while sum(b.num_rows for b in held) >= block:
-                rows = pa.Table.from_batches(held)
-                flush(rows.slice(0, block))
-                held = rows.slice(block).to_batches()
-        if sum(b.num_rows for b in held):
-            flush(pa.Table.from_batches(held))
-        yield pa.RecordBatch.from_pydict({"path": pa.array(names, pa.string())})
-
-    return sorted(r.path for r in asked.repartition(parts, "key").mapInArrow(write, "path string").collect())
-
-
 def _nearest(paths: list[str], k: int):
     """Of each chunk of rows, the k best for each question and source. Question blocks pass one by one over a chunk, so one
-    scan serves all; where there is one alone it is read once a task."""
+    scan serves all."""
 
     def load(path: str) -> tuple[pa.Array, np.ndarray]:
-        fs, name = pafs.FileSystem.from_uri(path)
-        with fs.open_input_stream(name) as stream:
-            table = pa.ipc.open_stream(stream).read_all().combine_chunks()
+        table = read_block(path)
         return table["key"].combine_chunks(), np.stack(table["q"].to_numpy(zero_copy_only=False)).astype(np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, tuple[pa.Array, np.ndarray]] = {}
-        for chunk in _chunks(batches, CHUNK_BYTES):
+        for chunk in chunks(batches, CHUNK_BYTES):
             v = pc.list_flatten(chunk["v"]).to_numpy().astype(np.float64).reshape(chunk.num_rows, -1)
             ids, src = chunk["id"].combine_chunks(), np.array(chunk["src"].to_pylist(), object)
             order = np.array(pc.sort_indices(ids))
             for path in paths:
-                if path not in kept:
-                    kept.clear()  # one block in memory at a time
-                    kept[path] = load(path)
-                keys, queries = kept[path]
-                for s in sorted({x for x in src.tolist() if x is not None}):
-                    at = order[src[order] == s]  # by id, so that equal scores keep the smaller ids
+                keys, queries = kept[path] if path in kept else load(path)
+                if path not in kept and queries.nbytes + sum(q.nbytes for _, q in kept.values()) <= KEPT_BYTES:
+                    kept[path] = keys, queries
+                for s in sorted(set(src.tolist()), key=lambda x: (x is None, x)):
+                    at = order[np.equal(src[order], s)]  # by id, so that equal scores keep the smaller ids
                     step = max(1, CHUNK_BYTES // (8 * len(at)))
                     for lo in range(0, len(keys), step):
-                        asked, place, score = _best(np.round(queries[lo : lo + step] @ v[at].T, 6), k)
-                        yield pa.RecordBatch.from_arrays([keys.take(pa.array(lo + asked)), ids.take(pa.array(at[place])), pa.array([s] * len(score)), pa.array(score)], ["key", "id", "src", "score"])
+                        asked, place, score = best_columns(np.round(queries[lo : lo + step] @ v[at].T, 6), k)
+                        yield pa.RecordBatch.from_arrays([keys.take(pa.array(lo + asked)), ids.take(pa.array(at[place])), pa.array([s] * len(score), pa.string()), pa.array(score)], ["key", "id", "src", "score"])
 
     return run
 
 
-def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, column and value of the k greatest of each row, of equals those of the first columns."""
     k = min(k, scores.shape[1])
     least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
@@ -110,18 +77,6 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return row[keep], col[keep], scores[row[keep], col[keep]]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-        if sum(b.nbytes for b in held) >= most:
-            yield pa.Table.from_batches(held)
-            held = []
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def multi_source(questions: DataFrame, corpus: DataFrame, router: Router, profile: Profile, key: str = "question_id", text: str = "text", id_col: str = "id", source: str = "src", query_vector: str = "embedding", available: tuple[str, ...] | None = None) -> DataFrame:
     """Routed search: (key, rank, source, id, score, score_original). Route, share out k, search each source, adjust, filter
     by score, merge and cut. Ties keep the order of sources in the route, then the rank within a source."""
