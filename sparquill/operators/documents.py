@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 from sparquill.functions.text import TOKEN, first_held, number, strip
+from sparquill.operators import text_index
 
 TABLES = "array<struct<title:string,rows:array<struct<cells:array<string>>>>>"
 
@@ -132,22 +133,26 @@ def table_rows(docs: DataFrame) -> DataFrame:
     return rows.select("page", "section", "table_title", cell(0).alias("row_name"), cell(1).alias("value_2023"), cell(2).alias("value_2022"), "row_idx")
 
 
-def search_tables(questions: DataFrame, rows: DataFrame, key: str = "question_id", text: str = "text", most: int = 5, order: tuple[str, ...] = ("row_idx",)) -> DataFrame:
+def index_tables(rows: DataFrame, path: str) -> None:
+    """Writes the index of names and titles that search_tables can read."""
+    name = F.struct("row_name", "table_title")
+    text_index.build(rows.select("row_name", "table_title").distinct().select(name.alias("id"), F.concat_ws("\n", F.coalesce("row_name", F.lit("")), F.coalesce("table_title", F.lit(""))).alias("text")), path)
+
+
+def search_tables(questions: DataFrame, rows: DataFrame, key: str = "question_id", text: str = "text", most: int = 5, order: tuple[str, ...] = ("row_idx",), index: str | None = None) -> DataFrame:
     """rows with key, points and rank: each word of a question (repeats counted) gives 2 points if the row's name holds it
     and 1 if the table's title does; rows without points are no hits; the best first, ties in the given order.
 
     Names and titles are compared once each, not row by row, and different words once each: texts are found by the first
-    one to three characters of a word, an equi-join, and then compared.
+    one to three characters of a word, an equi-join, and then compared; with the path of an index, by its posting lists.
     """
     words = questions.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0))).alias("word")).groupBy(key, "word").agg(F.count("*").alias("times"))
-    lead = words.select("word").distinct().withColumn("gram", F.substring("word", 1, 3))
-    texts = rows.select("row_name", "table_title").distinct()
-    body = F.lower(F.concat_ws("\n", F.coalesce("row_name", F.lit("")), F.coalesce("table_title", F.lit(""))))
-    at = F.sequence(F.lit(1), F.length("body"))
-    grams = F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(*[F.substring(F.col("body"), i, F.lit(n)) for n in (1, 2, 3)]))))
-    grams = texts.withColumn("body", body).filter(F.length("body") > 0).select("row_name", "table_title", F.explode(grams).alias("gram"))
     held = lambda c: F.contains(F.lower(F.coalesce(F.col(c), F.lit(""))), F.col("word")).cast("int")
-    pairs = grams.join(lead, "gram").select("row_name", "table_title", "word", (2 * held("row_name") + held("table_title")).alias("worth")).filter("worth > 0")
+    if index is None:
+        met = _sharing_lead(words, rows)
+    else:
+        met = text_index.find(questions.sparkSession, index, words).select("id.row_name", "id.table_title", "word")
+    pairs = met.select("row_name", "table_title", "word", (2 * held("row_name") + held("table_title")).alias("worth")).filter("worth > 0")
     scored = words.join(pairs, "word").groupBy(key, "row_name", "table_title").agg(F.sum(F.col("times") * F.col("worth")).cast("int").alias("points"))
     best = Window.partitionBy(key).orderBy(F.desc("points"), *order)
     of = scored.select(key, F.col("row_name").alias("of_name"), F.col("table_title").alias("of_title"), "points")
@@ -155,6 +160,17 @@ def search_tables(questions: DataFrame, rows: DataFrame, key: str = "question_id
     return rows.join(of, same).drop("of_name", "of_title").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most)
 
 
+def _sharing_lead(words: DataFrame, rows: DataFrame) -> DataFrame:
+    """(row_name, table_title, word): different texts that hold the first one to three characters of a word."""
+    lead = words.select("word").distinct().withColumn("gram", F.substring("word", 1, 3))
+    texts = rows.select("row_name", "table_title").distinct()
+    body = F.lower(F.concat_ws("\n", F.coalesce("row_name", F.lit("")), F.coalesce("table_title", F.lit(""))))
+    at = F.sequence(F.lit(1), F.length("body"))
+    grams = F.array_distinct(F.flatten(F.transform(at, lambda i: F.array(*[F.substring(F.col("body"), i, F.lit(n)) for n in (1, 2, 3)]))))
+    grams = texts.withColumn("body", body).filter(F.length("body") > 0).select("row_name", "table_title", F.explode(grams).alias("gram"))
+    return grams.join(lead, "gram").select("row_name", "table_title", "word")
+
+
 def abstain_signal(question: Column, signals: tuple[str, ...], verb: str = "vertaa", others: tuple[str, ...] = ("seinäj", "tamper")) -> Column:
     """The reason to abstain: the first signal held, or the verb of comparison with another place; else null."""
     low = F.lower(question)

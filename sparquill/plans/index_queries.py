@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparquill.operators import matching, rerank, routing, search, vector_index
-from sparquill.plans.catalog import ASKED, hundredths, query, questions, route_sql, table
+from sparquill.operators import documents, graph, matching, rerank, routing, search, text_index, vector_index
+from sparquill.plans.catalog import ASKED, SQL, hundredths, query, questions, route_sql, table
+from sparquill.plans.graph_queries import ASKED_TABLES, _customers
 from sparquill.plans.rerank_queries import TOP10_SQL, top10
 from sparquill.plans.rules import LANGUAGES
+from sparquill.plans.source_queries import node_lookup  # noqa: F401  its SQL is taken over
 from sparquill.staging import fresh_path
 
 #: The vectors of the given tables are noise without clusters, so near vectors lie in many cells.
@@ -73,3 +75,30 @@ def rule_boost_table(spark: SparkSession, d: str) -> DataFrame:
     rules = words(spark, d).select(k.alias("rule_id"), k.alias("term"), (F.length(k) % 10).cast("string").alias("section"), moment.alias("moment"), F.round((F.ascii(k) % 7 - 2) / 100, 2).alias("change"))
     hits = top10(spark, d).withColumns({"section_id": F.col("label").cast("string"), "moment": (F.col("id") % 2).cast("string")})
     return rerank.boost_by_table(hits.drop("text", "low"), questions(spark, d), rules).select("question_id", "id", "score", "boost_applied", "rank")
+
+
+@query(SQL["table_search"])
+def table_search_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """table_search by a stored index of names and titles."""
+    path = fresh_path(spark, "names")
+    rows = table(spark, d, "part").select(F.col("p_brand").alias("row_name"), F.col("p_type").alias("table_title"), "p_partkey")
+    documents.index_tables(rows, path)
+    asked = spark.createDataFrame(list(enumerate(ASKED_TABLES)), "question_id int, text string")
+    return documents.search_tables(asked, rows, order=("p_partkey",), index=path).select("question_id", "p_partkey", "points", "rank")
+
+
+@query(SQL["node_lookup"])
+def node_lookup_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """node_lookup by a stored index of ids."""
+    path = fresh_path(spark, "ids")
+    nodes = _customers(spark, d).withColumn("node_id", F.col("node_id").cast("string"))
+    graph.index_ids(nodes, path)
+    return graph.lookup_indexed(nodes, path, "77").select("node_id", "law_key")
+
+
+@query(f"WITH {WORDS_SQL}, t AS (SELECT doc_id, lower(text) AS low FROM documents) SELECT keyword, count(*) AS n_docs, min(doc_id) AS first_id FROM words JOIN t ON contains(low, keyword) GROUP BY keyword")
+def word_documents(spark: SparkSession, d: str) -> DataFrame:
+    """How many documents hold each word of the benchmark, and the first: from the posting lists of an index of all documents."""
+    path = fresh_path(spark, "texts")
+    text_index.build(table(spark, d, "documents"), path, id_col="doc_id")
+    return text_index.find(spark, path, words(spark, d), "keyword").groupBy("keyword").agg(F.count("*").alias("n_docs"), F.min("id").alias("first_id"))

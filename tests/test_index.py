@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparquill.operators import matching, rerank, routing, search, vector_index
+from sparquill.operators import documents, matching, rerank, routing, search, text_index, vector_index
 from sparquill.plans.rules import LANGUAGES, Boosts
 
 
@@ -115,3 +115,51 @@ def test_boosts_by_a_table_equal_boosts_by_code(spark):
     got = rerank.boost_by_table(hits, asked, rules, 0.2)
     want = rerank.boost(hits, asked, boosts, anchors=None)
     assert sorted(map(tuple, got.select(*sorted(want.columns)).collect()), key=repr) == sorted(map(tuple, want.select(*sorted(want.columns)).collect()), key=repr)
+
+
+def texts_for_index(n=250, seed=9):
+    rng = random.Random(seed)
+    out = [(i, "".join(rng.choice("abAÄä \n") for _ in range(rng.randint(0, 40)))) for i in range(n)]
+    return out + [(n, None), (None, "abab"), (0, "other text of the same id"), (1, "repeated"), (1, "repeated"), (n + 1, "a" * 30_000 + "needle" + "b" * 30_000)]
+
+
+def test_look_ups_by_grams_equal_brute_force(spark, tmp_path):
+    rows = texts_for_index()
+    text_index.build(spark.createDataFrame(rows, "id long, text string").withColumn("gram", F.lit("clash")).repartition(4), str(tmp_path / "i"))
+    rng = random.Random(1)
+    asked = ["".join(rng.choice("abä \n") for _ in range(rng.randint(1, 6))) for _ in range(60)] + ["", "A", "ABÄ", "abä", "needle", "zzz", "SAME id", None, "𐐀bc", "of the same id"]
+    got = text_index.find(spark, str(tmp_path / "i"), spark.createDataFrame([(w, 1) for w in asked], "word string, of int")).collect()
+    want = {(w, i) for w in asked if w is not None for i, t in rows if t is not None and w.lower() in t.lower()}
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_a_look_up_reads_the_folders_of_its_grams_alone(spark, tmp_path):
+    path = str(tmp_path / "i")
+    text_index.build(spark.createDataFrame([(i, f"text number {i} " + chr(97 + i % 26) * 5) for i in range(2000)], "id int, text string"), path)
+    found = text_index.candidates(spark, path, spark.createDataFrame([("number 1234",)], "word string"))
+    assert [r.id for r in found.collect()] == [1234]
+    picked = text_index.picked_grams(spark, path, spark.createDataFrame([("number 1234",)], "word string"))
+    lists = text_index._stored(spark, path, "postings", [r.bucket for r in picked.collect()])
+    assert "PartitionFilters: [bucket" in lists._jdf.queryExecution().toString() and 0 < lists.select(F.input_file_name()).distinct().count() <= 4
+    assert spark.read.parquet(f"{path}/postings").select("bucket").distinct().count() > 40
+    assert text_index.find(spark, path, spark.createDataFrame([], "word string")).count() == 0
+    text_index.build(spark.createDataFrame([], "id int, text string"), path)
+    assert text_index.find(spark, path, spark.createDataFrame([("number",), ("n",)], "word string")).count() == 0
+
+
+def test_a_gram_of_all_texts_is_dealt_to_many_files(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    text_index.build(spark.createDataFrame([(i, "the") for i in range(20_000)], "id int, text string"), str(tmp_path / "i"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    per = spark.read.parquet(str(tmp_path / "i/postings")).filter("gram = 'the'").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in per) == 20_000 and len(per) > 1
+
+
+def test_tables_are_found_alike_with_and_without_an_index(spark, tmp_path):
+    rng = random.Random(5)
+    names = ["Tuotot yhteensä", "KULUT", "a", "", None, "rivi 12", "x y"]
+    rows = spark.createDataFrame([(rng.choice(names), rng.choice(names), i) for i in range(80)], "row_name string, table_title string, row_idx int")
+    asked = spark.createDataFrame([(1, "tuotot kulut a"), (2, "12 rivi rivi"), (3, "?"), (4, "yhteensä x")], "question_id int, text string")
+    documents.index_tables(rows, str(tmp_path / "i"))
+    got, want = (documents.search_tables(asked, rows, index=i).collect() for i in (str(tmp_path / "i"), None))
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr) and len(want) == 15
