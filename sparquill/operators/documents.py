@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import ArrayType, DataType, StructType, VariantType
 
 from sparquill.functions.text import TOKEN, first_held, number, strip
 from sparquill.operators import text_index
+from sparquill.staging import stage
 
 TABLES = "array<struct<title:string,rows:array<struct<cells:array<string>>>>>"
 
@@ -19,7 +20,7 @@ def section_type(depth: int) -> str:
 
 
 def document_schema(depth: int) -> str:
-    """DDL of documents with sections of a known depth; without it the reader infers the depth that the files have."""
+    """DDL of documents with sections of a known depth; without it they are read as VARIANT, of whatever depth."""
     return f"city STRING, year INT, title STRING, pages ARRAY<STRUCT<page_num: INT, sections: ARRAY<{section_type(depth)}>>>, metrics ARRAY<STRUCT<name: STRING, value: DOUBLE, unit: STRING, page: INT>>"
 
 
@@ -51,30 +52,66 @@ def _tables(section: Column, kind: StructType) -> Column:
     return F.transform(section["tables"], lambda t: F.struct(_field(t, table, "title", "string").alias("title"), rows(t).alias("rows")))
 
 
-def sections(docs: DataFrame) -> DataFrame:
-    """Every section of (root, pages), as deep as the schema goes: root, page, path, parent, place (of its
-    list: the page's and the sections' positions above), depth, pos, title, level, paragraphs, tables. A section's path is those of the ones above and its own slug, joined by colons."""
+def _named(title: Column, pos: Column, above: Column) -> Column:
+    """A section's path: that of the one above and its own slug, joined by a colon."""
+    return F.concat_ws(":", F.nullif(above, F.lit("")), slug(F.coalesce(title, F.concat(F.lit("section_"), pos.cast("string"))), 30))
+
+
+def _within(kids: Column, kind: StructType, root: Column, page: Column, above: Column, place: Column, parent: Column, depth: int = 0) -> Column:
+    """All sections of a list and of those below it as one array, as deep as the schema goes."""
+    title = lambda s: _field(s, kind, "title", "string")
+    path = lambda s, pos: _named(title(s), pos, above)
+    own = F.transform(
+        kids,
+        lambda s, pos: F.struct(
+            page.alias("page"), path(s, pos).alias("path"), parent.alias("parent"), place.alias("place"), F.lit(depth).alias("depth"), pos.alias("pos"), F.coalesce(title(s), F.lit("")).alias("title"),
+            F.coalesce(_field(s, kind, "level", "int"), F.lit(1)).alias("level"), _field(s, kind, "paragraphs", "array<string>").alias("paragraphs"), _tables(s, kind).alias("tables"),
+        ),
+    )
+    own, below = F.coalesce(own, F.array().cast(f"array<struct<{SECTION}>>")), _kids(kind, "subsections")
+    if below is None:
+        return own
+    deeper = F.transform(kids, lambda s, pos: _within(s["subsections"], below, root, page, path(s, pos), F.concat(place, F.array(pos)), _node(root, "SECTION", path(s, pos)), depth + 1))
+    return F.concat(own, F.coalesce(F.flatten(deeper), F.array().cast(f"array<struct<{SECTION}>>")))
+
+
+SECTION = f"page:int,path:string,parent:string,place:array<int>,depth:int,pos:int,title:string,level:int,paragraphs:array<string>,tables:{TABLES}"
+
+
+def sections(docs: DataFrame, *carry: str) -> DataFrame:
+    """Every section of (root, pages), at any depth: root, page, path, parent, place (of its list: the page's and the
+    sections' positions above), depth, pos, title, level, paragraphs, tables, and the columns to carry. Documents are read
+    once: of a typed schema all sections are gathered by one expression, which goes as deep as the schema; documents with
+    their pages as a VARIANT in `body` give their sections level by level, and each step reads what lies below the last alone."""
+    if "body" in docs.columns and isinstance(docs.schema["body"].dataType, VariantType):
+        return _variant_sections(docs, carry)
     page, kind = docs.schema["pages"].dataType.elementType, _kids(docs.schema["pages"].dataType.elementType, "sections")
-    none = "root string, page int, path string, parent string, place array<int>, depth int, pos int, title string, level int, paragraphs array<string>, tables " + TABLES
     if kind is None:
-        return docs.sparkSession.createDataFrame([], none)
-    pages = docs.select("root", F.posexplode("pages").alias("at", "p")).select("root", F.array("at").alias("place"), _field(F.col("p"), page, "page_num", "int").alias("page"), F.col("p.sections").alias("kids"))
-    level = pages.select("root", "page", "place", F.lit("").alias("above"), _node(F.col("root"), "PAGE", F.col("page").cast("string")).alias("parent"), F.posexplode("kids").alias("pos", "s"))
+        return docs.select("root", *carry, F.explode(F.array().cast(f"array<struct<{SECTION}>>")).alias("s")).select("root", *carry, "s.*")
+    pages = docs.select("root", *carry, F.posexplode("pages").alias("at", "p"))
+    number = _field(F.col("p"), page, "page_num", "int")
+    every = _within(F.col("p.sections"), kind, F.col("root"), number, F.lit(""), F.array("at"), _node(F.col("root"), "PAGE", number.cast("string")))
+    return pages.select("root", *carry, F.explode(every).alias("s")).select("root", *carry, "s.*")
+
+
+def _variant_sections(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    get = lambda of, name, kind: F.try_variant_get(of, f"$.{name}", kind)
+    inner = lambda df, of: df.lateralJoin(df.sparkSession.tvf.variant_explode(F.col(of).outer()))
+    page = get(F.col("value"), "page_num", "int")
+    level = inner(docs.select("root", *carry, "body"), "body").select("root", *carry, F.array("pos").alias("place"), page.alias("page"), F.lit("").alias("above"), _node(F.col("root"), "PAGE", page.cast("string")).alias("parent"), get(F.col("value"), "sections", "variant").alias("kids"))
     rows, depth = None, 0
     while True:
-        title = _field(F.col("s"), kind, "title", "string")
-        path = F.concat_ws(":", F.nullif(F.col("above"), F.lit("")), slug(F.coalesce(title, F.concat(F.lit("section_"), F.col("pos").cast("string"))), 30))
-        level = level.withColumn("path", path)
-        found = level.select(
-            "root", "page", "path", "parent", "place", F.lit(depth).alias("depth"), "pos", F.coalesce(title, F.lit("")).alias("title"), F.coalesce(_field(F.col("s"), kind, "level", "int"), F.lit(1)).alias("level"),
-            _field(F.col("s"), kind, "paragraphs", "array<string>").alias("paragraphs"), _tables(F.col("s"), kind).alias("tables"),
+        value, title = F.col("value"), get(F.col("value"), "title", "string")
+        found = inner(level.filter("kids is not null"), "kids").select(
+            "root", *carry, "page", _named(title, F.col("pos"), F.col("above")).alias("path"), "parent", "place", F.lit(depth).alias("depth"), "pos", F.coalesce(title, F.lit("")).alias("title"),
+            F.coalesce(get(value, "level", "int"), F.lit(1)).alias("level"), get(value, "paragraphs", "array<string>").alias("paragraphs"), get(value, "tables", TABLES).alias("tables"), get(value, "subsections", "variant").alias("kids"),
         )
-        rows = found if rows is None else rows.unionByName(found)
-        below = _kids(kind, "subsections")
-        if below is None:
+        found = stage(found, f"depth{depth}")
+        rows = found.drop("kids") if rows is None else rows.unionByName(found.drop("kids"))
+        level = found.filter("kids is not null").select("root", *carry, F.concat("place", F.array("pos")).alias("place"), "page", F.col("path").alias("above"), _node(F.col("root"), "SECTION", F.col("path")).alias("parent"), "kids")
+        if level.isEmpty():
             return rows
-        level = level.select("root", "page", F.concat("place", F.array("pos")).alias("place"), F.col("path").alias("above"), _node(F.col("root"), "SECTION", F.col("path")).alias("parent"), F.posexplode("s.subsections").alias("pos", "s"))
-        kind, depth = below, depth + 1
+        depth += 1
 
 
 def document_graph(docs: DataFrame, paragraph_least: int = 50) -> tuple[DataFrame, DataFrame]:
@@ -84,28 +121,26 @@ def document_graph(docs: DataFrame, paragraph_least: int = 50) -> tuple[DataFram
     or fewer are no nodes of their own; repeated ids are not merged."""
     base = docs.withColumn("root", F.concat_ws(":", "city", F.col("year").cast("string")))
     none = F.lit(None)
-    found = sections(base).withColumn("node_id", _node(F.col("root"), "SECTION", F.col("path")))
+    found = stage(sections(base, "city", "year"), "sections").withColumn("node_id", _node(F.col("root"), "SECTION", F.col("path")))
 
     def node(df: DataFrame, ident: Column, kind: str, title: Column, text: Column, page: Column, parent: Column, context: Column = none, pages=none, level=none, row_count=none, cells=none, value=none, unit=none) -> DataFrame:
         meta = F.struct(pages.cast("int").alias("total_pages"), level.cast("int").alias("level"), row_count.cast("int").alias("row_count"), cells.cast("array<string>").alias("cells"), value.cast("double").alias("value"), unit.cast("string").alias("unit"))
         return df.select(ident.alias("node_id"), F.lit(kind).alias("node_type"), "city", F.col("year").cast("int").alias("year"), title.alias("title"), text.alias("text"), page.cast("int").alias("page_num"), parent.cast("string").alias("parent_id"), meta.alias("metadata"), context.cast("string").alias("context"))
 
-    place = base.select("root", "city", "year").distinct()
-    of = lambda df: df.join(place, "root")
     doc_id = _node(F.col("root"), "DOC", F.lit("root"))
     doc = node(base, doc_id, "DOC", F.col("title"), F.lit(""), none, none, pages=F.size(F.coalesce("pages", F.array().cast(base.schema["pages"].dataType))))
     page_rows = base.select("root", "city", "year", F.posexplode("pages").alias("pos", "p"))
     page_name = F.col("p.page_num").cast("string")
     page_id = _node(F.col("root"), "PAGE", page_name)
     pages = node(page_rows, page_id, "PAGE", F.concat(F.lit("Sivu "), page_name), F.lit(""), F.col("p.page_num"), doc_id, F.concat(F.lit("Page "), page_name))
-    secs = node(of(found), F.col("node_id"), "SECTION", F.col("title"), F.coalesce(F.array_join("paragraphs", "\n"), F.lit("")), F.col("page"), F.col("parent"), F.col("title"), level=F.col("level"))
-    paras_in = of(found.select("root", "page", "node_id", "path", F.posexplode("paragraphs").alias("i", "body")).filter(F.length(strip(F.col("body"))) > paragraph_least))
+    secs = node(found, F.col("node_id"), "SECTION", F.col("title"), F.coalesce(F.array_join("paragraphs", "\n"), F.lit("")), F.col("page"), F.col("parent"), F.col("title"), level=F.col("level"))
+    paras_in = found.select("root", "city", "year", "page", "node_id", "path", F.posexplode("paragraphs").alias("i", "body")).filter(F.length(strip(F.col("body"))) > paragraph_least)
     at = F.col("i").cast("string")
     paras = node(paras_in, _node(F.col("root"), "PARA", F.concat("path", F.lit(":p"), at)), "PARA", F.lit(""), F.col("body"), F.col("page"), F.col("node_id"), F.concat(F.lit("Paragraph "), at))
-    tables_in = found.select("root", "page", "node_id", "path", F.posexplode("tables").alias("t", "tab")).withColumn("name", F.coalesce("tab.title", F.concat(F.lit("table_"), F.col("t").cast("string"))))
+    tables_in = found.select("root", "city", "year", "page", "node_id", "path", F.posexplode("tables").alias("t", "tab")).withColumn("name", F.coalesce("tab.title", F.concat(F.lit("table_"), F.col("t").cast("string"))))
     tables_in = tables_in.withColumn("tpath", F.concat_ws(":", "path", slug(F.col("name"), 20))).withColumn("table_id", _node(F.col("root"), "TABLE", F.col("tpath")))
-    tables = node(of(tables_in), F.col("table_id"), "TABLE", F.col("name"), F.lit(""), F.col("page"), F.col("node_id"), F.col("name"), row_count=F.coalesce(F.size("tab.rows"), F.lit(0)))
-    rows_in = of(tables_in.select("root", "page", "tpath", "table_id", F.posexplode("tab.rows").alias("r", "row")))
+    tables = node(tables_in, F.col("table_id"), "TABLE", F.col("name"), F.lit(""), F.col("page"), F.col("node_id"), F.col("name"), row_count=F.coalesce(F.size("tab.rows"), F.lit(0)))
+    rows_in = tables_in.select("root", "city", "year", "page", "tpath", "table_id", F.posexplode("tab.rows").alias("r", "row"))
     at = F.col("r").cast("string")
     rows = node(rows_in, _node(F.col("root"), "ROW", F.concat("tpath", F.lit(":r"), at)), "ROW", F.coalesce(F.get("row.cells", F.lit(0)), F.lit("")), F.coalesce(F.array_join("row.cells", " | "), F.lit("")), F.col("page"), F.col("table_id"), F.concat(F.lit("Row "), at), cells=F.col("row.cells"))
     nodes = doc.unionByName(pages).unionByName(secs).unionByName(paras).unionByName(tables).unionByName(rows)

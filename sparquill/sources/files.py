@@ -37,10 +37,16 @@ def moments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def documents(spark: SparkSession, paths: str | list[str], schema: str | None = None, required: tuple[str, ...] = ("city", "year", "title", "pages")) -> DataFrame:
-    """Whole-file JSON documents; a document without a required field fails the job when it is read. Without a schema it is
-    inferred in a pass of its own, so sections of any depth are kept."""
+    """Whole-file JSON documents; a document without a required field fails the job when it is read. Without a schema they are
+    read once, as VARIANT: the top fields get their types, and `body` holds the pages with sections of any depth, files of
+    different depths side by side."""
     reader = spark.read.option("multiLine", True)
-    rows = (reader if schema is None else reader.schema(schema)).json(paths)
+    if schema is None:
+        get = lambda name, kind: F.try_variant_get("doc", f"$.{name}", kind).alias(name)
+        fields = [get("city", "string"), get("year", "int"), get("title", "string"), get("pages", "array<struct<page_num:int>>"), get("metrics", "array<struct<name:string,value:double,unit:string,page:int>>")]
+        rows = reader.option("singleVariantColumn", "doc").json(paths).select(*fields, F.try_variant_get("doc", "$.pages", "variant").alias("body"))
+    else:
+        rows = reader.schema(schema).json(paths)
     for name in required:
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))

@@ -63,6 +63,25 @@ def test_expansion_and_support(spark):
     assert {r.node_id: r.hop for r in graph.neighbors(spark.createDataFrame([("A2",)], "node_id string"), edges, 3).collect()} == {"A2": 0, "B": 1, "C": 2, "D": 3}
 
 
+def test_documents_of_different_depths_are_read_once(spark, tmp_path):
+    nest = lambda depth, name: {"title": f"{name}{depth}", "paragraphs": [f"{name} {depth} " + "x" * 60], "subsections": [nest(depth - 1, name)] if depth else []}
+    (tmp_path / "docs").mkdir()
+    for name, depth in (("a", 0), ("b", 3), ("c", 12)):
+        (tmp_path / f"docs/{name}.json").write_text(json.dumps({"city": name, "year": 1, "title": "t", "pages": [{"page_num": 1, "sections": [nest(depth, name), {"title": None, "subsections": None, "tables": "no table"}]}, {"page_num": 2}]}))
+    docs = files.documents(spark, str(tmp_path / "docs"))
+    nodes, edges = documents.document_graph(docs)
+    got = {r.city: r.n for r in nodes.filter("node_type = 'SECTION'").groupBy("city").agg(F.count("*").alias("n")).collect()}
+    assert got == {"a": 2, "b": 5, "c": 14} and nodes.filter("node_type = 'PARA'").count() == 1 + 4 + 13
+    deepest = nodes.filter("title = 'c0'").first()
+    assert deepest.node_id == "c:1:SECTION:" + ":".join(f"c{i}" for i in range(12, -1, -1)) and nodes.filter(F.col("node_id") == deepest.parent_id).count() == 1
+    assert edges.filter("edge_type = 'NEXT'").count() == 6
+    typed = documents.document_graph(files.documents(spark, str(tmp_path / "docs"), documents.document_schema(12)))
+    for x, y in zip((nodes, edges), typed, strict=True):
+        assert sorted(map(str, x.collect())) == sorted(map(str, y.select(*x.columns).collect()))
+    wide = documents.sections(files.documents(spark, str(tmp_path / "docs"), documents.document_schema(3)).withColumn("root", F.col("city")))
+    assert wide._jdf.queryExecution().executedPlan().toString().count("Scan json") == 1
+
+
 def test_hierarchy_lookup_and_answers(spark):
     nodes, edges = walk_fixture(spark)
     kinds = {(r.edge_type, r.external): r.n for r in graph.edge_stats(graph.hierarchy_edges(nodes).unionByName(edges.drop("edge_ord"))).collect()}
