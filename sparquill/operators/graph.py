@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import hashlib
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sparquill.functions.text import before, holds_any
 from sparquill.operators import text_index
 from sparquill.plans.rules import DEFINITION_PHRASES, EXCEPTION_PHRASES, STATUTE_NUMBERS
-from sparquill.staging import stage
+from sparquill.staging import settings, stage
 
 # Patterns of section and statute references; the order of alternatives decides how much text they match.
 DECLINED = r"(?:n|ssä|ssa|ään|stä|sta|lta|lle|lla)"
@@ -108,34 +112,76 @@ def siblings(primary: DataFrame, nodes: DataFrame, law: str = "law_key", section
     return mine.join(nodes.select(F.col(node).alias("node_id"), F.col(law).alias("l"), F.col(section).alias("s")), ["l", "s"]).select("primary", "node_id")
 
 
-def expand(primaries: DataFrame, nodes: DataFrame, edges: DataFrame, hops: int = 2) -> DataFrame:
+def both_ways(edges: DataFrame) -> DataFrame:
+    """(node, next, back, edge_type, edge_ord): each edge at both its ends, back 1 at its target."""
+    out = edges.select(F.col("source").alias("node"), F.col("target").alias("next"), F.lit(0).alias("back"), "edge_type", "edge_ord")
+    return out.union(edges.select("target", "source", F.lit(1), "edge_type", "edge_ord"))
+
+
+def walkable(both: DataFrame) -> DataFrame:
+    """(from_id, next, edge): of the edges that expand() follows between two nodes, the best."""
+    followed = both.filter(((F.col("back") == 0) & ~F.col("edge_type").isin(*HIERARCHY)) | ((F.col("back") == 1) & (F.col("edge_type") == "EXCEPTS")))
+    return followed.groupBy(F.col("node").alias("from_id"), "next").agg(F.min(F.struct("back", "edge_ord", F.col("edge_type").alias("via"))).alias("edge"))
+
+
+def store_adjacency(edges: DataFrame, path: str, buckets: int = 256) -> None:
+    """Writes the edges at both their ends and the walkable ones, each as a table bucketed and sorted by node under path, so
+    that a join by node moves the other side alone. edges: source, target, edge_type, edge_ord."""
+    spark, both = edges.sparkSession, both_ways(edges)
+    for name, rows, node in (("adjacency", both, "node"), ("walk", walkable(both), "from_id")):
+        rows.write.mode("overwrite").bucketBy(buckets, node).sortBy(node).option("path", f"{path}/{name}").saveAsTable(_table(path, name))
+    kinds = [(name, node, spark.table(_table(path, name)).schema.json(), buckets) for name, node in (("adjacency", "node"), ("walk", "from_id"))]
+    spark.createDataFrame(kinds, "name string, node string, kind string, buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
+
+
+def stored(spark: SparkSession, path: str, name: str = "adjacency") -> DataFrame:
+    """A table of store_adjacency(), `adjacency` or `walk`; a session that has not written it learns its buckets from the folder."""
+    table = _table(path, name)
+    if not spark.catalog.tableExists(table):
+        layout = spark.read.parquet(f"{path}/layout").filter(F.col("name") == name).first()
+        kinds = StructType.fromJson(json.loads(layout.kind))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({layout.node}) SORTED BY ({layout.node}) INTO {layout.buckets} BUCKETS LOCATION '{path}/{name}'")
+    return spark.table(table)
+
+
+def _table(path: str, name: str) -> str:
+    return f"{name}_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def expand(primaries: DataFrame, nodes: DataFrame, edges: DataFrame | None = None, hops: int = 2, walk: DataFrame | None = None) -> DataFrame:
     """(primary, score, node_id, hop, relation, path, queue): what is reached from each primary (primary, score) and its
     siblings over outgoing edges but those of the hierarchy, and over incoming EXCEPTS, on the first visit: the lowest hop,
     then the place of the node that it is reached from, then outgoing before incoming, then the edge's order. A path begins
     at the primary. Placeholders (external:, definition:) are reached but lead nowhere. edges: source, target, edge_type,
-    edge_ord.
+    edge_ord; or walk, as stored() gives it, whose edges then stay where they are.
 
     Of all edges between two nodes the best is found once. A step then needs the least place of a neighbour alone, one
     number aggregated before the shuffle; edge and path are looked up afterwards for what is left.
     """
+    spark = primaries.sparkSession
     sib = siblings(primaries.select(F.col("primary").alias("node_id")), nodes).withColumn("queue", F.row_number().over(Window.partitionBy("primary").orderBy(F.col("node_id") != F.col("primary"), "node_id")))
     frontier = stage(sib.select("primary", "node_id", F.lit(0).alias("hop"), F.col("queue").cast("long").alias("queue"), F.lit(None).cast("string").alias("relation"), F.array("primary").alias("path")), "hop0")
-    walk = edges.filter(~F.col("edge_type").isin(*HIERARCHY)).select(F.col("source").alias("from_id"), F.col("target").alias("next"), F.struct(F.lit(0).alias("back"), "edge_ord", F.col("edge_type").alias("via")).alias("edge"))
-    walk = walk.union(edges.filter("edge_type = 'EXCEPTS'").select(F.col("target").alias("from_id"), F.col("source").alias("next"), F.struct(F.lit(1).alias("back"), "edge_ord", F.col("edge_type").alias("via"))))
-    walk = stage(walk.groupBy("from_id", "next").agg(F.min("edge").alias("edge")), "walk")
+    if walk is None:
+        walk = stage(walkable(both_ways(edges)), "walk")
     seen = frontier
     for hop in range(1, hops + 1):
-        reached = frontier.select("primary", F.col("node_id").alias("from_id"), "queue").join(walk.select("from_id", "next"), "from_id")
-        reached = reached.groupBy("primary", "next").agg(F.min("queue").alias("queue")).join(seen.select("primary", F.col("node_id").alias("next")), ["primary", "next"], "left_anti")
-        parents = frontier.select("primary", F.col("node_id").alias("from_id"), "queue", "path")
-        fresh = reached.join(parents, ["primary", "queue"]).join(walk, ["from_id", "next"])
-        place = F.row_number().over(Window.partitionBy("primary").orderBy("queue", "edge.back", "edge.edge_ord", "next")).cast("long")
-        frontier = fresh.select("primary", F.col("next").alias("node_id"), F.lit(hop).alias("hop"), place.alias("queue"), F.col("edge.via").alias("relation"), F.concat("path", F.array("next")).alias("path"))
-        frontier = stage(frontier, f"hop{hop}")
+        with settings(spark, spark__sql__requireAllClusterKeysForCoPartition="false"):  # buckets by node serve a join by both ends
+            frontier = stage(step(frontier, seen, walk, hop), f"hop{hop}")
         seen = seen.union(frontier)
     return seen.filter("hop > 0").join(primaries, "primary").select("primary", "score", "node_id", "hop", "relation", "path", "queue")
 
 
+def step(frontier: DataFrame, seen: DataFrame, walk: DataFrame, hop: int) -> DataFrame:
+    """What a hop reaches that has not been seen."""
+    reached = frontier.select("primary", F.col("node_id").alias("from_id"), "queue").join(walk.select("from_id", "next"), "from_id")
+    reached = reached.groupBy("primary", "next").agg(F.min("queue").alias("queue")).join(seen.select("primary", F.col("node_id").alias("next")), ["primary", "next"], "left_anti")
+    parents = frontier.select("primary", F.col("node_id").alias("from_id"), "queue", "path")
+    fresh = reached.join(parents, ["primary", "queue"]).join(walk, ["from_id", "next"])
+    place = F.row_number().over(Window.partitionBy("primary").orderBy("queue", "edge.back", "edge.edge_ord", "next")).cast("long")
+    return fresh.select("primary", F.col("next").alias("node_id"), F.lit(hop).alias("hop"), place.alias("queue"), F.col("edge.via").alias("relation"), F.concat("path", F.array("next")).alias("path"))
+
+
 def neighbor_score(score: Column, hop: Column, relation: Column, decay: float = 0.05, step: float = 0.01) -> Column:
     priority = F.lit(0)
     for name, value in PRIORITY.items():
@@ -154,9 +200,13 @@ def support(expanded: DataFrame, nodes: DataFrame, most: int = 5) -> DataFrame:
     return kept.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).select("primary", "place", "node_id", "hop", "relation", "support_score")
 
 
-def neighbors(start: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
-    """(start, node_id, hop): nodes within hops over edges of all kinds in both directions, each at its least distance."""
-    both = edges.select(F.col("source").alias("node_id"), F.col("target").alias("next")).union(edges.select("target", "source")).distinct()
+def neighbors(start: DataFrame, edges: DataFrame | None, hops: int, adjacency: DataFrame | None = None) -> DataFrame:
+    """(start, node_id, hop): nodes within hops over edges of all kinds in both directions, each at its least distance; edges
+    as (source, target), or adjacency as stored() gives it."""
+    if adjacency is None:
+        both = edges.select(F.col("source").alias("node_id"), F.col("target").alias("next")).union(edges.select("target", "source")).distinct()
+    else:
+        both = adjacency.select(F.col("node").alias("node_id"), "next")
     frontier = start.select(F.col("node_id").alias("start"), "node_id", F.lit(0).alias("hop")).distinct()
     seen = frontier
     for hop in range(1, hops + 1):
@@ -185,8 +235,10 @@ def lookup_indexed(nodes: DataFrame, path: str, part: str, most: int = 10) -> Da
     return nodes.join(found, "node_id", "left_semi").orderBy("node_id").limit(most)
 
 
-def section_lookup(nodes: DataFrame, edges: DataFrame, law_part: str, section: int, most: int = 20) -> tuple[DataFrame, DataFrame]:
-    """A section's nodes by moment, and the first incoming references and exceptions to them."""
+def section_lookup(nodes: DataFrame, edges: DataFrame | None, law_part: str, section: int, most: int = 20, adjacency: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """A section's nodes by moment, and the first incoming references and exceptions to them, from edges or a stored adjacency."""
+    if adjacency is not None:
+        edges = adjacency.filter("back = 1").select(F.col("next").alias("source"), F.col("node").alias("target"), "edge_type")
     found = nodes.filter(F.contains("law_key", F.lit(law_part)) & (F.col("section_num") == section)).orderBy("moment")
     incoming = edges.filter(F.col("edge_type").isin("REFERS_TO", "EXCEPTS")).join(found.select(F.col("node_id").alias("target")), "target", "left_semi")
     return found, incoming.orderBy("target", "source", "edge_type").limit(most)

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from sparquill.operators import documents, graph, matching, rerank, routing, search, text_index, vector_index
 from sparquill.plans.catalog import ASKED, SQL, hundredths, query, questions, route_sql, table
-from sparquill.plans.graph_queries import ASKED_TABLES, _customers
+from sparquill.plans.graph_queries import ASKED_TABLES, _customers, _parts
 from sparquill.plans.rerank_queries import TOP10_SQL, top10
 from sparquill.plans.rules import LANGUAGES
 from sparquill.plans.source_queries import node_lookup  # noqa: F401  its SQL is taken over
+from sparquill.sources import files
 from sparquill.staging import fresh_path
 
 #: The vectors of the given tables are noise without clusters, so near vectors lie in many cells.
@@ -102,3 +103,27 @@ def word_documents(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "texts")
     text_index.build(table(spark, d, "documents"), path, id_col="doc_id")
     return text_index.find(spark, path, words(spark, d), "keyword").groupBy("keyword").agg(F.count("*").alias("n_docs"), F.min("id").alias("first_id"))
+
+
+@query(SQL["neighbor_score"])
+def neighbor_score_stored(spark: SparkSession, d: str) -> DataFrame:
+    """neighbor_score over a stored adjacency, bucketed by node."""
+    nodes, edges, primaries = _parts(spark, d)
+    path = fresh_path(spark, "adjacency")
+    graph.store_adjacency(edges, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = graph.expand(primaries, nodes, walk=graph.stored(spark, path, "walk"))
+    return found.select("primary", "node_id", "hop", "relation", F.round(graph.neighbor_score(F.col("score"), F.col("hop"), F.col("relation")), 6).alias("support_score"))
+
+
+@query("""WITH e AS (SELECT s_suppkey AS source, s_nationkey AS target FROM supplier)
+SELECT 's' || source AS node_id, count(*) AS n_out, 0::BIGINT AS n_in FROM e GROUP BY source UNION ALL SELECT 'n' || target, 0, count(*) FROM e GROUP BY target""")
+def graph_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Degrees of a graph that was written, read back and stored by node."""
+    path = fresh_path(spark, "graph")
+    name = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
+    suppliers = table(spark, d, "supplier")
+    nodes = suppliers.select(name("s", "s_suppkey").alias("node_id"), F.lit("SUPPLIER").alias("node_type"))
+    edges = suppliers.select(name("s", "s_suppkey").alias("source"), name("n", "s_nationkey").alias("target"), F.lit("REFERS_TO").alias("edge_type"), F.col("s_suppkey").alias("edge_ord"))
+    files.write_graph(nodes, edges, path)
+    graph.store_adjacency(files.read_graph(spark, path)[1], path, 8)
+    return graph.stored(spark, path).groupBy(F.col("node").alias("node_id")).agg(F.sum(1 - F.col("back")).alias("n_out"), F.sum("back").cast("long").alias("n_in"))

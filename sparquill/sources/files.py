@@ -148,6 +148,11 @@ def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> DataFrame:
     return n.unionByName(e).select("kind", "type", "n")
 
 
+def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges as write_graph() wrote them."""
+    return spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges")
+
+
 def write_report(table: DataFrame, path: str, kind: str = "csv") -> None:
     """A small aggregate as one CSV or JSON file."""
     writer = table.coalesce(1).write.mode("overwrite")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +42,17 @@ def drop_staged(spark: SparkSession, *frames: DataFrame) -> None:
         for file in df.inputFiles()[:1]:
             path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (dots as double underscores) for what is run within; the old ones come back."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    old = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparquill.operators import documents, enrich, graph, guided
 from sparquill.plans.rules import ABSTAIN_FINANCE, ABSTAIN_INTERPRET, ABSTAIN_STRONG
 from sparquill.sources import files, statutes
+from sparquill.staging import settings
 from sparquill.streaming import ingest
 
 REFERENCES = [
@@ -63,6 +64,37 @@ def test_expansion_and_support(spark):
     assert {r.node_id: r.hop for r in graph.neighbors(spark.createDataFrame([("A2",)], "node_id string"), edges, 3).collect()} == {"A2": 0, "B": 1, "C": 2, "D": 3}
 
 
+def test_stored_edges_do_not_move(spark, tmp_path):
+    nodes, edges = walk_fixture(spark)
+    path = f"file://{tmp_path}/adjacency"
+    graph.store_adjacency(edges, path, 4)
+    start = spark.createDataFrame([("A1", 0.7)], "primary string, score double")
+    want = sorted(map(str, graph.expand(start, nodes, edges).collect()))
+    assert sorted(map(str, graph.expand(start, nodes, walk=graph.stored(spark, path, "walk")).collect())) == want
+    for name in ("walk", "adjacency"):  # a session that did not write them
+        spark.sql(f"DROP TABLE {graph._table(path, name)}")
+    walk, both = graph.stored(spark, path, "walk"), graph.stored(spark, path)
+    assert sorted(map(str, graph.expand(start, nodes, walk=walk).collect())) == want
+    one = spark.createDataFrame([("A2",)], "node_id string")
+    assert sorted(map(str, graph.neighbors(one, None, 3, both).collect())) == sorted(map(str, graph.neighbors(one, edges, 3).collect()))
+    assert sorted(map(str, graph.section_lookup(nodes.withColumn("moment", F.col("node_id")), None, "L", 1, adjacency=both)[1].collect())) == sorted(map(str, graph.section_lookup(nodes.withColumn("moment", F.col("node_id")), edges.select("source", "target", "edge_type"), "L", 1)[1].collect()))
+    frontier = spark.createDataFrame([("A1", "A1", 0, 1, None, ["A1"])], "primary string, node_id string, hop int, queue long, relation string, path array<string>")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false", spark__sql__requireAllClusterKeysForCoPartition="false"):
+        plan = graph.step(frontier, frontier, walk, 1)._jdf.queryExecution().executedPlan().toString().splitlines()
+    scans = [i for i, line in enumerate(plan) if "FileScan" in line and "Bucketed: true" in line]
+    assert len(scans) == 2
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i in scans:
+        at, above = depth(plan[i]), []
+        for line in reversed(plan[:i]):
+            if depth(line) < at:
+                at = depth(line)
+                above.append(line)
+                if "Join" in line:
+                    break
+        assert above and not any("Exchange" in line for line in above)
+
+
 def test_documents_of_different_depths_are_read_once(spark, tmp_path):
     nest = lambda depth, name: {"title": f"{name}{depth}", "paragraphs": [f"{name} {depth} " + "x" * 60], "subsections": [nest(depth - 1, name)] if depth else []}
     (tmp_path / "docs").mkdir()
