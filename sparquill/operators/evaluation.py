@@ -182,13 +182,22 @@ def case_fail(hallucinated: Column, drifted: Column, confused: Column, category:
 
 
 def adversarial_metrics(case_rows: DataFrame) -> DataFrame:
-    """Confusion among cases that should answer (0 where there are none), correct abstentions (1 where none is expected)."""
+    """Confusion among cases that should answer (0 where there are none) and correct abstentions (1 where none is expected), as
+    counts and shares; the counts of hallucinated evidence and of version drift, where cases have these flags, and of failed
+    cases, and the mean latency, where they have one."""
     answer, abstain = ~F.col("must_abstain"), F.col("must_abstain")
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in case_rows.columns else F.lit(False)
+    counted = lambda c: F.coalesce(F.count_if(c), F.lit(0)).alias
+    category = F.coalesce(F.col("category"), F.lit("")) if "category" in case_rows.columns else F.when(abstain, "ABSTAIN").otherwise("")
+    failed = case_fail(flag("hallucinated_evidence"), flag("version_drift"), F.col("confusion_fail"), category, abstain, F.col("abstains"))
+    latency = [four(F.coalesce(F.avg("latency_ms"), F.lit(0.0))).alias("avg_latency_ms")] if "latency_ms" in case_rows.columns else []
     return case_rows.agg(
+        counted(answer & F.col("confusion_fail"))("confused"), counted(answer)("to_answer"), counted(flag("hallucinated_evidence"))("hallucinated"), counted(flag("version_drift"))("drifted"),
+        counted(abstain & F.col("abstains"))("abstained"), counted(abstain)("to_abstain"), counted(failed)("case_fails"), *latency,
         four(F.coalesce(F.avg(F.when(answer, F.col("confusion_fail").cast("double"))), F.lit(0.0))).alias("confusion_rate"),
         four(F.coalesce(F.avg(F.when(abstain, F.col("abstains").cast("double"))), F.lit(1.0))).alias("abstain_rate"),
         F.count("*").alias("total"),
-    )
+    )
 
 
 def finance_cases(questions: DataFrame) -> DataFrame:

@@ -80,13 +80,19 @@ def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np
 def multi_source(questions: DataFrame, corpus: DataFrame, router: Router, profile: Profile, key: str = "question_id", text: str = "text", id_col: str = "id", source: str = "src", query_vector: str = "embedding", available: tuple[str, ...] | None = None) -> DataFrame:
     """Routed search: (key, rank, source, id, score, score_original). Route, share out k, search each source, adjust, filter
     by score, merge and cut. Ties keep the order of sources in the route, then the rank within a source."""
-    weights = budget(route(questions, router, available, key, text), profile.total_k, profile.min_k)
-    weights = weights.withColumn("router_place", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("weight"), "route_pos")))
     found = topk(questions, corpus, max(profile.total_k, profile.min_k), key, query_vector, id_col, source=source)
-    joined = found.withColumnRenamed("rank", "src_rank").join(weights.withColumnRenamed("src", source), [key, source]).filter(F.col("src_rank") <= F.col("k"))
+    joined = within_budget(found.withColumnRenamed("rank", "src_rank"), questions, router, profile, key, text, source, available)
     return merge(joined, questions.select(key, text), profile, router.core, key, text, source)
 
 
+def within_budget(hits: DataFrame, questions: DataFrame, router: Router, profile: Profile, key: str = "question_id", text: str = "text", source: str = "src", available: tuple[str, ...] | None = None) -> DataFrame:
+    """The hits (key, source, src_rank) of the sources that each question is routed to, as many as its budget gives to each,
+    with route_pos and router_place."""
+    weights = budget(route(questions, router, available, key, text), profile.total_k, profile.min_k)
+    weights = weights.withColumn("router_place", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("weight"), "route_pos")))
+    return hits.join(weights.withColumnRenamed("src", source), [key, source]).filter(F.col("src_rank") <= F.col("k"))
+
+
 def merge(hits: DataFrame, questions: DataFrame, profile: Profile, core: str, key: str = "question_id", text: str = "text", source: str = "src") -> DataFrame:
     """Adjusts, filters, orders and cuts hits (key, source, id, score, src_rank, route_pos, router_place)."""
     rows = hits.join(questions.select(F.col(key), F.lower(text).alias("asked")), key).withColumn("score_original", F.col("score"))
@@ -129,8 +135,9 @@ def fan_out(questions: DataFrame, corpus: DataFrame, per_source: int = 3, min_sc
 
 def in_source(questions: DataFrame, corpus: DataFrame, k: int = 5, min_score: float = 0.4, key: str = "question_id", wanted: str = "wanted", id_col: str = "id", source: str = "src", query_vector: str = "embedding") -> DataFrame:
     """Search in the one source that each question names: (key, source, id, score, rank) of its k best that reach min_score."""
-    found = topk(questions, corpus, k, key, query_vector, id_col, source=source)
     asked = questions.select(key, F.col(wanted).alias(source))
+    of = corpus.join(asked.select(source).distinct(), source, "left_semi")  # sources that no question wants are not searched
+    found = topk(questions, of, k, key, query_vector, id_col, source=source)
     return found.join(asked, [key, source], "left_semi").filter(F.col("score") >= min_score).select(key, source, "id", "score", "rank")
 
 

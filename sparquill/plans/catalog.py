@@ -82,32 +82,38 @@ weights AS (SELECT question_id, src, CASE WHEN lifts THEN w1 / sum(w1) OVER (PAR
                    CAST(CASE mode WHEN 'named' THEN CASE WHEN src = named THEN 1 ELSE 2 END WHEN 'prior' THEN by_raise ELSE row_number() OVER (PARTITION BY question_id ORDER BY src_ord) END AS INT) AS route_pos FROM lifted)"""
 
 
-def hits_sql(router: Router, profile: Profile) -> str:
-    """CTEs up to `merged` (question_id, src, id, score, score_original, rank) of a routed search."""
+def merge_sql(profile: Profile, core: str, name: str = "merged", taken: str = "taken") -> str:
+    """CTE `name` from hits within their budgets: adjusted, filtered, ranked."""
     change = f"CASE WHEN router_place = 1 THEN {profile.router_bonus}::DOUBLE ELSE 0 END"
     change += "".join(f" + CASE WHEN contains(low, '{t}') AND src = '{s}' THEN {a}::DOUBLE ELSE 0 END" for t, s, a in profile.guards)
     if profile.mismatch_penalty:
-        change += f" - CASE WHEN {_any('low', profile.mismatch_terms)} AND src <> '{router.core}' THEN {profile.mismatch_penalty}::DOUBLE ELSE 0 END"
+        change += f" - CASE WHEN {_any('low', profile.mismatch_terms)} AND src <> '{core}' THEN {profile.mismatch_penalty}::DOUBLE ELSE 0 END"
     early, late = (f"WHERE score_original >= {profile.min_score}", "") if not profile.threshold_after else ("", f"WHERE score >= {profile.min_score}")
+    return f"""
+{name}_changed AS (SELECT *, round(score_original + ({change}), 6) AS score FROM {taken} {early}),
+{name} AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, route_pos, src_rank) AS rank FROM {name}_changed {late})"""
+
+
+def hits_sql(router: Router, profile: Profile) -> str:
+    """CTEs up to `merged` (question_id, src, id, score, score_original, rank) of a routed search."""
     return f"""{ASKED}, {CORPUS}, {route_sql(router)},
 budgets AS (SELECT *, greatest({profile.min_k}, CAST(ceil({profile.total_k}::DOUBLE * weight) AS INT)) AS k, row_number() OVER (PARTITION BY question_id ORDER BY weight DESC, route_pos) AS router_place FROM weights),
 near AS (SELECT question_id, low, src, id, round(list_dot_product(q, v), 6) AS score_original FROM asked, corpus),
 best AS (SELECT *, row_number() OVER (PARTITION BY question_id, src ORDER BY score_original DESC, id) AS src_rank FROM near),
 taken AS (SELECT best.*, route_pos, router_place FROM best JOIN budgets USING (question_id, src) WHERE src_rank <= k),
-changed AS (SELECT *, round(score_original + ({change}), 6) AS score FROM taken {early}),
-merged AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, route_pos, src_rank) AS rank FROM changed {late})"""
+{merge_sql(profile, router.core)}"""
 
 
-def diverse_sql(profile: Profile) -> str:
+def diverse_sql(profile: Profile, merged: str = "merged", final: str = "final") -> str:
     """CTE `final` from `merged`: the diversity swap."""
     k = profile.total_k
     return f"""
-swaps AS (SELECT *, coalesce(max(CASE WHEN router_place = 1 THEN score END) OVER q, 0) AS best1, coalesce(max(CASE WHEN router_place = 2 THEN score END) OVER q, 0) AS best2,
+{final}_swaps AS (SELECT *, coalesce(max(CASE WHEN router_place = 1 THEN score END) OVER q, 0) AS best1, coalesce(max(CASE WHEN router_place = 2 THEN score END) OVER q, 0) AS best2,
                  coalesce(max(CASE WHEN router_place = 2 AND rank <= {k} THEN 1 END) OVER q, 0) AS shown, min(CASE WHEN router_place = 2 AND rank > {k} THEN rank END) OVER q AS tail
-          FROM merged WINDOW q AS (PARTITION BY question_id)),
-final AS (SELECT question_id, src, id, score, score_original,
+          FROM {merged} WINDOW q AS (PARTITION BY question_id)),
+{final} AS (SELECT question_id, src, id, score, score_original,
                  CASE WHEN abs(best1 - best2) < {profile.diversity_gap} AND shown = 0 AND tail IS NOT NULL AND rank = tail THEN {k} ELSE rank END AS rank
-          FROM swaps WHERE NOT (abs(best1 - best2) < {profile.diversity_gap} AND shown = 0 AND tail IS NOT NULL AND rank = {k}))"""
+          FROM {final}_swaps WHERE NOT (abs(best1 - best2) < {profile.diversity_gap} AND shown = 0 AND tail IS NOT NULL AND rank = {k}))"""
 
 
 def hundredths(spark: SparkSession, d: str) -> DataFrame:

@@ -247,6 +247,8 @@ PROFILES = {
     "answers": Profile(router_bonus=0.02, guards=STATUTE_GUARDS_12, limit=5),
     "autofill": Profile(router_bonus=0.02, guards=STATUTE_GUARDS_14),
     "graph": Profile(router_bonus=0.02, threshold_after=True, mismatch_penalty=0.03, mismatch_terms=STATUTE_MISMATCH),
+    "grapheval": Profile(router_bonus=0.02, threshold_after=True, mismatch_penalty=0.03, mismatch_terms=STATUTE_MISMATCH),
+    "adversarial": Profile(min_score=0.4),  # unrouted: search.fan_out, then search.context_boost
 }
 
 #: Rules of our own over the languages of the driver's tables.
