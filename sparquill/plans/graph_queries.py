@@ -9,6 +9,7 @@ from sparquill.operators import documents, graph
 from sparquill.plans.catalog import GUIDED, corpus, hits_sql, query, questions, table
 from sparquill.plans.rerank_queries import TOP10_SQL, top10
 from sparquill.plans.rules import DEFINITION_PHRASES, EXCEPTION_PHRASES, LANGUAGES, STATUTE_NUMBERS
+from sparquill.sources import statutes
 
 BODY_SQL = """CASE p_partkey % 5 WHEN 0 THEN 'Jollei ' || p_size || ' §:ssä toisin säädetä, noudatetaan ' || (p_size + 1) || ' §:n 2 momentissa olevaa.'
  WHEN 1 THEN 'Sovelletaan ' || p_size || ' luvun ' || (p_size % 9 + 1) || ' § ja ' || (p_size % 9 + 1) || ' §:n mukaan.' WHEN 2 THEN (p_size + 3) || ' §:n 1 mom. ja ' || (p_size + 3) || ' §:n 1 momentti sekä ' || p_size || ' §'
@@ -269,19 +270,22 @@ def paraphrases(spark: SparkSession, d: str) -> DataFrame:
     return documents.paraphrases(table(spark, d, "benchmark").select(F.col("item_id").alias("question_id"), "text"), SYNONYMS)
 
 
-@query("""SELECT '1/2020:fin@' || p_partkey || ':' || p_size || 'l:' || p_size || 'a:' || m AS node_id, p_size || 'a' AS section_id, p_size AS section_num, m AS moment,
-CASE m WHEN '1' THEN 'Osa ' || p_partkey || ' 1) ' || p_brand || ' toinen' ELSE 'Kolmas ' || p_partkey END AS text, array_to_string(list_sort([lower(p_type)] || CASE m WHEN '3' THEN ['third'] ELSE [] END), ',') AS tags FROM part, (VALUES ('1'), ('3')) v(m)""")
-def xml_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """A statute file a part: a chapter, a section with a suffix, three subsections of which the second is empty."""
-    from sparquill.sources import statutes
-
+def statute_files(spark: SparkSession, d: str) -> DataFrame:
+    """(path, xml): a statute a part: a chapter, a section with a suffix, three subsections of which the second is empty."""
     number, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
     xml = F.concat(
         F.lit('<?xml version="1.0"?><akomaNtoso xmlns="http://example.org/akn"><act><meta><FRBRversionNumber value="fin@'), number, F.lit('"/><dateEntryIntoForce date="2020-01-01"/></meta><body><chapter><num>'), size,
         F.lit(" luku</num><heading>Yleiset</heading><section><num>"), size, F.lit(" a §</num><heading>"), F.col("p_type"), F.lit("</heading><subsection><intro>Osa "), number, F.lit("</intro><paragraph><num>1)</num><content>"), F.col("p_brand"),
         F.lit("</content></paragraph><paragraph><content>toinen</content></paragraph></subsection><subsection/><subsection><content>Kolmas "), number, F.lit("</content></subsection></section></chapter></body></act></akomaNtoso>"),
     )
-    rows = table(spark, d, "part").select(F.concat(number, F.lit(".xml")).alias("path"), xml.alias("xml"))
+    return table(spark, d, "part").select(F.concat(number, F.lit(".xml")).alias("path"), xml.alias("xml"))
+
+
+@query("""SELECT '1/2020:fin@' || p_partkey || ':' || p_size || 'l:' || p_size || 'a:' || m AS node_id, p_size || 'a' AS section_id, p_size AS section_num, m AS moment,
+CASE m WHEN '1' THEN 'Osa ' || p_partkey || ' 1) ' || p_brand || ' toinen' ELSE 'Kolmas ' || p_partkey END AS text, array_to_string(list_sort([lower(p_type)] || CASE m WHEN '3' THEN ['third'] ELSE [] END), ',') AS tags FROM part, (VALUES ('1'), ('3')) v(m)""")
+def xml_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """A statute file a part."""
+    rows = statute_files(spark, d)
     found = statutes.unique_ids(statutes.moments(rows, "Laki", "1/2020", "laki_1_2020", {"kolmas": ("third",)}))
     return found.select("node_id", "section_id", "section_num", "moment", "text", F.array_join("tags", ",").alias("tags"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sparquill.operators import documents, enrich, graph, guided
 from sparquill.plans.rules import ABSTAIN_FINANCE, ABSTAIN_INTERPRET, ABSTAIN_STRONG
-from sparquill.sources import files, statutes
+from sparquill.sources import files, sinks, statutes
 from sparquill.staging import settings
 from sparquill.streaming import ingest
 
@@ -204,6 +204,49 @@ def test_statute_patterns(spark, body, want):
     assert [r.section_id for r in got] == want and all(r.in_force and r.effective_from == "1900-01-01" for r in got)
 
 
+def test_sparks_own_xml_source_gives_the_same_rows(spark, tmp_path):
+    sub = lambda t: f"<subsection><intro>in  {t}</intro><content><p>a<i>b</i> &amp; c\u00a0d</p></content><paragraph><num>1)</num><content>x</content></paragraph><paragraph><num>2)</num></paragraph></subsection>"
+    plain = "<section><num>7 <b>a</b> §</num><heading>Whole</heading><p>one</p><list><item>two</item></list></section>"
+    bodies = [
+        "<part><num>I</num><heading>Part &amp; one</heading><chapter><num>2 luku</num><heading>C</heading>" + SECTION.format(n="1 §", t="a") + plain + "</chapter></part><part><num>II</num></part>",
+        "<hcontainer><chapter><num>1 luku</num>" + SECTION.format(n="3 §", t="c") + "</chapter>" + SECTION.format(n="4 §", t="d") + "</hcontainer>" + SECTION.format(n="5 §", t="e"),
+        "<chapter><num>1 luku</num><section><num>1 §</num><subsection/>" + sub("x") + "<subsection><content> </content></subsection>" + sub("y") + "</section>" + plain + "</chapter>",
+        SECTION.format(n="1 §", t="only") + plain, "", "<hcontainer><part><num>P</num><chapter>" + plain + "</chapter></part></hcontainer>",
+    ]
+    (tmp_path / "xml").mkdir()
+    for i, body in enumerate(bodies):
+        (tmp_path / f"xml/{i}.xml").write_text(XML.format(meta="", body=body))
+    (tmp_path / "xml/named.xml").write_text("<a:akn xmlns:a='u'><a:meta/><a:body>" + (SECTION + plain).replace("<", "<a:").replace("<a:/", "</a:").format(n="8 §", t="t") + "</a:body></a:akn>")
+    folder = str(tmp_path / "xml")
+    got = statutes.moments_of_files(spark, folder, "L", "1/1", "k", {"one": ("tag",)})
+    want = statutes.moments(statutes.files(spark, folder), "L", "1/1", "k", {"one": ("tag",)})
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 12
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_file_a_key_and_arrays_of_json(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.createDataFrame([(f"{i % 3}/act {i}.md", f"# {i}\nä") for i in range(20)] + [("null.md", None)], "name string, content string").repartition(4)
+    sinks.write_files(rows, path)
+    found = {str(p.relative_to(path)): p.read_text() for p in (tmp_path / "out").rglob("*.md")}
+    assert found == {r.name: r.content or "" for r in rows.collect()} and not (tmp_path / "out/_temporary").exists()
+    sinks.write_files(rows.limit(1), path)
+    assert len(list((tmp_path / "out").rglob("*.md"))) == 1
+    broken = rows.withColumn("content", F.when(F.col("name") == "1/act 7.md", F.raise_error(F.lit("broken"))).otherwise(F.col("content")))
+    for bad in (broken, rows.union(rows), spark.createDataFrame([("../up", "x")], "name string, content string"), spark.createDataFrame([(None, "x")], "name string, content string")):
+        with pytest.raises(Exception, match="broken|two rows|not a name"):
+            sinks.write_files(bad, str(tmp_path / "failed"))
+        assert not [p for p in (tmp_path / "failed").rglob("*") if p.is_file()] and not (tmp_path / "up").exists()
+    data = spark.createDataFrame([(i, f"t{i}", [i, None]) for i in range(7)] + [(None, None, None)], "id int, text string, more array<int>")
+    sinks.write_json_array(data.repartition(3), str(tmp_path / "arrays"))
+    texts = [p.read_text() for p in (tmp_path / "arrays").glob("*.json")]
+    assert sum(len(json.loads(t)) for t in texts) == 8 and {} in [x for t in texts for x in json.loads(t)]
+    assert sorted(map(str, sinks.read_json_array(spark, str(tmp_path / "arrays"), "id int, text string, more array<int>").collect())) == sorted(map(str, data.collect()))
+    sinks.write_json_array(data.limit(0), str(tmp_path / "arrays"))
+    assert not list((tmp_path / "arrays").glob("*.json"))
+
+
 def test_statute_repeats_fail_and_render(spark):
     twice = XML.format(meta='<isInForce value="false"/>', body=SECTION.format(n="1 §", t="a") * 2)
     rows = statutes.moments(spark.createDataFrame([("p", twice)], "path string, xml string"), "L", "1/1", "k")
