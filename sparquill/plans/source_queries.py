@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparquill.operators import documents, enrich, evaluation, graph, routing, search
 from sparquill.plans.catalog import ASKED, CORPUS, corpus, diverse_sql, hits_sql, query, questions, route_sql, table
 from sparquill.plans.evaluation_queries import HITS_SQL, STRICT_SQL, _hits, _strict
-from sparquill.plans.graph_queries import _customers
+from sparquill.plans.catalog import SQL
+from sparquill.plans.graph_queries import _customers, _talks, statute_files
 from sparquill.plans.rerank_queries import TAGS, TOP10_SQL, top10
 from sparquill.plans.rules import GATES_DOCUMENT, GATES_GRAPH, LANGUAGE_PROFILE, LANGUAGES
-from sparquill.sources import files
+from sparquill.sources import files, sinks, statutes
 from sparquill.staging import fresh_path
 
 
@@ -203,3 +204,101 @@ def question_assembly(spark: SparkSession, d: str) -> DataFrame:
     base = table(spark, d, "benchmark").select(F.col("item_id").alias("question_id"), "text").withColumn("must", q % 3 == 0).withColumn("category", F.when(q % 4 == 0, "hard").otherwise("easy"))
     made = documents.paraphrases(base, (("the", ("a",)), ("on", ("upon",)), ("sch", ("s",))))
     return documents.question_set(base, made, [], ("hard",)).select("question_id", "text", "test_type")
+
+
+# Sources over files that are written first, one statute, document or rule file each.
+
+
+@query(SQL["xml_ingest"])
+def xml_by_source(spark: SparkSession, d: str) -> DataFrame:
+    """xml_ingest of statute files, by Spark's own XML source."""
+    path = fresh_path(spark, "statutes")
+    sinks.write_files(statute_files(spark, d), path, "path", "xml")
+    found = statutes.unique_ids(statutes.moments_of_files(spark, path, "Laki", "1/2020", "laki_1_2020", {"kolmas": ("third",)}))
+    return found.select("node_id", "section_id", "section_num", "moment", "text", F.array_join("tags", ",").alias("tags"))
+
+
+@query(SQL["doc_flatten"])
+def doc_files(spark: SparkSession, d: str) -> DataFrame:
+    """doc_flatten of whole JSON files, read once as VARIANT."""
+    path = fresh_path(spark, "documents")
+    docs = _talks(spark, d)
+    sinks.write_files(docs.select(F.concat("city", F.lit(".json")).alias("name"), F.to_json(F.struct(*docs.columns)).alias("content")), path)
+    return documents.document_graph(files.documents(spark, path))[0].select("node_id", "node_type", "title", "page_num", "parent_id", F.md5("text").alias("text_md5"))
+
+
+@query("""SELECT p_partkey AS part, '# Act ' || p_partkey || chr(10) || chr(10) || '## ' || p_size || ' luku ' || p_type || chr(10) || chr(10) || '### 1 § ' || p_name || chr(10) || chr(10)
+|| CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_brand || ' text' || chr(10) || chr(10) END || '- **a)** ' || p_name || chr(10) || CASE WHEN p_partkey % 2 = 0 THEN '  - inner' || chr(10) || chr(10) ELSE '' END || '- last' || chr(10) AS markdown FROM part""")
+def act_markdown(spark: SparkSession, d: str) -> DataFrame:
+    """Acts written as XML files, rendered, written as a Markdown file each, and read back."""
+    k, say = F.col("p_partkey"), F.lit
+    inner = F.when(k % 2 == 0, "<list><item>inner</item></list>").otherwise("")
+    said = F.when(k % 3 == 0, "<p> </p>").otherwise(F.concat(say("<p>"), "p_brand", say(" <i>text</i></p>")))
+    xml = F.concat(
+        say("<act>\n<docTitle><p>Act "), k.cast("string"), say("</p></docTitle><body><part><chapter><num>"), F.col("p_size").cast("string"), say(" luku</num><heading>"), "p_type", say("</heading><section><num>1 §</num><heading>"), "p_name",
+        say("</heading>"), said, say("<list><item><label>a)</label><p>"), "p_name", say("</p>"), inner, say("</item><item>last</item></list></section></chapter></part></body></act>"),
+    )
+    source, target = fresh_path(spark, "acts"), fresh_path(spark, "markdown")
+    sinks.write_files(table(spark, d, "part").select(F.concat(k.cast("string"), say(".xml")).alias("name"), xml.alias("content")), source)
+    made = statutes.act_markdown(statutes.files(spark, source))
+    sinks.write_files(made.select(F.concat(F.regexp_extract("path", r"(\d+)\.xml$", 1), say(".md")).alias("name"), F.col("text").alias("content")), target)
+    back = spark.read.text(target, wholetext=True)
+    return back.select(F.regexp_extract(F.input_file_name(), r"(\d+)\.md$", 1).cast("bigint").alias("part"), F.col("value").alias("markdown"))
+
+
+@query("""WITH n AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS line_no FROM conversations)
+SELECT conv_id::BIGINT AS file_no, line_no::BIGINT AS line_no, CASE WHEN line_no % 7 = 3 THEN '{broken ' || turn ELSE '' END AS line FROM n WHERE line_no % 7 = 3""")
+def bad_json_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Files of JSON lines, of which every seventh is broken: the broken ones with file and line number."""
+    by = Window.partitionBy("conv_id").orderBy("turn", "role")
+    rows = table(spark, d, "conversations").withColumn("line_no", F.row_number().over(by))
+    line = F.when(F.col("line_no") % 7 == 3, F.concat(F.lit("{broken "), F.col("turn").cast("string"))).otherwise(F.to_json(F.struct("turn", "role", "text")))
+    whole = rows.groupBy("conv_id").agg(F.array_join(F.sort_array(F.collect_list(F.struct("line_no", line.alias("l")))).getField("l"), "\n").alias("content"))
+    path = fresh_path(spark, "lines")
+    sinks.write_files(whole.select(F.concat("conv_id", F.lit(".jsonl")).alias("name"), "content"), path)
+    found = files.bad_lines(spark, path, "turn int, role string, text string")
+    return found.select(F.regexp_extract("file", r"(\d+)\.jsonl$", 1).cast("bigint").alias("file_no"), F.col("line_no").cast("bigint").alias("line_no"), "line")
+
+
+@query("""WITH r AS (SELECT lang, 'w' || (doc_id % 5) AS word FROM documents), k AS (SELECT lang, list_sort(list_distinct(list(word))) AS words FROM r GROUP BY lang)
+SELECT lang AS src, array_to_string(words, ',') AS keywords FROM k""")
+def rule_file(spark: SparkSession, d: str) -> DataFrame:
+    """Keyword lists by source written as a rule file and loaded."""
+    path = fresh_path(spark, "rules")
+    words = table(spark, d, "documents").groupBy("lang").agg(F.sort_array(F.collect_set(F.concat(F.lit("w"), (F.col("doc_id") % 5).cast("string")))).alias("words"))
+    lists = words.agg(F.map_from_entries(F.collect_list(F.struct("lang", "words"))).alias("router_keywords"))
+    sinks.write_files(lists.select(F.lit("router.json").alias("name"), F.to_json(F.struct("router_keywords")).alias("content")), path)
+    loaded = files.rules(spark, f"{path}/router.json")
+    return spark.createDataFrame([(s, ",".join(w)) for s, w in loaded.items()], "src string, keywords string")
+
+
+@query("""SELECT item_id AS question_id, text, 'set_' || (item_id % 3) || CASE WHEN item_id % 2 = 0 THEN '.autofill.json' ELSE '.json' END AS source_file, CASE WHEN item_id % 2 = 0 THEN 'auto' ELSE 'orig' END AS kind FROM benchmark
+WHERE item_id % 2 = 1 OR item_id % 5 <> 0""")
+def question_files(spark: SparkSession, d: str) -> DataFrame:
+    """Question sets as JSON arrays, original and autofilled; the failed ones of the latter are left out."""
+    k = F.col("item_id")
+    rows = table(spark, d, "benchmark").select(k.alias("id"), "text", F.when(k % 2 == 0, F.when(k % 5 == 0, "FAIL").otherwise("OK")).alias("autofill_status"))
+    name = F.concat(F.lit("set_"), (F.col("id") % 3).cast("string"), F.when(F.col("id") % 2 == 0, ".autofill.json").otherwise(".json"))
+    sets = rows.groupBy(name.alias("name")).agg(F.to_json(F.collect_list(F.struct("id", "text", "autofill_status"))).alias("content"))
+    path, schema = fresh_path(spark, "questions"), "id long, text string, autofill_status string"
+    sinks.write_files(sets, path)
+    names = [f"{path}/set_{i}{end}" for i in range(3) for end in (".json", ".autofill.json")]
+    of = lambda originals, filled: files.questions(spark, originals, filled, schema).select(F.col("id").alias("question_id"), "text", "source_file")
+    plain = of(names[::2], []).withColumn("kind", F.lit("orig"))
+    return plain.unionByName(of(names[::2], names[1::2]).withColumn("kind", F.lit("auto")))
+
+
+@query("""SELECT p_partkey AS case_no, CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE '' END AS category, p_partkey % 5 = 0 AS abstain_expected, p_partkey % 7 = 0 AS confusion_fail, CASE WHEN p_partkey % 2 = 0 THEN p_size::DOUBLE ELSE 0 END AS latency_ms FROM part""")
+def result_files(spark: SparkSession, d: str) -> DataFrame:
+    """Case results of older and newer field names, written as JSON arrays and brought to one form."""
+    k = F.col("p_partkey")
+    cases = table(spark, d, "part")
+    new = cases.filter(k % 2 == 0).select(k.cast("string").alias("id"), F.col("p_name").alias("category"), F.struct((k % 5 == 0).alias("must_abstain")).alias("expected"), (k % 7 == 0).alias("confusion_fail"), F.col("p_size").cast("double").alias("latency_ms"))
+    old = cases.filter(k % 2 == 1).select(k.cast("string").alias("case_id"), (k % 5 == 0).alias("abstain_expected"), (k % 7 == 0).alias("confusion_fail"))
+    parts = []
+    for rows in (new, old):
+        path = fresh_path(spark, "results")
+        sinks.write_json_array(rows, path)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        parts.append(files.results(sinks.read_json_array(spark, path, schema)))
+    return parts[0].unionByName(parts[1]).select(F.col("case_id").cast("bigint").alias("case_no"), "category", "abstain_expected", "confusion_fail", "latency_ms")

@@ -215,7 +215,7 @@ def test_sparks_own_xml_source_gives_the_same_rows(spark, tmp_path):
     ]
     (tmp_path / "xml").mkdir()
     for i, body in enumerate(bodies):
-        (tmp_path / f"xml/{i}.xml").write_text(XML.format(meta="", body=body))
+        (tmp_path / f"xml/{i}.xml").write_text(XML.format(meta="", body=body).replace("><", ">\n<"))
     (tmp_path / "xml/named.xml").write_text("<a:akn xmlns:a='u'><a:meta/><a:body>" + (SECTION + plain).replace("<", "<a:").replace("<a:/", "</a:").format(n="8 §", t="t") + "</a:body></a:akn>")
     folder = str(tmp_path / "xml")
     got = statutes.moments_of_files(spark, folder, "L", "1/1", "k", {"one": ("tag",)})
