@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, NumericType, StringType
 
 from sparquill.functions.text import strip
 
@@ -88,6 +89,24 @@ def display_name(source: Column, names: dict[str, str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), source), source)
 
 
+def flat_metadata(rows: DataFrame, *columns: str) -> DataFrame:
+    """rows whose named columns are scalars: lists as JSON text, texts, numbers and booleans as they are, anything else as text."""
+
+    def flat(name: str) -> Column:
+        kind = rows.schema[name].dataType
+        if isinstance(kind, ArrayType):
+            return F.to_json(name)
+        return F.col(name) if isinstance(kind, (StringType, NumericType, BooleanType)) else F.col(name).cast("string")
+
+    return rows.withColumns({c: flat(c) for c in columns})
+
+
+def decoded_list(value: Column) -> Column:
+    """The list that a VARIANT holds as an array or as JSON text of one; empty where it is neither, broken text included."""
+    text = F.try_variant_get(value, "$", "string")
+    return F.coalesce(F.try_variant_get(F.try_parse_json(text), "$", "array<string>"), F.array().cast("array<string>"))
+
+
 def vector_rows(rows: DataFrame) -> DataFrame:
     """What is indexed of moments: id, document ('title. text') and the metadata, with empty values in place of nulls."""
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparquill.operators import documents, enrich, evaluation, graph, routing, search
+from sparquill.operators.timing import Phases
 from sparquill.plans.catalog import ASKED, CORPUS, corpus, diverse_sql, hits_sql, query, questions, route_sql, table
-from sparquill.plans.evaluation_queries import HITS_SQL, STRICT_SQL, _hits, _strict
+from sparquill.plans.evaluation_queries import HITS_SQL, STRICT_SQL, _hits, _strict, gates_sql, measured
 from sparquill.plans.catalog import SQL
 from sparquill.plans.graph_queries import _customers, _talks, statute_files
 from sparquill.plans.rerank_queries import TAGS, TOP10_SQL, top10
@@ -159,10 +160,11 @@ def evidence_cases(spark: SparkSession, d: str) -> DataFrame:
     return _evidence(spark, d)
 
 
-@query(f"WITH {EVIDENCE_SQL}, r AS (SELECT " + ", ".join(f"round(avg({x}_pass::INT::DOUBLE) + 1e-9, 4) AS {x}_rate" for x in ("law", "doc", "evidence")) + ", 12.5::DOUBLE AS avg_latency_ms FROM ev) " + " UNION ALL ".join(f"SELECT '{g.name}' AS gate, {g.metric} AS value, {g.threshold}::DOUBLE AS threshold, {g.metric} {g.op} {g.threshold}::DOUBLE AS passed, true AS required FROM r" for g in GATES_DOCUMENT))
+@query(f"WITH {EVIDENCE_SQL}, r AS (SELECT " + ", ".join(f"round(avg({x}_pass::INT::DOUBLE) + 1e-9, 4) AS {x}_rate" for x in ("law", "doc", "evidence")) + " FROM ev) " + gates_sql(GATES_DOCUMENT, "r"))
 def document_gates(spark: SparkSession, d: str) -> DataFrame:
-    rows = _evidence(spark, d).withColumn("latency_ms", F.lit(12.5))
-    return evaluation.gates(evaluation.rates(rows, law_rate="law_pass", doc_rate="doc_pass", evidence_rate="evidence_pass"), GATES_DOCUMENT)
+    phases = Phases(spark)
+    rows = phases.latency(phases.run("evidence", _evidence(spark, d)))
+    return measured(evaluation.gates(evaluation.rates(rows, law_rate="law_pass", doc_rate="doc_pass", evidence_rate="evidence_pass"), GATES_DOCUMENT))
 
 
 def _graph_cases(spark: SparkSession, d: str) -> DataFrame:
@@ -188,10 +190,11 @@ def graph_question_cases(spark: SparkSession, d: str) -> DataFrame:
     return _graph_cases(spark, d)
 
 
-@query(f"WITH {GRAPH_SQL}, r AS (SELECT " + ", ".join(f"round(avg({x}_pass::INT::DOUBLE) + 1e-9, 4) AS {x}_rate" for x in ("primary", "path", "support")) + ", 40.0::DOUBLE AS avg_latency_ms FROM g) " + " UNION ALL ".join(f"SELECT '{g.name}' AS gate, {g.metric} AS value, {g.threshold}::DOUBLE AS threshold, {g.metric} {g.op} {g.threshold}::DOUBLE AS passed, true AS required FROM r" for g in GATES_GRAPH))
+@query(f"WITH {GRAPH_SQL}, r AS (SELECT " + ", ".join(f"round(avg({x}_pass::INT::DOUBLE) + 1e-9, 4) AS {x}_rate" for x in ("primary", "path", "support")) + " FROM g) " + gates_sql(GATES_GRAPH, "r"))
 def graph_gates(spark: SparkSession, d: str) -> DataFrame:
-    rows = _graph_cases(spark, d).withColumn("latency_ms", F.lit(40.0))
-    return evaluation.gates(evaluation.rates(rows, primary_rate="primary_pass", path_rate="path_pass", support_rate="support_pass"), GATES_GRAPH)
+    phases = Phases(spark)
+    rows = phases.latency(phases.run("cases", _graph_cases(spark, d)))
+    return measured(evaluation.gates(evaluation.rates(rows, primary_rate="primary_pass", path_rate="path_pass", support_rate="support_pass"), GATES_GRAPH))
 
 
 @query("""WITH b AS (SELECT item_id AS question_id, text, item_id % 3 = 0 AS must, CASE WHEN item_id % 4 = 0 THEN 'hard' ELSE 'easy' END AS category FROM benchmark),

@@ -148,6 +148,15 @@ def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> DataFrame:
     return n.unionByName(e).select("kind", "type", "n")
 
 
+def write_clustered(rows: DataFrame, path: str, by: str, bloom: tuple[str, ...] = (), row_group_bytes: int = 16 << 20) -> None:
+    """A table whose files each hold a range of `by`, sorted, so that a filter on it skips files and row groups by their least
+    and greatest values; columns in bloom get Bloom filters, for look-ups of single values in any order."""
+    writer = rows.repartitionByRange(by).sortWithinPartitions(by).write.mode("overwrite").option("parquet.block.size", row_group_bytes)
+    for name in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    writer.parquet(path)
+
+
 def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Nodes and edges as write_graph() wrote them."""
     return spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges")
