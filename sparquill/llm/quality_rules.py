@@ -29,8 +29,8 @@ from sparquill.llm.common import bounded_sample, slices, stage
 SYMBOLS, SPACE = "#*$%&|<>", "\t\n\x0b\x0c\r "
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 50, 50, 3
 BOUND, CUTS = 20_000, 24
-#: Least purity of a rule among the rows held for pruning, smoothed, and least rows that it covers.
-MIN_PURITY, MIN_COVER = 0.95, 8
+#: Least purity of a rule among the rows held for pruning, smoothed, least rows that it covers, and least bad ones of those held.
+MIN_PURITY, MIN_COVER, MIN_HELD = 0.95, 8, 2
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_digits", "n_distinct", "n_lines", "n_chars", "n_same")
 _UPPER, _DIGIT = bytes(range(65, 91)), bytes(range(48, 58))
 
@@ -165,7 +165,7 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, turn: np.ndarray) -> list[R
         rule = prune(grow({k: v[g] for k, v in x.items()}, bad[g]), {k: v[h] for k, v in x.items()}, bad[h])
         hit = covers(rule, x, len(bad)) & left
         p, n = int(bad[hit & h].sum()), int((~bad[hit & h]).sum())
-        if not rule or hit.sum() < MIN_COVER or not p or (p + 1) / (p + n + 1) < MIN_PURITY or int((~bad[hit & g]).sum()) > 0.05 * hit.sum():
+        if not rule or hit.sum() < MIN_COVER or p < MIN_HELD or (p + 1) / (p + n + 1) < MIN_PURITY or int((~bad[hit & g]).sum()) > 0.05 * hit.sum():
             break
         rules.append(rule)
         left &= ~hit

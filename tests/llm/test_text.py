@@ -112,7 +112,7 @@ def brute_list(x, bad, turn):
         covered = [i for i in left if hit(rule, rows[i])]
         on = [bad[i] for i in covered if turn[i] % 3 == 0]
         wrong = sum(not bad[i] for i in covered if turn[i] % 3)
-        if not rule or len(covered) < quality_rules.MIN_COVER or not sum(on) or (sum(on) + 1) / (len(on) + 1) < quality_rules.MIN_PURITY or wrong > 0.05 * len(covered):
+        if not rule or len(covered) < quality_rules.MIN_COVER or sum(on) < quality_rules.MIN_HELD or (sum(on) + 1) / (len(on) + 1) < quality_rules.MIN_PURITY or wrong > 0.05 * len(covered):
             return out
         out.append(rule)
         left = [i for i in left if i not in set(covered)]
