@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR: list[str] = []
+_PATHS: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,7 +27,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/sparquill/{uuid.uuid4().hex}/{name}"
+    _PATHS.append(f"{shared_dir(spark)}/sparquill/{uuid.uuid4().hex}")
+    return f"{_PATHS[-1]}/{name}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all staged tables and files of this process; results that read them must have been taken before."""
+    for folder in _PATHS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _PATHS.clear()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import time
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from sparquill import staging
 from sparquill.operators import drivers, enrich, evaluation
 from sparquill.operators.timing import Phases
 from sparquill.plans.rules import GATES_CROSS, LANGUAGE_PROFILE, LANGUAGES
@@ -27,6 +29,17 @@ def test_phases_count_rows_and_time(spark):
     assert phases.latency(spark.range(0)).count() == 0 and phases.run("none", spark.range(0)).count() == 0
 
 
+def test_staged_tables_can_be_cleared(spark):
+    old = list(staging._PATHS)
+    staging._PATHS.clear()
+    held = staging.stage(spark.range(3), "held")
+    folder = Path(held.inputFiles()[0].removeprefix("file://")).parent.parent
+    assert folder.is_dir() and held.count() == 3
+    staging.clear(spark)
+    assert not folder.exists() and not staging._PATHS
+    staging._PATHS.extend(old)
+
+
 def test_lists_of_any_form_are_decoded(spark):
     rows = spark.createDataFrame([(1, '["a", "b"]'), (2, json.dumps('["a", "b"]')), (3, json.dumps("[broken")), (4, "5"), (5, "null"), (6, '{"a": 1}'), (7, "[]"), (8, '["a", 2, null]'), (9, json.dumps("plain"))], "k int, j string")
     got = {r.k: r.v for r in rows.select("k", enrich.decoded_list(F.parse_json("j")).alias("v")).collect()}
