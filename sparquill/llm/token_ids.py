@@ -37,9 +37,11 @@ from pyspark.sql import functions as F
 from sparquill.llm.common import fresh_path, read_file, slices, stage, write_file
 
 SHARD_TOKENS, END_ID, MAX_READERS, READER_SHARDS = 1 << 22, 2, 20_000, 4
-MAGIC = b"WVMX2\n"
+MAGIC = b"WVMX3\n"
 #: Positions are looked up by stretches of so many tokens.
 STRETCH = 1 << 20
+#: Places that are looked up together in a shard.
+MANY = 1 << 13
 #: A worker remembers the ids of this many pieces, and of as many that it met before them.
 CACHE = 500_000
 _ENCODERS: dict[str, Encoder] = {}
@@ -150,12 +152,20 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _directory(plane: np.ndarray) -> np.ndarray:
+    """The ones before each 64 bytes of a plane, and all of them."""
+    ones = np.bitwise_count(plane).astype(np.int64)
+    return np.concatenate(([0], np.cumsum(np.add.reduceat(ones, np.arange(0, len(ones), 64)) if len(ones) else ones))).astype(np.uint32)
+
+
 class WaveletMatrix:
-    """Bit planes of a sequence of ids, highest bit first; zeros[k] is the number of 0 bits of plane k."""
+    """Bit planes of a sequence of ids, highest bit first; zeros[k] is the number of 0 bits of plane k, ranks[k] its directory:
+    the ones before each stretch of 64 bytes, and before the end."""
 
-    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int]) -> None:
+    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int], ranks: list[np.ndarray] | None = None) -> None:
         self.n, self.planes, self.zeros = n, planes, zeros
-        self._ranks: list[np.ndarray] | None = None
+        self.ranks = ranks if ranks is not None else [_directory(p) for p in planes]
+        self._wide: dict[int, np.ndarray] = {}
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
@@ -181,17 +191,60 @@ class WaveletMatrix:
         return row
 
     def _rank1(self, k: int, i: int) -> int:
-        """Ones among the first i bits of plane k: a directory entry every 64 bytes and a short count after it."""
-        if self._ranks is None:
-            self._ranks = []
-            for p in self.planes:
-                ones = np.bitwise_count(p).astype(np.int64)
-                self._ranks.append(np.concatenate(([0], np.cumsum(np.add.reduceat(ones, np.arange(0, len(ones), 64)) if len(ones) else ones))))
+        """Ones among the first i bits of plane k: a directory entry and a short count after it."""
         byte, plane = i >> 3, self.planes[k]
         block = byte >> 6
-        count = int(self._ranks[k][block]) + int(np.bitwise_count(plane[block << 6 : byte]).sum())
+        count = int(self.ranks[k][block]) + int(np.bitwise_count(plane[block << 6 : byte]).sum())
         return count + (int(plane[byte]) >> (8 - (i & 7))).bit_count() if i & 7 else count
 
+    def _stretches(self, k: int) -> np.ndarray:
+        """Plane k as rows of 64 bytes, with zeros after its end."""
+        if k not in self._wide:
+            wide = np.zeros((len(self.planes[k]) // 64 + 1) * 64, np.uint8)
+            wide[: len(self.planes[k])] = self.planes[k]
+            self._wide[k] = wide.reshape(-1, 64)
+        return self._wide[k]
+
+    def _ranks1(self, k: int, at: np.ndarray) -> np.ndarray:
+        """_rank1 of many places."""
+        byte, rows = at >> 3, self._stretches(k)
+        whole = np.where(np.arange(64) < (byte & 63)[:, None], np.bitwise_count(rows[byte >> 6]), 0).sum(1, dtype=np.int64)
+        part = np.bitwise_count(rows[byte >> 6, byte & 63].astype(np.uint16) >> (8 - (at & 7)).astype(np.uint16))
+        return self.ranks[k][byte >> 6].astype(np.int64) + whole + part
+
+    def _selects(self, k: int, want: np.ndarray, one: int) -> np.ndarray:
+        """Places of the bits `one` of plane k with the numbers `want` (from 0): the stretch by the directory, then within it."""
+        before = self.ranks[k].astype(np.int64)
+        before = before if one else 512 * np.arange(len(before)) - before
+        block = np.searchsorted(before, want, side="right") - 1
+        bits = np.unpackbits(self._stretches(k)[block], axis=1)
+        met = np.cumsum(bits if one else 1 - bits, axis=1, dtype=np.int16)
+        return 512 * block + (met == (want - before[block] + 1)[:, None]).argmax(1)
+
+    def accesses(self, places: np.ndarray) -> np.ndarray:
+        """The ids at many places."""
+        out = np.empty(len(places), np.int64)
+        for lo in range(0, len(places), MANY):
+            at = places[lo : lo + MANY].astype(np.int64)
+            value = np.zeros(len(at), np.int64)
+            for k in range(len(self.planes)):
+                bit = (self.planes[k][at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+                ones = self._ranks1(k, at)
+                value, at = value << 1 | bit, np.where(bit, self.zeros[k] + ones, at - ones)
+            out[lo : lo + MANY] = value
+        return out
+
+    def places(self, token: int) -> Iterator[np.ndarray]:
+        """The places of a token in order, some at a time: its range below the last plane, carried up plane by plane."""
+        lo, hi = self._range(token, self.n)
+        bits = len(self.planes)
+        for first in range(lo, hi, MANY):
+            at = np.arange(first, min(hi, first + MANY))
+            for k in range(bits - 1, -1, -1):
+                one = token >> (bits - 1 - k) & 1
+                at = self._selects(k, at - self.zeros[k] * one, one)
+            yield at
+
     def access(self, i: int) -> int:
         if not 0 <= i < self.n:
             raise IndexError(i)
@@ -238,12 +291,13 @@ class WaveletMatrix:
 
 
 def pack(ids: np.ndarray, doc_ids: list, sizes: list[int], kind: pa.DataType | None = None) -> bytes:
-    """A shard file: magic, length and JSON of the header, then compressed document ids (as an Arrow stream), sizes, planes."""
+    """A shard file: magic, length and JSON of the header, then compressed document ids (as an Arrow stream), sizes, planes and
+    the planes' rank directories."""
     matrix, press, names = WaveletMatrix.build(ids), zstandard.ZstdCompressor(level=1).compress, pa.BufferOutputStream()
     batch = pa.record_batch([pa.array(doc_ids, kind)], ["doc_id"])
     with pa.ipc.new_stream(names, batch.schema) as out:
         out.write_batch(batch)
-    parts = [press(names.getvalue().to_pybytes()), press(np.array(sizes, "<u8").tobytes()), *(press(p.tobytes()) for p in matrix.planes)]
+    parts = [press(names.getvalue().to_pybytes()), press(np.array(sizes, "<u8").tobytes()), *(press(p.tobytes()) for p in matrix.planes), *(press(r.astype("<u4").tobytes()) for r in matrix.ranks)]
     head = json.dumps({"tokens": len(ids), "zeros": matrix.zeros, "parts": [len(p) for p in parts]}).encode()
     return MAGIC + struct.pack("<I", len(head)) + head + b"".join(parts)
 
@@ -258,9 +312,11 @@ def unpack(data: bytes) -> tuple[WaveletMatrix, pa.Array, np.ndarray]:
     for size in head["parts"]:
         parts.append(open_(data[at : at + size]))
         at += size
-    planes = [np.frombuffer(p, np.uint8) for p in parts[2:]]
+    n_planes = len(head["zeros"])
+    planes = [np.frombuffer(p, np.uint8) for p in parts[2 : 2 + n_planes]]
+    ranks = [np.frombuffer(p, "<u4") for p in parts[2 + n_planes :]]
     names = pa.ipc.open_stream(parts[0]).read_all().column(0).combine_chunks()
-    return WaveletMatrix(head["tokens"], planes, head["zeros"]), names, np.frombuffer(parts[1], "<u8").astype(np.int64)
+    return WaveletMatrix(head["tokens"], planes, head["zeros"], ranks), names, np.frombuffer(parts[1], "<u8").astype(np.int64)
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS, folder: str | None = None) -> DataFrame:
@@ -351,9 +407,7 @@ def occurrences(manifest: DataFrame, token: int) -> DataFrame:
         for batch in batches:
             for path, base in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
                 matrix, names, sizes = unpack(read_file(path))
-                n = matrix.count(token)
-                for lo in range(0, n, 1 << 16):
-                    at = np.array([matrix.select(token, j) for j in range(lo, min(n, lo + (1 << 16)))], np.int64)
+                for at in matrix.places(token):
                     yield pa.RecordBatch.from_arrays([names.take(pa.array(np.searchsorted(np.cumsum(sizes), at, side="right"))), pa.array(base + at)], ["doc_id", "position"])
 
     return _files(manifest).repartition(_readers(manifest), "path").mapInArrow(run, f"doc_id {manifest.schema['first_id'].dataType.simpleString()}, position long")
@@ -369,11 +423,14 @@ def tokens_at(manifest: DataFrame, positions: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, matrix = None, None
         for batch in batches:
-            found = []
-            for of, base, position in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if of != path:
-                    path, matrix = of, unpack(read_file(of))[0]
-                found.append(matrix.access(position - base))
-            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(found, pa.int64())], ["position", "token"])
+            at = 0
+            while at < batch.num_rows:  # rows of a shard lie together
+                same = pc.equal(batch.column(0), batch.column(0)[at])
+                some = batch.filter(same)
+                if batch.column(0)[at].as_py() != path:
+                    path = batch.column(0)[at].as_py()
+                    matrix = unpack(read_file(path))[0]
+                yield pa.RecordBatch.from_arrays([some.column(2), pa.array(matrix.accesses(pc.subtract(some.column(2), some.column(1)).to_numpy()))], ["position", "token"])
+                at += some.num_rows
 
     return held.repartition("path", F.expr(f"position div {STRETCH // 16}")).sortWithinPartitions("path").mapInArrow(run, "position long, token long")

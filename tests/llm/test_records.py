@@ -98,6 +98,22 @@ def test_look_ups_over_the_manifest(spark, tokenizer_path):
     assert sorted(map(tuple, token_ids.tokens_at(manifest, asked).collect())) == sorted((i, plain[i]) for i in [*range(0, len(plain), 7), 7])
 
 
+@pytest.mark.parametrize(("n", "most"), [(0, 1), (1, 1), (7, 3), (511, 300), (512, 2), (513, 70_000), (40_000, 50), (5000, 1)])
+def test_many_look_ups_equal_single_ones(monkeypatch, n, most):
+    monkeypatch.setattr(token_ids, "MANY", 1000)
+    rng = np.random.default_rng(n)
+    ids = np.minimum(rng.integers(0, most, n), rng.integers(0, most, n)).astype(np.uint32)  # uneven
+    matrix, names, sizes = token_ids.unpack(token_ids.pack(ids, [1], [n]))
+    assert (matrix.sequence() == ids).all() and (matrix.accesses(np.arange(n)) == ids).all() and [matrix.access(i) for i in range(0, n, 97)] == ids[::97].tolist()
+    for t in {*ids[:20].tolist(), 0, most - 1, most, 1 << 20}:
+        want = np.flatnonzero(ids == t)
+        got = np.concatenate([*matrix.places(t), np.zeros(0, np.int64)])
+        assert (got == want).all() and matrix.count(t) == len(want) and [matrix.select(t, j) for j in range(0, len(want), 501)] == want[::501].tolist()
+    for k, ranks in enumerate(matrix.ranks):  # the stored directories
+        bits = np.unpackbits(matrix.planes[k], count=n)
+        assert ranks.tolist() == [int(bits[: 512 * i].sum()) for i in range(len(ranks))] and matrix.zeros[k] == n - bits.sum()
+
+
 LONG = "x" * 150
 PAGES = [(1, "http://a/", LONG), (2, None, LONG), (3, "http://b/\r\n", "short"), (4, "http://c/", "short"), (None, "http://d/", LONG), (5, " http://é/%0D\n", None), (6, "http://f/", "é" * 60), (7, "http://g/", "é" * 60), (7, "http://g/", "é" * 60), (8, "", ""), (10, "http://e/%0D%20x", "q"), (11, "\t", "q"), (None, "u", "z" * 100), (None, "u", "z" * 100), (9, "u", "long " * 100_000)]
 
