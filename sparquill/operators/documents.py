@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType, VariantType
 
 from sparquill.functions.text import TOKEN, first_held, number, strip
-from sparquill.operators import text_index
+from sparquill.operators import matching, text_index
 from sparquill.staging import stage
 
 TABLES = "array<struct<title:string,rows:array<struct<cells:array<string>>>>>"
@@ -242,6 +242,21 @@ def mapping_edges(pairs: DataFrame, rules: tuple[tuple[str, tuple[str, ...], str
     return ruled.union(generic)
 
 
+def mapping_edges_by_table(pairs: DataFrame, rules: DataFrame, fallback: int = 3, law: str = "law_node_id", title: str = "title", text: str = "text") -> DataFrame:
+    """As mapping_edges(), by rules of a table (rule_no, pattern, edge_type, place, section): a row a section, places in order.
+    Patterns and sections are each matched in one pass, however many they are."""
+    body = F.concat_ws("\n", F.lower(title), F.lower(text))
+    named = rules.select("pattern", F.col("rule_no").cast("string").alias("rule_no"))
+    fired = pairs.withColumn("fits", matching.labels(F.col(law), named, "pattern", "rule_no")).filter(F.size("fits") > 0).withColumn("has", matching.held(body, rules, "section"))
+    fired = fired.select(law, "doc_node_id", "rank", "score", F.substring(text, 1, 200).alias("evidence_text"), "has", F.explode("fits").alias("fit"))
+    of = rules.select(F.col("rule_no").cast("string").alias("fit"), F.col("rule_no").cast("int").alias("rule_no"), "pattern", "edge_type", "place", "section")
+    met = fired.join(of, "fit").filter(F.array_contains("has", F.col("section"))).groupBy(law, "doc_node_id", "rank", "score", "evidence_text", "rule_no", "pattern", "edge_type").agg(F.min_by("section", "place").alias("section"))
+    ruled = met.select(law, "doc_node_id", "edge_type", "score", "evidence_text", F.concat(F.lit("Rule match: "), "pattern", F.lit(" -> "), "section").alias("context"), "rule_no")
+    rest = pairs.filter(F.col("rank") <= fallback).join(ruled.select(law).distinct(), law, "left_anti")
+    generic = rest.select(law, "doc_node_id", F.lit("EVIDENCED_BY").alias("edge_type"), "score", F.substring(text, 1, 200).alias("evidence_text"), F.lit("Semantic similarity match").alias("context"), F.lit(-1).alias("rule_no"))
+    return ruled.unionByName(generic)
+
+
 def numeric(text: Column) -> Column:
     return number(text)
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from sparquill.blocks import chunks, read_block, write_blocks
 from sparquill.functions.text import hits as count_terms
 from sparquill.functions.text import holds_any
+from sparquill.operators import matching
 from sparquill.operators.routing import budget, route
 from sparquill.plans.rules import Profile, Router
 
@@ -93,13 +94,19 @@ def within_budget(hits: DataFrame, questions: DataFrame, router: Router, profile
     return hits.join(weights.withColumnRenamed("src", source), [key, source]).filter(F.col("src_rank") <= F.col("k"))
 
 
-def merge(hits: DataFrame, questions: DataFrame, profile: Profile, core: str, key: str = "question_id", text: str = "text", source: str = "src") -> DataFrame:
-    """Adjusts, filters, orders and cuts hits (key, source, id, score, src_rank, route_pos, router_place)."""
+def merge(hits: DataFrame, questions: DataFrame, profile: Profile, core: str, key: str = "question_id", text: str = "text", source: str = "src", guards: DataFrame | None = None) -> DataFrame:
+    """Adjusts, filters, orders and cuts hits (key, source, id, score, src_rank, route_pos, router_place). Guards of a table
+    (term, src, adjust) take the place of the profile's and are matched in one pass, however many they are."""
     rows = hits.join(questions.select(F.col(key), F.lower(text).alias("asked")), key).withColumn("score_original", F.col("score"))
     if not profile.threshold_after:
         rows = rows.filter(F.col("score") >= profile.min_score)
     change = F.when(F.col("router_place") == 1, profile.router_bonus).otherwise(0.0)
-    for term, src, adjust in profile.guards:
+    if guards is not None:
+        held = questions.select(F.col(key), F.explode(matching.held(F.lower(F.col(text)), guards, "term")).alias("term"))
+        due = held.join(guards, "term").groupBy(key, F.col("src").alias(source)).agg(F.round(F.sum("adjust"), 9).alias("guarded"))
+        rows = rows.join(due, [key, source], "left")
+        change += F.coalesce("guarded", F.lit(0.0))
+    for term, src, adjust in profile.guards if guards is None else ():
         change += F.when(F.contains("asked", F.lit(term)) & (F.col(source) == src), adjust).otherwise(0.0)
     if profile.mismatch_penalty:
         change -= F.when(holds_any(F.col("asked"), profile.mismatch_terms) & (F.col(source) != core), profile.mismatch_penalty).otherwise(0.0)

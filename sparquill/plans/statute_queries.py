@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparquill.operators import documents, enrich, evaluation, rerank, routing, search
 from sparquill.plans import rules, statute_rules
-from sparquill.plans.catalog import _any, _terms, diverse_sql, merge_sql, query, route_sql, table
+from sparquill.plans.catalog import SQL, _any, _terms, diverse_sql, merge_sql, query, route_sql, table
 from sparquill.plans.rules import GATES_CROSS, GATES_GOLDEN, GATES_V3, PROBLEM_CATEGORIES, PROFILES, STATUTE_BOOSTS, STATUTES
 
 #: Every term that a rule of the statutes looks for, each once.
@@ -161,8 +161,28 @@ r AS ({" UNION ALL ".join(f"SELECT law_node_id, doc_node_id, '{kind}' AS edge_ty
 k AS (SELECT * FROM r WHERE context IS NOT NULL)
 SELECT * FROM k UNION ALL SELECT law_node_id, doc_node_id, 'EVIDENCED_BY', score, 'Semantic similarity match' FROM p WHERE rank <= 3 AND law_node_id NOT IN (SELECT law_node_id FROM k)""")
 def statute_mapping(spark: SparkSession, d: str) -> DataFrame:
+    return documents.mapping_edges(_pairs(spark, d), statute_rules.MAPPING_RULES).select("law_node_id", "doc_node_id", "edge_type", "score", "context")
+
+
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
     r = F.col("rank")
     rows = asked(spark, d).select("question_id", "text", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("rank"))
     node = F.concat(F.lit("q"), F.col("question_id").cast("string"), F.lit(":"), _pick(NODES, F.col("question_id")))
-    pairs = rows.select(node.alias("law_node_id"), r.alias("doc_node_id"), "rank", F.round(1 - r / 10, 6).alias("score"), F.when(r % 2 == 0, F.upper("text")).otherwise("").alias("title"), F.when(r % 2 == 0, "muu").otherwise(F.col("text")).alias("text"))
-    return documents.mapping_edges(pairs, statute_rules.MAPPING_RULES).select("law_node_id", "doc_node_id", "edge_type", "score", "context")
+    return rows.select(node.alias("law_node_id"), r.alias("doc_node_id"), "rank", F.round(1 - r / 10, 6).alias("score"), F.when(r % 2 == 0, F.upper("text")).otherwise("").alias("title"), F.when(r % 2 == 0, "muu").otherwise(F.col("text")).alias("text"))
+
+
+@query(SQL["statute_mapping"])
+def statute_mapping_table(spark: SparkSession, d: str) -> DataFrame:
+    """statute_mapping with the rules as a table."""
+    rules_ = [(i, p, kind, j, sec) for i, (p, secs, kind) in enumerate(statute_rules.MAPPING_RULES) for j, sec in enumerate(secs)]
+    table_ = spark.createDataFrame(rules_, "rule_no int, pattern string, edge_type string, place int, section string")
+    return documents.mapping_edges_by_table(_pairs(spark, d), table_).select("law_node_id", "doc_node_id", "edge_type", "score", "context")
+
+
+@query(f"SELECT question_id, rank, src, id, score FROM ({_profile_sql()}) WHERE profile = 'autofill'")
+def statute_guards_table(spark: SparkSession, d: str) -> DataFrame:
+    """The profile of autofill with its guards as a table."""
+    questions, p = asked(spark, d), PROFILES["autofill"]
+    guards = spark.createDataFrame(list(p.guards), "term string, src string, adjust double")
+    near = search.within_budget(_found(spark, d), questions, STATUTES, p)
+    return search.merge(near, questions, p, STATUTES.core, guards=guards).select("question_id", "rank", "src", "id", "score")
