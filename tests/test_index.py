@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparquill.operators import documents, matching, rerank, routing, search, text_index, vector_index
-from sparquill.plans.rules import LANGUAGES, Boosts
+from sparquill.plans.rules import LANGUAGES, Boosts, Profile
 
 
 def clustered(spark, n=4000, groups=40, length=16, seed=1):
@@ -163,3 +163,17 @@ def test_tables_are_found_alike_with_and_without_an_index(spark, tmp_path):
     documents.index_tables(rows, str(tmp_path / "i"))
     got, want = (documents.search_tables(asked, rows, index=i).collect() for i in (str(tmp_path / "i"), None))
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr) and len(want) == 15
+
+
+def test_mapping_rules_and_guards_of_a_table_equal_those_of_code(spark):
+    coded = (("law:1", ("b", "a"), "X"), ("law", ("zz", "ä"), "Y"), ("2", ("c",), "Z"))
+    pairs = spark.createDataFrame([("law:1", f"d{i}", i, 1.0 - i / 10, t, s) for i, (t, s) in enumerate([("A", "b"), ("", "Ä x"), ("none", "of it"), ("zz", "a")], 1)] + [("law:2", "d9", 1, 0.5, "C", ""), ("other", "d5", 1, 0.4, "", ""), ("other", "d6", 5, 0.1, None, None)], "law_node_id string, doc_node_id string, rank int, score double, title string, text string")
+    rules = spark.createDataFrame([(i, p, kind, j, s) for i, (p, secs, kind) in enumerate(coded) for j, s in enumerate(secs)], "rule_no int, pattern string, edge_type string, place int, section string")
+    want = documents.mapping_edges(pairs, coded)
+    assert sorted(map(str, documents.mapping_edges_by_table(pairs, rules).select(*want.columns).collect())) == sorted(map(str, want.collect())) and want.count() == 6
+    profile = Profile(min_score=0.1, guards=(("kunta", "a", 0.03), ("kunta", "b", -0.03), ("unta", "a", 0.02)))
+    hits = spark.createDataFrame([(q, s, f"{s}{r}", 0.5 - r / 100, r, p, p) for q in (1, 2) for p, s in ((1, "a"), (2, "b")) for r in (1, 2)], "question_id int, src string, id string, score double, src_rank int, route_pos int, router_place int")
+    asked = spark.createDataFrame([(1, "Kunta kunta"), (2, "muu")], "question_id int, text string")
+    guards = spark.createDataFrame(list(profile.guards), "term string, src string, adjust double")
+    got, want = search.merge(hits, asked, profile, "a", guards=guards), search.merge(hits, asked, profile, "a")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
