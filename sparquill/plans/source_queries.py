@@ -15,6 +15,7 @@ from sparquill.plans.rerank_queries import TAGS, TOP10_SQL, top10
 from sparquill.plans.rules import GATES_DOCUMENT, GATES_GRAPH, LANGUAGE_PROFILE, LANGUAGES
 from sparquill.sources import files, sinks, statutes
 from sparquill.staging import fresh_path
+from sparquill.streaming import ingest
 
 
 @query("SELECT doc_id, lang, source, md5(text) AS text_md5 FROM documents")
@@ -305,3 +306,30 @@ def result_files(spark: SparkSession, d: str) -> DataFrame:
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
         parts.append(files.results(sinks.read_json_array(spark, path, schema)))
     return parts[0].unionByName(parts[1]).select(F.col("case_id").cast("bigint").alias("case_no"), "category", "abstain_expected", "confusion_fail", "latency_ms")
+
+
+@query("""SELECT CASE lang WHEN 'en' THEN '007' ELSE '7' END AS law_key, count(*) AS n, CAST(sum(vec_id) AS BIGINT) AS ids FROM embeddings JOIN documents ON doc_id = vec_id WHERE lang IN ('en', 'de') GROUP BY lang""")
+def vector_table_names(spark: SparkSession, d: str) -> DataFrame:
+    """Sources whose names look like one number stay apart."""
+    path = fresh_path(spark, "vectors")
+    lang = table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), F.when(F.col("lang") == "en", "007").when(F.col("lang") == "de", "7").otherwise(F.col("lang")).alias("law_key"))
+    files.write_vectors(table(spark, d, "embeddings").join(lang, "vec_id"), path, id_col="vec_id", files=2)
+    return files.read_vectors(spark, path, ["007"]).unionByName(files.read_vectors(spark, path, ["7"])).groupBy("law_key").agg(F.count("*").alias("n"), F.sum("vec_id").alias("ids"))
+
+
+@query("""SELECT cut, 'n' || c_nationkey AS law_key, c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 3 = 0 THEN 'new' WHEN c_custkey % 2 = 0 THEN 'later line' ELSE 'old' END AS text FROM customer, (VALUES ('one batch'), ('a file a batch')) v(cut)""")
+def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that replace earlier ones of their id, by a later file or a later line, however files fall into micro-batches."""
+    path, k = fresh_path(spark, "stream"), F.col("c_custkey")
+    rows = table(spark, d, "customer").select(k.cast("string").alias("id"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("law_key"), k)
+    line = lambda text: F.to_json(F.struct("id", "law_key", F.lit(text).alias("text")))
+    first = rows.select(F.concat(F.pmod(k, F.lit(4)).cast("string"), F.lit(".jsonl")).alias("name"), F.concat(line("old"), F.when(k % 2 == 0, F.concat(F.lit("\n"), line("later line"))).otherwise("")).alias("l"))
+    second = rows.filter(k % 3 == 0).select(F.concat(F.pmod(k, F.lit(2)).cast("string"), F.lit(".jsonl")).alias("name"), line("new").alias("l"))
+    for i, part in enumerate((first, second)):
+        sinks.write_files(part.groupBy("name").agg(F.array_join(F.sort_array(F.collect_list("l")), "\n").alias("content")), f"{path}/in/{i}")
+    parts = []
+    for cut, n in (("one batch", None), ("a file a batch", 1)):
+        at = fresh_path(spark, "upsert")
+        ingest.follow(spark, f"{path}/in/*", "id string, law_key string, text string", f"{at}/table", f"{at}/checkpoint", files_a_batch=n).awaitTermination()
+        parts.append(ingest.read_latest(spark, f"{at}/table").select(F.lit(cut).alias("cut"), "law_key", "id", "text"))
+    return parts[0].unionByName(parts[1])
