@@ -34,6 +34,7 @@ def build(texts: DataFrame, path: str, id_col: str = "id", text_col: str = "text
     rows = rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/texts")
     found = rows.select("id", "text_no", F.explode(grams(F.col("body"))).alias("gram"))
     dealt = found.select(F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int").alias("bucket"), "gram", "id", "text_no")
+    dealt = stage(dealt, "grams")  # texts are cut once, though ranges are sampled first
     dealt.repartitionByRange("bucket", "gram", "id").sortWithinPartitions("bucket", "gram", "id").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     counts = dealt.groupBy("bucket", "gram").agg(F.count("*").alias("n"))
     counts.repartition("bucket").sortWithinPartitions("bucket", "gram").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/counts")
@@ -65,8 +66,8 @@ def candidates(spark: SparkSession, path: str, words: DataFrame) -> DataFrame:
     """(word, id, text_no): texts that have the rarest grams of a word."""
     picked = picked_grams(spark, path, words)
     lists = _stored(spark, path, "postings", [r.bucket for r in picked.select("bucket").distinct().collect()])
-    met = lists.join(picked, ["bucket", "gram"]).groupBy("word", "id", "text_no").agg(F.count_distinct("gram").alias("n"), F.first("of").alias("of"))
-    return met.filter(F.col("n") == F.col("of")).select("word", "id", "text_no")
+    met = lists.join(picked, ["bucket", "gram"]).groupBy("word", "id", "text_no").agg(F.count("*").alias("n"), F.first("of").alias("of"))
+    return met.filter(F.col("n") >= F.col("of")).select("word", "id", "text_no")  # a repeated row may count twice: its text is looked at
 
 
 def find(spark: SparkSession, path: str, words: DataFrame, word: str = "word") -> DataFrame:
@@ -74,7 +75,9 @@ def find(spark: SparkSession, path: str, words: DataFrame, word: str = "word") -
     asked = stage(words.select(F.col(word).alias("asked"), F.lower(F.col(word)).alias("word")).filter(F.col("word").isNotNull()).distinct(), "words")
     texts = spark.read.parquet(f"{path}/texts")
     long = asked.filter(F.length("word") >= N).select("word").distinct()
-    found = candidates(spark, path, long).join(texts, ["id", "text_no"]).filter(F.contains("body", F.col("word"))).select("word", "id")
+    of = candidates(spark, path, long).groupBy("id", "text_no").agg(F.collect_list("word").alias("words"))  # at most all words that are asked
+    own = texts.select(F.col("id").alias("own_id"), F.col("text_no").alias("own_no"), "body")
+    found = of.join(own, (F.col("text_no") == F.col("own_no")) & F.col("id").eqNullSafe(F.col("own_id"))).select(F.explode(F.filter("words", lambda w: F.contains(F.col("body"), w))).alias("word"), "id")
     short = asked.filter(F.length("word") < N).select(F.col("word").alias("keyword")).distinct()
     if not short.isEmpty():
         found = found.union(texts.select(F.explode(matching.held(F.col("body"), short)).alias("word"), "id"))
