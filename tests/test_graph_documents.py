@@ -237,7 +237,9 @@ def test_a_file_a_key_and_arrays_of_json(spark, tmp_path):
     for bad in (broken, rows.union(rows), spark.createDataFrame([("../up", "x")], "name string, content string"), spark.createDataFrame([(None, "x")], "name string, content string")):
         with pytest.raises(Exception, match="broken|two rows|not a name"):
             sinks.write_files(bad, str(tmp_path / "failed"))
-        assert not [p for p in (tmp_path / "failed").rglob("*") if p.is_file()] and not (tmp_path / "up").exists()
+        assert not [p for p in (tmp_path / "failed").rglob("*") if p.is_file() and "_temporary" not in p.parts] and not (tmp_path / "up").exists()
+    sinks.write_files(rows.limit(2), str(tmp_path / "failed"))
+    assert len([p for p in (tmp_path / "failed").rglob("*.md")]) == 2 and not (tmp_path / "failed/_temporary").exists()
     data = spark.createDataFrame([(i, f"t{i}", [i, None]) for i in range(7)] + [(None, None, None)], "id int, text string, more array<int>")
     sinks.write_json_array(data.repartition(3), str(tmp_path / "arrays"))
     texts = [p.read_text() for p in (tmp_path / "arrays").glob("*.json")]
