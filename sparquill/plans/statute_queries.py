@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparquill.operators import documents, enrich, evaluation, rerank, routing, search
 from sparquill.plans import rules, statute_rules
-from sparquill.plans.catalog import SQL, _any, _terms, diverse_sql, merge_sql, query, route_sql, table
+from sparquill.plans.catalog import SQL, _any, _terms, diverse_sql, merge_sql, query, route_sql, spread, table
 from sparquill.plans.rules import GATES_CROSS, GATES_GOLDEN, GATES_V3, PROBLEM_CATEGORIES, PROFILES, STATUTE_BOOSTS, STATUTES
 
 #: Every term that a rule of the statutes looks for, each once.
@@ -36,7 +36,7 @@ def asked(spark: SparkSession, d: str) -> DataFrame:
     """(question_id, text): a row a part. A plain third has two terms, so that few matches occur too."""
     n = F.col("p_partkey")
     said = [_pick(TERMS, n * a + b) for a, b in STEPS]
-    return table(spark, d, "part").select(n.alias("question_id"), F.when(n % 3 == 0, F.concat_ws(" ", *said[:2])).otherwise(F.concat_ws(" ", *said)).alias("text"))
+    return spread(table(spark, d, "part").select("p_partkey"), "p_partkey").select(n.alias("question_id"), F.when(n % 3 == 0, F.concat_ws(" ", *said[:2])).otherwise(F.concat_ws(" ", *said)).alias("text"))
 
 
 _SAID = [f"t[(p_partkey * {a} + {b}) % {N} + 1]" for a, b in STEPS]
