@@ -252,7 +252,7 @@ def mapping_edges_by_table(pairs: DataFrame, rules: DataFrame, fallback: int = 3
     of = rules.select(F.col("rule_no").cast("string").alias("fit"), F.col("rule_no").cast("int").alias("rule_no"), "pattern", "edge_type", "place", "section")
     met = fired.join(of, "fit").filter(F.array_contains("has", F.col("section"))).groupBy(law, "doc_node_id", "rank", "score", "evidence_text", "rule_no", "pattern", "edge_type").agg(F.min_by("section", "place").alias("section"))
     ruled = met.select(law, "doc_node_id", "edge_type", "score", "evidence_text", F.concat(F.lit("Rule match: "), "pattern", F.lit(" -> "), "section").alias("context"), "rule_no")
-    rest = pairs.filter(F.col("rank") <= fallback).join(ruled.select(law).distinct(), law, "left_anti")
+    rest = pairs.filter(F.col("rank") <= fallback).join(ruled.select(law).distinct().hint("merge"), law, "left_anti")
     generic = rest.select(law, "doc_node_id", F.lit("EVIDENCED_BY").alias("edge_type"), "score", F.substring(text, 1, 200).alias("evidence_text"), F.lit("Semantic similarity match").alias("context"), F.lit(-1).alias("rule_no"))
     return ruled.unionByName(generic)
 

@@ -49,7 +49,7 @@ def table_change(hits: DataFrame, questions: DataFrame, rules: DataFrame, key: s
 def boost(hits: DataFrame, questions: DataFrame, rules: Boosts, key: str = "question_id", text: str = "text", section: str = "section_id", moment: str = "moment", anchors: str | None = "anchors") -> DataFrame:
     """hits (key, rank, score, section, moment, anchors) with score, boost_applied and rank anew. The whole change is held
     within cap_share of the score, the score does not fall below 0 and is rounded to four digits; ties keep their rank."""
-    rows = hits.join(questions.select(F.col(key), F.lower(text).alias("asked")), key)
+    rows = hits.join(questions.select(F.col(key), F.lower(text).alias("asked")).hint("merge"), key)
     of = F.lower(F.regexp_replace(F.col(section), " ", ""))
     change = rule_change(F.col("asked"), of, F.trim(F.col(moment)), rules)
     if anchors and rules.overlap_terms:

@@ -3,7 +3,8 @@
 Questions are a stated set: tasks write them as files of at most `block` rows, and one scan of the corpus takes its vectors
 chunk by chunk and each block of questions over a chunk, as a matrix product. A task keeps as many blocks as fit in `KEPT_BYTES`
 and reads the others again for each chunk. A chunk passes on the best of each question and source only, which Spark trims to the
-best of a task before the shuffle; no question passes through the driver. Scores are rounded to six digits before
+best of a task before the shuffle; no question passes through the driver, so hits are joined with questions by merging: Spark would
+take a table of short, repetitive texts for a small one and send it to all tasks. Scores are rounded to six digits before
 ranking; equal scores go to the smaller id. Rows without a source are searched as a source of their own, null.
 """
 
@@ -91,20 +92,20 @@ def within_budget(hits: DataFrame, questions: DataFrame, router: Router, profile
     with route_pos and router_place."""
     weights = budget(route(questions, router, available, key, text), profile.total_k, profile.min_k)
     weights = weights.withColumn("router_place", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("weight"), "route_pos")))
-    return hits.join(weights.withColumnRenamed("src", source), [key, source]).filter(F.col("src_rank") <= F.col("k"))
+    return hits.join(weights.withColumnRenamed("src", source).hint("merge"), [key, source]).filter(F.col("src_rank") <= F.col("k"))
 
 
 def merge(hits: DataFrame, questions: DataFrame, profile: Profile, core: str, key: str = "question_id", text: str = "text", source: str = "src", guards: DataFrame | None = None) -> DataFrame:
     """Adjusts, filters, orders and cuts hits (key, source, id, score, src_rank, route_pos, router_place). Guards of a table
     (term, src, adjust) take the place of the profile's and are matched in one pass, however many they are."""
-    rows = hits.join(questions.select(F.col(key), F.lower(text).alias("asked")), key).withColumn("score_original", F.col("score"))
+    rows = hits.join(questions.select(F.col(key), F.lower(text).alias("asked")).hint("merge"), key).withColumn("score_original", F.col("score"))
     if not profile.threshold_after:
         rows = rows.filter(F.col("score") >= profile.min_score)
     change = F.when(F.col("router_place") == 1, profile.router_bonus).otherwise(0.0)
     if guards is not None:
         held = questions.select(F.col(key), F.explode(matching.held(F.lower(F.col(text)), guards, "term")).alias("term"))
         due = held.join(guards, "term").groupBy(key, F.col("src").alias(source)).agg(F.round(F.sum("adjust"), 9).alias("guarded"))
-        rows = rows.join(due, [key, source], "left")
+        rows = rows.join(due.hint("merge"), [key, source], "left")
         change += F.coalesce("guarded", F.lit(0.0))
     for term, src, adjust in profile.guards if guards is None else ():
         change += F.when(F.contains("asked", F.lit(term)) & (F.col(source) == src), adjust).otherwise(0.0)
@@ -153,7 +154,7 @@ def context_boost(hits: DataFrame, questions: DataFrame, company: tuple[str, ...
     term: +.08 for the core, -.05 for the accounting sources. Ordered anew; ties keep their rank."""
     low = F.lower(F.col(text))
     asked = questions.select(key, count_terms(low, company).alias("company"), count_terms(low, core_terms).alias("core_hits"))
-    rows = hits.join(asked, key)
+    rows = hits.join(asked.hint("merge"), key)
     change = F.when(F.col("company") >= 2, F.when(F.col(source) == company_source, 0.08).when(F.col(source) == core, -0.03).otherwise(0.0)).when(
         (F.col("core_hits") >= 1) & (F.col("company") == 0), F.when(F.col(source) == core, 0.08).when(F.col(source).isin(*accounting), -0.05).otherwise(0.0)
     )

@@ -8,6 +8,8 @@ import pytest
 from sparquill.operators import rerank, routing, search
 from sparquill.plans.rules import LANGUAGES, PROFILES, STATUTES, Boosts, Profile
 
+SMALL = "/root/testdata/sf0.001"
+
 CORE, KPL, KPA, TTL, HANK, OYL = STATUTES.sources
 
 VECTORS = [
@@ -131,3 +133,38 @@ def test_boosts_are_capped(spark):
 
 def test_profiles_of_the_statutes():
     assert {"plain", "crosslaw", "graph"} <= set(PROFILES) and LANGUAGES.core in LANGUAGES.sources
+
+
+def test_questions_of_a_small_file_are_dealt_to_many_tasks(spark, monkeypatch):
+    """A file of one part, and what follows from its rows is worked out by several tasks, ranked without another shuffle."""
+    from sparquill.plans import catalog, statute_queries
+
+    monkeypatch.setattr(catalog, "SPREAD", 32)
+    rows = statute_queries.asked(spark, SMALL)
+    assert rows.rdd.getNumPartitions() > 1 and rows.count() == spark.read.parquet(f"{SMALL}/part.parquet").count()
+    assert statute_queries.statute_boosts(spark, SMALL).rdd.getNumPartitions() == rows.rdd.getNumPartitions()
+    from sparquill.plans.graph_queries import statute_files
+
+    assert statute_files(spark, SMALL).rdd.getNumPartitions() > 1
+
+
+def test_questions_are_not_sent_to_all_tasks(spark):
+    """Guards of a table: only they may be broadcast, no table that has a row a question."""
+    from sparquill.plans import statute_queries
+
+    plan = statute_queries.statute_guards_table(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") <= 1
+    plan = statute_queries.statute_boosts(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+
+
+def test_siblings_in_blocks(spark, monkeypatch):
+    """A section dealt as a square of blocks gives each pair once."""
+    from sparquill.operators import graph
+
+    monkeypatch.setattr(graph, "PAIRS", 10)
+    nodes = [(i, "a" if i < 40 else None if i == 41 else "b", i % 2) for i in range(60)]
+    rows = spark.createDataFrame(nodes, "node_id int, law_key string, section_num int")
+    found = graph.siblings(rows.filter("node_id % 3 = 0").select("node_id"), rows)
+    want = sorted((a, b) for a, la, sa in nodes for b, lb, sb in nodes if a % 3 == 0 and la and (la, sa) == (lb, sb))
+    assert sorted(map(tuple, found.collect())) == want and found.rdd.getNumPartitions() > 20
