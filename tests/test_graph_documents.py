@@ -413,3 +413,18 @@ def test_names_and_vector_rows(spark):
     moment = spark.createDataFrame([("n", "T", "x", None, None, None, None, None, None, None, None, None, None, None, None, None)], "node_id string, section_title string, text string, law string, law_id string, law_key string, finlex_version string, chapter string, chapter_title string, section_id string, section_num int, section_suffix string, moment string, tags array<string>, anchors array<string>, in_force boolean")
     row = enrich.vector_rows(moment).first()
     assert (row.id, row.document, row.law, row.section_num, row.tags, row.in_force) == ("n", "T. x", "", 0, [], False)
+
+
+def test_expansion_shares_what_a_section_reaches(spark):
+    """Primaries of one section share the rows that they do not reach themselves; supports are those of the whole expansion."""
+    rng = __import__("random").Random(5)
+    names = [f"n{i}" for i in range(60)]
+    nodes = spark.createDataFrame([(n, "L", i // 12) for i, n in enumerate(names)], "node_id string, law_key string, section_num int")
+    edges = [(rng.choice(names), rng.choice([*names, "external:1/1"]), rng.choice(["REFERS_TO", "EXCEPTS", "DEFINES"]), k) for k in range(120)]
+    edges = spark.createDataFrame(edges, "source string, target string, edge_type string, edge_ord long")
+    start = spark.createDataFrame([(n, 0.3 + i / 10) for i, n in enumerate(names[:6])], "primary string, score double")
+    found = graph.reach(start, nodes, edges)
+    whole = graph.expand(start, nodes, edges)
+    assert found.common.count() + found.own.count() < whole.count() and found.common.select("team").distinct().count() == 1
+    want = sorted(map(str, graph.support(whole, nodes).collect()))
+    assert sorted(map(str, graph.selected(start, nodes, edges).collect())) == want
