@@ -1,6 +1,6 @@
 """A stored inverted index of n-grams: which texts hold a word anywhere in them, read from the posting lists of its grams alone.
 
-The index is a folder: `postings` (gram, id), range-sorted within one folder a bucket of grams, so that a frequent gram lies in many
+The index is a folder: `postings` (gram, id), one folder a bucket of grams, dealt by text to files that are sorted by gram, so that a frequent gram lies in many
 files; `counts` (gram, n), dealt alike; `texts` (id, body). A look-up takes the rarest grams of each word, intersects
 their posting lists, and holds the texts that are left against the word. Words shorter than a gram are matched in one pass
 over the texts by operators.matching instead, so every word gets its exact result. Case does not count.
@@ -19,6 +19,8 @@ from sparquill.staging import stage
 
 #: Letters of a gram, folders of grams, and how many of a word's grams are intersected.
 N, BUCKETS, PICKED = 3, 64, 4
+#: Letters of texts whose grams go to one file of a folder.
+POSTINGS = 4_000_000
 
 
 def grams(body: Column, n: int = N) -> Column:
@@ -32,15 +34,19 @@ def build(texts: DataFrame, path: str, id_col: str = "id", text_col: str = "text
     rows = rows.withColumn("text_no", F.xxhash64("body"))  # tells texts of one id apart
     rows.write.mode("overwrite").parquet(f"{path}/texts")
     rows = rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/texts")
+    letters = rows.agg(F.sum(F.length("body"))).first()[0] or 0  # a text has no more grams than letters
+    files = max(1, -(-letters // (buckets * POSTINGS)))
     found = rows.select("id", "text_no", F.explode(grams(F.col("body"))).alias("gram"))
     dealt = found.select(F.pmod(F.xxhash64("gram"), F.lit(buckets)).cast("int").alias("bucket"), "gram", "id", "text_no")
-    dealt = stage(dealt, "grams")  # texts are cut once, though ranges are sampled first
-    dealt.repartitionByRange("bucket", "gram", "id").sortWithinPartitions("bucket", "gram", "id").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
-    counts = dealt.groupBy("bucket", "gram").agg(F.count("*").alias("n"))
+    dealt = dealt.withColumn("file", F.pmod(F.xxhash64("id", "text_no"), F.lit(files)).cast("int"))
+    laid = dealt.repartition(buckets * files, "bucket", "file").sortWithinPartitions("bucket", "gram", "id").drop("file")  # by hash: texts are cut once, and no copy is kept for sampling
+    laid.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    schema = f"gram string, id {rows.schema['id'].dataType.simpleString()}, text_no long, bucket int"
+    counts = rows.sparkSession.read.schema(schema).parquet(f"{path}/postings").groupBy("bucket", "gram").agg(F.count("*").alias("n"))
     counts.repartition("bucket").sortWithinPartitions("bucket", "gram").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/counts")
     spark = rows.sparkSession
     spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
-    dealt.limit(0).write.mode("overwrite").parquet(f"{path}/schema")
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/schema")
 
 
 def _stored(spark: SparkSession, path: str, name: str, buckets: list[int]) -> DataFrame:

@@ -177,3 +177,13 @@ def test_mapping_rules_and_guards_of_a_table_equal_those_of_code(spark):
     guards = spark.createDataFrame(list(profile.guards), "term string, src string, adjust double")
     got, want = search.merge(hits, asked, profile, "a", guards=guards), search.merge(hits, asked, profile, "a")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_postings_are_written_without_a_copy(spark, tmp_path, monkeypatch):
+    """The build stages nothing beside the index, and deals a folder's postings to several sorted files."""
+    monkeypatch.setattr(text_index, "POSTINGS", 200)
+    monkeypatch.setattr(text_index, "stage", lambda *a: pytest.fail("the grams are written twice"))
+    rows = [(i, f"text number {i} " + chr(97 + i % 26) * 5) for i in range(2000)]
+    text_index.build(spark.createDataFrame(rows, "id int, text string"), str(tmp_path / "i"), buckets=4)
+    back = spark.read.parquet(str(tmp_path / "i/postings"))
+    assert len(back.inputFiles()) > 8 and back.count() == sum(len({t[j : j + 3] for j in range(len(t) - 2)}) for _, t in rows)
