@@ -394,6 +394,29 @@ def test_near_copies_by_five_word_shingles(spark):
     assert len(set(root)) < len({brute_fingerprint(t) for t in texts}) and near_copies.drop_near_copies(docs.limit(0)).count() == 0
 
 
+def test_near_copies_that_share_no_minima(spark):
+    """Two texts of similarity 0.8 in which each of 24 bands of four minima has one at the shingle that differs."""
+    words = [f"w232667x{j}" for j in range(9)]
+    texts = [" ".join(words), "some other words of no copy at all here", " ".join(words[:8])]
+    assert brute_copies(texts) == [0, 1, 0]
+    assert sorted(r.doc_id for r in near_copies.drop_near_copies(corpus(spark, texts)).collect()) == [0, 1]
+
+
+def test_similar_sets_share_a_block_and_pass_the_filter():
+    """Pairs at the limit of the similarity, by words lost, gained or both, across all numbers of parts."""
+    rng = np.random.default_rng(7)
+    for n in [*range(4, 70), 102, 103, 127, 128, 129, 200, 255, 256, 409, 410, 512, 3000]:
+        hashes = rng.integers(0, 2**64, 2 * n, dtype=np.uint64)
+        for lost in {0, 1, n // 18, n // 9, n // 5}:
+            gained = (5 * (n - lost) - 4 * n) // 4
+            if gained >= 0 and lost + gained:
+                a, b = np.sort(hashes[:n]), np.sort(hashes[lost : n + gained])
+                assert near_copies.similar(a, b) and not near_copies.similar(a, np.sort(hashes[lost : n + gained + 1]))
+                assert len(np.intersect1d(near_copies.block_keys(a), near_copies.block_keys(b))), (n, lost)
+                parity = np.frombuffer(near_copies.parities(a) + near_copies.parities(b), np.uint64).reshape(2, -1)
+                assert near_copies.may_link(np.array([0]), np.array([1]), np.array([len(a), len(b)]), parity).all()
+
+
 @pytest.mark.parametrize("limits", [(2, 1, 8), (4, 2, 2048)])
 def test_near_copies_lose_no_link_in_dense_groups(spark, monkeypatch, limits):
     """One group of copies of copies, in which most of a set's best partners are of its own component already."""
