@@ -29,7 +29,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of five-word shingle similarity 0.8 or more stays, that of the smallest id. It is op9's
-    search by fingerprints and Gray-order index over five-word shingles, dealt to buckets as near_copies says."""
+    search by fingerprints, pigeonhole dealing and Gray-order index over five-word shingles, as near_copies says."""
     return near_copies.drop_near_copies(docs)
 
 
