@@ -187,3 +187,27 @@ def test_postings_are_written_without_a_copy(spark, tmp_path, monkeypatch):
     text_index.build(spark.createDataFrame(rows, "id int, text string"), str(tmp_path / "i"), buckets=4)
     back = spark.read.parquet(str(tmp_path / "i/postings"))
     assert len(back.inputFiles()) > 8 and back.count() == sum(len({t[j : j + 3] for j in range(len(t) - 2)}) for _, t in rows)
+
+
+def test_a_posting_takes_a_few_bytes(spark, tmp_path):
+    """Postings lie as steps from one text to the next, and words that are in many texts are counted right."""
+    rng = random.Random(4)
+    stems = sorted({"".join(rng.choice("abcdefghiklmnorstu") for _ in range(rng.randint(4, 9))) for _ in range(800)})
+    rows = [(i, " ".join(rng.choices(stems, k=200))) for i in range(1500)]
+    path = str(tmp_path / "i")
+    text_index.build(spark.createDataFrame(rows, "id int, text string"), path)
+    found = text_index.find(spark, path, spark.createDataFrame([(w,) for w in stems], "word string")).groupBy("word").count().collect()
+    assert {r["word"]: r["count"] for r in found} == {w: n for w in stems if (n := sum(w in t for _, t in rows))}
+    assert sum(f.stat().st_size for f in (tmp_path / "i/postings").rglob("*.parquet")) < 4 * spark.read.parquet(f"{path}/postings").count()
+
+
+def test_words_are_found_alike_one_by_one_and_together(spark, tmp_path, monkeypatch):
+    rows = [(i, f"Text {i} " + " ".join(chr(97 + (i + j) % 26) * 4 for j in range(i % 30))) for i in range(300)]
+    text_index.build(spark.createDataFrame(rows, "id int, text string"), str(tmp_path / "i"))
+    asked = [chr(97 + j) * n for j in range(26) for n in (3, 4)] + ["aaaa bbbb", "AAAA", "aaaab", "text 29"]
+    words = spark.createDataFrame([(w,) for w in asked], "word string")
+    got = {}
+    for many in (0, 10**6):
+        monkeypatch.setattr(text_index, "MANY", many)
+        got[many] = sorted(map(tuple, text_index.find(spark, str(tmp_path / "i"), words).collect()))
+    assert got[0] == got[10**6] == sorted((w, i) for w in asked for i, t in rows if w.lower() in t.lower())
