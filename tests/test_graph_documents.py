@@ -428,3 +428,18 @@ def test_expansion_shares_what_a_section_reaches(spark):
     assert found.common.count() + found.own.count() < whole.count() and found.common.select("team").distinct().count() == 1
     want = sorted(map(str, graph.support(whole, nodes).collect()))
     assert sorted(map(str, graph.selected(start, nodes, edges).collect())) == want
+
+
+def test_rows_of_each_primary_are_made_by_generated_code(spark):
+    """No lambda runs and no number is rounded for a primary and node, edges are not aggregated, and the best of several edges counts."""
+    nodes, edges = walk_fixture(spark)
+    edges = edges.union(spark.createDataFrame([("A2", "B", "DEFINES", 0), ("A2", "B", "EXCEPTS", 9), ("A1", "A2", "EXCEPTS", 8), ("C", "D", None, 2)], edges.schema))
+    start = spark.createDataFrame([("A1", 0.7), ("A2", 0.01)], "primary string, score double")
+    score = lambda s, h, r: F.round(graph.neighbor_score(s, h, r), 6)
+    found = graph.expand(start, nodes, edges, value=score).select("primary", "node_id", "hop", "relation", "score")
+    plain = graph.expand(start, nodes, edges).withColumn("score", score(F.col("score"), F.col("hop"), F.col("relation"))).select(found.columns)
+    got = sorted(map(str, found.collect()))
+    assert got == sorted(map(str, plain.collect())) and [(r.hop, r.relation) for r in found.filter("node_id = 'B'").collect()] == [(1, "DEFINES")] * 2
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "lambda" not in plan.split("union")[1].split("generate")[0] and "round(" not in plan.split("generate")[0].split(":")[0]
+    assert "aggregate" not in graph.walkable(graph.both_ways(edges))._jdf.queryExecution().optimizedPlan().toString().lower()
