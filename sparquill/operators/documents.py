@@ -11,6 +11,8 @@ from sparquill.operators import matching, text_index
 from sparquill.staging import stage
 
 TABLES = "array<struct<title:string,rows:array<struct<cells:array<string>>>>>"
+#: Rows of a table of rules that are sent to all tasks.
+SENT = 4096
 
 
 def section_type(depth: int) -> str:
@@ -250,7 +252,9 @@ def mapping_edges_by_table(pairs: DataFrame, rules: DataFrame, fallback: int = 3
     fired = pairs.withColumn("fits", matching.labels(F.col(law), named, "pattern", "rule_no")).filter(F.size("fits") > 0).withColumn("has", matching.held(body, rules, "section"))
     fired = fired.select(law, "doc_node_id", "rank", "score", F.substring(text, 1, 200).alias("evidence_text"), "has", F.explode("fits").alias("fit"))
     of = rules.select(F.col("rule_no").cast("string").alias("fit"), F.col("rule_no").cast("int").alias("rule_no"), "pattern", "edge_type", "place", "section")
-    met = fired.join(of, "fit").filter(F.array_contains("has", F.col("section"))).groupBy(law, "doc_node_id", "rank", "score", "evidence_text", "rule_no", "pattern", "edge_type").agg(F.min_by("section", "place").alias("section"))
+    # Spark guesses hits by the bytes of the files they are made from and would send all of them to the driver
+    few = rules.limit(SENT + 1).count() <= SENT
+    met = (fired.join(F.broadcast(of), "fit") if few else fired.hint("merge").join(of, "fit")).filter(F.array_contains("has", F.col("section"))).groupBy(law, "doc_node_id", "rank", "score", "evidence_text", "rule_no", "pattern", "edge_type").agg(F.min_by("section", "place").alias("section"))
     ruled = met.select(law, "doc_node_id", "edge_type", "score", "evidence_text", F.concat(F.lit("Rule match: "), "pattern", F.lit(" -> "), "section").alias("context"), "rule_no")
     rest = pairs.filter(F.col("rank") <= fallback).join(ruled.select(law).distinct().hint("merge"), law, "left_anti")
     generic = rest.select(law, "doc_node_id", F.lit("EVIDENCED_BY").alias("edge_type"), "score", F.substring(text, 1, 200).alias("evidence_text"), F.lit("Semantic similarity match").alias("context"), F.lit(-1).alias("rule_no"))

@@ -211,3 +211,20 @@ def test_words_are_found_alike_one_by_one_and_together(spark, tmp_path, monkeypa
         monkeypatch.setattr(text_index, "MANY", many)
         got[many] = sorted(map(tuple, text_index.find(spark, str(tmp_path / "i"), words).collect()))
     assert got[0] == got[10**6] == sorted((w, i) for w in asked for i, t in rows if w.lower() in t.lower())
+
+
+def test_hits_of_mapping_rules_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Hits made from a small file are many rows; only the rules may go to all tasks, and only if they are few."""
+    spark.range(2000).write.parquet(str(tmp_path / "n"))
+    made = spark.read.parquet(str(tmp_path / "n")).select("id", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("rank"))
+    pairs = made.select(F.concat(F.lit("law:"), "id").alias("law_node_id"), F.col("rank").alias("doc_node_id"), "rank", (1 - F.col("rank") / 10).alias("score"), F.lit("").alias("title"), F.concat(F.lit("b"), "id").alias("text"))
+    coded = (("law:1", ("b1", "b"), "X"), (":2", ("b22",), "Y"))
+    rules = spark.createDataFrame([(i, p, kind, j, s) for i, (p, secs, kind) in enumerate(coded) for j, s in enumerate(secs)], "rule_no int, pattern string, edge_type string, place int, section string")
+    rules.write.parquet(str(tmp_path / "rules"))
+    want = sorted(map(str, documents.mapping_edges(pairs, coded).collect()))
+    for sent, sides in ((10, ["BuildRight"]), (2, [])):
+        monkeypatch.setattr(documents, "SENT", sent)
+        found = documents.mapping_edges_by_table(pairs, spark.read.parquet(str(tmp_path / "rules")))
+        plan = [line for line in found._jdf.queryExecution().sparkPlan().toString().splitlines() if "BroadcastHashJoin" in line and "fit" in line]
+        assert {side for line in plan for side in ("BuildLeft", "BuildRight") if side in line} == set(sides)
+        assert sorted(map(str, found.select("law_node_id", "doc_node_id", "edge_type", "score", "evidence_text", "context", "rule_no").collect())) == want
